@@ -10,9 +10,13 @@ from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stationlake.operators import daily as D
 from stationlake.operators import staging as S
+from stationlake.operators.runs import partition_segment_of
+from stationlake.operators.windows import plan_chunks
+from stationlake.sources.pages import land_batch
 from stationlake.sources import driver_tables as T
 from stationlake.sources.seeds import read_thresholds
 
@@ -83,3 +87,80 @@ class HistoryFeed:
     @cached_property
     def thresholds(self) -> DataFrame:
         return read_thresholds(self.spark)
+
+
+# --- run tables of the event world -------------------------------------------
+
+CHUNK_DAYS = 7  # backfill chunk width used for the event world's month of data
+FIRST_RUN_CUTOFF = "2024-01-15"  # chunks ending on or before this were done by an earlier run
+
+
+def daily_load_stamp(day_col):
+    """Each day's objects are loaded the next morning at 02:05 UTC: one batch per day."""
+    return F.to_timestamp(day_col) + F.expr("INTERVAL 26 HOURS 5 MINUTES")
+
+
+def event_daily_loads(feed: EventFeed) -> DataFrame:
+    """The raw pages re-landed the way the daily runs load them: the objects
+    under ``…/{CC}/{day}/`` form one batch stamped the morning after."""
+    lines = feed.raw.select(F.col("raw_payload").alias("value"), "source_uri")
+    stamp = daily_load_stamp(F.to_date(partition_segment_of("source_uri")))
+    return land_batch(lines, stamp, validate=False)
+
+
+def inventory_sensors(feed: EventFeed) -> DataFrame:
+    """Every inventoried sensor with its station's country."""
+    loc = feed.locations.select("location_id", "country_code")
+    return feed.sensors.join(loc, "location_id").select("sensor_id", "parameter", "country_code")
+
+
+def event_fetch_log(feed: EventFeed) -> DataFrame:
+    """One fetch outcome per inventoried sensor and day of its country's span.
+
+    ok = the day has landed records (``measurements`` = their number), failed =
+    a known-bad sensor with nothing landed, empty = any other sensor with
+    nothing landed.  The days are generated per sensor row (no cross join);
+    the record counts are one grouped count of the landed records.
+    """
+    spans = F.broadcast(feed.audit_spans)
+    sensor_days = inventory_sensors(feed).join(spans, "country_code").select(
+        "country_code",
+        "sensor_id",
+        "parameter",
+        F.explode(F.sequence("span_start", "span_end", F.expr("INTERVAL 1 DAY"))).alias("day"),
+    )
+    counts = (
+        S.measurement_records(feed.raw)
+        .select("sensor_id", F.to_date("ingested_at").alias("day"))
+        .groupBy("sensor_id", "day")
+        .agg(F.count(F.lit(1)).alias("records"))
+    )
+    bad = feed.known_bad.select("sensor_id").distinct().withColumn("is_bad", F.lit(True))
+    log = sensor_days.join(counts, ["sensor_id", "day"], "left").join(bad, "sensor_id", "left")
+    n = F.coalesce(F.col("records"), F.lit(0)).cast("bigint")
+    status = (
+        F.when(n > 0, F.lit("ok"))
+        .when(F.coalesce(F.col("is_bad"), F.lit(False)), F.lit("failed"))
+        .otherwise(F.lit("empty"))
+    )
+    return log.select(
+        "country_code",
+        F.date_format("day", "yyyy-MM-dd").alias("segment"),
+        "day",
+        "sensor_id",
+        "parameter",
+        status.alias("status"),
+        F.when(n > 0, n).otherwise(F.lit(0)).cast("bigint").alias("measurements"),
+    )
+
+
+def event_chunks(feed: EventFeed, chunk_days: int = CHUNK_DAYS) -> DataFrame:
+    """Backfill chunks over each country's span ``[first day, last day + 1)``."""
+    windows = feed.audit_spans.select(
+        "country_code",
+        F.col("span_start").alias("window_start"),
+        F.date_add("span_end", 1).alias("window_end"),
+    )
+    return plan_chunks(windows, chunk_days).select(
+        "country_code", "chunk_start", "chunk_end", "chunk_label"
+    )

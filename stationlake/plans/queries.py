@@ -39,3 +39,441 @@ def country_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: raw pages → staging → station-days → country-day mart."""
     feed = EventFeed(spark, sf_dir)
     return M.country_compare(feed.daily, feed.thresholds)
+
+
+# --- landing and staging (event world) ---------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from stationlake import constants as C  # noqa: E402
+from stationlake.functions.columns import country_from_uri, day_segment, object_name, sensor_id_from_uri  # noqa: E402
+from stationlake.operators import audit as A  # noqa: E402
+from stationlake.operators import runs as R  # noqa: E402
+from stationlake.operators import staging as S  # noqa: E402
+from stationlake.operators.windows import chunk_start_of, in_half_open, runs_covering  # noqa: E402
+from stationlake.plans import feeds as FD  # noqa: E402
+from stationlake.sources import pages as P  # noqa: E402
+
+
+@query("stage_measurements")
+def stage_measurements(spark, sf_dir):
+    """Measurement pages → typed records → newest copy per (sensor, period)."""
+    return EventFeed(spark, sf_dir).measurements
+
+
+@query("stage_locations")
+def stage_locations(spark, sf_dir):
+    return EventFeed(spark, sf_dir).locations
+
+
+@query("stage_sensors")
+def stage_sensors(spark, sf_dir):
+    return EventFeed(spark, sf_dir).sensors
+
+
+@query("target_sensors")
+def target_sensors(spark, sf_dir):
+    return S.target_sensors(EventFeed(spark, sf_dir).raw)
+
+
+@query("explode_page_records")
+def explode_page_records(spark, sf_dir):
+    """Every record of every measurement page, before deduplication."""
+    recs = S.parse_measurements(S.measurement_records(EventFeed(spark, sf_dir).raw))
+    return recs.select(
+        "sensor_id", "country_code", "record_pos", "parameter", "unit",
+        "measurement_value", "period_start_utc", "ingested_at",
+    )
+
+
+@query("path_identity")
+def path_identity(spark, sf_dir):
+    """Identity parsed from every distinct object path (null where absent)."""
+    raw = EventFeed(spark, sf_dir).raw
+    return raw.select("source_uri").distinct().select(
+        "source_uri",
+        sensor_id_from_uri("source_uri").alias("sensor_id"),
+        country_from_uri("source_uri").alias("country_code"),
+    )
+
+
+@query("route_pages")
+def route_pages(spark, sf_dir):
+    raw = EventFeed(spark, sf_dir).raw
+    return raw.groupBy(P.page_kind("source_uri").alias("page_kind")).agg(
+        F.count(F.lit(1)).alias("pages")
+    )
+
+
+@query("page_record_count")
+def page_record_count(spark, sf_dir):
+    """Pages and records per country and page kind (records = sum of array sizes)."""
+    raw = EventFeed(spark, sf_dir).raw
+    return raw.groupBy(
+        country_from_uri("source_uri").alias("country_code"),
+        P.page_kind("source_uri").alias("page_kind"),
+    ).agg(F.count(F.lit(1)).alias("pages"), P.page_record_total(raw).alias("records"))
+
+
+@query("invalid_page_lines")
+def invalid_page_lines(spark, sf_dir):
+    raw = EventFeed(spark, sf_dir).raw
+    lines = raw.select(F.col("raw_payload").alias("value"), "source_uri")
+    invalid = F.try_parse_json(F.col("value")).isNull()
+    return lines.groupBy(P.page_kind("source_uri").alias("page_kind")).agg(
+        F.count(F.lit(1)).alias("lines"), F.count_if(invalid).alias("invalid_lines")
+    )
+
+
+@query("dedup_latest_measurements")
+def dedup_latest_measurements(spark, sf_dir):
+    """Per country: landed records, staged rows, and copies dropped by latest-wins."""
+    feed = EventFeed(spark, sf_dir)
+    landed = S.measurement_records(feed.raw).groupBy("country_code").agg(
+        F.count(F.lit(1)).alias("landed_records")
+    )
+    staged = feed.measurements.groupBy("country_code").agg(F.count(F.lit(1)).alias("staged_rows"))
+    out = landed.join(staged, "country_code")
+    return out.withColumn("copies_dropped", F.col("landed_records") - F.col("staged_rows"))
+
+
+@query("late_correction_wins")
+def late_correction_wins(spark, sf_dir):
+    """Keys landed more than once: how many copies, and the value that won."""
+    feed = EventFeed(spark, sf_dir)
+    recs = S.parse_measurements(S.measurement_records(feed.raw))
+    multi = recs.groupBy("sensor_id", "period_start_utc").agg(
+        F.count(F.lit(1)).alias("copies"), F.min("ingested_at").alias("first_ingested_at")
+    ).where(F.col("copies") > 1)
+    kept = feed.measurements.select(
+        "sensor_id", "period_start_utc", "measurement_value", "ingested_at"
+    )
+    return multi.join(kept, ["sensor_id", "period_start_utc"]).select(
+        "sensor_id", "period_start_utc", "copies", "first_ingested_at",
+        F.col("ingested_at").alias("kept_ingested_at"),
+        F.col("measurement_value").alias("kept_value"),
+    )
+
+
+@query("object_name")
+def object_name_q(spark, sf_dir):
+    """Object names of the measurement pages with their page counts."""
+    r = FD.T.readings(spark, sf_dir)
+    name = object_name("country_code", day_segment("reading_ts"), "sensor_id")
+    return r.groupBy(name.alias("object_name")).agg(F.count(F.lit(1)).alias("pages"))
+
+
+@query("threshold_seed")
+def threshold_seed(spark, sf_dir):
+    """The typed threshold seed matched to every observed (parameter, unit)."""
+    feed = EventFeed(spark, sf_dir)
+    observed = feed.measurements.select("parameter", "unit").distinct()
+    t = feed.thresholds
+    joined = observed.join(
+        F.broadcast(t),
+        (observed.parameter == t.pollutant) & (observed.unit == t.unit),
+        "left",
+    )
+    return joined.select(
+        observed.parameter, observed.unit, t.averaging_period, t.threshold_value
+    )
+
+
+# --- raw zone and raw table (written to the shared folder) --------------------
+
+_ZONES: dict[tuple[int, str], str] = {}
+
+
+def written_zone(spark, sf_dir) -> str:
+    """Write the event world's pages into a raw zone once per session and dir."""
+    from stationlake.session import scratch_path
+
+    key = (id(spark), sf_dir)
+    if key not in _ZONES:
+        raw = EventFeed(spark, sf_dir).raw
+        pages = raw.select(
+            country_from_uri("source_uri").alias("country"),
+            R.partition_segment_of("source_uri").alias("part"),
+            F.regexp_extract("source_uri", r"/([^/]+)\.json$", 1).alias("leaf"),
+            F.col("raw_payload").alias("body"),
+        )
+        path = scratch_path(spark, "raw-zone")
+        P.write_pages(pages, path)
+        _ZONES[key] = path
+    return _ZONES[key]
+
+
+@query("scan_pages")
+def scan_pages(spark, sf_dir):
+    """Pages written to the raw zone, scanned back: lines and records by kind."""
+    lines = P.scan_partitioned_pages(spark, written_zone(spark, sf_dir), FD.T.LANDING_ROOT)
+    return lines.groupBy(
+        country_from_uri("source_uri").alias("country_code"),
+        P.page_kind("source_uri").alias("page_kind"),
+    ).agg(
+        F.count(F.lit(1)).alias("pages"),
+        F.sum(P.record_count("value")).cast("bigint").alias("records"),
+    )
+
+
+@query("write_pages_roundtrip")
+def write_pages_roundtrip(spark, sf_dir):
+    """Parse ∘ write is the identity: values read back from the raw zone."""
+    lines = P.scan_partitioned_pages(spark, written_zone(spark, sf_dir), FD.T.LANDING_ROOT)
+    raw = P.land_batch(lines, FD.T.INVENTORY_STAMP)
+    recs = S.parse_measurements(S.measurement_records(raw))
+    return recs.groupBy(
+        "country_code", F.to_date("period_start_utc").alias("measurement_date")
+    ).agg(
+        F.count(F.lit(1)).alias("records"),
+        F.count_if(F.col("measurement_value").isNull()).alias("valueless"),
+        F.sum("measurement_value").alias("value_sum"),
+        F.count_distinct("sensor_id").alias("sensors"),
+    )
+
+
+LOAD_STAMPS = ("2024-02-01 02:05:00", "2024-02-02 02:05:00")
+
+
+@query("land_batch")
+def land_batch_q(spark, sf_dir):
+    """Ensure the raw table, append the same pages twice (a rerun), read back."""
+    from stationlake.session import scratch_path
+
+    path = scratch_path(spark, "raw-table")
+    P.ensure_raw_table(spark, path)
+    raw = EventFeed(spark, sf_dir).raw
+    lines = raw.select(F.col("raw_payload").alias("value"), "source_uri")
+    for stamp in LOAD_STAMPS:
+        P.append_batch(P.land_batch(lines, stamp), path)
+    table = P.read_raw(spark, path)
+    return table.groupBy(
+        "ingested_at", "ingest_date", P.page_kind("source_uri").alias("page_kind")
+    ).agg(F.count(F.lit(1)).alias("pages"), P.page_record_total(table).alias("records"))
+
+
+@query("latest_batch_records")
+def latest_batch_records(spark, sf_dir):
+    """Records of the newest batch under each country/day prefix."""
+    return R.latest_batch_records(FD.event_daily_loads(EventFeed(spark, sf_dir)))
+
+
+# --- run bookkeeping -----------------------------------------------------------
+
+
+@query("fetch_summary")
+def fetch_summary(spark, sf_dir):
+    log = FD.event_fetch_log(EventFeed(spark, sf_dir))
+    return R.fetch_summary(log, ["country_code", "segment"])
+
+
+@query("failure_threshold")
+def failure_threshold(spark, sf_dir):
+    log = FD.event_fetch_log(EventFeed(spark, sf_dir))
+    gated = R.failure_gate(R.fetch_summary(log, ["country_code", "segment"]))
+    return gated.select(
+        "country_code", "segment", "sensors_fetched", "sensors_failed", "failure_rate", "passes"
+    )
+
+
+@query("reconcile_counts")
+def reconcile_counts(spark, sf_dir):
+    feed = EventFeed(spark, sf_dir)
+    summary = R.fetch_summary(FD.event_fetch_log(feed), ["country_code", "segment"])
+    landed = R.latest_batch_records(FD.event_daily_loads(feed))
+    return R.reconcile_counts(summary, landed)
+
+
+@query("skip_known_bad")
+def skip_known_bad(spark, sf_dir):
+    feed = EventFeed(spark, sf_dir)
+    targets = FD.inventory_sensors(feed).where(F.col("parameter").isin(*C.TARGET_PARAMETERS))
+    return R.skip_known_bad(targets, feed.known_bad)
+
+
+@query("skip_overlap")
+def skip_overlap(spark, sf_dir):
+    feed = EventFeed(spark, sf_dir)
+    targets = FD.inventory_sensors(feed).where(F.col("parameter").isin(*C.TARGET_PARAMETERS))
+    return R.skip_overlap(targets, feed.known_bad).groupBy("country_code").agg(
+        F.count(F.lit(1)).alias("skipped_sensors")
+    )
+
+
+@query("plan_chunks")
+def plan_chunks_q(spark, sf_dir):
+    return FD.event_chunks(EventFeed(spark, sf_dir))
+
+
+@query("half_open_window")
+def half_open_window(spark, sf_dir):
+    """Readings per backfill chunk: each reading lands in exactly one chunk."""
+    feed = EventFeed(spark, sf_dir)
+    chunks = FD.event_chunks(feed)
+    spans = F.broadcast(feed.audit_spans.select("country_code", "span_start"))
+    r = FD.T.readings(spark, sf_dir).join(spans, "country_code")
+    keyed = r.withColumn(
+        "chunk_start", chunk_start_of(F.to_date("reading_ts"), "span_start", FD.CHUNK_DAYS)
+    )
+    joined = keyed.join(chunks, ["country_code", "chunk_start"]).where(
+        in_half_open(F.to_date("reading_ts"), F.col("chunk_start"), F.col("chunk_end"))
+    )
+    return joined.groupBy("country_code", "chunk_start", "chunk_end").agg(
+        F.count(F.lit(1)).alias("readings")
+    )
+
+
+@query("lookback_window")
+def lookback_window(spark, sf_dir):
+    """Per country and run day: the 7-day window it re-fetches and what is in it."""
+    r = FD.T.readings(spark, sf_dir).select("country_code", F.to_date("reading_ts").alias("day"))
+    per_day = r.groupBy("country_code", "day").agg(F.count(F.lit(1)).alias("n"))
+    runs = per_day.select(
+        "country_code", "day", "n", F.explode(runs_covering("day")).alias("run_day")
+    )
+    out = runs.groupBy("country_code", "run_day").agg(
+        F.sum("n").cast("bigint").alias("records"),
+        F.count(F.lit(1)).alias("days_with_data"),
+    )
+    return out.select(
+        "country_code", "run_day",
+        F.date_sub("run_day", C.LOOKBACK_DAYS - 1).alias("window_start"),
+        F.date_add("run_day", 1).alias("window_end"),
+        "records", "days_with_data",
+    )
+
+
+@query("checkpoint_resume")
+def checkpoint_resume(spark, sf_dir):
+    """A first run checkpointed the early chunks (twice, as after a crash);
+    a resumed run plans only the chunks without a record."""
+    from stationlake.session import scratch_path
+
+    feed = EventFeed(spark, sf_dir)
+    chunks = FD.event_chunks(feed)
+    path = scratch_path(spark, "manifest")
+    done = chunks.where(F.col("chunk_end") <= F.lit(FD.FIRST_RUN_CUTOFF).cast("date"))
+    outcomes = done.select(
+        "country_code", "chunk_start", "chunk_end",
+        F.lit(0).alias("measurements"), F.lit(0).alias("sensors_ok"),
+        F.lit(0).alias("sensors_empty"), F.lit(0).alias("sensors_failed"),
+        F.lit(True).alias("passes"), F.lit(True).alias("matches"),
+    )
+    records = R.manifest_records(outcomes, "2024-02-01 03:00:00")
+    R.append_manifest(records, path)
+    R.append_manifest(records, path)
+    return R.windows_todo(chunks, R.read_manifest(spark, path))
+
+
+@query("backfill_todo")
+def backfill_todo(spark, sf_dir):
+    """Open chunks with the number of target sensors to fetch after the skip list."""
+    feed = EventFeed(spark, sf_dir)
+    chunks = FD.event_chunks(feed)
+    done = chunks.where(F.col("chunk_end") <= F.lit(FD.FIRST_RUN_CUTOFF).cast("date")).select(
+        F.col("country_code").alias("country"),
+        F.col("chunk_start").alias("window_start"),
+        F.col("chunk_end").alias("window_end"),
+    )
+    todo = R.windows_todo(chunks, done)
+    targets = FD.inventory_sensors(feed).where(F.col("parameter").isin(*C.TARGET_PARAMETERS))
+    bad = feed.known_bad.select("sensor_id").distinct().withColumn("skip", F.lit(True))
+    per_country = targets.join(bad, "sensor_id", "left").groupBy("country_code").agg(
+        F.count(F.lit(1)).alias("sensors_targeted"),
+        F.count_if(F.coalesce(F.col("skip"), F.lit(False))).alias("sensors_skipped"),
+    )
+    out = todo.join(per_country, "country_code", "left")
+    return out.withColumn("sensors_to_fetch", F.col("sensors_targeted") - F.col("sensors_skipped"))
+
+
+# --- gap audit -----------------------------------------------------------------
+
+
+def _expected(feed: EventFeed):
+    return A.expected_sensor_days(feed.sensors, feed.locations, feed.audit_spans)
+
+
+@query("calendar_spine")
+def calendar_spine(spark, sf_dir):
+    return A.calendar_spine(EventFeed(spark, sf_dir).audit_spans)
+
+
+@query("expected_sensor_days")
+def expected_sensor_days(spark, sf_dir):
+    return _expected(EventFeed(spark, sf_dir))
+
+
+@query("actual_sensor_days")
+def actual_sensor_days(spark, sf_dir):
+    return A.actual_sensor_days(EventFeed(spark, sf_dir).measurements)
+
+
+@query("gap_classify")
+def gap_classify(spark, sf_dir):
+    feed = EventFeed(spark, sf_dir)
+    return A.gap_classify(_expected(feed), A.actual_sensor_days(feed.measurements), feed.known_bad)
+
+
+@query("gap_audit_monthly")
+def gap_audit_monthly(spark, sf_dir):
+    feed = EventFeed(spark, sf_dir)
+    return A.gap_audit(feed.sensors, feed.locations, feed.measurements, feed.known_bad, feed.audit_spans)
+
+
+# --- station-days and marts ------------------------------------------------------
+
+
+@query("daily_station_agg")
+def daily_station_agg(spark, sf_dir):
+    return EventFeed(spark, sf_dir).daily
+
+
+@query("hours_covered")
+def hours_covered(spark, sf_dir):
+    d = EventFeed(spark, sf_dir).daily
+    return d.select("location_id", "parameter", "unit", "measurement_date", "hours_covered", "reading_count")
+
+
+@query("threshold_flag_24h")
+def threshold_flag_24h(spark, sf_dir):
+    feed = EventFeed(spark, sf_dir)
+    return M.threshold_flag_24h(feed.daily, feed.thresholds)
+
+
+@query("exceedance_rate")
+def exceedance_rate(spark, sf_dir):
+    """Country-day rate with its numerator and denominator (seven-year history)."""
+    feed = HistoryFeed(spark, sf_dir)
+    by_day = M.country_day(feed.daily, feed.thresholds)
+    from stationlake.functions.columns import rate_pct
+
+    return by_day.select(
+        "country_code", "parameter", "unit", "measurement_date",
+        "locations_exceeding", "locations_comparable",
+        rate_pct("locations_exceeding", "locations_comparable").alias("exceedance_rate"),
+    )
+
+
+@query("annual_compare")
+def annual_compare(spark, sf_dir):
+    feed = HistoryFeed(spark, sf_dir)
+    return M.annual_compare(feed.daily, feed.thresholds)
+
+
+@query("rolling_7d_range")
+def rolling_7d_range(spark, sf_dir):
+    """Calendar-range 7-day mean over a history with day gaps."""
+    feed = HistoryFeed(spark, sf_dir)
+    by_day = M.country_day(feed.daily, feed.thresholds)
+    rolled = M.rolling_range_avg(
+        by_day, "country_daily_avg", ["country_code", "parameter"], "measurement_date"
+    )
+    return rolled.select(
+        "country_code", "parameter", "unit", "measurement_date", "country_daily_avg", "rolling_7d_avg"
+    )
+
+
+@query("history_daily")
+def history_daily(spark, sf_dir):
+    """Station-days of the seven-year history (bench's heaviest aggregate)."""
+    return HistoryFeed(spark, sf_dir).daily

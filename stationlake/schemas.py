@@ -54,10 +54,13 @@ FETCH_LOG_DDL = (
 
 MANIFEST_DDL = (
     "country STRING, window_start DATE, window_end DATE, measurements BIGINT, "
-    "sensors_with_data BIGINT, sensors_empty BIGINT, sensors_failed ARRAY<BIGINT>, "
+    "sensors_with_data BIGINT, sensors_empty BIGINT, sensors_failed BIGINT, "
     "completed_at TIMESTAMP"
 )
 
+# Failed sensor ids of completed windows, one row each (child of the manifest).
+MANIFEST_FAILED_DDL = "country STRING, window_start DATE, window_end DATE, sensor_id BIGINT"
+
 AUDIT_SPANS_DDL = "country_code STRING, span_start DATE, span_end DATE"
 
 DQ_REPORT_DDL = (
