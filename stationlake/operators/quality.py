@@ -116,8 +116,10 @@ def run_checks(table_name: str, df: DataFrame, checks: Sequence[Check]) -> DataF
         parts.append(counts.select(F.explode(rows).alias("r")).select("r.*"))
     for c in checks:
         if c.kind in ("unique", "unique_combination"):
+            # a single-column unique check ignores nulls; a combination keeps them
+            keyed = df.where(F.col(c.columns[0]).isNotNull()) if c.kind == "unique" else df
             dupes = (
-                df.groupBy(*c.columns)
+                keyed.groupBy(*c.columns)
                 .agg(F.count(F.lit(1)).alias("n"))
                 .agg(F.count_if(F.col("n") > 1).alias("failures"))
             )

@@ -477,3 +477,93 @@ def rolling_7d_range(spark, sf_dir):
 def history_daily(spark, sf_dir):
     """Station-days of the seven-year history (bench's heaviest aggregate)."""
     return HistoryFeed(spark, sf_dir).daily
+
+
+# --- data quality and the layered build -------------------------------------------
+
+from stationlake.operators import quality as Q  # noqa: E402
+from stationlake.plans import checks as K  # noqa: E402
+from stationlake.plans.build import build_all as _build_all  # noqa: E402
+from stationlake.plans.build import layer_counts  # noqa: E402
+
+
+def event_tables(feed: EventFeed) -> dict[str, DataFrame]:
+    """The event world's model tables, as the check suite names them."""
+    return {
+        "stg_measurements": feed.measurements,
+        "stg_locations": feed.locations,
+        "stg_sensors": feed.sensors,
+        "int_daily": feed.daily,
+        "mart_country_compare": M.country_compare(feed.daily, feed.thresholds),
+        "mart_annual_compare": M.annual_compare(feed.daily, feed.thresholds),
+        "thresholds": feed.thresholds,
+        "known_bad": feed.known_bad,
+    }
+
+
+def _dq(kind):
+    def run(spark, sf_dir):
+        return K.evaluate(K.select(kind), event_tables(EventFeed(spark, sf_dir)))
+
+    return run
+
+
+for _key, _kind in (
+    ("dq_not_null", "not_null"),
+    ("dq_unique", "unique"),
+    ("dq_unique_combo", "unique_combination"),
+    ("dq_accepted_values", "accepted_values"),
+    ("dq_accepted_range", "accepted_range"),
+    ("dq_relationships", "relationships"),
+):
+    query(_key)(_dq(_kind))
+
+DQ_RUN_ID = "event-world-check"
+
+
+def _built(spark, sf_dir):
+    from stationlake.session import scratch_path
+
+    feed = EventFeed(spark, sf_dir)
+    return _build_all(
+        spark, feed.raw, feed.thresholds, feed.known_bad, scratch_path(spark, "build"),
+        run_id=DQ_RUN_ID,
+    )
+
+
+@query("build_all")
+def build_all(spark, sf_dir):
+    """Staging → station-days → marts with checks between layers; rows per table."""
+    return layer_counts(_built(spark, sf_dir))
+
+
+@query("dq_report")
+def dq_report(spark, sf_dir):
+    """All checks of a build, appended to the result history and read back."""
+    from stationlake.session import scratch_path
+
+    result = _built(spark, sf_dir)
+    path = scratch_path(spark, "dq-results")
+    Q.append_results(result.report, path)
+    return Q.read_results(spark, path)
+
+
+FRESHNESS_CHECK_TIME = "2024-02-01 06:00:00"
+
+
+@query("dq_freshness")
+def dq_freshness(spark, sf_dir):
+    """Age of each country's newest daily load at a fixed check time."""
+    loads = FD.event_daily_loads(EventFeed(spark, sf_dir))
+    keyed = loads.withColumn("country_code", country_from_uri("source_uri"))
+    ref = F.lit(FRESHNESS_CHECK_TIME).cast("timestamp")
+    return Q.freshness(keyed, "ingested_at", ref, ["country_code"])
+
+
+@query("dq_nonempty")
+def dq_nonempty(spark, sf_dir):
+    """Every country must have target sensors in its inventory."""
+    feed = EventFeed(spark, sf_dir)
+    countries = FD.T.stations(spark, sf_dir).select("country_code")
+    targets = FD.inventory_sensors(feed).where(F.col("parameter").isin(*C.TARGET_PARAMETERS))
+    return Q.nonempty_guard(countries, targets, "country_code", "target_sensors")
