@@ -567,3 +567,47 @@ def dq_nonempty(spark, sf_dir):
     countries = FD.T.stations(spark, sf_dir).select("country_code")
     targets = FD.inventory_sensors(feed).where(F.col("parameter").isin(*C.TARGET_PARAMETERS))
     return Q.nonempty_guard(countries, targets, "country_code", "target_sensors")
+
+
+# --- streaming -------------------------------------------------------------------------
+
+from stationlake.streaming import ingest as ST  # noqa: E402
+
+
+@query("stream_ingest_pages")
+def stream_ingest_pages(spark, sf_dir):
+    """Raw-zone objects streamed into the raw table, one stamp per micro-batch."""
+    from stationlake.session import scratch_path
+
+    zone = written_zone(spark, sf_dir)
+    table, ckpt = scratch_path(spark, "stream-raw"), scratch_path(spark, "stream-ckpt")
+    P.ensure_raw_table(spark, table)
+    q = ST.ingest_pages_stream(ST.page_lines_stream(spark, zone, FD.T.LANDING_ROOT), table, ckpt)
+    q.awaitTermination()
+    raw = P.read_raw(spark, table)
+    return raw.groupBy(
+        country_from_uri("source_uri").alias("country_code"),
+        P.page_kind("source_uri").alias("page_kind"),
+    ).agg(F.count(F.lit(1)).alias("pages"), P.page_record_total(raw).alias("records"))
+
+
+@query("stream_latest_wins")
+def stream_latest_wins(spark, sf_dir):
+    """Latest-wins staging as a stateful stream over the raw table; its final
+    state equals the batch staging of the same pages."""
+    from stationlake.session import scratch_path
+
+    table = scratch_path(spark, "raw-for-stream")
+    P.append_batch(EventFeed(spark, sf_dir).raw, table)
+    recs = S.parse_measurements(S.measurement_records(ST.raw_table_stream(spark, table)))
+    slim = recs.select(
+        "sensor_id", "period_start_utc", "parameter", "unit", "measurement_value",
+        "ingested_at", "source_uri", "record_pos",
+    )
+    out, ckpt = scratch_path(spark, "stream-latest"), scratch_path(spark, "stream-latest-ckpt")
+    q = ST.run_update_stream(ST.latest_wins_stream(slim), out, ckpt)
+    q.awaitTermination()
+    state = ST.current_state(spark, out, ["sensor_id", "period_start_utc"])
+    return state.select(
+        "sensor_id", "period_start_utc", "parameter", "unit", "measurement_value", "ingested_at"
+    )
