@@ -33,19 +33,23 @@ def measurement_pages(raw: DataFrame) -> DataFrame:
     return raw.where(~F.col("source_uri").endswith(_LOCATIONS_SUFFIX))
 
 
+def _records(payload: str, ddl: str):
+    """``posexplode`` of a page's ``results`` array.
+
+    The array is exploded straight from the ``from_json`` expression, not
+    from a column holding it: for an exploded *column* the optimizer infers a
+    ``size(results) > 0`` filter and pushes it down to the scan, which would
+    parse every page twice.
+    """
+    return F.posexplode(F.from_json(F.col(payload), ddl).getField("results"))
+
+
 def measurement_records(raw: DataFrame) -> DataFrame:
     """One row per record of every measurement page, identity from the path."""
-    pages = measurement_pages(raw).select(
+    return measurement_pages(raw).select(
         sensor_id_from_uri("source_uri").alias("sensor_id"),
         country_from_uri("source_uri").alias("country_code"),
-        F.from_json("raw_payload", MEASUREMENT_PAGE_DDL).getField("results").alias("results"),
-        "ingested_at",
-        "source_uri",
-    )
-    return pages.select(
-        "sensor_id",
-        "country_code",
-        F.posexplode("results").alias("record_pos", "r"),
+        _records("raw_payload", MEASUREMENT_PAGE_DDL).alias("record_pos", "r"),
         "ingested_at",
         "source_uri",
     )
@@ -108,14 +112,11 @@ def location_records(raw: DataFrame) -> DataFrame:
     Both :func:`stage_locations` and :func:`stage_sensors` start here, so a
     caller that needs both can persist this once and parse the pages once.
     """
-    pages = inventory_pages(raw).select(
-        F.from_json("raw_payload", LOCATION_PAGE_DDL).getField("results").alias("results"),
+    return inventory_pages(raw).select(
+        _records("raw_payload", LOCATION_PAGE_DDL).alias("record_pos", "r"),
         "ingested_at",
         "source_uri",
     )
-    return pages.select(
-        F.posexplode("results").alias("record_pos", "r"), "ingested_at", "source_uri"
-    )
 
 
 LOCATION_COLUMNS = [

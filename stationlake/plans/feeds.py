@@ -28,23 +28,34 @@ class EventFeed:
 
     @cached_property
     def raw(self) -> DataFrame:
-        return T.raw_pages(self.spark, self.sf_dir)
+        """The whole raw page table (both page kinds)."""
+        return self.measurement_raw.unionByName(self.inventory_raw)
+
+    # Staging routes pages by uri itself; handing each staging function only
+    # the branch it reads keeps the other branch out of its plan.
+    @cached_property
+    def measurement_raw(self) -> DataFrame:
+        return T.measurement_page_rows(self.spark, self.sf_dir)
+
+    @cached_property
+    def inventory_raw(self) -> DataFrame:
+        return T.inventory_page_rows(self.spark, self.sf_dir)
 
     @cached_property
     def location_records(self) -> DataFrame:
-        return S.location_records(self.raw)
+        return S.location_records(self.inventory_raw)
 
     @cached_property
     def measurements(self) -> DataFrame:
-        return S.stage_measurements(self.raw)
+        return S.stage_measurements(self.measurement_raw)
 
     @cached_property
     def sensors(self) -> DataFrame:
-        return S.stage_sensors(self.raw, self.location_records)
+        return S.stage_sensors(self.inventory_raw, self.location_records)
 
     @cached_property
     def locations(self) -> DataFrame:
-        return S.stage_locations(self.raw, self.location_records)
+        return S.stage_locations(self.inventory_raw, self.location_records)
 
     @cached_property
     def daily(self) -> DataFrame:

@@ -63,6 +63,23 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(scan: DataFrame, derived: DataFrame | None = None) -> DataFrame:
+    """Give per-row heavy work (JSON building and parsing) every core.
+
+    A scan of a large table already has at least as many splits as the
+    cluster has cores, and ``derived`` (default: the scan) is returned
+    unchanged.  A scan with fewer splits (a small file with a single row
+    group) would run everything up to the first shuffle in one task, so
+    ``derived`` is spread round-robin instead.  Only the scan's split count
+    is inspected, which plans the file listing and runs no job.
+    """
+    out = scan if derived is None else derived
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() < cores:
+        return out.repartition(cores)
+    return out
+
+
 def lookup(c: Column, mapping: dict[str, str]) -> Column:
     """CASE expression over a fixed mapping (null for unknown keys)."""
     out = None
@@ -109,7 +126,7 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     ts = F.col("ts").cast("timestamp")
     k = F.get_json_object(F.col("props"), "$.k").cast("bigint")
     pollutant = lookup(F.col("event_type"), EVENT_TYPE_POLLUTANT)
-    return ev.join(geo, ev.user_id == geo.sensor_id).select(
+    joined = ev.join(geo, ev.user_id == geo.sensor_id).select(
         F.col("event_id"),
         F.col("sensor_id"),
         F.col("country_code"),
@@ -120,6 +137,7 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k != 0, F.col("value")).alias("value"),
         k.alias("observed_count"),
     )
+    return spread(ev, joined)
 
 
 def measurement_page_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -258,7 +276,7 @@ def audit_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def history_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seven years of readings in staged-measurement shape."""
-    li = _read(spark, sf_dir, "lineitem")
+    li = spread(_read(spark, sf_dir, "lineitem"))
     pollutant = lookup(F.col("l_returnflag"), RETURNFLAG_POLLUTANT)
     start = F.col("l_shipdate").cast("timestamp")
     return li.select(
