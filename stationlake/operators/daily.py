@@ -34,19 +34,25 @@ DAILY_COLUMNS = [
 ]
 
 
+def sensor_dimension(sensors: DataFrame, locations: DataFrame) -> DataFrame:
+    """One row per sensor with its station's country and monitor flag."""
+    s = sensors.select("sensor_id", "location_id")
+    loc = locations.select("location_id", "country_code", "is_reference_monitor")
+    return s.join(loc, "location_id")
+
+
 def attach_locations(measurements: DataFrame, sensors: DataFrame, locations: DataFrame) -> DataFrame:
-    """Inner joins measurement → sensor → location.
+    """Inner joins measurement → sensor → location, as one join of the facts.
 
-    Sensors and locations are dimension tables; no broadcast is forced, AQE
-    switches to a broadcast join from the measured size of the deduplicated
-    dimension (``spark.sql.adaptive.autoBroadcastJoinThreshold``) and keeps a
-    shuffle join when it is larger.  The newest location metadata applies to
-    all history.
+    The two dimension tables are joined first (both small), so the
+    measurements take part in a single join on ``sensor_id`` instead of being
+    shuffled once per dimension.  No broadcast is forced: AQE broadcasts the
+    dimension from its measured size (``autoBroadcastJoinThreshold``) and
+    otherwise keeps a shuffle join, splitting a skewed sensor with its
+    skew-join handling.  The newest location metadata applies to all history.
     """
-    s = sensors.select("sensor_id", "location_id")
-    loc = locations.select("location_id", "country_code", "is_reference_monitor")
     m = measurements.drop("country_code")
-    return m.join(s, "sensor_id").join(loc, "location_id")
+    return m.join(sensor_dimension(sensors, locations), "sensor_id")
 
 
 def daily_station_agg(measurements: DataFrame, sensors: DataFrame, locations: DataFrame) -> DataFrame:

@@ -125,9 +125,18 @@ def run_checks(table_name: str, df: DataFrame, checks: Sequence[Check]) -> DataF
             )
             parts.append(dupes.select(_report_row(table_name, c, F.col("failures")).alias("r")).select("r.*"))
         elif c.kind == "relationships":
-            child = df.select(F.col(c.columns[0]).alias("__k")).where(F.col("__k").isNotNull())
+            # Child rows are counted per key before the anti join, so a key
+            # holding a large share of the table is one row per partition.
+            child = (
+                df.select(F.col(c.columns[0]).alias("__k"))
+                .where(F.col("__k").isNotNull())
+                .groupBy("__k")
+                .agg(F.count(F.lit(1)).alias("__n"))
+            )
             parent = c.parent.select(F.col(c.parent_column).alias("__k")).distinct()
-            orphans = child.join(parent, "__k", "left_anti").agg(F.count(F.lit(1)).alias("failures"))
+            orphans = child.join(parent, "__k", "left_anti").agg(
+                F.coalesce(F.sum("__n"), F.lit(0)).alias("failures")
+            )
             parts.append(orphans.select(_report_row(table_name, c, F.col("failures")).alias("r")).select("r.*"))
     report = parts[0]
     for p in parts[1:]:

@@ -16,11 +16,33 @@ from stationlake.operators import daily as D
 from stationlake.operators import staging as S
 from stationlake.operators.runs import partition_segment_of
 from stationlake.operators.windows import plan_chunks
-from stationlake.sources.pages import land_batch
+from stationlake.sources.pages import append_batch, ensure_raw_table, land_batch, read_raw
 from stationlake.sources import driver_tables as T
 from stationlake.sources.seeds import read_thresholds
 
 
+_LANDED: dict[tuple[str, str], str] = {}
+
+
+def landed_raw_path(spark: SparkSession, sf_dir: str) -> str:
+    """Land the event world's raw pages once per application and data folder.
+
+    The raw page table is the stored input of the transform (append-only,
+    partitioned by ingest day).  It is derived from the driver tables by one
+    Spark job, written to the shared folder, and every query of the same
+    application reads it from there, as the transform reads its raw table.
+    """
+    from stationlake.session import scratch_path
+
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LANDED:
+        path = scratch_path(spark, "raw-pages")
+        ensure_raw_table(spark, path)
+        append_batch(T.raw_pages(spark, sf_dir).hint("rebalance", "ingest_date"), path)
+        _LANDED[key] = path
+    return _LANDED[key]
+
+
 @dataclass
 class EventFeed:
     spark: SparkSession
@@ -28,18 +50,18 @@ class EventFeed:
 
     @cached_property
     def raw(self) -> DataFrame:
-        """The whole raw page table (both page kinds)."""
-        return self.measurement_raw.unionByName(self.inventory_raw)
+        """The whole raw page table (both page kinds), as landed."""
+        return read_raw(self.spark, landed_raw_path(self.spark, self.sf_dir))
 
-    # Staging routes pages by uri itself; handing each staging function only
-    # the branch it reads keeps the other branch out of its plan.
+    # Staging routes pages by uri itself; routing here as well lets each
+    # staging function's scan skip the other kind's pages early.
     @cached_property
     def measurement_raw(self) -> DataFrame:
-        return T.measurement_page_rows(self.spark, self.sf_dir)
+        return S.measurement_pages(self.raw)
 
     @cached_property
     def inventory_raw(self) -> DataFrame:
-        return T.inventory_page_rows(self.spark, self.sf_dir)
+        return S.inventory_pages(self.raw)
 
     @cached_property
     def location_records(self) -> DataFrame:

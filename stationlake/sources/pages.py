@@ -135,6 +135,10 @@ def write_pages(pages: DataFrame, path: str) -> None:
     ``pages`` carries ``country``, ``part``, ``leaf`` and ``body``; each
     (country, part, leaf) group lands under its own directory.  Groups with no
     page produce no file, so an empty object is never written.
+
+    Rows are rebalanced on (country, part) before the write so that each
+    directory is written by few tasks (few files); AQE splits a country-day
+    that is too large for one task instead of sending it all to one writer.
     """
     (
         pages.select(
@@ -143,7 +147,7 @@ def write_pages(pages: DataFrame, path: str) -> None:
             F.col("part"),
             F.col("leaf").cast("string").alias("leaf"),
         )
-        .repartition("country", "part")
+        .hint("rebalance", "country", "part")
         .write.mode("append")
         .partitionBy("country", "part", "leaf")
         .text(path)
