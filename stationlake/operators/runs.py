@@ -223,3 +223,36 @@ def manifest_failed_records(chunk_outcomes: DataFrame, fetch_log: DataFrame) ->
         F.col("chunk_end").alias("window_end"),
         "sensor_id",
     )
+
+
+# --- one uri pattern (the load contract's count query) ------------------------
+
+
+def uri_matches(pattern: str, mode: str = "like") -> Column:
+    """``source_uri`` filter: SQL ``LIKE`` pattern, or a plain prefix.
+
+    A ``LIKE`` pattern treats ``_`` as a wildcard (chunk labels contain
+    one); ``mode="prefix"`` matches the text literally.
+    """
+    c = F.col("source_uri")
+    return c.like(pattern) if mode == "like" else c.startswith(pattern)
+
+
+def records_in_latest_batch(raw: DataFrame, pattern: str, mode: str = "like") -> DataFrame:
+    """Measurement records of the newest batch among pages matching ``pattern``.
+
+    The newest batch is ``max(ingested_at)`` over every matching page,
+    inventory pages included; inventory pages add no records.  Returns one
+    row: ``latest_batch``, ``records`` (0 when nothing matches).
+    """
+    matching = raw.where(uri_matches(pattern, mode))
+    is_measurement = page_kind("source_uri") == "measurement"
+    per_batch = matching.groupBy("ingested_at").agg(
+        F.coalesce(F.sum(F.when(is_measurement, record_count("raw_payload"))), F.lit(0))
+        .cast("bigint")
+        .alias("records")
+    )
+    return per_batch.agg(
+        F.max("ingested_at").alias("latest_batch"),
+        F.coalesce(F.max_by("records", "ingested_at"), F.lit(0)).cast("bigint").alias("records"),
+    )

@@ -620,3 +620,14 @@ def stream_latest_wins(spark, sf_dir):
     return state.select(
         "sensor_id", "period_start_utc", "parameter", "unit", "measurement_value", "ingested_at"
     )
+
+
+@query("table_diff")
+def table_diff(spark, sf_dir):
+    """The landed raw table and the raw zone scanned back hold the same pages
+    (multiset difference both ways; empty when equal)."""
+    from stationlake.operators.dedup import table_diff as diff
+
+    landed = EventFeed(spark, sf_dir).raw.select(F.col("raw_payload").alias("value"), "source_uri")
+    zone = P.scan_partitioned_pages(spark, written_zone(spark, sf_dir), FD.T.LANDING_ROOT)
+    return diff(landed, zone)

@@ -87,3 +87,36 @@ def test_skip_lists(spark):
     skip = spark.createDataFrame([(2,), (2,), (9,)], "sensor_id BIGINT")
     assert sorted(r[0] for r in R.skip_known_bad(sensors, skip).collect()) == [1, 3]
     assert R.skip_overlap(sensors, skip).count() == 1
+
+
+def test_records_in_latest_batch_like_and_prefix(spark):
+    rows = [
+        raw_row(page(reading(1.0, "2026-01-01 01:00:00")), "2026-03-03 02:00:00",
+                "gs://b/raw/openaq/PK/backfill/2026-01-01_2026-03-02/7.json"),
+        raw_row(page(reading(1.0, "2026-01-01 01:00:00")), "2026-03-03 05:00:00",
+                "gs://b/raw/openaq/PK/backfillX2026-01-01_2026-03-02/7.json"),
+    ]
+    raw = raw_df(spark, rows)
+    like = R.records_in_latest_batch(raw, "gs://b/raw/openaq/PK/backfill/2026-01-01_2026-03-02/%").first()
+    assert like["records"] == 1
+    assert like["latest_batch"].hour == 2
+    # `_` in a LIKE pattern matches any character, so this pattern also
+    # matches the `backfillX…` object and picks its later batch
+    loose = R.records_in_latest_batch(raw, "gs://b/raw/openaq/PK/backfill_2026-01-01_2026-03-02/%").first()
+    assert loose["latest_batch"].hour == 5
+    prefix = R.records_in_latest_batch(
+        raw, "gs://b/raw/openaq/PK/backfill/2026-01-01_2026-03-02/", mode="prefix"
+    ).first()
+    assert prefix["records"] == 1 and prefix["latest_batch"].hour == 2
+    none = R.records_in_latest_batch(raw, "gs://nothing/%").first()
+    assert none["records"] == 0 and none["latest_batch"] is None
+
+
+def test_table_diff_both_ways(spark):
+    from stationlake.operators.dedup import table_diff
+
+    a = spark.createDataFrame([(1,), (1,), (2,)], "x INT")
+    b = spark.createDataFrame([(1,), (3,)], "x INT")
+    got = sorted((r["x"], r["side"]) for r in table_diff(a, b).collect())
+    assert got == [(1, "left_only"), (2, "left_only"), (3, "right_only")]
+    assert table_diff(a, a).count() == 0
