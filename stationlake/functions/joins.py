@@ -1,0 +1,40 @@
+"""Fact-to-dimension joins with a size-checked broadcast."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A dimension row here is a handful of ids and short strings; two million of
+# them stay far below executor memory when sent to every executor.
+DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+
+
+def dimension_join(
+    fact: DataFrame,
+    dim: DataFrame,
+    on,
+    how: str = "inner",
+    max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+    computed: bool = False,
+) -> DataFrame:
+    """Join ``fact`` to ``dim``, broadcasting ``dim`` only when it is small.
+
+    The dimension's size is checked first with a bounded count (it stops at
+    ``max_rows + 1``).  A dimension within the bound is broadcast, so the fact
+    side keeps its own partitioning and is never shuffled or sent to one
+    task; a larger one falls back to a shuffle join, where AQE's skew-join
+    handling splits a hot key.
+
+    A ``computed`` dimension (one built by parsing and deduplicating) is
+    checkpointed to the shared folder first, so the count and the join read
+    the stored rows instead of building them twice.
+    """
+    if computed:
+        from stationlake.session import shared_dir
+
+        shared_dir(dim.sparkSession)
+        dim = dim.checkpoint(eager=True)
+    n = dim.limit(max_rows + 1).count()
+    side = F.broadcast(dim) if n <= max_rows else dim
+    return fact.join(side, on, how)

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stationlake.functions.joins import dimension_join
+
 DAILY_KEYS = [
     "location_id",
     "country_code",
@@ -46,13 +48,13 @@ def attach_locations(measurements: DataFrame, sensors: DataFrame, locations: Dat
 
     The two dimension tables are joined first (both small), so the
     measurements take part in a single join on ``sensor_id`` instead of being
-    shuffled once per dimension.  No broadcast is forced: AQE broadcasts the
-    dimension from its measured size (``autoBroadcastJoinThreshold``) and
-    otherwise keeps a shuffle join, splitting a skewed sensor with its
-    skew-join handling.  The newest location metadata applies to all history.
+    shuffled once per dimension.  The joined dimension is broadcast after a
+    bounded count confirms it is small; otherwise the join stays a shuffle
+    join and AQE splits a skewed sensor.  The newest location metadata
+    applies to all history.
     """
     m = measurements.drop("country_code")
-    return m.join(sensor_dimension(sensors, locations), "sensor_id")
+    return dimension_join(m, sensor_dimension(sensors, locations), "sensor_id", computed=True)
 
 
 def daily_station_agg(measurements: DataFrame, sensors: DataFrame, locations: DataFrame) -> DataFrame:

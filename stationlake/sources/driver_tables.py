@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from stationlake import constants as C
 from stationlake.functions.columns import day_segment, iso_utc, object_name
+from stationlake.functions.joins import dimension_join
 
 # --- fixed values: driver-table mapping -------------------------------------
 EVENT_TYPE_POLLUTANT = {
@@ -126,7 +127,7 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     ts = F.col("ts").cast("timestamp")
     k = F.get_json_object(F.col("props"), "$.k").cast("bigint")
     pollutant = lookup(F.col("event_type"), EVENT_TYPE_POLLUTANT)
-    joined = ev.join(geo, ev.user_id == geo.sensor_id).select(
+    joined = dimension_join(ev, geo, ev.user_id == geo.sensor_id).select(
         F.col("event_id"),
         F.col("sensor_id"),
         F.col("country_code"),
