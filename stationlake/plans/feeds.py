@@ -32,9 +32,9 @@ def landed_raw_path(spark: SparkSession, sf_dir: str) -> str:
     Spark job, written to the shared folder, and every query of the same
     application reads it from there, as the transform reads its raw table.
     """
-    from stationlake.session import scratch_path
+    from stationlake.session import scratch_path, session_key
 
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (session_key(spark), sf_dir)
     if key not in _LANDED:
         path = scratch_path(spark, "raw-pages")
         ensure_raw_table(spark, path)

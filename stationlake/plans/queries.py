@@ -181,14 +181,14 @@ def threshold_seed(spark, sf_dir):
 
 # --- raw zone and raw table (written to the shared folder) --------------------
 
-_ZONES: dict[tuple[int, str], str] = {}
+_ZONES: dict[tuple[str, str], str] = {}
 
 
 def written_zone(spark, sf_dir) -> str:
     """Write the event world's pages into a raw zone once per session and dir."""
-    from stationlake.session import scratch_path
+    from stationlake.session import scratch_path, session_key
 
-    key = (id(spark), sf_dir)
+    key = (session_key(spark), sf_dir)
     if key not in _ZONES:
         raw = EventFeed(spark, sf_dir).raw
         pages = raw.select(

@@ -9,7 +9,6 @@ partition overwrite for incremental rebuilds of touched days.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -65,22 +64,43 @@ def shared_dir(spark: SparkSession) -> str:
     """Folder for written tables and checkpoints that every executor can see.
 
     The cluster names it in ``spark.checkpoint.dir``; that setting wins.  Only
-    when nothing is configured (local runs and tests) is a fresh folder under
-    the system temp dir created and registered as the checkpoint dir.
+    in local mode with nothing configured (local runs and tests) is a fresh
+    folder under the system temp dir created and registered; on a cluster a
+    missing setting is an error, never a machine-local folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote session: the conf is all there is
+        sc = None
+    if not configured and sc is not None:
+        configured = sc.getCheckpointDir()
     if not configured:
-        configured = spark.sparkContext.getCheckpointDir()
-    if not configured:
+        master = spark.conf.get("spark.master", "") or ""
+        if not master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: name a folder every executor can "
+                "reach (it holds written tables, checkpoints and stream state)"
+            )
         configured = tempfile.mkdtemp(prefix="stationlake-ckpt-")
-        spark.sparkContext.setCheckpointDir(configured)
+        if sc is not None:
+            sc.setCheckpointDir(configured)
+        else:
+            spark.conf.set("spark.checkpoint.dir", configured)
+    elif sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(configured)
     return configured.rstrip("/")
 
 
+def session_key(spark: SparkSession) -> str:
+    """Identifies the running application (for per-application memos)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001
+        return str(id(spark))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique sub-path of the shared folder (never reused, never cleared)."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
-
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:") or os.path.exists(path)

@@ -75,10 +75,12 @@ def spread(scan: DataFrame, derived: DataFrame | None = None) -> DataFrame:
     is inspected, which plans the file listing and runs no job.
     """
     out = scan if derived is None else derived
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() < cores:
-        return out.repartition(cores)
-    return out
+    try:
+        cores = scan.sparkSession.sparkContext.defaultParallelism
+        splits = scan.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view of the plan (remote session)
+        return out
+    return out.repartition(cores) if splits < cores else out
 
 
 def lookup(c: Column, mapping: dict[str, str]) -> Column:
