@@ -11,10 +11,33 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from stationlake import constants as C
+from stationlake.functions.columns import (
+    country_from_uri,
+    day_segment,
+    object_name,
+    rate_pct,
+    sensor_id_from_uri,
+)
+from stationlake.operators import audit as A
 from stationlake.operators import marts as M
+from stationlake.operators import quality as Q
+from stationlake.operators import runs as R
+from stationlake.operators import staging as S
+from stationlake.operators.dedup import table_diff as table_diff_op
+from stationlake.operators.windows import chunk_start_of, in_half_open, runs_covering
+from stationlake.plans import backfill as B
+from stationlake.plans import checks as K
+from stationlake.plans import feeds as FD
+from stationlake.plans.build import build_all as _build_all
+from stationlake.plans.build import layer_counts
 from stationlake.plans.feeds import EventFeed, HistoryFeed
 from stationlake.plans.output import for_compare
-from stationlake.session import apply_model_conf
+from stationlake.session import apply_model_conf, scratch_path, session_key
+from stationlake.sources import pages as P
+from stationlake.streaming import ingest as ST
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -43,17 +66,6 @@ def country_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- landing and staging (event world) ---------------------------------------
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from stationlake import constants as C  # noqa: E402
-from stationlake.functions.columns import country_from_uri, day_segment, object_name, sensor_id_from_uri  # noqa: E402
-from stationlake.operators import audit as A  # noqa: E402
-from stationlake.operators import runs as R  # noqa: E402
-from stationlake.operators import staging as S  # noqa: E402
-from stationlake.operators.windows import chunk_start_of, in_half_open, runs_covering  # noqa: E402
-from stationlake.plans import feeds as FD  # noqa: E402
-from stationlake.sources import pages as P  # noqa: E402
-
 
 @query("stage_measurements")
 def stage_measurements(spark, sf_dir):
@@ -186,8 +198,6 @@ _ZONES: dict[tuple[str, str], str] = {}
 
 def written_zone(spark, sf_dir) -> str:
     """Write the event world's pages into a raw zone once per session and dir."""
-    from stationlake.session import scratch_path, session_key
-
     key = (session_key(spark), sf_dir)
     if key not in _ZONES:
         raw = EventFeed(spark, sf_dir).raw
@@ -238,8 +248,6 @@ LOAD_STAMPS = ("2024-02-01 02:05:00", "2024-02-02 02:05:00")
 @query("land_batch")
 def land_batch_q(spark, sf_dir):
     """Ensure the raw table, append the same pages twice (a rerun), read back."""
-    from stationlake.session import scratch_path
-
     path = scratch_path(spark, "raw-table")
     P.ensure_raw_table(spark, path)
     raw = EventFeed(spark, sf_dir).raw
@@ -347,24 +355,26 @@ def lookback_window(spark, sf_dir):
 def checkpoint_resume(spark, sf_dir):
     """A first run checkpointed the early chunks (twice, as after a crash);
     a resumed run plans only the chunks without a record."""
-    from stationlake.session import scratch_path
-
     feed = EventFeed(spark, sf_dir)
     chunks = FD.event_chunks(feed)
     path = scratch_path(spark, "manifest")
-    done = chunks.where(F.col("chunk_end") <= F.lit(FD.FIRST_RUN_CUTOFF).cast("date"))
-    outcomes = done.select(
-        "country_code", "chunk_start", "chunk_end",
-        F.lit(0).alias("measurements"), F.lit(0).alias("sensors_ok"),
-        F.lit(0).alias("sensors_empty"), F.lit(0).alias("sensors_failed"),
-        F.lit(True).alias("passes"), F.lit(True).alias("matches"),
-    )
-    records = R.manifest_records(outcomes, "2024-02-01 03:00:00")
-    R.append_manifest(records, path)
-    R.append_manifest(records, path)
+    first_run = chunks.where(F.col("chunk_end") <= F.lit(FD.FIRST_RUN_CUTOFF).cast("date"))
+    B.run(feed, first_run, path)
+    B.run(feed, first_run, path)  # a rerun after a crash appends the same records again
     return R.windows_todo(chunks, R.read_manifest(spark, path))
 
 
+@query("backfill_run")
+def backfill_run(spark, sf_dir):
+    """A backfill run over the early chunks: per chunk fetch counts, failure
+    gate and reconciliation against the chunk's landed batch; the manifest
+    records of the chunks that passed."""
+    feed = EventFeed(spark, sf_dir)
+    chunks = FD.event_chunks(feed)
+    first_run = chunks.where(F.col("chunk_end") <= F.lit(FD.FIRST_RUN_CUTOFF).cast("date"))
+    return B.run(feed, first_run, scratch_path(spark, "manifest"))
+
+
 @query("backfill_todo")
 def backfill_todo(spark, sf_dir):
     """Open chunks with the number of target sensors to fetch after the skip list."""
@@ -454,8 +464,6 @@ def exceedance_rate(spark, sf_dir):
     """Country-day rate with its numerator and denominator (seven-year history)."""
     feed = HistoryFeed(spark, sf_dir)
     by_day = M.country_day(feed.daily, feed.thresholds)
-    from stationlake.functions.columns import rate_pct
-
     return by_day.select(
         "country_code", "parameter", "unit", "measurement_date",
         "locations_exceeding", "locations_comparable",
@@ -490,11 +498,6 @@ def history_daily(spark, sf_dir):
 
 # --- data quality and the layered build -------------------------------------------
 
-from stationlake.operators import quality as Q  # noqa: E402
-from stationlake.plans import checks as K  # noqa: E402
-from stationlake.plans.build import build_all as _build_all  # noqa: E402
-from stationlake.plans.build import layer_counts  # noqa: E402
-
 
 def event_tables(feed: EventFeed) -> dict[str, DataFrame]:
     """The event world's model tables, as the check suite names them."""
@@ -531,8 +534,6 @@ DQ_RUN_ID = "event-world-check"
 
 
 def _built(spark, sf_dir):
-    from stationlake.session import scratch_path
-
     feed = EventFeed(spark, sf_dir)
     return _build_all(
         spark, feed.raw, feed.thresholds, feed.known_bad, scratch_path(spark, "build"),
@@ -549,8 +550,6 @@ def build_all(spark, sf_dir):
 @query("dq_report")
 def dq_report(spark, sf_dir):
     """All checks of a build, appended to the result history and read back."""
-    from stationlake.session import scratch_path
-
     result = _built(spark, sf_dir)
     path = scratch_path(spark, "dq-results")
     Q.append_results(result.report, path)
@@ -580,14 +579,10 @@ def dq_nonempty(spark, sf_dir):
 
 # --- streaming -------------------------------------------------------------------------
 
-from stationlake.streaming import ingest as ST  # noqa: E402
-
 
 @query("stream_ingest_pages")
 def stream_ingest_pages(spark, sf_dir):
     """Raw-zone objects streamed into the raw table, one stamp per micro-batch."""
-    from stationlake.session import scratch_path
-
     zone = written_zone(spark, sf_dir)
     table, ckpt = scratch_path(spark, "stream-raw"), scratch_path(spark, "stream-ckpt")
     P.ensure_raw_table(spark, table)
@@ -604,8 +599,6 @@ def stream_ingest_pages(spark, sf_dir):
 def stream_latest_wins(spark, sf_dir):
     """Latest-wins staging as a stateful stream over the raw table; its final
     state equals the batch staging of the same pages."""
-    from stationlake.session import scratch_path
-
     table = scratch_path(spark, "raw-for-stream")
     P.append_batch(EventFeed(spark, sf_dir).raw, table)
     recs = S.parse_measurements(S.measurement_records(ST.raw_table_stream(spark, table)))
@@ -626,8 +619,6 @@ def stream_latest_wins(spark, sf_dir):
 def table_diff(spark, sf_dir):
     """The landed raw table and the raw zone scanned back hold the same pages
     (multiset difference both ways; empty when equal)."""
-    from stationlake.operators.dedup import table_diff as diff
-
     landed = EventFeed(spark, sf_dir).raw.select(F.col("raw_payload").alias("value"), "source_uri")
     zone = P.scan_partitioned_pages(spark, written_zone(spark, sf_dir), FD.T.LANDING_ROOT)
-    return diff(landed, zone)
+    return table_diff_op(landed, zone)
