@@ -46,3 +46,28 @@ def test_stream_ingest_stamps_one_batch(spark, tmp_dir):
     assert raw.count() == 2 and raw.select("ingested_at").distinct().count() == 1
     assert raw.agg(P.page_record_total(raw)).first()[0] == 3  # 2 readings + 1 location
     assert raw.where(F.col("source_uri").endswith("/locations.json")).count() == 1
+
+
+def test_corrections_older_than_the_watermark_are_left_to_batch(spark, tmp_dir):
+    table = os.path.join(tmp_dir, "raw")
+    days = [raw_row(page(reading(1.0, f"2026-07-{d:02d} 05:00:00")), f"2026-07-{d:02d} 23:00:00", uri("AE", f"2026-07-{d:02d}", 1))
+            for d in range(1, 21)]
+    P.append_batch(raw_df(spark, days), table)
+    out, ckpt = os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ckpt")
+
+    def run():
+        recs = S.parse_measurements(S.measurement_records(ST.raw_table_stream(spark, table)))
+        slim = recs.select("sensor_id", "period_start_utc", "measurement_value", "ingested_at", "source_uri", "record_pos")
+        ST.run_update_stream(ST.latest_wins_stream(slim), out, ckpt).awaitTermination()
+
+    run()
+    run()  # an empty run lets the watermark from the first batch take effect
+    late = [raw_row(page(reading(9.0, "2026-07-05 05:00:00")), "2026-07-21 02:05:00", uri("AE", "2026-07-20", 1)),
+            raw_row(page(reading(8.0, "2026-07-19 05:00:00")), "2026-07-21 02:05:00", uri("AE", "2026-07-20", 1))]
+    P.append_batch(raw_df(spark, late), table)
+    run()
+    state = {r["period_start_utc"].day: r["measurement_value"] for r in ST.current_state(spark, out, ["sensor_id", "period_start_utc"]).collect()}
+    assert state[5] == 1.0  # 15 days late: beyond the 7-day watermark, dropped by the stream
+    assert state[19] == 8.0  # within the watermark: corrected
+    batch = {r["period_start_utc"].day: r["measurement_value"] for r in S.stage_measurements(P.read_raw(spark, table)).collect()}
+    assert batch[5] == 9.0 and batch[19] == 8.0
