@@ -23,6 +23,7 @@ from stationlake.operators import marts as M
 from stationlake.operators import quality as Q
 from stationlake.operators import staging as S
 from stationlake.plans import checks as K
+from stationlake.plans import incremental as IN
 
 
 class BuildFailed(RuntimeError):
@@ -82,7 +83,9 @@ def build_all(
 
     paths = {name: f"{out_dir}/{name}" for name in ("int_daily", "mart_country_compare", "mart_annual_compare")}
     daily = D.daily_station_agg(tables["stg_measurements"], tables["stg_sensors"], tables["stg_locations"])
-    tables["int_daily"] = _materialise(daily, paths["int_daily"])
+    # partitioned by day: the layout the incremental rebuild overwrites day by day
+    IN.write_daily(daily, paths["int_daily"], only_present_days=False)
+    tables["int_daily"] = IN.read_daily(spark, paths["int_daily"])
     layer = [e for e in entries if e[0] in K.LAYERS["intermediate"]]
     _gate(spark, layer, tables, run_id, "intermediate", reports)
 

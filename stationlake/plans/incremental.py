@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from stationlake.operators import daily as D
 from stationlake.operators import staging as S
+from stationlake.session import shared_dir
 
 
 def touched_days(raw: DataFrame, since: dt.datetime | str) -> DataFrame:
@@ -37,11 +38,17 @@ def touched_days(raw: DataFrame, since: dt.datetime | str) -> DataFrame:
     return recs.select(F.to_date("period_start_utc").alias("measurement_date")).distinct()
 
 
-def write_daily(daily: DataFrame, path: str) -> None:
-    """Write station-days partitioned by day, replacing only the days present."""
+def write_daily(daily: DataFrame, path: str, only_present_days: bool = True) -> None:
+    """Write station-days partitioned by day.
+
+    With ``only_present_days`` the days in ``daily`` replace their partitions
+    and every other day is kept (dynamic overwrite); without it the whole
+    table is replaced (a full refresh).
+    """
+    mode = "dynamic" if only_present_days else "static"
     (
         daily.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", mode)
         .partitionBy("measurement_date")
         .parquet(path)
     )
@@ -63,7 +70,16 @@ def rebuild_touched_days(
     first = min(days)
     pages = raw.where(F.col("ingest_date") >= F.lit(first))
     meas = S.stage_measurements(pages).where(F.to_date("period_start_utc").isin(*days))
-    write_daily(D.daily_station_agg(meas, sensors, locations), daily_path)
+    shared_dir(spark)
+    fresh = D.daily_station_agg(meas, sensors, locations).checkpoint(eager=True)
+    present = {r[0] for r in fresh.select("measurement_date").distinct().collect()}
+    if present >= set(days):
+        write_daily(fresh, daily_path)
+    else:
+        # A touched day lost every reading (all withdrawn): its old partition
+        # must go, which a per-day overwrite cannot do; rebuild the table.
+        full = D.daily_station_agg(S.stage_measurements(raw), sensors, locations)
+        write_daily(full, daily_path, only_present_days=False)
     return sorted(days)
 
 

@@ -640,7 +640,8 @@ def incremental_daily(spark, sf_dir):
     pages = feed.measurement_raw
     P.append_batch(pages.where(F.col("ingested_at") < cut), raw_path)
     raw = P.read_raw(spark, raw_path)
-    IN.write_daily(IN.D.daily_station_agg(S.stage_measurements(raw), feed.sensors, feed.locations), daily_path)
+    first_build = IN.D.daily_station_agg(S.stage_measurements(raw), feed.sensors, feed.locations)
+    IN.write_daily(first_build, daily_path, only_present_days=False)
     lookback = F.expr(f"INTERVAL {C.LOOKBACK_DAYS} DAYS")
     relanded = pages.where((F.col("ingested_at") >= cut - lookback) & (F.col("ingested_at") < cut))
     relanded = relanded.withColumn("ingested_at", F.col("ingested_at") + lookback).withColumn(

@@ -26,6 +26,24 @@ MODEL_CONF = {
 }
 
 
+# Sizing for a large cluster (set at submit time; not applied automatically).
+# Shuffle partitions start high and AQE coalesces them towards the advisory
+# size, so a 100 TB stage gets ~128 MB partitions that fit executor memory and
+# a small stage is not split into thousands of tasks.  Skew-join splitting is
+# on for partitions 5x larger than the median and above 256 MB.  Input splits
+# are 256 MB.
+CLUSTER_SIZING = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 * 1024 * 1024),
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+}
+
+
 def apply_model_conf(spark: SparkSession) -> SparkSession:
     """Apply the session-level settings the model depends on."""
     for key, value in MODEL_CONF.items():

@@ -36,3 +36,19 @@ def test_rebuild_touched_days(spark, tmp_dir):
     assert got == full == {"2026-07-01": 10.0, "2026-07-02": 22.0, "2026-07-03": 30.0}
     after = {f: os.path.getmtime(f) for f in glob.glob(f"{daily_path}/measurement_date=2026-07-01/*.parquet")}
     assert before == after  # the untouched day was not rewritten
+
+
+def test_day_whose_readings_are_all_withdrawn_disappears(spark, tmp_dir):
+    inv = raw_row(page(location(1, "AE", [(11, "pm25")])), "2026-07-01 00:00:00", uri("AE", "2026-07-01", "locations"))
+    day1 = raw_row(page(reading(10.0, "2026-07-01 01:00:00")), "2026-07-02 02:05:00", uri("AE", "2026-07-01", 11))
+    day2 = raw_row(page(reading(20.0, "2026-07-02 01:00:00")), "2026-07-03 02:05:00", uri("AE", "2026-07-02", 11))
+    raw_path, daily_path = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "daily")
+    P.append_batch(raw_df(spark, [inv, day1, day2]), raw_path)
+    raw = P.read_raw(spark, raw_path)
+    sensors, locs = S.stage_sensors(raw), S.stage_locations(raw)
+    IN.write_daily(D.daily_station_agg(S.stage_measurements(raw), sensors, locs), daily_path, only_present_days=False)
+    withdrawn = raw_row(page(reading(None, "2026-07-02 01:00:00")), "2026-07-04 02:05:00", uri("AE", "2026-07-03", 11))
+    P.append_batch(raw_df(spark, [withdrawn]), raw_path)
+    IN.rebuild_touched_days(spark, P.read_raw(spark, raw_path), sensors, locs, "2026-07-04 00:00:00", daily_path)
+    got = sorted(r["measurement_date"].isoformat() for r in IN.read_daily(spark, daily_path).collect())
+    assert got == ["2026-07-01"]
