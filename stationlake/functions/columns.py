@@ -16,7 +16,27 @@ def _col(c: Column | str) -> Column:
 
 
 def _lit(v) -> Column:
-    return v if isinstance(v, Column) else F.lit(v)
+    if isinstance(v, Column):
+        return v
+    if isinstance(v, dt.datetime):
+        return ts_lit(v)
+    return F.lit(v)
+
+
+def ts_lit(value) -> Column:
+    """A timestamp literal read in the session time zone (UTC in this model).
+
+    A Python ``datetime`` handed to ``F.lit`` is converted with the Python
+    process's local zone; going through its ISO text keeps the wall-clock
+    value whatever zone the driver process runs in.  Columns pass through.
+    """
+    if isinstance(value, Column):
+        return value.cast("timestamp")
+    if isinstance(value, dt.datetime):
+        value = value.replace(tzinfo=None).isoformat(sep=" ")
+    elif isinstance(value, dt.date):
+        value = value.isoformat()
+    return F.lit(value).cast("timestamp")
 
 
 def regex_group_or_null(c: Column | str, pattern: str, group: int = 1) -> Column:

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationlake import constants as C
+from stationlake.functions.columns import ts_lit
 from stationlake.schemas import DQ_REPORT_DDL
 
 REPORT_COLUMNS = ["table_name", "check_name", "column_name", "severity", "failures", "status"]
@@ -161,7 +162,7 @@ def freshness(
     error_hours: float = C.FRESHNESS_ERROR_HOURS,
 ) -> DataFrame:
     """Age of the newest load per key against a reference time: pass / warn / error."""
-    ref = reference_time if isinstance(reference_time, Column) else F.lit(reference_time).cast("timestamp")
+    ref = ts_lit(reference_time)
     agg = (df.groupBy(*keys) if keys else df.groupBy()).agg(F.max(loaded_at).alias("latest_loaded_at"))
     age = (F.unix_micros(ref) - F.unix_micros(F.col("latest_loaded_at"))) / F.lit(3_600_000_000)
     status = (

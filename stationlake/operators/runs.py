@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationlake import constants as C
+from stationlake.functions.columns import ts_lit
 from stationlake.schemas import MANIFEST_DDL
 from stationlake.sources.pages import page_kind, record_count
 
@@ -195,7 +196,7 @@ def manifest_records(chunk_outcomes: DataFrame, completed_at: Column | str) -> D
     :func:`manifest_failed_records`, one row per id, so a manifest row has a
     fixed size however many sensors fail.
     """
-    stamp = F.lit(completed_at).cast("timestamp") if isinstance(completed_at, str) else completed_at
+    stamp = ts_lit(completed_at)
     ok = chunk_outcomes.where(F.col("passes") & F.col("matches"))
     return ok.select(
         F.col("country_code").alias("country"),

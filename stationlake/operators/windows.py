@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stationlake import constants as C
-from stationlake.functions.columns import chunk_label, in_half_open
+from stationlake.functions.columns import chunk_label, in_half_open, ts_lit
 
 
 def _c(x) -> Column:
@@ -22,6 +22,8 @@ def _c(x) -> Column:
         return x
     if isinstance(x, str):
         return F.col(x)
+    if isinstance(x, dt.datetime):
+        return ts_lit(x)
     return F.lit(x)
 
 

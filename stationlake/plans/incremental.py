@@ -24,6 +24,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stationlake.functions.columns import ts_lit
 from stationlake.operators import daily as D
 from stationlake.operators import staging as S
 from stationlake.session import shared_dir
@@ -32,7 +33,7 @@ from stationlake.session import shared_dir
 def touched_days(raw: DataFrame, since: dt.datetime | str) -> DataFrame:
     """Distinct measurement days carried by measurement pages landed at or
     after ``since``."""
-    stamp = F.lit(since).cast("timestamp")
+    stamp = ts_lit(since)
     new_pages = raw.where(F.col("ingested_at") >= stamp)
     recs = S.parse_measurements(S.measurement_records(new_pages))
     return recs.select(F.to_date("period_start_utc").alias("measurement_date")).distinct()

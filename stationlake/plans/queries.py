@@ -20,6 +20,7 @@ from stationlake.functions.columns import (
     object_name,
     rate_pct,
     sensor_id_from_uri,
+    ts_lit,
 )
 from stationlake.operators import audit as A
 from stationlake.operators import marts as M
@@ -565,7 +566,7 @@ def dq_freshness(spark, sf_dir):
     """Age of each country's newest daily load at a fixed check time."""
     loads = FD.event_daily_loads(EventFeed(spark, sf_dir))
     keyed = loads.withColumn("country_code", country_from_uri("source_uri"))
-    ref = F.lit(FRESHNESS_CHECK_TIME).cast("timestamp")
+    ref = ts_lit(FRESHNESS_CHECK_TIME)
     return Q.freshness(keyed, "ingested_at", ref, ["country_code"])
 
 
@@ -636,7 +637,7 @@ def incremental_daily(spark, sf_dir):
     feed = EventFeed(spark, sf_dir)
     raw_path, daily_path = scratch_path(spark, "inc-raw"), scratch_path(spark, "inc-daily")
     P.ensure_raw_table(spark, raw_path)
-    cut = F.lit(INCREMENTAL_CUT).cast("timestamp")
+    cut = ts_lit(INCREMENTAL_CUT)
     pages = feed.measurement_raw
     P.append_batch(pages.where(F.col("ingested_at") < cut), raw_path)
     raw = P.read_raw(spark, raw_path)

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationlake import constants as C
-from stationlake.functions.columns import day_segment, iso_utc, object_name
+from stationlake.functions.columns import day_segment, iso_utc, object_name, ts_lit
 from stationlake.functions.joins import dimension_join
 
 # --- fixed values: driver-table mapping -------------------------------------
@@ -234,7 +234,7 @@ def inventory_page_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("datetimeLast"),
         F.col("sensors").alias("sensors"),
     )
-    stamp = F.lit(INVENTORY_STAMP).cast("timestamp")
+    stamp = ts_lit(INVENTORY_STAMP)
     uri = F.concat(
         F.lit(LANDING_ROOT + "/"),
         object_name("country_code", day_segment(stamp), F.lit(C.LOCATIONS_LEAF)),

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationlake import constants as C
-from stationlake.functions.columns import object_name
+from stationlake.functions.columns import object_name, ts_lit
 from stationlake.schemas import ANY_PAGE_DDL, RAW_PAGES_DDL
 
 PARTITIONED_TEXT_SCHEMA = "value STRING, country STRING, part STRING, leaf STRING"
@@ -68,9 +68,7 @@ def invalid_page_lines(lines: DataFrame) -> DataFrame:
 def _stamp(stamp: dt.datetime | str | Column | None) -> Column:
     if stamp is None:
         return F.current_timestamp()
-    if isinstance(stamp, Column):
-        return stamp.cast("timestamp")
-    return F.lit(stamp).cast("timestamp")
+    return ts_lit(stamp)
 
 
 def land_batch(

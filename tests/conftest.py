@@ -1,6 +1,12 @@
 import os
 import sys
 import tempfile
+import time
+
+# Test rows are built from Python datetimes, which PySpark reads in the
+# process's local zone; pin it to the session zone.
+os.environ["TZ"] = "UTC"
+time.tzset()
 
 import pytest
 
