@@ -93,7 +93,16 @@ class EventFeed:
 
     @cached_property
     def audit_spans(self) -> DataFrame:
-        return T.audit_spans(self.spark, self.sf_dir)
+        """Per country: first to last day with a staged reading.
+
+        Latest-wins never changes which (sensor, day) pairs exist, so the
+        staged measurements give the same span as the raw readings, and a
+        query that already stages them reuses that work.
+        """
+        day = F.to_date("period_start_utc")
+        return self.measurements.groupBy("country_code").agg(
+            F.min(day).alias("span_start"), F.max(day).alias("span_end")
+        )
 
 
 @dataclass
