@@ -54,14 +54,6 @@ def country_from_uri(uri: Column | str) -> Column:
     return regex_group_or_null(uri, C.COUNTRY_PATTERN)
 
 
-def partition_segment(partition: Column | str | dt.date) -> Column:
-    """A day becomes ``yyyy-MM-dd``; a free-form segment is kept as is."""
-    if isinstance(partition, dt.date):
-        return F.lit(partition.isoformat())
-    c = _col(partition)
-    return c
-
-
 def day_segment(day: Column | str) -> Column:
     return F.date_format(_col(day), "yyyy-MM-dd")
 

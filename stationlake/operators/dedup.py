@@ -35,11 +35,6 @@ def latest_by_aggregate(
     return df.groupBy(*keys).agg(picked).select(*keys, "__latest.*")
 
 
-def copies_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """How many copies each key has, for keys with more than one."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
-
-
 def table_diff(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows of each side that the other lacks (multiset difference both ways),
     tagged ``left_only`` / ``right_only``; empty when the tables are equal."""

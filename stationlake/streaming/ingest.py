@@ -10,7 +10,11 @@
   which sees the whole raw table.
 
 Sinks are ``foreachBatch`` appends to files in the shared folder, with the
-checkpoint next to them, so a restarted query resumes where it stopped.
+checkpoint next to them, so a restarted query resumes where it stopped.  A
+micro-batch that was written but not yet recorded in the checkpoint when the
+driver died is run again and lands its pages a second time with a later
+stamp, the same as a rerun of a batch load; latest-wins staging absorbs the
+copy.
 """
 
 from __future__ import annotations
