@@ -50,7 +50,7 @@ def sensor_id_from_uri(uri: Column | str) -> Column:
 
 
 def country_from_uri(uri: Column | str) -> Column:
-    """Two-letter country code from ``…/raw/openaq/{CC}/…``; null otherwise."""
+    """Two-letter country code from ``…/raw/{source}/{CC}/…``; null otherwise."""
     return regex_group_or_null(uri, C.COUNTRY_PATTERN)
 
 
@@ -59,7 +59,7 @@ def day_segment(day: Column | str) -> Column:
 
 
 def object_name(country: Column | str, partition: Column | str, leaf: Column | str) -> Column:
-    """``raw/openaq/{country}/{partition}/{leaf}.json``."""
+    """``raw/{source}/{country}/{partition}/{leaf}.json``."""
     return F.concat(
         F.lit(C.RAW_PREFIX + "/"),
         _col(country),

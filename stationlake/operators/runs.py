@@ -73,7 +73,7 @@ def enforce(df: DataFrame, condition: Column | str, message: str) -> DataFrame:
 
 # --- landed counts and reconciliation ---------------------------------------
 
-_SEGMENT_PATTERN = r"/raw/openaq/[A-Z]{2}/(.+)/[^/]+\.json$"
+_SEGMENT_PATTERN = r"/raw/[^/]+/[A-Z]{2}/(.+)/[^/]+\.json$"
 
 
 def partition_segment_of(uri: Column | str = "source_uri") -> Column:

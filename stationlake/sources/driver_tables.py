@@ -8,7 +8,7 @@ Spark, so the work of every query grows with those tables:
   of ``ts`` the measurement period, ``ts`` the landing stamp, ``event_type``
   the pollutant, ``value`` the reading and ``props.k`` the observed count; a
   reading with an observed count of 0 carries no value.  Each reading is
-  landed as its own one-record page at ``raw/openaq/{CC}/{day}/{sensor}.json``.
+  landed as its own one-record page at ``raw/{source}/{CC}/{day}/{sensor}.json``.
 * ``nation`` rows are stations (locations), their ``region`` the country
   (code = first two letters of the region name); ``customer`` rows are the
   sensors of the station ``c_nationkey``, with the pollutant picked by

@@ -8,7 +8,7 @@ ROOT = "gs://bucket"
 
 
 def uri(country, part, leaf):
-    return f"{ROOT}/raw/openaq/{country}/{part}/{leaf}.json"
+    return f"{ROOT}/raw/airq/{country}/{part}/{leaf}.json"
 
 
 def reading(value, start, parameter="pm25", units="µg/m³", hours=1):

@@ -92,20 +92,20 @@ def test_skip_lists(spark):
 def test_records_in_latest_batch_like_and_prefix(spark):
     rows = [
         raw_row(page(reading(1.0, "2026-01-01 01:00:00")), "2026-03-03 02:00:00",
-                "gs://b/raw/openaq/PK/backfill/2026-01-01_2026-03-02/7.json"),
+                "gs://b/raw/airq/PK/backfill/2026-01-01_2026-03-02/7.json"),
         raw_row(page(reading(1.0, "2026-01-01 01:00:00")), "2026-03-03 05:00:00",
-                "gs://b/raw/openaq/PK/backfillX2026-01-01_2026-03-02/7.json"),
+                "gs://b/raw/airq/PK/backfillX2026-01-01_2026-03-02/7.json"),
     ]
     raw = raw_df(spark, rows)
-    like = R.records_in_latest_batch(raw, "gs://b/raw/openaq/PK/backfill/2026-01-01_2026-03-02/%").first()
+    like = R.records_in_latest_batch(raw, "gs://b/raw/airq/PK/backfill/2026-01-01_2026-03-02/%").first()
     assert like["records"] == 1
     assert like["latest_batch"].hour == 2
     # `_` in a LIKE pattern matches any character, so this pattern also
     # matches the `backfillX…` object and picks its later batch
-    loose = R.records_in_latest_batch(raw, "gs://b/raw/openaq/PK/backfill_2026-01-01_2026-03-02/%").first()
+    loose = R.records_in_latest_batch(raw, "gs://b/raw/airq/PK/backfill_2026-01-01_2026-03-02/%").first()
     assert loose["latest_batch"].hour == 5
     prefix = R.records_in_latest_batch(
-        raw, "gs://b/raw/openaq/PK/backfill/2026-01-01_2026-03-02/", mode="prefix"
+        raw, "gs://b/raw/airq/PK/backfill/2026-01-01_2026-03-02/", mode="prefix"
     ).first()
     assert prefix["records"] == 1 and prefix["latest_batch"].hour == 2
     none = R.records_in_latest_batch(raw, "gs://nothing/%").first()

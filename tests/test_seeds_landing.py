@@ -33,14 +33,14 @@ def test_skip_set_from_csv(spark, tmp_dir):
 
 
 def test_scan_reference_layout_lines_verbatim(spark, tmp_dir):
-    base = os.path.join(tmp_dir, "raw", "openaq", "AE", "2026-07-12")
+    base = os.path.join(tmp_dir, "raw", "airq", "AE", "2026-07-12")
     os.makedirs(base)
     bodies = ['{"results": [{"value": 49.1},  {"value": 50.0}]}', '{"results":  [3]}']
     with open(os.path.join(base, "12345.json"), "w") as f:
         f.write("\n".join(bodies) + "\n")
     with open(os.path.join(base, "locations.json"), "w") as f:
         f.write('{"results": [{"id": 1}]}\n')
-    lines = P.scan_pages(spark, [os.path.join(tmp_dir, "raw", "openaq", "AE", "2026-07-12", "*")])
+    lines = P.scan_pages(spark, [os.path.join(tmp_dir, "raw", "airq", "AE", "2026-07-12", "*")])
     rows = sorted((r["source_uri"].rsplit("/", 1)[1], r["value"]) for r in lines.collect())
     assert rows[0][0] == "12345.json" and [v for _, v in rows[:2]] == sorted(bodies)
     raw = P.land_batch(lines, "2026-07-13 02:05:00")
@@ -63,14 +63,14 @@ def test_write_pages_roundtrip_is_byte_exact(spark, tmp_dir):
     P.write_pages(pages, zone)
     back = P.scan_partitioned_pages(spark, zone, "gs://bucket").collect()
     assert sorted(r["value"] for r in back) == sorted(bodies)
-    assert {r["source_uri"] for r in back} == {"gs://bucket/raw/openaq/AE/2026-07-12/12345.json"}
+    assert {r["source_uri"] for r in back} == {"gs://bucket/raw/airq/AE/2026-07-12/12345.json"}
 
 
 def test_raw_table_is_append_only(spark, tmp_dir):
     path = os.path.join(tmp_dir, "raw_table")
     P.ensure_raw_table(spark, path)
     P.ensure_raw_table(spark, path)
-    lines = spark.createDataFrame([('{"results": [1]}', "gs://b/raw/openaq/AE/2026-07-12/1.json")], "value STRING, source_uri STRING")
+    lines = spark.createDataFrame([('{"results": [1]}', "gs://b/raw/airq/AE/2026-07-12/1.json")], "value STRING, source_uri STRING")
     P.append_batch(P.land_batch(lines, "2026-07-13 02:05:00"), path)
     P.append_batch(P.land_batch(lines, "2026-07-13 05:00:00"), path)
     t = P.read_raw(spark, path)
