@@ -10,11 +10,19 @@ that country's audited span.  Each cell is classified in a fixed order:
 5. ``known_bad``         — no data, the sensor is on the known-bad list
 6. ``upstream_no_data``  — everything else
 
-Plan shape: the spine is generated per sensor with ``explode(sequence)``
-(narrow), joined to the distinct sensor-days with data on (sensor_id, day)
-(a shuffle join, both sides hash-partitioned on the same key), and the known-
-bad list is reduced to distinct ids before its left join.  Nothing is
-collected.
+Two plan shapes give the same monthly counts:
+
+* per cell (:func:`gap_audit`, and :func:`gap_classify` for the cells
+  themselves): the spine is generated per sensor with ``explode(sequence)``
+  (narrow), joined to the distinct sensor-days with data on (sensor_id, day)
+  (a shuffle join, both sides hash-partitioned on the same key), and the
+  known-bad list is reduced to distinct ids before its left join;
+* by ranges (:func:`gap_audit_by_ranges`, the default for the monthly
+  report): one row per sensor-month with its day ranges counted
+  arithmetically, plus one row per sensor-day with data, so the shuffle does
+  not grow with the length of the audited span.
+
+Nothing is collected.
 """
 
 from __future__ import annotations
