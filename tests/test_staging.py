@@ -115,3 +115,15 @@ def test_hours_covered_counts_distinct_hours(spark):
     raw = raw_df(spark, [raw_row(body, "2026-07-13 02:05:00", uri("AE", "2026-07-12", 11)), inventory(spark)])
     d = D.daily_station_agg(S.stage_measurements(raw), S.stage_sensors(raw), S.stage_locations(raw)).first()
     assert d["reading_count"] == 3 and d["hours_covered"] == 2 and d["sensor_count"] == 1
+
+
+def test_rerun_leaves_staged_values_unchanged(spark):
+    bodies = [page(reading(float(h) + 0.5, f"2026-07-14 {h:02d}:00:00"), reading(float(h), f"2026-07-14 {h:02d}:30:00"))
+              for h in range(6)]
+    once = [raw_row(b, "2026-07-15 02:05:00", uri("PK", "2026-07-14", 42)) for b in bodies]
+    twice = once + [raw_row(b, "2026-07-15 09:00:00", uri("PK", "2026-07-14", 42)) for b in bodies]
+    cols = [c for c in S.MEASUREMENT_COLUMNS if c != "ingested_at"]
+    a = S.stage_measurements(raw_df(spark, once)).select(*cols)
+    b = S.stage_measurements(raw_df(spark, twice)).select(*cols)
+    assert a.count() == b.count() == 12
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
