@@ -24,6 +24,7 @@ from stationlake.operators import quality as Q
 from stationlake.operators import staging as S
 from stationlake.plans import checks as K
 from stationlake.plans import incremental as IN
+from stationlake.session import shared_dir
 
 
 class BuildFailed(RuntimeError):
@@ -70,7 +71,10 @@ def build_all(
     entries = suite if suite is not None else K.suite()
     reports: list[DataFrame] = []
 
-    records = S.location_records(raw)
+    # Inventory pages feed both the location and the sensor staging: parse and
+    # unnest them once, store the records in the shared folder, read twice.
+    shared_dir(spark)
+    records = S.location_records(raw).checkpoint(eager=True)
     tables: dict[str, DataFrame] = {
         "stg_measurements": S.stage_measurements(raw),
         "stg_locations": S.stage_locations(raw, records),
