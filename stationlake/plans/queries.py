@@ -368,13 +368,11 @@ def checkpoint_resume(spark, sf_dir):
 
 @query("backfill_run")
 def backfill_run(spark, sf_dir):
-    """A backfill run over the early chunks: per chunk fetch counts, failure
-    gate and reconciliation against the chunk's landed batch; the manifest
-    records of the chunks that passed."""
+    """A backfill run over every chunk: per chunk fetch counts, failure gate
+    and reconciliation against the chunk's landed batch; the manifest records
+    of the chunks that passed."""
     feed = EventFeed(spark, sf_dir)
-    chunks = FD.event_chunks(feed)
-    first_run = chunks.where(F.col("chunk_end") <= F.lit(FD.FIRST_RUN_CUTOFF).cast("date"))
-    return B.run(feed, first_run, scratch_path(spark, "manifest"))
+    return B.run(feed, FD.event_chunks(feed), scratch_path(spark, "manifest"))
 
 
 @query("backfill_todo")
