@@ -3,8 +3,9 @@
 The library never creates a session on its own; callers pass one in.  What the
 model needs from a session is small: UTC as the session time zone (a
 measurement day is the UTC day of its period), ANSI casts (a malformed number
-fails loudly, as a typed load would), AQE for runtime re-planning, and dynamic
-partition overwrite for incremental rebuilds of touched days.
+fails loudly, as a typed load would) and AQE for runtime re-planning.  Writes
+that replace only some partitions say so per write, so a caller's session
+keeps its own overwrite mode.
 """
 
 from __future__ import annotations
@@ -22,7 +23,6 @@ MODEL_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
