@@ -118,3 +118,18 @@ def layer_counts(result: BuildResult) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def register_views(result: BuildResult, prefix: str = "") -> list[str]:
+    """Expose every built table to SQL under its model name.
+
+    Staging tables stay lazy views (recomputed on read, as in the layered
+    model); the station-day table and the marts read their written files.
+    Returns the view names.
+    """
+    names = []
+    for name, df in result.tables.items():
+        view = f"{prefix}{name}"
+        df.createOrReplaceTempView(view)
+        names.append(view)
+    return names

@@ -9,7 +9,7 @@ from helpers import location, reading
 from stationlake.operators import audit as A
 from stationlake.operators import runs as R
 from stationlake.plans import incremental as IN
-from stationlake.plans.build import BuildFailed, build_all
+from stationlake.plans.build import BuildFailed, build_all, register_views
 from stationlake.plans.checks import suite
 from stationlake.sources import pages as P
 from stationlake.sources.seeds import read_known_bad, read_thresholds
@@ -47,6 +47,13 @@ def test_end_to_end(spark, tmp_dir):
     cc = {r["parameter"]: r for r in result.tables["mart_country_compare"].collect()}
     assert cc["pm25"]["country_daily_avg"] == 15.0 and cc["pm25"]["locations_exceeding"] == 0
     assert cc["no2"]["locations_exceeding"] == 1 and cc["no2"]["exceedance_rate"] == 100.0
+    register_views(result)
+    sql = spark.sql(
+        "SELECT parameter, locations_exceeding, locations_comparable FROM mart_country_compare "
+        "WHERE country_code = 'AE' ORDER BY parameter"
+    ).collect()
+    assert [tuple(r) for r in sql] == [("no2", 1, 1), ("pm25", 0, 1)]
+    assert spark.sql("SELECT count(*) FROM stg_measurements").first()[0] == 3
     report = result.report.collect()
     assert len(report) == len(CHECKS) and {r["run_id"] for r in report} == {"r1"}
     assert all(r["status"] == "pass" for r in report)
