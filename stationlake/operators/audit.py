@@ -33,6 +33,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stationlake import constants as C
+from stationlake.functions.joins import dimension_join
+from stationlake.session import shared_dir
 
 GAP_CLASSES = (
     "with_data",
@@ -203,10 +205,13 @@ def gap_audit_by_ranges(
     s = audited_sensors(sensors, locations, targets)
     sp = F.broadcast(spans.select("country_code", "span_start", "span_end"))
     bad = known_bad.select("sensor_id").distinct().withColumn("is_known_bad", F.lit(True))
+    # one row per audited sensor, used by both branches: stored once
+    shared_dir(sensors.sparkSession)
     attrs = (
         s.join(sp, "country_code")
         .join(bad, "sensor_id", "left")
         .withColumn("is_known_bad", F.coalesce("is_known_bad", F.lit(False)))
+        .checkpoint(eager=True)
     )
 
     first, last = F.col("first_day"), F.col("last_day")
@@ -231,11 +236,11 @@ def gap_audit_by_ranges(
     )
 
     day = F.col("measurement_day")
-    data_days = (
-        actual_sensor_days(measurements)
-        .join(attrs.select("sensor_id", "first_day", "last_day", "span_start", "span_end"), "sensor_id")
-        .where((day >= F.col("span_start")) & (day <= F.col("span_end")))
-    )
+    data_days = dimension_join(
+        actual_sensor_days(measurements),
+        attrs.select("sensor_id", "first_day", "last_day", "span_start", "span_end"),
+        "sensor_id",
+    ).where((day >= F.col("span_start")) & (day <= F.col("span_end")))
     is_pre = first.isNull() | (day < first)
     is_post = first.isNotNull() & last.isNotNull() & (day >= first) & (day > last)
     per_month = data_days.groupBy("sensor_id", F.trunc("measurement_day", "month").alias("audit_month")).agg(
