@@ -43,3 +43,21 @@ def test_half_open_and_lookback(spark):
     assert got == ["2026-07-06", "2026-07-12"]
     bounds = spark.range(1).select(lo.alias("lo"), hi.alias("hi")).first()
     assert (bounds["lo"], bounds["hi"]) == (d("2026-07-06"), d("2026-07-13"))
+
+
+def test_object_names_for_days_and_windows(spark):
+    from stationlake import constants as C
+    from stationlake.functions.columns import chunk_label, day_segment, object_name
+
+    df = spark.createDataFrame(
+        [("AE", d("2026-07-12"), d("2026-07-12"), "12345"), ("PK", d("2025-06-01"), d("2025-07-31"), "locations")],
+        "cc STRING, s DATE, e DATE, leaf STRING",
+    )
+    got = df.select(
+        object_name("cc", day_segment("s"), "leaf").alias("daily"),
+        object_name("cc", chunk_label("s", "e"), "leaf").alias("window"),
+    ).collect()
+    prefix = C.RAW_PREFIX
+    assert got[0]["daily"] == f"{prefix}/AE/2026-07-12/12345.json"
+    assert got[1]["daily"] == f"{prefix}/PK/2025-06-01/locations.json"
+    assert got[1]["window"] == f"{prefix}/PK/backfill/2025-06-01_2025-07-31/locations.json"
