@@ -120,3 +120,12 @@ def test_table_diff_both_ways(spark):
     got = sorted((r["x"], r["side"]) for r in table_diff(a, b).collect())
     assert got == [(1, "left_only"), (2, "left_only"), (3, "right_only")]
     assert table_diff(a, a).count() == 0
+
+
+def test_malformed_manifest_fails_loudly(spark, tmp_dir):
+    import pytest
+
+    path = f"{tmp_dir}/manifest"
+    spark.createDataFrame([("PK", "not a date")], "country STRING, window_start STRING").write.parquet(path)
+    with pytest.raises(Exception):
+        R.read_manifest(spark, path).collect()
