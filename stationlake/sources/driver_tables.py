@@ -265,15 +265,6 @@ def known_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def audit_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per country: audited span from its first to its last reading day."""
-    r = readings(spark, sf_dir)
-    return r.groupBy("country_code").agg(
-        F.to_date(F.min("reading_ts")).alias("span_start"),
-        F.to_date(F.max("reading_ts")).alias("span_end"),
-    )
-
-
 # --- long history from lineitem ---------------------------------------------
 
 
