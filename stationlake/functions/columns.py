@@ -59,10 +59,11 @@ def day_segment(day: Column | str) -> Column:
 
 
 def object_name(country: Column | str, partition: Column | str, leaf: Column | str) -> Column:
-    """``raw/{source}/{country}/{partition}/{leaf}.json``."""
+    """``raw/{source}/{COUNTRY}/{partition}/{leaf}.json``; the country code is
+    upper-cased, as the identity pattern expects."""
     return F.concat(
         F.lit(C.RAW_PREFIX + "/"),
-        _col(country),
+        F.upper(_col(country)),
         F.lit("/"),
         _col(partition),
         F.lit("/"),

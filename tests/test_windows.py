@@ -50,7 +50,7 @@ def test_object_names_for_days_and_windows(spark):
     from stationlake.functions.columns import chunk_label, day_segment, object_name
 
     df = spark.createDataFrame(
-        [("AE", d("2026-07-12"), d("2026-07-12"), "12345"), ("PK", d("2025-06-01"), d("2025-07-31"), "locations")],
+        [("AE", d("2026-07-12"), d("2026-07-12"), "12345"), ("pk", d("2025-06-01"), d("2025-07-31"), "locations")],
         "cc STRING, s DATE, e DATE, leaf STRING",
     )
     got = df.select(
