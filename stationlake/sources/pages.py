@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -134,22 +135,38 @@ def write_pages(pages: DataFrame, path: str) -> None:
     (country, part, leaf) group lands under its own directory.  Groups with no
     page produce no file, so an empty object is never written.
 
-    Rows are rebalanced on (country, part) before the write so that each
-    directory is written by few tasks (few files); AQE splits a country-day
-    that is too large for one task instead of sending it all to one writer.
+    Rows are rebalanced on the object key, so each object is written by one
+    task, except an object too large for one task, which AQE splits into
+    several files of the same directory.  The cost of this layout grows with
+    the number of objects, not bytes: coalescing small shuffle partitions by
+    size would funnel thousands of small objects through one writer, so it
+    is switched off for this write only (the shuffle keeps
+    ``spark.sql.shuffle.partitions`` writers).
     """
-    (
-        pages.select(
-            F.col("body").alias("value"),
-            F.col("country"),
-            F.col("part"),
-            F.col("leaf").cast("string").alias("leaf"),
-        )
-        .hint("rebalance", "country", "part")
-        .write.mode("append")
-        .partitionBy("country", "part", "leaf")
-        .text(path)
-    )
+    rows = pages.select(
+        F.col("body").alias("value"),
+        F.col("country"),
+        F.col("part"),
+        F.col("leaf").cast("string").alias("leaf"),
+    ).hint("rebalance", "country", "part", "leaf")
+    with _session_conf(pages.sparkSession, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        rows.write.mode("append").partitionBy("country", "part", "leaf").text(path)
+
+
+@contextmanager
+def _session_conf(spark: SparkSession, settings: dict[str, str]):
+    """Set SQL confs for the duration of one action, then restore them."""
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def page_kind(uri: Column | str = "source_uri") -> Column:
