@@ -41,4 +41,63 @@ FROM texts
 WINDOW w AS (PARTITION BY normal ORDER BY length(whole) DESC, doc_id)
 """
 
-ORACLES = {"op1_url_filter": OP1, "op7_exact_dedup": OP7}
+_WEIGHTS = """
+weights(depth, domain, lang, source, weight) AS (VALUES
+    (1, 'web', NULL, NULL, 40), (1, 'books', NULL, NULL, 30), (1, 'code', NULL, NULL, 20), (1, 'news', NULL, NULL, 10),
+    (2, 'web', 'en', NULL, 50), (2, 'web', 'de', NULL, 20), (2, 'books', 'en', NULL, 40))
+"""
+
+
+def _level(name: str, keys: str, parent: str, last: str) -> str:
+    """CTEs that give each node below ``parent`` its share of the parent's budget."""
+    by = f"PARTITION BY {parent}" if parent else ""
+    up = f"JOIN {name[:-1]}{int(name[-1]) - 1} USING ({parent})" if parent else "CROSS JOIN (SELECT sum(tokens) // 2 AS share FROM leaves)"
+    return f"""
+{name}_in AS (
+    SELECT {keys}, share AS budget, own.cap, own.weight, own.tokens FROM
+      (SELECT {keys}, sum(tokens) * 4 AS cap, sum(tokens) AS tokens, max(w{name[-1]}) AS weight FROM leaves GROUP BY {keys}) own {up}
+), {name}_full AS (
+    SELECT *, cap::HUGEINT * sum(weight) OVER back <= weight::HUGEINT * (budget - (sum(cap) OVER fore - cap)) AS filled
+    FROM {name}_in
+    WINDOW fore AS ({by} ORDER BY cap / weight, {last} ROWS UNBOUNDED PRECEDING),
+           back AS ({by} ORDER BY cap / weight, {last} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+), {name}_open AS (
+    SELECT *, budget - coalesce(sum(cap) FILTER (filled) OVER (PARTITION BY {parent or 1}), 0) AS rest,
+           sum(weight) FILTER (NOT filled) OVER (PARTITION BY {parent or 1}) AS open_weight,
+           coalesce(sum(weight) FILTER (NOT filled) OVER ({by} ORDER BY cap / weight, {last} ROWS UNBOUNDED PRECEDING), 0) AS upto
+    FROM {name}_full
+), {name} AS (
+    SELECT {keys}, tokens, CASE WHEN filled THEN cap
+        ELSE (upto::HUGEINT * rest) // open_weight - ((upto - weight)::HUGEINT * rest) // open_weight END AS share
+    FROM {name}_open
+)"""
+
+
+OP4 = f"""
+WITH {_WEIGHTS}, sized AS (
+    SELECT doc_id, coalesce(lang, '(none)') AS lang, coalesce(source, '(none)') AS source,
+           ['web', 'books', 'code', 'news'][coalesce(try_cast(regexp_extract(source, '([0-9]{{1,9}})$', 1) AS INT), 0) % 4 + 1] AS domain,
+           len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS n_tokens
+    FROM documents
+), leaves AS (
+    SELECT s.domain, s.lang, s.source, s.tokens, coalesce(a.weight, 10) AS w1, coalesce(b.weight, 10) AS w2, 10 AS w3
+    FROM (SELECT domain, lang, source, sum(n_tokens) AS tokens FROM sized WHERE n_tokens > 0 GROUP BY ALL) s
+    LEFT JOIN weights a ON a.depth = 1 AND a.domain = s.domain
+    LEFT JOIN weights b ON b.depth = 2 AND b.domain = s.domain AND b.lang = s.lang
+), {_level("node1", "domain", "", "domain")}, {_level("node2", "domain, lang", "domain", "lang")},
+{_level("node3", "domain, lang, source", "domain, lang", "source")},
+used AS (
+    SELECT s.*, share // tokens AS whole, share % tokens AS due FROM sized s JOIN node3 USING (domain, lang, source) WHERE n_tokens > 0
+), ordered AS (
+    SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang, source
+        ORDER BY md5('20240601:' || (whole + 1) || ':' || doc_id), doc_id ROWS UNBOUNDED PRECEDING) - n_tokens AS before
+    FROM used
+)
+SELECT doc_id, domain, lang, source, n_tokens::BIGINT AS n_tokens, epoch::BIGINT AS epoch, n_tokens::BIGINT AS take_tokens
+FROM (SELECT *, unnest(range(1, whole::BIGINT + 1)) AS epoch FROM used)
+UNION ALL
+SELECT doc_id, domain, lang, source, n_tokens::BIGINT, (whole + 1)::BIGINT, least(n_tokens, due - before)::BIGINT
+FROM ordered WHERE before < due
+"""
+
+ORACLES = {"op4_mixing": OP4, "op1_url_filter": OP1, "op7_exact_dedup": OP7}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationlake.llm import packing, radix_dedup, simhash, url_filter
+from stationlake.llm import mixing, packing, quality, radix_dedup, simhash, url_filter
 from stationlake.llm.common import read_table
 
 
@@ -20,6 +20,16 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "fingerprint", "component_id")
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mixing.mix(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "domain", "lang", "source", "n_tokens", "epoch", "take_tokens")
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ratings = quality.grades_from_labels(read_table(spark, sf_dir, "labels"))
+    return quality.classify(read_table(spark, sf_dir, "documents"), ratings)
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = radix_dedup.exact_duplicates(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -35,6 +45,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_simhash": op2_simhash,
+    "op4_mixing": op4_mixing,
+    "op6_quality": op6_quality,
     "op7_exact_dedup": op7_exact_dedup,
     "op10_packing": op10_packing,
 }
