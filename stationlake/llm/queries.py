@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationlake.llm import mixing, packing, quality, radix_dedup, simhash, url_filter
+from stationlake.llm import (
+    ann,
+    langid,
+    mixing,
+    packing,
+    quality,
+    radix_dedup,
+    recompression,
+    simhash,
+    suffix_dedup,
+    url_filter,
+)
 from stationlake.llm.common import read_table
 
 
@@ -20,11 +31,20 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "fingerprint", "component_id")
 
 
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predict_languages(read_table(spark, sf_dir, "documents"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "domain", "lang", "source", "n_tokens", "epoch", "take_tokens")
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeated_bytes(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     ratings = quality.grades_from_labels(read_table(spark, sf_dir, "labels"))
     return quality.classify(read_table(spark, sf_dir, "documents"), ratings)
@@ -35,6 +55,16 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op8_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.where("vec_id % 100 = 0"), k=10)
+
+
+def op9_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = recompression.remove_repeated_words(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = packing.pack(read_table(spark, sf_dir, "documents"))
     return out.select(
@@ -45,8 +75,12 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_simhash": op2_simhash,
+    "op3_langid": op3_langid,
     "op4_mixing": op4_mixing,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_quality": op6_quality,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_ann": op8_ann,
+    "op9_recompression": op9_recompression,
     "op10_packing": op10_packing,
 }
