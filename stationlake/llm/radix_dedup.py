@@ -72,13 +72,13 @@ def equal_texts(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame,
     closed = spark.createDataFrame([], f"row_key {KEY}, grp {KEY}")
     width, rests = FIRST_DIGIT, None
     while True:
-        split = members.join(_repeated(members), ["grp", "digit"])
+        split = members.join(_repeated(members).hint("merge"), ["grp", "digit"])
         # A digit shorter than asked for is the end of the text.
         closed = closed.unionAll(split.where(F.length("digit") < width).select(ROW_KEY, F.col("next").alias("grp")))
         still = split.where(F.length("digit") >= width)
         if rests is None:
             still = store(still.select(ROW_KEY, F.col("next").alias("grp")), "radix-open")
-            texts = keyed.select("text", ROW_KEY).join(still, ROW_KEY).select("text", ROW_KEY, "grp")
+            texts = keyed.select("text", ROW_KEY).join(still.hint("merge"), ROW_KEY).select("text", ROW_KEY, "grp")
             rests = texts.mapInArrow(_rests, f"row_key {KEY}, grp {KEY}, rest BINARY")
         else:
             rests = still.select(ROW_KEY, F.col("next").alias("grp"), F.expr(f"substring(rest, {width + 1})").alias("rest"))
@@ -100,7 +100,8 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     table gives no rows; other columns of ``docs`` are not used.
 
     Counts are partial aggregates and the tables of groups are stored before
-    the joins, so a group with a third of all rows is split at run time.
+    the joins, so a group with a third of all rows is split at run time.  Joins
+    that carry text are merge joins at every size, so cost follows the input.
     """
     facts, closed = equal_texts(docs, id_col, text_col)
     rank = F.struct((-F.col("points")).alias("less"), F.col("doc_id").isNull().alias("unnamed"), "doc_id", ROW_KEY)
