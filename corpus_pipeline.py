@@ -26,7 +26,7 @@ SCORE = "pipeline_quality_score"
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """``docs`` less the rows whose key is in ``gone``."""
     gone = store(gone.select(ROW_KEY), "dropped-rows")
-    return with_row_key(docs, *docs.columns).join(gone, ROW_KEY, "left_anti").select(*docs.columns)
+    return with_row_key(docs, *docs.columns).join(gone.hint("merge"), ROW_KEY, "left_anti").select(*docs.columns)
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
