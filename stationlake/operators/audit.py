@@ -33,8 +33,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stationlake import constants as C
-from stationlake.functions.joins import dimension_join
-from stationlake.session import shared_dir
 
 GAP_CLASSES = (
     "with_data",
@@ -80,11 +78,11 @@ def expected_sensor_days(
 ) -> DataFrame:
     """Every (sensor, day) of the sensor's country span.
 
-    The span table has one row per country, so it is broadcast; the days are
-    generated per sensor row, without a cross join.
+    The span table has one row per country, which the planner broadcasts by
+    its size; the days are generated per sensor row, without a cross join.
     """
     s = audited_sensors(sensors, locations, targets)
-    sp = F.broadcast(spans.select("country_code", "span_start", "span_end"))
+    sp = spans.select("country_code", "span_start", "span_end")
     return s.join(sp, "country_code").select(
         "sensor_id",
         "parameter",
@@ -203,15 +201,13 @@ def gap_audit_by_ranges(
     sensor-day of the span.
     """
     s = audited_sensors(sensors, locations, targets)
-    sp = F.broadcast(spans.select("country_code", "span_start", "span_end"))
+    sp = spans.select("country_code", "span_start", "span_end")
     bad = known_bad.select("sensor_id").distinct().withColumn("is_known_bad", F.lit(True))
-    # one row per audited sensor, used by both branches: stored once
-    shared_dir(sensors.sparkSession)
+    # one row per audited sensor, used by both branches
     attrs = (
         s.join(sp, "country_code")
         .join(bad, "sensor_id", "left")
         .withColumn("is_known_bad", F.coalesce("is_known_bad", F.lit(False)))
-        .checkpoint(eager=True)
     )
 
     first, last = F.col("first_day"), F.col("last_day")
@@ -236,10 +232,8 @@ def gap_audit_by_ranges(
     )
 
     day = F.col("measurement_day")
-    data_days = dimension_join(
-        actual_sensor_days(measurements),
-        attrs.select("sensor_id", "first_day", "last_day", "span_start", "span_end"),
-        "sensor_id",
+    data_days = actual_sensor_days(measurements).join(
+        attrs.select("sensor_id", "first_day", "last_day", "span_start", "span_end"), "sensor_id"
     ).where((day >= F.col("span_start")) & (day <= F.col("span_end")))
     is_pre = first.isNull() | (day < first)
     is_post = first.isNotNull() & last.isNotNull() & (day >= first) & (day > last)

@@ -1,7 +1,14 @@
 """Station-day aggregate: grain (location, parameter, UTC day).
 
+Built in two steps.  The sensor-day table holds what the readings say, without
+any dimension: sum, count, extremes and the hours seen as bits of a mask.  The
+roll-up joins the current station metadata, so a change of a sensor's station
+or of a monitor flag applies to all history without touching the sensor-days.
+
 Completeness is carried as columns (``reading_count``, ``hours_covered``),
-never used as a filter.  Valueless records are dropped here and only here.
+never used as a filter.  Valueless records count for nothing; a sensor-day of
+valueless records only stays in the sensor-day table (with count 0) and is
+left out of the roll-up.
 """
 
 from __future__ import annotations
@@ -9,8 +16,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationlake.functions.joins import dimension_join
-
 DAILY_KEYS = [
     "location_id",
     "country_code",
@@ -43,32 +48,42 @@ def sensor_dimension(sensors: DataFrame, locations: DataFrame) -> DataFrame:
     return s.join(loc, "location_id")
 
 
-def attach_locations(measurements: DataFrame, sensors: DataFrame, locations: DataFrame) -> DataFrame:
-    """Inner joins measurement → sensor → location, as one join of the facts.
+def sensor_day_agg(measurements: DataFrame) -> DataFrame:
+    """One row per (sensor, parameter, unit, UTC day); all parts are mergeable and partially aggregated."""
+    v = F.col("measurement_value")
+    hour_bit = F.when(v.isNotNull(), F.expr("shiftleft(1, hour(period_start_utc))"))
+    return measurements.groupBy(
+        "sensor_id", "parameter", "unit", F.to_date("period_start_utc").alias("measurement_date")
+    ).agg(
+        F.sum(v).alias("value_sum"),
+        F.min(v).alias("value_min"),
+        F.max(v).alias("value_max"),
+        F.count(v).alias("reading_count"),
+        F.coalesce(F.bit_or(hour_bit), F.lit(0)).alias("hour_mask"),
+    )
 
-    The two dimension tables are joined first (both small), so the
-    measurements take part in a single join on ``sensor_id`` instead of being
-    shuffled once per dimension.  The joined dimension is broadcast after a
-    bounded count confirms it is small; otherwise the join stays a shuffle
-    join and AQE splits a skewed sensor.  The newest location metadata
-    applies to all history.
-    """
-    m = measurements.drop("country_code")
-    return dimension_join(m, sensor_dimension(sensors, locations), "sensor_id", computed=True)
 
+def roll_up(sensor_days: DataFrame, sensors: DataFrame, locations: DataFrame) -> DataFrame:
+    """Sensor-days to station-days under the current metadata.
 
-def daily_station_agg(measurements: DataFrame, sensors: DataFrame, locations: DataFrame) -> DataFrame:
-    readings = measurements.where(F.col("measurement_value").isNotNull())
-    joined = attach_locations(readings, sensors, locations).withColumn(
-        "measurement_date", F.to_date("period_start_utc")
-    )
-    v = F.col("measurement_value")
+    A sensor has one row per group, so counting rows counts sensors, and the
+    hours of a station are the bits of its sensors' masks together: no
+    distinct aggregate, so no Expand of the facts.  The dimension tables are
+    joined first; the planner broadcasts the result by its size in bytes, and
+    beyond the threshold AQE splits a skewed sensor.
+    """
+    days = sensor_days.where("reading_count > 0")
+    joined = days.join(sensor_dimension(sensors, locations), "sensor_id")
     agg = joined.groupBy(*DAILY_KEYS).agg(
-        F.avg(v).alias("daily_avg"),
-        F.min(v).alias("daily_min"),
-        F.max(v).alias("daily_max"),
-        F.count(F.lit(1)).alias("reading_count"),
-        F.count_distinct(F.date_trunc("hour", "period_start_utc")).alias("hours_covered"),
-        F.count_distinct("sensor_id").alias("sensor_count"),
+        (F.sum("value_sum") / F.sum("reading_count")).alias("daily_avg"),
+        F.min("value_min").alias("daily_min"),
+        F.max("value_max").alias("daily_max"),
+        F.sum("reading_count").cast("bigint").alias("reading_count"),
+        F.bit_count(F.bit_or("hour_mask")).cast("bigint").alias("hours_covered"),
+        F.count(F.lit(1)).alias("sensor_count"),
     )
     return agg.select(*DAILY_COLUMNS)
+
+
+def daily_station_agg(measurements: DataFrame, sensors: DataFrame, locations: DataFrame) -> DataFrame:
+    return roll_up(sensor_day_agg(measurements), sensors, locations)

@@ -5,8 +5,8 @@ the ``= 1`` filter into a ``WindowGroupLimit`` that keeps one row per key in
 each map partition *before* the shuffle, so a key with millions of copies
 sends at most one row per input partition across the network.
 
-Aggregate form (:func:`latest_by_aggregate`): ``max_by`` over a struct, which
-is partially aggregated map-side as well and is the form used in streaming.
+The streaming form (``streaming.ingest.latest_wins_stream``) is ``max_by`` over
+a struct, which is partially aggregated map-side as well.
 """
 
 from __future__ import annotations
@@ -25,21 +25,15 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
     return df.withColumn(_RN, F.row_number().over(w)).where(F.col(_RN) == 1).drop(_RN)
 
 
-def latest_by_aggregate(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str]
-) -> DataFrame:
-    """Same result as :func:`latest_per_key` with ascending ``order`` columns
-    maximised, written as one ``max_by`` aggregate."""
-    payload = [c for c in df.columns if c not in keys]
-    picked = F.max_by(F.struct(*payload), F.struct(*order)).alias("__latest")
-    return df.groupBy(*keys).agg(picked).select(*keys, "__latest.*")
-
-
 def table_diff(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows of each side that the other lacks (multiset difference both ways),
-    tagged ``left_only`` / ``right_only``; empty when the tables are equal."""
+    tagged ``left_only`` / ``right_only``; empty when the tables are equal.
+
+    One grouped signed count over both sides: each row is shuffled once, and
+    copies of a row are combined before the shuffle.
+    """
     cols = left.columns
-    r = right.select(*cols)
-    return left.exceptAll(r).withColumn("side", F.lit("left_only")).unionByName(
-        r.exceptAll(left).withColumn("side", F.lit("right_only"))
-    )
+    signed = left.withColumn("__n", F.lit(1)).unionByName(right.select(*cols).withColumn("__n", F.lit(-1)))
+    counts = signed.groupBy(*cols).agg(F.sum("__n").alias("__n")).where(F.col("__n") != 0)
+    side = F.when(F.col("__n") > 0, F.lit("left_only")).otherwise(F.lit("right_only"))
+    return counts.select(*cols, side.alias("side"), F.explode(F.sequence(F.lit(1), F.abs("__n").cast("int"))).alias("__i")).drop("__i")

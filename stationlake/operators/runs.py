@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,13 +62,13 @@ def failure_gate(summary: DataFrame, threshold: float = C.FAILURE_RATE_THRESHOLD
 
 
 def enforce(df: DataFrame, condition: Column | str, message: str) -> DataFrame:
-    """Fail the job on the first row where ``condition`` is false.
+    """Fail the job on the first row where ``condition`` is not true (false or null).
 
     The check is a projection, so it runs inside the job that consumes the
     rows instead of as a separate pass.
     """
     cond = F.expr(condition) if isinstance(condition, str) else condition
-    guard = F.when(~cond, F.raise_error(F.lit(message))).otherwise(F.lit(True))
+    guard = F.when(F.coalesce(cond, F.lit(False)), F.lit(True)).otherwise(F.raise_error(F.lit(message)).cast("boolean"))
     return df.withColumn("__guard", guard).where(F.col("__guard")).drop("__guard")
 
 
@@ -160,10 +161,10 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     manifest that does not match the declared schema fails the read."""
     try:
         return spark.read.schema(MANIFEST_DDL).parquet(path)
-    except Exception as exc:  # noqa: BLE001
-        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
-            return spark.createDataFrame([], MANIFEST_DDL)
-        raise
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], MANIFEST_DDL)
 
 
 def append_manifest(records: DataFrame, path: str) -> None:

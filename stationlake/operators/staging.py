@@ -2,8 +2,10 @@
 
 Pages are routed by ``source_uri`` (``…/locations.json`` is the inventory;
 everything else is a measurement page), records are unnested with ``explode``
-(a missing or empty ``results`` array yields no row), every field is read as a
-string and cast explicitly, and the newest ingested copy of each key wins.
+(a missing or empty ``results`` array yields no row), and the newest ingested
+copy of each key wins.  Each record is parsed on its own, every field as a
+string that is cast explicitly: an entry that is no object (a number, a
+string, null) is a row of nulls and leaves the page's other records alone.
 
 Ties on ``ingested_at`` (one stamp per load batch) are broken by
 ``source_uri`` and then by the record's position in its page, newest last, so
@@ -18,7 +20,12 @@ from pyspark.sql import functions as F
 from stationlake import constants as C
 from stationlake.functions.columns import country_from_uri, sensor_id_from_uri
 from stationlake.operators.dedup import latest_per_key
-from stationlake.schemas import LOCATION_PAGE_DDL, MEASUREMENT_PAGE_DDL
+from stationlake.schemas import (
+    ANY_PAGE_DDL,
+    LOCATION_RECORD_DDL,
+    MEASUREMENT_RECORD_DDL,
+    SENSOR_ENTRY_DDL,
+)
 
 _LOCATIONS_SUFFIX = "/" + C.LOCATIONS_LEAF + ".json"
 
@@ -33,15 +40,15 @@ def measurement_pages(raw: DataFrame) -> DataFrame:
     return raw.where(~F.col("source_uri").endswith(_LOCATIONS_SUFFIX))
 
 
-def _records(payload: str, ddl: str):
-    """``posexplode`` of a page's ``results`` array.
+def _records(payload: str):
+    """``posexplode`` of a page's ``results`` array, each record as JSON text.
 
     The array is exploded straight from the ``from_json`` expression, not
     from a column holding it: for an exploded *column* the optimizer infers a
     ``size(results) > 0`` filter and pushes it down to the scan, which would
     parse every page twice.
     """
-    return F.posexplode(F.from_json(F.col(payload), ddl).getField("results"))
+    return F.posexplode(F.from_json(F.col(payload), ANY_PAGE_DDL).getField("results"))
 
 
 def measurement_records(raw: DataFrame) -> DataFrame:
@@ -49,10 +56,14 @@ def measurement_records(raw: DataFrame) -> DataFrame:
     return measurement_pages(raw).select(
         sensor_id_from_uri("source_uri").alias("sensor_id"),
         country_from_uri("source_uri").alias("country_code"),
-        _records("raw_payload", MEASUREMENT_PAGE_DDL).alias("record_pos", "r"),
+        _records("raw_payload").alias("record_pos", "record"),
         "ingested_at",
         "source_uri",
-    )
+    ).select(
+        "sensor_id", "country_code", "record_pos",
+        F.from_json("record", MEASUREMENT_RECORD_DDL).alias("r"),
+        "ingested_at", "source_uri",
+    )
 
 
 def parse_measurements(records: DataFrame) -> DataFrame:
@@ -113,9 +124,11 @@ def location_records(raw: DataFrame) -> DataFrame:
     caller that needs both can persist this once and parse the pages once.
     """
     return inventory_pages(raw).select(
-        _records("raw_payload", LOCATION_PAGE_DDL).alias("record_pos", "r"),
+        _records("raw_payload").alias("record_pos", "record"),
         "ingested_at",
         "source_uri",
+    ).select(
+        "record_pos", F.from_json("record", LOCATION_RECORD_DDL).alias("r"), "ingested_at", "source_uri"
     )
 
 
@@ -167,11 +180,11 @@ def sensor_records(records: DataFrame) -> DataFrame:
     r = F.col("r")
     with_sensors = records.select(
         r["id"].cast("bigint").alias("location_id"),
-        F.posexplode(r["sensors"]).alias("sensor_pos", "s"),
+        F.posexplode(r["sensors"]).alias("sensor_pos", "entry"),
         "ingested_at",
         "source_uri",
         "record_pos",
-    )
+    ).withColumn("s", F.from_json("entry", SENSOR_ENTRY_DDL))
     s = F.col("s")
     return with_sensors.select(
         s["id"].cast("bigint").alias("sensor_id"),

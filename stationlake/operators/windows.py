@@ -48,11 +48,11 @@ def plan_chunks(
     n = _c(chunk_days).cast("int")
     s, e = F.col(start), F.col(end)
     checked_n = F.when(
-        n < 1, F.raise_error(F.format_string("chunk_days must be positive, got %s", n))
+        n < 1, F.raise_error(F.format_string("a chunk needs at least one day: %s", n))
     ).otherwise(n)
     checked_end = F.when(
         s >= e,
-        F.raise_error(F.format_string("backfill window is empty: start=%s end=%s", s, e)),
+        F.raise_error(F.format_string("no days to tile from %s up to %s", s, e)),
     ).otherwise(e)
     step = F.make_dt_interval(days=checked_n)
     tiled = windows.withColumn(

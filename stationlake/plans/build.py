@@ -1,13 +1,14 @@
 """Layered build: staging → station-days → marts, with checks between layers.
 
-Staging stays lazy (a view); the station-day table and both marts are
-written as tables in the shared folder and read back.  Writing the station-day
-table cuts the lineage once, so both marts start from stored data (an executor
-lost later does not recompute staging), and it is the input both marts share.
+Every layer is written to the shared folder once and read back with its
+declared schema: staging (the pages are parsed once in the whole build), the
+sensor-days and station-days, and both marts.  Checks and later layers read the
+stored tables, so an executor lost later recomputes nothing before them.
 
 After each layer its checks run; the report is one row per check, so it is
 collected to decide whether the next layer may run.  An error-severity
-failure stops the build; warnings are kept in the report.
+failure stops the build; warnings are kept in the report.  Empty inputs build
+empty tables.
 """
 
 from __future__ import annotations
@@ -24,7 +25,6 @@ from stationlake.operators import quality as Q
 from stationlake.operators import staging as S
 from stationlake.plans import checks as K
 from stationlake.plans import incremental as IN
-from stationlake.session import shared_dir
 
 
 class BuildFailed(RuntimeError):
@@ -38,13 +38,11 @@ class BuildResult:
     paths: dict[str, str] = field(default_factory=dict)
 
 
-def _materialise(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
-    spark = df.sparkSession
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return spark.read.parquet(path)
+def _materialise(df: DataFrame, path: str, day: str | None = None) -> DataFrame:
+    """Write ``df`` (by ``day``, if given, with as many files as its size asks for) and read it back."""
+    writer = (df.hint("rebalance", day) if day else df).write.mode("overwrite")
+    (writer.partitionBy(day) if day else writer).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def _gate(spark: SparkSession, entries, tables, run_id: str, layer: str, reports: list) -> None:
@@ -71,25 +69,26 @@ def build_all(
     entries = suite if suite is not None else K.suite()
     reports: list[DataFrame] = []
 
-    # Inventory pages feed both the location and the sensor staging: parse and
-    # unnest them once, store the records in the shared folder, read twice.
-    shared_dir(spark)
-    records = S.location_records(raw).checkpoint(eager=True)
+    names = ("stg_measurements", "stg_locations", "stg_sensors", "int_sensor_days", "int_daily",
+             "mart_country_compare", "mart_annual_compare")
+    paths = {name: f"{out_dir}/{name}" for name in names}
+    # Inventory pages feed both the location and the sensor staging: parsed once.
+    records = _materialise(S.location_records(raw), f"{out_dir}/location_records")
+    staged = S.stage_measurements(raw).withColumn("measurement_date", F.to_date("period_start_utc"))
     tables: dict[str, DataFrame] = {
-        "stg_measurements": S.stage_measurements(raw),
-        "stg_locations": S.stage_locations(raw, records),
-        "stg_sensors": S.stage_sensors(raw, records),
+        "stg_measurements": _materialise(staged, paths["stg_measurements"], "measurement_date").select(*S.MEASUREMENT_COLUMNS),
+        "stg_locations": _materialise(S.stage_locations(raw, records), paths["stg_locations"]),
+        "stg_sensors": _materialise(S.stage_sensors(raw, records), paths["stg_sensors"]),
         "thresholds": thresholds,
         "known_bad": known_bad,
     }
     layer = [e for e in entries if e[0] in K.LAYERS["staging"]]
     _gate(spark, layer, tables, run_id, "staging", reports)
 
-    paths = {name: f"{out_dir}/{name}" for name in ("int_daily", "mart_country_compare", "mart_annual_compare")}
-    daily = D.daily_station_agg(tables["stg_measurements"], tables["stg_sensors"], tables["stg_locations"])
-    # partitioned by day: the layout the incremental rebuild overwrites day by day
-    IN.write_daily(daily, paths["int_daily"], only_present_days=False)
-    tables["int_daily"] = IN.read_daily(spark, paths["int_daily"])
+    # by day: the layout the incremental update overwrites day by day
+    IN.write_by_day(D.sensor_day_agg(tables["stg_measurements"]), paths["int_sensor_days"], only_present_days=False)
+    daily = IN.read_daily(spark, paths["int_sensor_days"], tables["stg_sensors"], tables["stg_locations"])
+    tables["int_daily"] = _materialise(daily, paths["int_daily"], "measurement_date")
     layer = [e for e in entries if e[0] in K.LAYERS["intermediate"]]
     _gate(spark, layer, tables, run_id, "intermediate", reports)
 
@@ -123,9 +122,7 @@ def layer_counts(result: BuildResult) -> DataFrame:
 def register_views(result: BuildResult, prefix: str = "") -> list[str]:
     """Expose every built table to SQL under its model name.
 
-    Staging tables stay lazy views (recomputed on read, as in the layered
-    model); the station-day table and the marts read their written files.
-    Returns the view names.
+    Every view reads the table's written files.  Returns the view names.
     """
     names = []
     for name, df in result.tables.items():

@@ -1,20 +1,24 @@
-"""Incremental station-day rebuild: recompute only the days a batch touches.
-
-A full refresh reads the whole raw table every run.  A load batch only
-carries readings of a bounded set of days (its lookback or backfill window),
-and every copy of a reading for day ``d`` was landed on or after ``d`` (a
-page is never loaded before its period).  So the rebuild:
-
-1. collects the touched days of the batches landed since the last build (a
-   high-water mark on ``ingested_at``; bounded by the batches' windows);
-2. reads the raw table from the first touched ingest day onwards, which the
-   ``ingest_date`` partitioning prunes;
-3. stages those pages (latest-wins over every copy they hold) and keeps the
-   touched days only;
-4. overwrites just those ``measurement_date`` partitions of the station-day
-   table (dynamic partition overwrite); other days are untouched.
-
-The result equals a full rebuild on the same raw table.
+"""Incremental sensor-day table: recompute only the days a load touches.
+
+A full refresh reads the whole raw table every run.  A load only carries
+readings of a bounded set of days (its lookback or backfill window), and every
+copy of a reading for day ``d`` was landed on or after ``d`` (a page is never
+loaded before its period).  So an update:
+
+1. writes the touched days of the batches landed since the last build to a
+   small table (a high-water mark on ``ingested_at``; the ``ingest_date``
+   partitions before it are pruned);
+2. stages the pages from the first touched ingest day onwards (pruned as
+   well; latest-wins over every copy they hold) and keeps the touched days by
+   a join;
+3. overwrites just those ``measurement_date`` partitions (dynamic partition
+   overwrite).
+
+Only sensor-days are stored.  Station metadata is joined when station-days are
+read (:func:`read_daily`), so moved sensors and changed flags apply to every
+day, and the result equals a full rebuild whatever the load changed.  A day
+whose readings were all withdrawn keeps sensor-days with count 0, which the
+roll-up leaves out, so its old partition is overwritten like any other.
 """
 
 from __future__ import annotations
@@ -27,62 +31,61 @@ from pyspark.sql import functions as F
 from stationlake.functions.columns import ts_lit
 from stationlake.operators import daily as D
 from stationlake.operators import staging as S
-from stationlake.session import shared_dir
+from stationlake.schemas import SENSOR_DAY_DDL
+from stationlake.session import scratch_path
 
 
 def touched_days(raw: DataFrame, since: dt.datetime | str) -> DataFrame:
-    """Distinct measurement days carried by measurement pages landed at or
-    after ``since``."""
+    """Distinct measurement days carried by measurement pages landed at or after ``since``."""
     stamp = ts_lit(since)
-    new_pages = raw.where(F.col("ingested_at") >= stamp)
+    new_pages = raw.where((F.col("ingest_date") >= F.to_date(stamp)) & (F.col("ingested_at") >= stamp))
     recs = S.parse_measurements(S.measurement_records(new_pages))
-    return recs.select(F.to_date("period_start_utc").alias("measurement_date")).distinct()
+    day = F.to_date("period_start_utc").alias("measurement_date")
+    return recs.where(F.col("period_start_utc").isNotNull()).select(day).distinct()
 
 
-def write_daily(daily: DataFrame, path: str, only_present_days: bool = True) -> None:
-    """Write station-days partitioned by day.
+def write_by_day(table: DataFrame, path: str, only_present_days: bool = True) -> None:
+    """Write ``table`` partitioned by ``measurement_date``, a day's rows by as few tasks as its size asks for.
 
-    With ``only_present_days`` the days in ``daily`` replace their partitions
+    With ``only_present_days`` the days in ``table`` replace their partitions
     and every other day is kept (dynamic overwrite); without it the whole
     table is replaced (a full refresh).
     """
-    mode = "dynamic" if only_present_days else "static"
     (
-        daily.write.mode("overwrite")
-        .option("partitionOverwriteMode", mode)
+        table.hint("rebalance", "measurement_date")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic" if only_present_days else "static")
         .partitionBy("measurement_date")
         .parquet(path)
     )
 
 
-def rebuild_touched_days(
-    spark: SparkSession,
-    raw: DataFrame,
-    sensors: DataFrame,
-    locations: DataFrame,
-    since: dt.datetime | str,
-    daily_path: str,
-) -> list[dt.date]:
-    """Recompute and overwrite the station-days of every day touched by pages
-    landed at or after ``since``.  Returns the touched days."""
-    days = [r[0] for r in touched_days(raw, since).collect()]
-    if not days:
-        return []
-    first = min(days)
-    pages = raw.where(F.col("ingest_date") >= F.lit(first))
-    meas = S.stage_measurements(pages).where(F.to_date("period_start_utc").isin(*days))
-    shared_dir(spark)
-    fresh = D.daily_station_agg(meas, sensors, locations).checkpoint(eager=True)
-    present = {r[0] for r in fresh.select("measurement_date").distinct().collect()}
-    if present >= set(days):
-        write_daily(fresh, daily_path)
-    else:
-        # A touched day lost every reading (all withdrawn): its old partition
-        # must go, which a per-day overwrite cannot do; rebuild the table.
-        full = D.daily_station_agg(S.stage_measurements(raw), sensors, locations)
-        write_daily(full, daily_path, only_present_days=False)
-    return sorted(days)
-
-
-def read_daily(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).select(*D.DAILY_COLUMNS)
+def build_sensor_days(raw: DataFrame, path: str) -> None:
+    """The sensor-day table of the whole raw table."""
+    write_by_day(D.sensor_day_agg(S.stage_measurements(raw)), path, only_present_days=False)
+
+
+def update_sensor_days(spark: SparkSession, raw: DataFrame, since: dt.datetime | str, path: str) -> DataFrame:
+    """Recompute the sensor-days of every day touched by pages landed at or after ``since``.
+
+    Returns the touched days, as stored.  The first of them, which bounds the
+    pages to read, is the only value brought to the driver.
+    """
+    days_path = scratch_path(spark, "touched-days")
+    touched_days(raw, since).write.parquet(days_path)
+    days = spark.read.schema("measurement_date DATE").parquet(days_path)
+    first = days.agg(F.min("measurement_date")).first()[0]
+    if first is not None:
+        pages = raw.where(F.col("ingest_date") >= F.lit(first))
+        fresh = D.sensor_day_agg(S.stage_measurements(pages)).join(days, "measurement_date", "left_semi")
+        write_by_day(fresh, path)
+    return days
+
+
+def read_sensor_days(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(SENSOR_DAY_DDL).parquet(path)
+
+
+def read_daily(spark: SparkSession, path: str, sensors: DataFrame, locations: DataFrame) -> DataFrame:
+    """Station-days of the stored sensor-days under the given metadata."""
+    return D.roll_up(read_sensor_days(spark, path), sensors, locations)

@@ -9,8 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stationlake import constants as C
@@ -92,8 +91,9 @@ def target_sensors(spark, sf_dir):
 
 @query("explode_page_records")
 def explode_page_records(spark, sf_dir):
-    """Every record of every measurement page, before deduplication."""
-    recs = S.parse_measurements(S.measurement_records(EventFeed(spark, sf_dir).raw))
+    """Every record of a sensor's day pages (many records, odd entries, empty
+    and missing arrays), before deduplication."""
+    recs = S.parse_measurements(S.measurement_records(FD.T.day_pages(spark, sf_dir)))
     return recs.select(
         "sensor_id", "country_code", "record_pos", "parameter", "unit",
         "measurement_value", "period_start_utc", "ingested_at",
@@ -131,11 +131,10 @@ def page_record_count(spark, sf_dir):
 
 @query("invalid_page_lines")
 def invalid_page_lines(spark, sf_dir):
-    raw = EventFeed(spark, sf_dir).raw
-    lines = raw.select(F.col("raw_payload").alias("value"), "source_uri")
-    invalid = F.try_parse_json(F.col("value")).isNull()
-    return lines.groupBy(P.page_kind("source_uri").alias("page_kind")).agg(
-        F.count(F.lit(1)).alias("lines"), F.count_if(invalid).alias("invalid_lines")
+    """Refused lines per country of a delivery with cut, trailed and doubled documents."""
+    bad = P.invalid_page_lines(FD.T.delivered_lines(spark, sf_dir))
+    return bad.groupBy(country_from_uri("source_uri").alias("country_code"), "defect").agg(
+        F.count(F.lit(1)).alias("invalid_lines")
     )
 
 
@@ -228,6 +227,18 @@ def scan_pages(spark, sf_dir):
     )
 
 
+@query("scan_objects")
+def scan_objects(spark, sf_dir):
+    """The public object reader over several folders and globs of the raw zone."""
+    zone = written_zone(spark, sf_dir)
+    lines = P.scan_pages(spark, [f"{zone}/country=AF/part=*", f"{zone}/country=EU/part=2024-01-0*"])
+    lines = lines.unionByName(P.scan_pages(spark, f"{zone}/country=AM", recursive=True))
+    folder = lambda name: F.regexp_extract("source_uri", f"/{name}=([^/]+)/", 1)
+    return lines.groupBy(folder("country").alias("country_code"), folder("part").alias("part")).agg(
+        F.count(F.lit(1)).alias("pages")
+    )
+
+
 @query("write_pages_roundtrip")
 def write_pages_roundtrip(spark, sf_dir):
     """Parse ∘ write is the identity: values read back from the raw zone."""
@@ -615,38 +626,97 @@ def stream_latest_wins(spark, sf_dir):
     )
 
 
+FIRST_LOAD_END, OLD_DAYS_END, RECENT_FROM = "2024-01-16", "2024-01-11", "2024-01-28"
+LATE_SHIFT = "INTERVAL 30 DAYS"
+
+
+@query("stream_late_records")
+def stream_late_records(spark, sf_dir):
+    """Three loads streamed one after another; the third corrects old and recent
+    days.  Corrections behind the 7-day watermark go to the late table; the
+    state with the late rows taken in holds every newest copy."""
+    table = scratch_path(spark, "raw-late")
+    pages = EventFeed(spark, sf_dir).measurement_raw
+    day = F.col("ingest_date")
+    lit_day = lambda d: F.lit(d).cast("date")
+    again = pages.where((day < lit_day(OLD_DAYS_END)) | (day >= lit_day(RECENT_FROM))).withColumn(
+        "ingested_at", F.col("ingested_at") + F.expr(LATE_SHIFT)
+    ).withColumn("ingest_date", F.to_date("ingested_at"))
+    loads = [pages.where(day < lit_day(FIRST_LOAD_END)), pages.where(day >= lit_day(FIRST_LOAD_END)), again]
+    out, late = scratch_path(spark, "late-latest"), scratch_path(spark, "late-records")
+    ckpt, late_ckpt = scratch_path(spark, "late-ckpt"), scratch_path(spark, "late-ckpt")
+    columns = ["sensor_id", "period_start_utc", "measurement_value", "ingested_at", "source_uri", "record_pos"]
+    for load in loads:
+        P.append_batch(load, table)
+        recs = S.parse_measurements(S.measurement_records(ST.raw_table_stream(spark, table))).select(*columns)
+        ST.run_update_stream(ST.latest_wins_stream(recs), out, ckpt).awaitTermination()
+        ST.late_records_stream(recs, late, late_ckpt).awaitTermination()
+    keys = ["sensor_id", "period_start_utc"]
+    state = ST.current_state(spark, out, keys).select(*columns)
+    dropped = ST.read_late_records(spark, late, state.schema)
+    merged = ST.with_late_records(state, dropped, keys, ["ingested_at", "source_uri", "record_pos"])
+    is_late = dropped.select(*keys).distinct().withColumn("late", F.lit(True))
+    return merged.join(is_late, keys, "left").select(
+        *keys, "measurement_value", "ingested_at", F.coalesce("late", F.lit(False)).alias("was_late")
+    )
+
+
 @query("table_diff")
 def table_diff(spark, sf_dir):
-    """The landed raw table and the raw zone scanned back hold the same pages
-    (multiset difference both ways; empty when equal)."""
-    landed = EventFeed(spark, sf_dir).raw.select(F.col("raw_payload").alias("value"), "source_uri")
-    zone = P.scan_partitioned_pages(spark, written_zone(spark, sf_dir), FD.T.LANDING_ROOT)
-    return table_diff_op(landed, zone)
+    """What a faulty delivery changed: the landed pages against the delivered
+    lines (multiset difference both ways), per side and country."""
+    landed = EventFeed(spark, sf_dir).measurement_raw.select(F.col("raw_payload").alias("value"), "source_uri")
+    delivered = FD.T.delivered_lines(spark, sf_dir).select("value", "source_uri")
+    diff = table_diff_op(landed, delivered)
+    return diff.groupBy("side", country_from_uri("source_uri").alias("country_code")).agg(
+        F.count(F.lit(1)).alias("pages"), F.count_distinct("source_uri").alias("objects")
+    )
 
 
 INCREMENTAL_CUT = "2024-01-16 00:00:00"
+WITHDRAWN_DAY = "2024-01-20"
+SECOND_INVENTORY = "2024-02-02 02:05:00"
+
+
+def moved_locations(feed: EventFeed) -> DataFrame:
+    """Location records as a second inventory load lists them: every station's
+    sensors with an odd id move to the next station of its country by id, and
+    the monitor flags flip."""
+    sensors = feed.sensors.join(feed.locations.select("location_id", "country_code"), "location_id")
+    turn = Window.partitionBy("country_code").orderBy("location_id")
+    nxt = F.coalesce(F.lead("location_id").over(turn), F.min("location_id").over(Window.partitionBy("country_code")))
+    after = feed.locations.select("location_id", nxt.alias("next_id"))
+    return sensors.join(after, "location_id").withColumn(
+        "location_id", F.when(F.col("sensor_id") % 2 == 1, F.col("next_id")).otherwise(F.col("location_id"))
+    ).select("sensor_id", "parameter", "unit", "location_id")
 
 
 @query("incremental_daily")
 def incremental_daily(spark, sf_dir):
-    """Station-days built once, then rebuilt only for the days touched by
-    later loads (new readings plus 7-day lookback re-lands); equals a full
-    rebuild."""
+    """Sensor-days built once, then updated only for the days touched by later
+    loads: new readings, 7-day lookback re-lands, a day whose readings are all
+    withdrawn, and a second inventory load that moves sensors and flips monitor
+    flags.  Equals a full rebuild."""
     feed = EventFeed(spark, sf_dir)
-    raw_path, daily_path = scratch_path(spark, "inc-raw"), scratch_path(spark, "inc-daily")
+    raw_path, days_path = scratch_path(spark, "inc-raw"), scratch_path(spark, "inc-days")
     P.ensure_raw_table(spark, raw_path)
     cut = ts_lit(INCREMENTAL_CUT)
     pages = feed.measurement_raw
     P.append_batch(pages.where(F.col("ingested_at") < cut), raw_path)
-    raw = P.read_raw(spark, raw_path)
-    first_build = IN.D.daily_station_agg(S.stage_measurements(raw), feed.sensors, feed.locations)
-    IN.write_daily(first_build, daily_path, only_present_days=False)
+    IN.build_sensor_days(P.read_raw(spark, raw_path), days_path)
     lookback = F.expr(f"INTERVAL {C.LOOKBACK_DAYS} DAYS")
     relanded = pages.where((F.col("ingested_at") >= cut - lookback) & (F.col("ingested_at") < cut))
     relanded = relanded.withColumn("ingested_at", F.col("ingested_at") + lookback).withColumn(
         "ingest_date", F.to_date("ingested_at")
     )
     P.append_batch(pages.where(F.col("ingested_at") >= cut).unionByName(relanded), raw_path)
-    IN.rebuild_touched_days(spark, P.read_raw(spark, raw_path), feed.sensors, feed.locations,
-                            INCREMENTAL_CUT, daily_path)
-    return IN.read_daily(spark, daily_path)
+    IN.update_sensor_days(spark, P.read_raw(spark, raw_path), INCREMENTAL_CUT, days_path)
+    withdrawn = pages.where(F.col("ingest_date") == F.lit(WITHDRAWN_DAY).cast("date")).withColumn(
+        "raw_payload", F.regexp_replace("raw_payload", r'"value":[^,{}]*,', '"value":null,')
+    )
+    stamp = ts_lit(SECOND_INVENTORY)
+    withdrawn = withdrawn.withColumn("ingested_at", stamp).withColumn("ingest_date", F.to_date(stamp))
+    P.append_batch(withdrawn, raw_path)
+    IN.update_sensor_days(spark, P.read_raw(spark, raw_path), SECOND_INVENTORY, days_path)
+    locations = feed.locations.withColumn("is_reference_monitor", ~F.col("is_reference_monitor"))
+    return IN.read_daily(spark, days_path, moved_locations(feed), locations)

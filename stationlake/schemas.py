@@ -13,31 +13,38 @@ RAW_PAGES_DDL = (
     "raw_payload STRING, ingested_at TIMESTAMP, source_uri STRING, ingest_date DATE"
 )
 
-# A measurement page, as read by staging.
-MEASUREMENT_PAGE_DDL = (
-    "results ARRAY<STRUCT<"
-    "value: STRING, "
-    "parameter: STRUCT<name: STRING, units: STRING>, "
-    "period: STRUCT<label: STRING, interval: STRING, "
+# One record of a measurement page, as read by staging.
+MEASUREMENT_RECORD_DDL = (
+    "value STRING, "
+    "parameter STRUCT<name: STRING, units: STRING>, "
+    "period STRUCT<label: STRING, interval: STRING, "
     "datetimeFrom: STRUCT<utc: STRING>, datetimeTo: STRUCT<utc: STRING>>, "
-    "coverage: STRUCT<observedCount: STRING, percentCoverage: STRING>>>"
+    "coverage STRUCT<observedCount: STRING, percentCoverage: STRING>"
 )
 
-# A location inventory page with the embedded sensor list.
-LOCATION_PAGE_DDL = (
-    "results ARRAY<STRUCT<"
-    "id: STRING, name: STRING, locality: STRING, "
-    "country: STRUCT<code: STRING>, isMonitor: STRING, "
-    "provider: STRUCT<name: STRING>, "
-    "coordinates: STRUCT<latitude: STRING, longitude: STRING>, "
-    "timezone: STRING, "
-    "datetimeFirst: STRUCT<utc: STRING>, datetimeLast: STRUCT<utc: STRING>, "
-    "sensors: ARRAY<STRUCT<id: STRING, parameter: STRUCT<name: STRING, units: STRING>>>>>"
+# One record of a location inventory page; its sensors are parsed one by one.
+LOCATION_RECORD_DDL = (
+    "id STRING, name STRING, locality STRING, "
+    "country STRUCT<code: STRING>, isMonitor STRING, "
+    "provider STRUCT<name: STRING>, "
+    "coordinates STRUCT<latitude: STRING, longitude: STRING>, "
+    "timezone STRING, "
+    "datetimeFirst STRUCT<utc: STRING>, datetimeLast STRUCT<utc: STRING>, "
+    "sensors ARRAY<STRING>"
 )
 
-# Any page: only the record array, for counting.
+# One sensor listed in a location record.
+SENSOR_ENTRY_DDL = "id STRING, parameter STRUCT<name: STRING, units: STRING>"
+
+# Any page: the record array, each record as its JSON text.
 ANY_PAGE_DDL = "results ARRAY<STRING>"
 
+# Sensor-days, partitioned by measurement_date.
+SENSOR_DAY_DDL = (
+    "sensor_id BIGINT, parameter STRING, unit STRING, value_sum DOUBLE, value_min DOUBLE, "
+    "value_max DOUBLE, reading_count BIGINT, hour_mask INT, measurement_date DATE"
+)
+
 THRESHOLDS_DDL = (
     "pollutant STRING, averaging_period STRING, threshold_value DOUBLE, unit STRING"
 )
@@ -61,8 +68,6 @@ MANIFEST_DDL = (
 # Failed sensor ids of completed windows, one row each (child of the manifest).
 MANIFEST_FAILED_DDL = "country STRING, window_start DATE, window_end DATE, sensor_id BIGINT"
 
-AUDIT_SPANS_DDL = "country_code STRING, span_start DATE, span_end DATE"
-
 DQ_REPORT_DDL = (
     "run_id STRING, table_name STRING, check_name STRING, column_name STRING, "
     "severity STRING, failures BIGINT, status STRING"

@@ -35,7 +35,6 @@ from pyspark.sql import functions as F
 
 from stationlake import constants as C
 from stationlake.functions.columns import day_segment, iso_utc, object_name, ts_lit
-from stationlake.functions.joins import dimension_join
 
 # --- fixed values: driver-table mapping -------------------------------------
 EVENT_TYPE_POLLUTANT = {
@@ -64,25 +63,6 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(scan: DataFrame, derived: DataFrame | None = None) -> DataFrame:
-    """Give per-row heavy work (JSON building and parsing) every core.
-
-    A scan of a large table already has at least as many splits as the
-    cluster has cores, and ``derived`` (default: the scan) is returned
-    unchanged.  A scan with fewer splits (a small file with a single row
-    group) would run everything up to the first shuffle in one task, so
-    ``derived`` is spread round-robin instead.  Only the scan's split count
-    is inspected, which plans the file listing and runs no job.
-    """
-    out = scan if derived is None else derived
-    try:
-        cores = scan.sparkSession.sparkContext.defaultParallelism
-        splits = scan.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view of the plan (remote session)
-        return out
-    return out.repartition(cores) if splits < cores else out
-
-
 def lookup(c: Column, mapping: dict[str, str]) -> Column:
     """CASE expression over a fixed mapping (null for unknown keys)."""
     out = None
@@ -129,7 +109,7 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     ts = F.col("ts").cast("timestamp")
     k = F.get_json_object(F.col("props"), "$.k").cast("bigint")
     pollutant = lookup(F.col("event_type"), EVENT_TYPE_POLLUTANT)
-    joined = dimension_join(ev, geo, ev.user_id == geo.sensor_id).select(
+    return ev.join(geo, ev.user_id == geo.sensor_id).select(
         F.col("event_id"),
         F.col("sensor_id"),
         F.col("country_code"),
@@ -140,14 +120,12 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k != 0, F.col("value")).alias("value"),
         k.alias("observed_count"),
     )
-    return spread(ev, joined)
 
 
-def measurement_page_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw-table rows of measurement pages, one verbatim page per reading."""
-    r = readings(spark, sf_dir)
+def _record() -> Column:
+    """One reading as a record of a measurement page."""
     start = F.col("period_start")
-    record = F.struct(
+    return F.struct(
         F.col("value").alias("value"),
         F.struct(F.col("pollutant").alias("name"), F.col("unit").alias("units")).alias(
             "parameter"
@@ -163,19 +141,81 @@ def measurement_page_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("observed_count").cast("double").alias("percentCoverage"),
         ).alias("coverage"),
     )
-    body = F.to_json(F.struct(F.array(record).alias("results")))
-    uri = F.concat(
+
+
+def _page_uri() -> Column:
+    return F.concat(
         F.lit(LANDING_ROOT + "/"),
         object_name("country_code", day_segment("reading_ts"), "sensor_id"),
     )
-    return r.select(
-        body.alias("raw_payload"),
+
+
+def measurement_page_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw-table rows of measurement pages, one verbatim page per reading."""
+    return readings(spark, sf_dir).select(
+        F.to_json(F.struct(F.array(_record()).alias("results"))).alias("raw_payload"),
         F.col("reading_ts").alias("ingested_at"),
-        uri.alias("source_uri"),
+        _page_uri().alias("source_uri"),
         F.to_date("reading_ts").alias("ingest_date"),
     )
 
 
+def delivered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page lines as a faulty delivery brings them: ``value, source_uri, defect``.
+
+    By event_id modulo 40: 7 is followed by other text, 11 by a second
+    document, 13 by a comma and a second document, 17 is cut short, 19 is
+    blank, 23 is not JSON; other lines are whole (defect null).
+    """
+    body = F.to_json(F.struct(F.array(_record()).alias("results")))
+    kind = F.col("event_id") % 40
+    defects = {
+        7: ("trailing text", F.concat(body, F.lit(" junk"))),
+        11: ("second document", F.concat(body, body)),
+        13: ("joined documents", F.concat(body, F.lit(","), body)),
+        17: ("cut", F.substring(body, 1, 25)),
+        19: ("blank", F.lit("  ")),
+        23: ("no document", F.lit("service unavailable")),
+    }
+    value, defect = body, F.lit(None).cast("string")
+    for k, (name, broken) in defects.items():
+        value, defect = F.when(kind == k, broken).otherwise(value), F.when(kind == k, F.lit(name)).otherwise(defect)
+    return readings(spark, sf_dir).select(value.alias("value"), _page_uri().alias("source_uri"), defect.alias("defect"))
+
+
+#: Entries that are no records, added to the day pages of every fifth sensor and more.
+ODD_ENTRIES = ("5", '"text"', "null", "[1]")
+
+
+def day_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw-table rows with one page per sensor and day: its readings in the order of event_id.
+
+    After the readings, sensors with id modulo 5 below 4 list one odd entry
+    (ODD_ENTRIES at that place).  Each sensor also has an empty page (id
+    modulo 3 is 0) or one without an array (1) on its days.  A page holds the
+    readings of one sensor and day, so no group grows with the data.
+    """
+    by_page = readings(spark, sf_dir).groupBy(
+        "sensor_id", "country_code", F.to_date("reading_ts").alias("ingest_date")
+    ).agg(
+        F.array_sort(F.collect_list(F.struct("event_id", F.to_json(_record()).alias("record")))).alias("records"),
+        F.max("reading_ts").alias("reading_ts"),
+    )
+    kind = (F.col("sensor_id") % 5).cast("int")
+    odd = F.when(kind < 4, F.concat(F.lit(","), F.element_at(F.array(*map(F.lit, ODD_ENTRIES)), F.least(kind, F.lit(3)) + 1)))
+    body = F.concat(
+        F.lit('{"results":['), F.array_join(F.transform("records", lambda r: r["record"]), ","),
+        F.coalesce(odd, F.lit("")), F.lit("]}"),
+    )
+    bare = F.when(F.col("sensor_id") % 3 == 0, F.lit('{"results":[]}')).when(F.col("sensor_id") % 3 == 1, F.lit("{}"))
+    return by_page.select(
+        F.explode(F.array_compact(F.array(body, bare))).alias("raw_payload"),
+        F.col("reading_ts").alias("ingested_at"),
+        _page_uri().alias("source_uri"),
+        "ingest_date",
+    )
+
+
 def station_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per station: the published activity range (see module docstring)."""
     r = readings(spark, sf_dir).select("sensor_id", "reading_ts")
@@ -270,7 +310,7 @@ def known_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def history_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seven years of readings in staged-measurement shape."""
-    li = spread(_read(spark, sf_dir, "lineitem"))
+    li = _read(spark, sf_dir, "lineitem")
     pollutant = lookup(F.col("l_returnflag"), RETURNFLAG_POLLUTANT)
     start = F.col("l_shipdate").cast("timestamp")
     return li.select(

@@ -11,8 +11,8 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
-from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,7 +20,8 @@ from stationlake import constants as C
 from stationlake.functions.columns import object_name, ts_lit
 from stationlake.schemas import ANY_PAGE_DDL, RAW_PAGES_DDL
 
-PARTITIONED_TEXT_SCHEMA = "value STRING, country STRING, part STRING, leaf STRING"
+#: Files of the raw zone: ``country=/part=`` folders; a line is the leaf, a tab and the verbatim body.
+PARTITIONED_TEXT_SCHEMA = "value STRING, country STRING, part STRING"
 
 
 def scan_pages(
@@ -46,24 +47,42 @@ def scan_pages(
     )
 
 
+def zone_lines(lines: DataFrame, root: str = "") -> DataFrame:
+    """``value`` (the body) and the rebuilt ``source_uri`` of raw-zone lines."""
+    prefix = F.lit(root.rstrip("/") + "/") if root else F.lit("")
+    leaf = F.substring_index("value", "\t", 1)
+    return lines.select(
+        F.substring("value", F.length(leaf) + 2, F.length("value")).alias("value"),
+        F.concat(prefix, object_name("country", "part", leaf)).alias("source_uri"),
+    )
+
+
 def scan_partitioned_pages(spark: SparkSession, path: str, root: str = "") -> DataFrame:
     """Read pages written by :func:`write_pages` and rebuild ``source_uri``.
 
-    Spark's partitioned text sink keeps identity in ``country=/part=/leaf=``
-    directories; the object name the rest of the model expects is rebuilt
-    from those columns, so downstream code sees one ``source_uri`` form.
+    Country and day (or window) are folders, the leaf starts the line, so the
+    number of folders follows the calendar and not the sensors; downstream
+    code sees one ``source_uri`` form.
     """
-    lines = spark.read.schema(PARTITIONED_TEXT_SCHEMA).text(path)
-    prefix = F.lit(root.rstrip("/") + "/") if root else F.lit("")
-    return lines.select(
-        F.col("value"),
-        F.concat(prefix, object_name("country", "part", "leaf")).alias("source_uri"),
-    )
+    return zone_lines(spark.read.schema(PARTITIONED_TEXT_SCHEMA).text(path), root)
+
+
+def is_one_document(value: Column | str) -> Column:
+    """Whether a line is exactly one JSON document.
+
+    The line is parsed as the only element of an array, so text after the
+    document and a second document are both refused.  So are a blank line, a
+    document that repeats an object key (which of the two counts is not
+    defined) and one with a string beyond the parser's 20 MB.
+    """
+    c = F.col(value) if isinstance(value, str) else value
+    parsed = F.try_parse_json(F.concat(F.lit("["), c, F.lit("]")))
+    return F.coalesce(F.size(F.try_variant_get(parsed, "$", "array<variant>")) == 1, F.lit(False))
 
 
 def invalid_page_lines(lines: DataFrame) -> DataFrame:
-    """Lines that are not JSON documents (the load contract requires none)."""
-    return lines.where(F.try_parse_json(F.col("value")).isNull())
+    """Lines that are not one JSON document (the load contract requires none)."""
+    return lines.where(~is_one_document("value"))
 
 
 def _stamp(stamp: dt.datetime | str | Column | None) -> Column:
@@ -82,15 +101,15 @@ def land_batch(
 
     ``stamp`` is the batch id: one value for every row of the batch
     (``current_timestamp()`` is constant within a query).  With ``validate``
-    a line that is not JSON fails the job, as a typed load would; the check
-    rides in the same projection, so it costs no extra pass.
+    a line that is not one JSON document (:func:`is_one_document`) fails the
+    job, as a typed load would; the check rides in the same projection, so it
+    costs no extra pass.
     """
     payload = F.col("value")
     if validate:
-        payload = F.when(
-            F.try_parse_json(payload).isNull(),
-            F.raise_error(F.concat(F.lit("malformed page line in "), F.col("source_uri"))),
-        ).otherwise(payload)
+        payload = F.when(is_one_document(payload), payload).otherwise(
+            F.raise_error(F.concat(F.lit("malformed page line in "), F.coalesce("source_uri", F.lit("?")))).cast("string")
+        )
     ts = _stamp(stamp)
     return lines.select(
         payload.alias("raw_payload"),
@@ -103,15 +122,18 @@ def land_batch(
 def ensure_raw_table(spark: SparkSession, path: str) -> DataFrame:
     """Create the raw table at ``path`` if it does not exist; return a reader.
 
-    An empty append writes the partitioned layout's metadata, so a later
-    reader finds a table with the declared schema even before the first load.
+    An empty append makes the folder, so a later reader finds a table even
+    before the first load.  Only a missing path counts as missing: any other
+    error (permissions, a wrong store) is raised.
     """
     try:
         return spark.read.schema(RAW_PAGES_DDL).parquet(path)
-    except Exception:  # noqa: BLE001 - a missing path is the only expected case
-        empty = spark.createDataFrame([], RAW_PAGES_DDL)
-        empty.write.mode("append").partitionBy("ingest_date").parquet(path)
-        return spark.read.schema(RAW_PAGES_DDL).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+    empty = spark.createDataFrame([], RAW_PAGES_DDL)
+    empty.write.mode("append").partitionBy("ingest_date").parquet(path)
+    return spark.read.schema(RAW_PAGES_DDL).parquet(path)
 
 
 def append_batch(batch: DataFrame, path: str) -> None:
@@ -129,44 +151,18 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_pages(pages: DataFrame, path: str) -> None:
-    """Write page bodies byte for byte into the raw zone.
-
-    ``pages`` carries ``country``, ``part``, ``leaf`` and ``body``; each
-    (country, part, leaf) group lands under its own directory.  Groups with no
-    page produce no file, so an empty object is never written.
-
-    Rows are rebalanced on the object key, so each object is written by one
-    task, except an object too large for one task, which AQE splits into
-    several files of the same directory.  The cost of this layout grows with
-    the number of objects, not bytes: coalescing small shuffle partitions by
-    size would funnel thousands of small objects through one writer, so it
-    is switched off for this write only (the shuffle keeps
-    ``spark.sql.shuffle.partitions`` writers).
+    """Append page bodies byte for byte to the raw zone.
+
+    ``pages`` carries ``country``, ``part``, ``leaf`` and ``body``.  Rows are
+    rebalanced on (country, part): a folder is written by one task, or by
+    several where AQE splits a large one.  Groups with no page produce no file.
     """
     rows = pages.select(
-        F.col("body").alias("value"),
+        F.concat_ws("\t", F.col("leaf").cast("string"), F.col("body")).alias("value"),
         F.col("country"),
         F.col("part"),
-        F.col("leaf").cast("string").alias("leaf"),
-    ).hint("rebalance", "country", "part", "leaf")
-    with _session_conf(pages.sparkSession, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
-        rows.write.mode("append").partitionBy("country", "part", "leaf").text(path)
-
-
-@contextmanager
-def _session_conf(spark: SparkSession, settings: dict[str, str]):
-    """Set SQL confs for the duration of one action, then restore them."""
-    before = {k: spark.conf.get(k, None) for k in settings}
-    try:
-        for k, v in settings.items():
-            spark.conf.set(k, v)
-        yield
-    finally:
-        for k, v in before.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+    ).hint("rebalance", "country", "part")
+    rows.write.mode("append").partitionBy("country", "part").text(path)
 
 
 def page_kind(uri: Column | str = "source_uri") -> Column:

@@ -5,9 +5,11 @@
   stream's equivalent of one load) and appended to the raw table.
 * :func:`latest_wins_stream` — measurement records aggregated per
   (sensor, period) with ``max_by`` over the newest-first order; the watermark
-  on the period start bounds state to the lookback horizon.  Rows older than
-  the watermark are dropped by the stream and left to the batch rebuild,
-  which sees the whole raw table.
+  on the period start bounds state to the lookback horizon.
+* :func:`late_records_stream` — rows older than the watermark, which the
+  aggregate above leaves out, are appended to a table of their own, so no
+  record is lost; :func:`with_late_records` (or the batch rebuild) takes them
+  in.
 
 Sinks are ``foreachBatch`` appends to files in the shared folder, with the
 checkpoint next to them, so a restarted query resumes where it stopped.  A
@@ -26,10 +28,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from stationlake import constants as C
-from stationlake.functions.columns import object_name
 from stationlake.operators.dedup import latest_per_key
 from stationlake.schemas import RAW_PAGES_DDL
-from stationlake.sources.pages import PARTITIONED_TEXT_SCHEMA, append_batch, land_batch
+from stationlake.sources.pages import PARTITIONED_TEXT_SCHEMA, append_batch, land_batch, zone_lines
 
 
 def page_lines_stream(spark: SparkSession, zone: str, root: str = "", max_files: int | None = None) -> DataFrame:
@@ -37,11 +38,7 @@ def page_lines_stream(spark: SparkSession, zone: str, root: str = "", max_files:
     reader = spark.readStream.schema(PARTITIONED_TEXT_SCHEMA)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    lines = reader.text(zone)
-    prefix = F.lit(root.rstrip("/") + "/") if root else F.lit("")
-    return lines.select(
-        F.col("value"), F.concat(prefix, object_name("country", "part", "leaf")).alias("source_uri")
-    )
+    return zone_lines(reader.text(zone), root)
 
 
 def ingest_pages_stream(lines: DataFrame, raw_table: str, checkpoint: str) -> StreamingQuery:
@@ -99,6 +96,51 @@ def run_update_stream(updates: DataFrame, out: str, checkpoint: str) -> Streamin
     )
 
 
+def late_records_stream(
+    records: DataFrame,
+    out: str,
+    checkpoint: str,
+    event_time: str = "period_start_utc",
+    delay: str = f"{C.LOOKBACK_DAYS} days",
+) -> StreamingQuery:
+    """Append the rows that :func:`latest_wins_stream` drops as too late.
+
+    A row is late when its event time lies more than ``delay`` before the
+    newest one of the batches before its own.  The newest event time is kept
+    beside the rows, one row per batch; both are written to the batch's own
+    folder, so a batch that is run again replaces what it wrote.  Both queries
+    must read the same source with the same options.
+    """
+    spark = records.sparkSession
+    marks = f"{out}_marks"
+
+    def split(batch: DataFrame, batch_id: int) -> None:
+        newest = batch.agg(F.max(event_time).alias("newest"))
+        newest.write.mode("overwrite").parquet(f"{marks}/batch_id={batch_id}")
+        seen = spark.read.schema("newest TIMESTAMP, batch_id BIGINT").parquet(marks).where(F.col("batch_id") < batch_id)
+        bound = seen.agg((F.max("newest") - F.expr(f"INTERVAL {delay}")).alias("bound"))
+        late = batch.join(F.broadcast(bound), F.col(event_time) < F.col("bound")).drop("bound")  # one row
+        late.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    return (
+        records.writeStream.foreachBatch(split)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def read_late_records(spark: SparkSession, out: str, schema) -> DataFrame:
+    """Late rows of every batch."""
+    return spark.read.schema(schema).parquet(out)
+
+
+def with_late_records(state: DataFrame, late: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The stream's state with the late rows taken in: the newest copy of each key."""
+    both = state.unionByName(late.select(*state.columns))
+    return latest_per_key(both, list(keys), [F.col(c).desc_nulls_last() for c in order])
+
+
 def current_state(spark: SparkSession, out: str, keys: Sequence[str]) -> DataFrame:
     """Latest emitted row per key across all micro-batches."""
     updates = spark.read.parquet(out)

@@ -4,7 +4,7 @@ import datetime as dt
 import json
 
 RAW_SCHEMA = "raw_payload STRING, ingested_at TIMESTAMP, source_uri STRING, ingest_date DATE"
-ROOT = "gs://bucket"
+ROOT = "lake://zone"
 
 
 def uri(country, part, leaf):

@@ -62,9 +62,10 @@ def test_end_to_end(spark, tmp_dir):
     _put(zone, "AE", "2026-07-13", "11", [reading(40.0, "2026-07-12 02:00:00")])
     P.append_batch(P.land_batch(P.scan_pages(spark, [os.path.join(zone, "AE", "2026-07-13", "*")]), "2026-07-14 02:05:00"), raw_path)
     raw = P.read_raw(spark, raw_path)
-    IN.rebuild_touched_days(spark, raw, result.tables["stg_sensors"], result.tables["stg_locations"],
-                            "2026-07-14 00:00:00", result.paths["int_daily"])
-    daily = {r["parameter"]: r["daily_avg"] for r in IN.read_daily(spark, result.paths["int_daily"]).collect()}
+    days_path = result.paths["int_sensor_days"]
+    IN.update_sensor_days(spark, raw, "2026-07-14 00:00:00", days_path)
+    stored = IN.read_daily(spark, days_path, result.tables["stg_sensors"], result.tables["stg_locations"])
+    daily = {r["parameter"]: r["daily_avg"] for r in stored.collect()}
     assert daily == {"pm25": 30.0, "no2": 30.0}
     assert R.records_in_latest_batch(raw, "%/raw/airq/AE/2026-07-13/%").first()["records"] == 1
 
@@ -76,6 +77,26 @@ def test_end_to_end(spark, tmp_dir):
     assert (audit["no2"]["with_data"], audit["no2"]["known_bad"], audit["no2"]["post_dormancy"]) == (1, 1, 1)
 
 
+def test_the_build_parses_measurement_pages_once(spark, tmp_dir):
+    zone, bad_csv = _zone(tmp_dir)
+    raw_path = os.path.join(tmp_dir, "raw_table")
+    P.append_batch(P.land_batch(P.scan_pages(spark, [os.path.join(zone, "AE", "2026-07-12", "*")]), "2026-07-13 02:05:00"), raw_path)
+    result = build_all(spark, P.read_raw(spark, raw_path), read_thresholds(spark), read_known_bad(spark, bad_csv),
+                       os.path.join(tmp_dir, "models"), suite=CHECKS)
+    for table in result.tables.values():
+        plan = table._jdf.queryExecution().executedPlan().toString()
+        assert "from_json" not in plan, plan
+
+
+def test_empty_input_builds_empty_tables(spark, tmp_dir):
+    raw_path = os.path.join(tmp_dir, "raw_table")
+    raw = P.ensure_raw_table(spark, raw_path)
+    _, bad_csv = _zone(tmp_dir)
+    result = build_all(spark, raw, read_thresholds(spark), read_known_bad(spark, bad_csv), os.path.join(tmp_dir, "models"), suite=CHECKS)
+    for name in ("stg_measurements", "int_daily", "mart_country_compare", "mart_annual_compare"):
+        assert result.tables[name].count() == 0
+
+
 def test_failed_error_check_stops_the_build(spark, tmp_dir):
     zone, bad_csv = _zone(tmp_dir)
     raw_path = os.path.join(tmp_dir, "raw_table")

@@ -1,4 +1,4 @@
-"""Incremental rebuild of touched days equals a full rebuild and leaves other days alone."""
+"""Incremental update of touched days equals a full rebuild and leaves other days alone."""
 
 import glob
 import os
@@ -11,44 +11,68 @@ from stationlake.plans import incremental as IN
 from stationlake.sources import pages as P
 
 
-def test_rebuild_touched_days(spark, tmp_dir):
-    inv = raw_row(page(location(1, "AE", [(11, "pm25")])), "2026-07-01 00:00:00", uri("AE", "2026-07-01", "locations"))
-    day1 = raw_row(page(reading(10.0, "2026-07-01 01:00:00")), "2026-07-02 02:05:00", uri("AE", "2026-07-01", 11))
-    day2 = raw_row(page(reading(20.0, "2026-07-02 01:00:00")), "2026-07-03 02:05:00", uri("AE", "2026-07-02", 11))
-    raw_path, daily_path = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "daily")
-    P.append_batch(raw_df(spark, [inv, day1, day2]), raw_path)
+def _start(spark, tmp_dir, extra=()):
+    inv = raw_row(page(location(1, "AE", [(11, "pm25")]), location(2, "AE", [(12, "pm25")], is_monitor=False)),
+                  "2026-07-01 00:00:00", uri("AE", "2026-07-01", "locations"))
+    days = [raw_row(page(reading(10.0 * d, f"2026-07-0{d} 01:00:00")), f"2026-07-0{d + 1} 02:05:00", uri("AE", f"2026-07-0{d}", 11))
+            for d in (1, 2)]
+    raw_path, path = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "days")
+    P.append_batch(raw_df(spark, [inv, *days, *extra]), raw_path)
+    IN.build_sensor_days(P.read_raw(spark, raw_path), path)
+    return raw_path, path
+
+
+def _both(spark, raw_path, path):
+    """Station-days as stored and as a full rebuild gives them."""
     raw = P.read_raw(spark, raw_path)
     sensors, locs = S.stage_sensors(raw), S.stage_locations(raw)
-    IN.write_daily(D.daily_station_agg(S.stage_measurements(raw), sensors, locs), daily_path)
-    before = {f: os.path.getmtime(f) for f in glob.glob(f"{daily_path}/measurement_date=2026-07-01/*.parquet")}
+    key = lambda df: sorted(tuple(r) for r in df.collect())
+    return key(IN.read_daily(spark, path, sensors, locs)), key(D.daily_station_agg(S.stage_measurements(raw), sensors, locs))
 
-    # a later load corrects day 2 and adds day 3
+
+def test_only_touched_days_are_rewritten(spark, tmp_dir):
+    raw_path, path = _start(spark, tmp_dir)
+    files = lambda: {f: os.path.getmtime(f) for f in glob.glob(f"{path}/measurement_date=2026-07-01/*.parquet")}
+    before = files()
     fix = raw_row(page(reading(22.0, "2026-07-02 01:00:00"), reading(30.0, "2026-07-03 05:00:00")),
                   "2026-07-04 02:05:00", uri("AE", "2026-07-03", 11))
     P.append_batch(raw_df(spark, [fix]), raw_path)
-    raw = P.read_raw(spark, raw_path)
-    days = IN.rebuild_touched_days(spark, raw, sensors, locs, "2026-07-04 00:00:00", daily_path)
-    assert [d.isoformat() for d in days] == ["2026-07-02", "2026-07-03"]
-
-    got = {r["measurement_date"].isoformat(): r["daily_avg"] for r in IN.read_daily(spark, daily_path).collect()}
-    full = {r["measurement_date"].isoformat(): r["daily_avg"]
-            for r in D.daily_station_agg(S.stage_measurements(raw), sensors, locs).collect()}
-    assert got == full == {"2026-07-01": 10.0, "2026-07-02": 22.0, "2026-07-03": 30.0}
-    after = {f: os.path.getmtime(f) for f in glob.glob(f"{daily_path}/measurement_date=2026-07-01/*.parquet")}
-    assert before == after  # the untouched day was not rewritten
-
-
-def test_day_whose_readings_are_all_withdrawn_disappears(spark, tmp_dir):
-    inv = raw_row(page(location(1, "AE", [(11, "pm25")])), "2026-07-01 00:00:00", uri("AE", "2026-07-01", "locations"))
-    day1 = raw_row(page(reading(10.0, "2026-07-01 01:00:00")), "2026-07-02 02:05:00", uri("AE", "2026-07-01", 11))
-    day2 = raw_row(page(reading(20.0, "2026-07-02 01:00:00")), "2026-07-03 02:05:00", uri("AE", "2026-07-02", 11))
-    raw_path, daily_path = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "daily")
-    P.append_batch(raw_df(spark, [inv, day1, day2]), raw_path)
-    raw = P.read_raw(spark, raw_path)
-    sensors, locs = S.stage_sensors(raw), S.stage_locations(raw)
-    IN.write_daily(D.daily_station_agg(S.stage_measurements(raw), sensors, locs), daily_path, only_present_days=False)
-    withdrawn = raw_row(page(reading(None, "2026-07-02 01:00:00")), "2026-07-04 02:05:00", uri("AE", "2026-07-03", 11))
-    P.append_batch(raw_df(spark, [withdrawn]), raw_path)
-    IN.rebuild_touched_days(spark, P.read_raw(spark, raw_path), sensors, locs, "2026-07-04 00:00:00", daily_path)
-    got = sorted(r["measurement_date"].isoformat() for r in IN.read_daily(spark, daily_path).collect())
-    assert got == ["2026-07-01"]
+    days = IN.update_sensor_days(spark, P.read_raw(spark, raw_path), "2026-07-04 00:00:00", path)
+    assert sorted(r[0].isoformat() for r in days.collect()) == ["2026-07-02", "2026-07-03"]
+    stored, full = _both(spark, raw_path, path)
+    assert stored == full and [r[5] for r in sorted(stored, key=lambda r: r[4])] == [10.0, 22.0, 30.0]
+    assert before == files()
+
+
+def test_withdrawn_day_disappears(spark, tmp_dir):
+    raw_path, path = _start(spark, tmp_dir)
+    gone = raw_row(page(reading(None, "2026-07-02 01:00:00")), "2026-07-04 02:05:00", uri("AE", "2026-07-03", 11))
+    P.append_batch(raw_df(spark, [gone]), raw_path)
+    IN.update_sensor_days(spark, P.read_raw(spark, raw_path), "2026-07-04 00:00:00", path)
+    stored, full = _both(spark, raw_path, path)
+    assert stored == full and [r[4].isoformat() for r in stored] == ["2026-07-01"]
+
+
+def test_a_moved_sensor_and_a_flipped_flag_apply_to_untouched_days(spark, tmp_dir):
+    raw_path, path = _start(spark, tmp_dir)
+    moved = raw_row(page(location(1, "AE", []), location(2, "AE", [(11, "pm25"), (12, "pm25")], is_monitor=True)),
+                    "2026-07-05 00:00:00", uri("AE", "2026-07-05", "locations"))
+    new = raw_row(page(reading(5.0, "2026-07-04 01:00:00")), "2026-07-05 02:05:00", uri("AE", "2026-07-04", 11))
+    P.append_batch(raw_df(spark, [moved, new]), raw_path)
+    IN.update_sensor_days(spark, P.read_raw(spark, raw_path), "2026-07-05 00:00:00", path)
+    stored, full = _both(spark, raw_path, path)
+    assert stored == full and {r[0] for r in stored} == {2} and len(stored) == 3
+
+
+def test_a_table_without_any_reading_can_be_read_and_updated(spark, tmp_dir):
+    raw_path, path = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "days")
+    P.ensure_raw_table(spark, raw_path)
+    IN.build_sensor_days(P.read_raw(spark, raw_path), path)
+    IN.update_sensor_days(spark, P.read_raw(spark, raw_path), "2026-07-05 00:00:00", path)
+    assert IN.read_sensor_days(spark, path).count() == 0
+
+
+def test_days_are_written_by_few_files(spark, tmp_dir):
+    many = [raw_row(page(reading(float(s), "2026-07-01 03:00:00")), "2026-07-02 02:05:00", uri("AE", "2026-07-01", 100 + s)) for s in range(40)]
+    _, path = _start(spark, tmp_dir, many)
+    assert len(glob.glob(f"{path}/measurement_date=2026-07-01/*.parquet")) == 1

@@ -121,17 +121,3 @@ def test_chunks_tile_the_window(spark, length, n):
         want.append((cur, nxt))
         cur = nxt
     assert got == want
-
-
-@SLOW
-@given(st.lists(st.tuples(st.integers(0, 4), st.integers(0, 6), st.integers(0, 3), st.integers(-5, 5)), min_size=1, max_size=30))
-def test_aggregate_form_equals_window_form(spark, rows):
-    from pyspark.sql import functions as F
-
-    from stationlake.operators.dedup import latest_by_aggregate, latest_per_key
-
-    df = spark.createDataFrame(rows, "k INT, stamp INT, pos INT, v INT")
-    order = ["stamp", "pos", "v"]
-    w = latest_per_key(df, ["k"], [F.col(c).desc() for c in order])
-    a = latest_by_aggregate(df, ["k"], order)
-    assert sorted(tuple(r) for r in w.collect()) == sorted(tuple(r) for r in a.select(*w.columns).collect())

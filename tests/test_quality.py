@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from stationlake.operators import quality as Q
@@ -56,6 +57,15 @@ def test_nonempty_guard(spark):
     assert got == {"AE": (0, "fail"), "PK": (1, "pass")}
 
 
+def test_gate_fails_the_job_that_reads_the_report(spark):
+    df = spark.createDataFrame([(1, None), (2, 5)], "id BIGINT, x INT")
+    warned = Q.run_checks("t", df, [Q.not_null("id"), Q.not_null("x", severity="warn")])
+    assert Q.gate(warned).count() == 2
+    failed = Q.run_checks("t", df, [Q.not_null("id"), Q.not_null("x")])
+    with pytest.raises(Exception, match="data-quality check failed"):
+        Q.gate(failed).count()
+
+
 def test_suite_has_sixty_one_checks():
     s = K.suite()
     assert len(s) == 61

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from helpers import page, raw_df, raw_row, reading, uri
 from pyspark.sql import functions as F
 
@@ -16,19 +17,23 @@ def log(spark, statuses):
     return spark.createDataFrame(rows, FETCH_LOG_DDL)
 
 
-def test_exactly_twenty_percent_passes(spark):
-    fl = log(spark, [("ok", 5)] * 6 + [("empty", 0)] * 2 + [("failed", 0)] * 2)
+@pytest.mark.parametrize("fetched,failed,passes", [(25, 4, True), (25, 5, True), (25, 6, False), (1, 1, False), (3, 0, True)])
+def test_the_gate_around_its_limit(spark, fetched, failed, passes):
+    ok = (fetched - failed) // 2
+    fl = log(spark, [("failed", 0)] * failed + [("ok", 4)] * ok + [("empty", 9)] * (fetched - failed - ok))
     s = R.failure_gate(R.fetch_summary(fl)).first()
-    assert (s["sensors_ok"], s["sensors_empty"], s["sensors_failed"], s["measurements"]) == (6, 2, 2, 30)
-    assert s["failure_rate"] == 0.2 and s["passes"] is True
+    assert (s["sensors_fetched"], s["sensors_ok"], s["sensors_failed"], s["measurements"]) == (fetched, ok, failed, 4 * ok)
+    assert s["passes"] is passes
+    assert [r["sensor_id"] for r in R.failed_sensors(fl).collect()] == list(range(failed))
 
 
-def test_thirty_percent_fails(spark):
-    fl = log(spark, [("ok", 5)] * 7 + [("failed", 0)] * 3)
-    s = R.failure_gate(R.fetch_summary(fl)).first()
-    assert s["passes"] is False
-    failed = [r["sensor_id"] for r in R.failed_sensors(fl).collect()]
-    assert failed == [7, 8, 9]
+def test_enforce_raises_on_false_and_on_null(spark):
+    rows = spark.createDataFrame([(1, True), (2, True)], "i INT, fine BOOLEAN")
+    assert R.enforce(rows, "fine", "not fine").count() == 2
+    for bad in (False, None):
+        worse = rows.unionAll(spark.createDataFrame([(3, bad)], "i INT, fine BOOLEAN"))
+        with pytest.raises(Exception, match="not fine"):
+            R.enforce(worse, "fine", "not fine").count()
 
 
 def test_empty_log_rate_is_zero(spark):
@@ -92,23 +97,23 @@ def test_skip_lists(spark):
 def test_records_in_latest_batch_like_and_prefix(spark):
     rows = [
         raw_row(page(reading(1.0, "2026-01-01 01:00:00")), "2026-03-03 02:00:00",
-                "gs://b/raw/airq/PK/backfill/2026-01-01_2026-03-02/7.json"),
+                "lake://zone/raw/airq/PK/backfill/2026-01-01_2026-03-02/7.json"),
         raw_row(page(reading(1.0, "2026-01-01 01:00:00")), "2026-03-03 05:00:00",
-                "gs://b/raw/airq/PK/backfillX2026-01-01_2026-03-02/7.json"),
+                "lake://zone/raw/airq/PK/backfillX2026-01-01_2026-03-02/7.json"),
     ]
     raw = raw_df(spark, rows)
-    like = R.records_in_latest_batch(raw, "gs://b/raw/airq/PK/backfill/2026-01-01_2026-03-02/%").first()
+    like = R.records_in_latest_batch(raw, "lake://zone/raw/airq/PK/backfill/2026-01-01_2026-03-02/%").first()
     assert like["records"] == 1
     assert like["latest_batch"].hour == 2
     # `_` in a LIKE pattern matches any character, so this pattern also
     # matches the `backfillX…` object and picks its later batch
-    loose = R.records_in_latest_batch(raw, "gs://b/raw/airq/PK/backfill_2026-01-01_2026-03-02/%").first()
+    loose = R.records_in_latest_batch(raw, "lake://zone/raw/airq/PK/backfill_2026-01-01_2026-03-02/%").first()
     assert loose["latest_batch"].hour == 5
     prefix = R.records_in_latest_batch(
-        raw, "gs://b/raw/airq/PK/backfill/2026-01-01_2026-03-02/", mode="prefix"
+        raw, "lake://zone/raw/airq/PK/backfill/2026-01-01_2026-03-02/", mode="prefix"
     ).first()
     assert prefix["records"] == 1 and prefix["latest_batch"].hour == 2
-    none = R.records_in_latest_batch(raw, "gs://nothing/%").first()
+    none = R.records_in_latest_batch(raw, "lake://nothing/%").first()
     assert none["records"] == 0 and none["latest_batch"] is None
 
 
@@ -123,8 +128,6 @@ def test_table_diff_both_ways(spark):
 
 
 def test_malformed_manifest_fails_loudly(spark, tmp_dir):
-    import pytest
-
     path = f"{tmp_dir}/manifest"
     spark.createDataFrame([("PK", "not a date")], "country STRING, window_start STRING").write.parquet(path)
     with pytest.raises(Exception):

@@ -1,40 +1,8 @@
-"""Scale helpers: spreading small scans, size-checked broadcast, zone-free literals."""
+"""Scale helpers: zone-free literals, no driver-side size checks."""
 
 import datetime as dt
-import os
-
-from pyspark.sql import functions as F
 
 from stationlake.functions.columns import ts_lit
-from stationlake.functions.joins import dimension_join
-from stationlake.sources.driver_tables import spread
-
-
-def test_spread_only_touches_scans_with_few_splits(spark, tmp_dir):
-    cores = spark.sparkContext.defaultParallelism
-    many = os.path.join(tmp_dir, "many")
-    spark.range(0, 10_000, numPartitions=cores * 2).write.parquet(many)
-    wide = spark.read.parquet(many)
-    assert spread(wide) is wide  # already as many splits as cores: unchanged
-    one = os.path.join(tmp_dir, "one")
-    spark.range(0, 100, numPartitions=1).write.parquet(one)
-    narrow = spark.read.parquet(one)
-    assert spread(narrow).rdd.getNumPartitions() == cores
-
-
-def _hinted(df) -> bool:
-    return "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
-
-
-def test_dimension_join_broadcasts_only_within_the_bound(spark):
-    fact = spark.range(1000).withColumn("k", F.col("id") % 10)
-    dim = spark.range(10).withColumnRenamed("id", "k").withColumn("name", F.concat(F.lit("n"), F.col("k")))
-    small = dimension_join(fact, dim, "k", max_rows=100)
-    large = dimension_join(fact, dim, "k", max_rows=5)
-    assert _hinted(small) and not _hinted(large)
-    assert small.count() == large.count() == 1000
-    computed = dimension_join(fact, dim.where("k < 5"), "k", computed=True)
-    assert computed.count() == 500
 
 
 def test_ts_lit_keeps_wall_clock_in_session_zone(spark):

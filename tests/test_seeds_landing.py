@@ -5,7 +5,6 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from stationlake import constants as C
 from stationlake.sources import pages as P
 from stationlake.sources.seeds import read_thresholds, skip_set, thresholds_from_constants
 
@@ -18,24 +17,17 @@ def test_seed_equals_constants_both_ways(spark):
     assert units == {"µg/m³", "mg/m³"}
 
 
-def test_seed_matches_shorthand_mapping(spark):
-    shorthand = {("o3", "24h"): 100.0, ("o3", "annual"): 60.0}
-    seed = {(r["pollutant"], r["averaging_period"]): r["threshold_value"] for r in read_thresholds(spark).collect()}
-    for (pollutant, key), value in shorthand.items():
-        assert seed[(pollutant, C.PERIOD_SHORTHAND[pollutant][key])] == value
-
-
 def test_skip_set_from_csv(spark, tmp_dir):
     path = os.path.join(tmp_dir, "bad.csv")
     with open(path, "w") as f:
-        f.write("sensor_id,country_code,note\n15904590,PK,x\n16034745,PK,y\n15904590,PK,z\n")
-    assert sorted(r[0] for r in skip_set(spark, path).collect()) == [15904590, 16034745]
+        f.write("note,sensor_id\nloose wire,71\nburied,3\nseen again,71\n")
+    assert sorted(r[0] for r in skip_set(spark, path).collect()) == [3, 71]
 
 
 def test_scan_reference_layout_lines_verbatim(spark, tmp_dir):
     base = os.path.join(tmp_dir, "raw", "airq", "AE", "2026-07-12")
     os.makedirs(base)
-    bodies = ['{"results": [{"value": 49.1},  {"value": 50.0}]}', '{"results":  [3]}']
+    bodies = ['{"page": 1, "results": [{"value": 0.25},   {"value": 8}]}', '{"results" : [ {"value": 1e1} ]}']
     with open(os.path.join(base, "12345.json"), "w") as f:
         f.write("\n".join(bodies) + "\n")
     with open(os.path.join(base, "locations.json"), "w") as f:
@@ -50,27 +42,31 @@ def test_scan_reference_layout_lines_verbatim(spark, tmp_dir):
 
 
 def test_malformed_line_fails_the_load(spark):
-    lines = spark.createDataFrame([('{"results": []}', "x/1.json"), ("{oops", "x/2.json")], "value STRING, source_uri STRING")
-    assert P.invalid_page_lines(lines).count() == 1
-    with pytest.raises(Exception):
-        P.land_batch(lines, "2026-07-13 02:05:00").collect()
+    good = '{"results": []}'
+    bad = ["{oops", good + " tail", good + good, good + "," + good, "", '{"a": 1, "a": 2}', None]
+    frame = lambda vs: spark.createDataFrame([(v, "x/1.json") for v in vs], "value STRING, source_uri STRING")
+    assert P.invalid_page_lines(frame([good, *bad])).count() == len(bad)
+    assert P.land_batch(frame([good]), "2026-07-13 02:05:00").count() == 1
+    for line in bad:
+        with pytest.raises(Exception, match="malformed page line"):
+            P.land_batch(frame([good, line]), "2026-07-13 02:05:00").collect()
 
 
 def test_write_pages_roundtrip_is_byte_exact(spark, tmp_dir):
-    bodies = ['{"results": [1, 2]}', '{"results":  [3]}']
+    bodies = ['{"results": ["tab\tinside", 2]}', '{"results"  :[0.5]}']
     pages = spark.createDataFrame([("AE", "2026-07-12", "12345", b) for b in bodies], "country STRING, part STRING, leaf STRING, body STRING")
     zone = os.path.join(tmp_dir, "zone")
     P.write_pages(pages, zone)
-    back = P.scan_partitioned_pages(spark, zone, "gs://bucket").collect()
+    back = P.scan_partitioned_pages(spark, zone, "lake://zone").collect()
     assert sorted(r["value"] for r in back) == sorted(bodies)
-    assert {r["source_uri"] for r in back} == {"gs://bucket/raw/airq/AE/2026-07-12/12345.json"}
+    assert {r["source_uri"] for r in back} == {"lake://zone/raw/airq/AE/2026-07-12/12345.json"}
 
 
 def test_raw_table_is_append_only(spark, tmp_dir):
     path = os.path.join(tmp_dir, "raw_table")
     P.ensure_raw_table(spark, path)
     P.ensure_raw_table(spark, path)
-    lines = spark.createDataFrame([('{"results": [1]}', "gs://b/raw/airq/AE/2026-07-12/1.json")], "value STRING, source_uri STRING")
+    lines = spark.createDataFrame([('{"results": [1]}', "lake://zone/raw/airq/AE/2026-07-12/1.json")], "value STRING, source_uri STRING")
     P.append_batch(P.land_batch(lines, "2026-07-13 02:05:00"), path)
     P.append_batch(P.land_batch(lines, "2026-07-13 05:00:00"), path)
     t = P.read_raw(spark, path)

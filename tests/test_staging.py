@@ -1,5 +1,7 @@
 """Staging semantics on literal pages."""
 
+import json
+
 from helpers import location, page, raw_df, raw_row, reading, uri
 from pyspark.sql import functions as F
 
@@ -96,14 +98,32 @@ def test_inventory_staging_two_levels(spark):
 
 
 def test_target_sensor_extraction(spark):
-    p1 = page(location(1, "PK", [(20, "no2"), (9, None)]), location(2, "PK", [(7, "pm10")]))
-    p2 = page(location(3, "PK", [(20, "no2"), (5, "temperature")]))
+    p1 = page(location(1, "PK", [(310, "pm10"), (88, None), (41, "so2")]), location(2, "PK", [(52, "pm25")]))
+    p2 = page(location(3, "PK", [(310, "no2"), (64, "humidity"), (17, "no2")]))
     rows = [
         raw_row(p1, "2026-07-12 02:05:00", uri("PK", "2026-07-12", "locations")),
-        raw_row(p2, "2026-07-12 02:05:00", uri("PK", "2026-07-12", "locations")),
+        raw_row(p2, "2026-07-13 02:05:00", uri("PK", "2026-07-13", "locations")),
     ]
     got = [(r["sensor_id"], r["parameter"]) for r in S.target_sensors(raw_df(spark, rows)).collect()]
-    assert got == [(7, "pm10"), (20, "no2")]
+    assert got == [(17, "no2"), (52, "pm25"), (310, "no2")]  # 310: its newest listing
+
+
+def test_an_odd_entry_leaves_the_other_records_of_a_page(spark):
+    good = json.dumps(reading(3.0, "2026-07-12 01:00:00"))
+    body = '{"results": [5, %s, "text", null, [1], {"value": "7", "parameter": 3}]}' % good
+    raw = raw_df(spark, [raw_row(body, "2026-07-13 02:05:00", uri("AE", "2026-07-12", 11))])
+    recs = S.parse_measurements(S.measurement_records(raw)).orderBy("record_pos").collect()
+    assert [r["measurement_value"] for r in recs] == [None, 3.0, None, None, None, 7.0]
+    assert recs[1]["parameter"] == "pm25" and recs[5]["parameter"] is None
+
+
+def test_an_odd_entry_leaves_the_other_stations_and_sensors(spark):
+    station = location(1, "AE", [(11, "pm25"), (12, "no2")])
+    station["sensors"][1:1] = [3, None, "x"]
+    raw = raw_df(spark, [raw_row(json.dumps({"results": [17, station]}), "2026-07-13 02:05:00", uri("AE", "2026-07-12", "locations"))])
+    assert {r["sensor_id"] for r in S.stage_sensors(raw).collect()} >= {11, 12}
+    assert 1 in {r["location_id"] for r in S.stage_locations(raw).collect()}
+    assert [r["sensor_id"] for r in S.target_sensors(raw).collect()] == [11, 12]
 
 
 def test_hours_covered_counts_distinct_hours(spark):

@@ -41,14 +41,14 @@ def test_stream_ingest_stamps_one_batch(spark, tmp_dir):
     P.write_pages(pages, zone)
     table, ckpt = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "ckpt")
     P.ensure_raw_table(spark, table)
-    ST.ingest_pages_stream(ST.page_lines_stream(spark, zone, "gs://b"), table, ckpt).awaitTermination()
+    ST.ingest_pages_stream(ST.page_lines_stream(spark, zone, "lake://zone"), table, ckpt).awaitTermination()
     raw = P.read_raw(spark, table)
     assert raw.count() == 2 and raw.select("ingested_at").distinct().count() == 1
     assert raw.agg(P.page_record_total(raw)).first()[0] == 3  # 2 readings + 1 location
     assert raw.where(F.col("source_uri").endswith("/locations.json")).count() == 1
 
 
-def test_corrections_older_than_the_watermark_are_left_to_batch(spark, tmp_dir):
+def test_corrections_older_than_the_watermark_are_kept_aside(spark, tmp_dir):
     table = os.path.join(tmp_dir, "raw")
     days = [raw_row(page(reading(1.0, f"2026-07-{d:02d} 05:00:00")), f"2026-07-{d:02d} 23:00:00", uri("AE", f"2026-07-{d:02d}", 1))
             for d in range(1, 21)]
@@ -59,7 +59,9 @@ def test_corrections_older_than_the_watermark_are_left_to_batch(spark, tmp_dir):
         recs = S.parse_measurements(S.measurement_records(ST.raw_table_stream(spark, table)))
         slim = recs.select("sensor_id", "period_start_utc", "measurement_value", "ingested_at", "source_uri", "record_pos")
         ST.run_update_stream(ST.latest_wins_stream(slim), out, ckpt).awaitTermination()
+        ST.late_records_stream(slim, late_out, late_ckpt).awaitTermination()
 
+    late_out, late_ckpt = os.path.join(tmp_dir, "late"), os.path.join(tmp_dir, "late-ckpt")
     run()
     run()  # an empty run lets the watermark from the first batch take effect
     late = [raw_row(page(reading(9.0, "2026-07-05 05:00:00")), "2026-07-21 02:05:00", uri("AE", "2026-07-20", 1)),
@@ -71,3 +73,10 @@ def test_corrections_older_than_the_watermark_are_left_to_batch(spark, tmp_dir):
     assert state[19] == 8.0  # within the watermark: corrected
     batch = {r["period_start_utc"].day: r["measurement_value"] for r in S.stage_measurements(P.read_raw(spark, table)).collect()}
     assert batch[5] == 9.0 and batch[19] == 8.0
+    # the dropped row is kept, and taken in again it gives what the batch gives
+    keys = ["sensor_id", "period_start_utc"]
+    state = ST.current_state(spark, out, keys)
+    dropped = ST.read_late_records(spark, late_out, state.schema)
+    assert [(r["period_start_utc"].day, r["measurement_value"]) for r in dropped.collect()] == [(5, 9.0)]
+    merged = ST.with_late_records(state, dropped, keys, ["ingested_at", "source_uri", "record_pos"])
+    assert {r["period_start_utc"].day: r["measurement_value"] for r in merged.collect()} == batch

@@ -21,19 +21,22 @@ def chunks(spark, start, end, n):
 
 
 def test_tiles_abut_and_last_is_truncated(spark):
-    assert chunks(spark, "2026-01-01", "2026-01-05", 2) == [("2026-01-01", "2026-01-03"), ("2026-01-03", "2026-01-05")]
-    assert chunks(spark, "2026-01-01", "2026-01-05", 3) == [("2026-01-01", "2026-01-04"), ("2026-01-04", "2026-01-05")]
+    # eleven days: two whole weeks don't fit, four-day tiles leave three days over
+    assert chunks(spark, "2025-03-27", "2025-04-07", 7) == [("2025-03-27", "2025-04-03"), ("2025-04-03", "2025-04-07")]
+    assert chunks(spark, "2025-03-27", "2025-04-07", 4) == [
+        ("2025-03-27", "2025-03-31"), ("2025-03-31", "2025-04-04"), ("2025-04-04", "2025-04-07")]
+    assert chunks(spark, "2025-03-27", "2025-04-07", 90) == [("2025-03-27", "2025-04-07")]
 
 
-@pytest.mark.parametrize("start,end,n", [("2026-01-05", "2026-01-05", 2), ("2026-01-06", "2026-01-05", 2), ("2026-01-01", "2026-01-05", 0)])
+@pytest.mark.parametrize("start,end,n", [("2025-04-07", "2025-04-07", 3), ("2025-04-07", "2025-03-27", 3), ("2025-03-27", "2025-04-07", -1)])
 def test_bad_windows_fail(spark, start, end, n):
     with pytest.raises(Exception):
         chunks(spark, start, end, n)
 
 
-def test_label(spark):
-    df = spark.createDataFrame([("AE", d("2026-01-01"), d("2026-03-02"))], W)
-    assert plan_chunks(df, 60).first()["chunk_label"] == "backfill/2026-01-01_2026-03-02"
+def test_label_of_a_chunk_across_a_leap_day(spark):
+    df = spark.createDataFrame([("AE", d("2024-02-20"), d("2024-03-20"))], W)
+    assert plan_chunks(df, 10).orderBy("chunk_start").first()["chunk_label"] == "backfill/2024-02-20_2024-03-01"
 
 
 def test_half_open_and_lookback(spark):
