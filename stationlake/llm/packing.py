@@ -13,6 +13,8 @@ from __future__ import annotations
 
 import bisect
 import functools
+import os
+from array import array
 from collections import defaultdict
 
 import numpy as np
@@ -25,8 +27,8 @@ from stationlake.llm.common import ROW_KEY, store, with_row_key
 
 WINDOW = 2048
 END_ID = 1
-#: Words whose ids a worker remembers at once.
-CACHE_WORDS = 200_000
+#: Words, and parts of words, that a worker takes in before it forgets the ones not met again.
+CACHE_WORDS, CACHE_PARTS = 250_000, 400_000
 #: Most partner lengths tried per length when triples are enumerated.
 PARTNERS = 24
 #: Rows that are ranked together.
@@ -34,33 +36,113 @@ RANK_BLOCK = 50_000
 KEY = "STRUCT<file: LONG, row: LONG>"
 
 
+def _is_latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
+class _Recent:
+    """A bounded memory: entries not asked for during a whole generation are forgotten."""
+
+    def __init__(self, entries: int):
+        self.entries, self.new, self.old = entries, {}, {}
+
+    def missing(self, keys: set[str]) -> list[str]:
+        """Keys to be filled in; those of the last generation are taken over."""
+        out, new, old = [], self.new, self.old
+        for k in keys.difference(new):
+            if (found := old.get(k)) is None:
+                out.append(k)
+            else:
+                new[k] = found
+        return out
+
+    def turn(self) -> None:
+        """Between texts: begin a generation when this one is full."""
+        if len(self.new) > self.entries:
+            self.old, self.new = self.new, {}
+
+
 class Encoder:
     """Ids of whole texts as little-endian unsigned 32-bit bytes.
 
     The tokenizer drops white space and never joins what it separates, so the
-    ids of a text are the ids of its words one after another; those of a word
-    are looked up once.
+    ids of a text are the ids of its words one after another.  Letters and the
+    punctuation after them are separate to it as well, so a word of this form is
+    made of two remembered parts; other words are encoded as they are.
     """
 
+    #: Marks that only ever stand for themselves (no contraction, no special token).
+    MARKS = "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
+
     def __init__(self, path: str, end_id: int):
+        # A task has one core; the library's own threads would spin on the others.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.end = np.array([end_id], "<u4").tobytes()
-        self.known: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        suffix = self.model.end_of_word_suffix
+        self.closes = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        if suffix:
+            self.closes[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
+        plain = ["a", "tokens", "thereabouts", "zqxjkvb"]
+        whole = [e.ids for e in self.tokenizer.encode_batch(plain, add_special_tokens=False)]
+        self.lowers = self.tokenizer.encode("ÀB", add_special_tokens=False).ids == self.tokenizer.encode("àb", add_special_tokens=False).ids
+        self.direct = [[t.id for t in self.model.tokenize(w)] for w in plain] == whole
+        self.words, self.parts = _Recent(CACHE_WORDS), _Recent(CACHE_PARTS)
+
+    def _encode(self, parts: list[str]) -> None:
+        """Remember the ids of ``parts``.
+
+        Lower-case ASCII letters pass the tokenizer's normaliser and splitter
+        as they are, so its model takes them directly (checked on a few words
+        when the encoder is made); all else goes through the whole tokenizer.
+        """
+        single, plain, known = [], [], self.parts.new
+        for p in parts:
+            if not p.isalpha():
+                single.append(p)
+            elif self.direct and p.isascii() and p.islower():
+                known[p] = array("I", [t.id for t in self.model.tokenize(p)]).tobytes()
+            else:
+                plain.append(p)
+        for at in range(0, len(plain), 1024):  # words of letters in one text; the last id of a word closes it
+            some = plain[at : at + 1024]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            if len(ends) != len(some):
+                single += some
+                continue
+            data, ends = ids.tobytes(), (4 * ends).tolist()
+            known.update(zip(some, map(data.__getitem__, map(slice, [0, *ends[:-1]], ends))))
+        for w, e in zip(single, self.tokenizer.encode_batch_fast(single, add_special_tokens=False) if single else ()):
+            known[w] = array("I", e.ids).tobytes()
 
     def __call__(self, text: str | None) -> bytes:
-        words = (text or "").replace("\n", " ").split(" ")
-        missing = [w for w in set(words) if w not in self.known]
-        if missing:
-            if len(self.known) + len(missing) > CACHE_WORDS:
-                self.known.clear()
-                missing = list(set(words))
-            for at in range(0, len(missing), 4096):
-                part = missing[at : at + 4096]
-                for w, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False)):
-                    self.known[w] = np.array(e.ids, "<u4").tobytes()
-        return b"".join(map(self.known.__getitem__, words)) + self.end
+        text = (text or "").replace("\n", " ")
+        if self.lowers and _is_latin(text):  # else left to the tokenizer: other alphabets have case rules by context
+            text = text.lower()
+        words = text.split(" ")
+        self.words.turn()
+        self.parts.turn()
+        if missing := self.words.missing(set(words)):
+            cut = {}
+            for w in missing:
+                core = w.rstrip(self.MARKS)
+                if core.isalpha():
+                    cut[w] = (core, w[len(core) :])
+                else:
+                    cut[w] = (w, "")
+            self._encode(self.parts.missing({part for pair in cut.values() for part in pair}))
+            known = self.parts.new
+            for w, (core, tail) in cut.items():
+                self.words.new[w] = known[core] + known[tail]
+        return b"".join(map(self.words.new.__getitem__, words)) + self.end
 
 
 @functools.lru_cache(maxsize=2)
