@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationlake.llm import mixing, packing, quality, radix_dedup, simhash
-from stationlake.llm.common import ROW_KEY, read_table, store, with_row_key
+from stationlake.llm.common import ROW_KEY, keyed_documents, read_table, store
 
 #: Shingle length and most differing bits of the near-dedup stage.
 SHINGLE_WORDS = 3
@@ -26,7 +26,7 @@ SCORE = "pipeline_quality_score"
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """``docs`` less the rows whose key is in ``gone``."""
     gone = store(gone.select(ROW_KEY), "dropped-rows")
-    return with_row_key(docs, *docs.columns).join(gone.hint("merge"), ROW_KEY, "left_anti").select(*docs.columns)
+    return keyed_documents(docs).join(gone.hint("merge"), ROW_KEY, "left_anti").select("document.*")
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -35,7 +35,15 @@ def with_row_key(df: DataFrame, *columns: str) -> DataFrame:
     other frame is stored once with a running id.  A frame made from file scans
     by joins or explodes must be stored by the caller first.
     """
-    picked = [df[c] for c in columns]
+    return _keyed(df, [df[c] for c in columns])
+
+
+def keyed_documents(df: DataFrame) -> DataFrame:
+    """``document`` (a struct of every column of ``df``, whatever their names) with ``row_key``."""
+    return _keyed(df, [F.struct(*(df[c] for c in df.columns)).alias("document")])
+
+
+def _keyed(df: DataFrame, picked: list) -> DataFrame:
     try:
         meta = df.metadataColumn("_metadata")
         return df.select(

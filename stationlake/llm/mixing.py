@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stationlake.llm.common import ROW_KEY, store, with_row_key
+from stationlake.llm.common import ROW_KEY, keyed_documents, store, with_row_key
 
 #: Words are the tokens that are budgeted.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -205,13 +205,17 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     A document that is used in part has its text cut after its last used word;
     a column ``n_chars`` is counted anew for it.
     """
-    keyed = with_row_key(docs, *docs.columns)
+    keyed = keyed_documents(docs)
     mine = mix(docs, id_col=id_col, text_col=text_col, **options)
-    used = store(mine.select(ROW_KEY, F.col("take_tokens").alias("take"), (F.col("take_tokens") < F.col("n_tokens")).alias("cut")), "mix-used")
+    used = mine.select(ROW_KEY, F.col("take_tokens").alias("take"), (F.col("take_tokens") < F.col("n_tokens")).alias("part"))
+    used = store(used, "mix-used")
+    rows = keyed.join(used.hint("merge"), ROW_KEY)
     cut = F.arrow_udf(_cut_words, "string")
-    rows = keyed.join(used, ROW_KEY)
-    text = F.when(F.col("cut"), cut(F.when(F.col("cut"), F.col(text_col)), "take")).otherwise(F.col(text_col))
-    rows = rows.withColumn(text_col, text)
-    if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.when(F.col("cut"), F.length(text_col)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return rows.select(*docs.columns)
+    whole = F.col("document")[text_col]
+    text = F.when(F.col("part"), cut(F.when(F.col("part"), whole), "take")).otherwise(whole)
+    rows = rows.select("document", "part", text.alias("cut_text"))
+    made = {c: F.col("document")[c] for c in docs.columns} | {text_col: F.col("cut_text")}
+    if "n_chars" in made:
+        size = F.length("cut_text").cast(docs.schema["n_chars"].dataType)
+        made["n_chars"] = F.when(F.col("part"), size).otherwise(made["n_chars"])
+    return rows.select(*(column.alias(c) for c, column in made.items()))
