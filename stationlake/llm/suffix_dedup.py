@@ -18,9 +18,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationlake.llm.common import store
-from stationlake.llm.recompression import _repeats, _runs, mix
-from stationlake.llm.spans import in_order
+from stationlake.llm.spans import (
+    FRAGMENT,
+    ODD,
+    columns,
+    fragment_verdicts,
+    in_order,
+    mix,
+    repeats,
+    runs,
+    span_digests,
+)
 
 WINDOW = 100
 GRAM = 40
@@ -28,46 +36,25 @@ GRAM = 40
 SYMBOL = 4
 #: Bytes of text that fragments are made of at once.
 BLOCK_BYTES = 2 << 20
-#: Rows of fragments that are compared at once; different fragments of one gram that are merged together.
-CHUNK_ROWS = 1 << 18
-LARGE_GROUP = 4096
 #: Bytes of fragments merged at once, and into how many shards they are cut.
-MERGE_BYTES = 1 << 20
+MERGE_BYTES = 1 << 17
 SHARDS = 4
-_ODD, _UNDO = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
-_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_ODD))
+_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(ODD))
 _POS = 24  # bits for the place in a block
 
 
-class _Powers:
-    """Powers of the base and of its inverse, made longer when a longer block comes."""
-
-    up = down = np.ones(1, np.uint64)
-
-    @classmethod
-    def to(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(cls.up) < n:
-            made = []
-            for base in (_ODD, _UNDO):
-                p = np.full(n, base, np.uint64)
-                p[0] = 1
-                made.append(np.multiply.accumulate(p))
-            cls.up, cls.down = made
-        return cls.up, cls.down
-
-
 def gram_digests(h: np.ndarray, size: int) -> np.ndarray:
     """Digest of every ``size`` consecutive entries, from digests of 1, 2, 4, ... entries."""
     by = {1: h}
     k = 1
     while k * 2 <= size:
-        by[2 * k] = by[k][:-k] * np.uint64(pow(_ODD, k, 1 << 64)) + by[k][k:]
+        by[2 * k] = by[k][:-k] * np.uint64(pow(ODD, k, 1 << 64)) + by[k][k:]
         k *= 2
     out, have = by[k], k
     while have < size:
         k = 1 << ((size - have).bit_length() - 1)
         n = len(h) - have - k + 1
-        out = out[:n] * np.uint64(pow(_ODD, k, 1 << 64)) + by[k][have : have + n]
+        out = out[:n] * np.uint64(pow(ODD, k, 1 << 64)) + by[k][have : have + n]
         have += k
     return mix(out)
 
@@ -115,27 +102,19 @@ def fragments(block: list[tuple[bytes, int, int]]) -> tuple[np.ndarray, ...]:
     place = place[at]
     follow = np.zeros(len(at), bool)
     follow[1:] = (place[1:] == place[:-1]) & (at[1:] == at[:-1] + 1)
-    first, n = _runs(follow)
+    first, n = runs(follow)
     start = at[first]
-    up, down = _Powers.to(len(buf) + 1)
-    sums = np.zeros(len(buf) + 1, np.uint64)
-    np.cumsum(h * up[: len(buf)], out=sums[1:])
-    digest = mix((sums[start + n + WINDOW - 1] - sums[start]) * down[start])
+    digest = span_digests(h, start, start + n + WINDOW - 1)
     own = np.searchsorted(ends, start, side="right")
     return grams[place[first]], digest, ords[own], start - (ends - sizes)[own] + begins[own], n
 
 
-FRAGMENT = "gram LONG, digest LONG, ord LONG, start LONG, n LONG"
-#: gram: null for a span that is settled; large: the group's windows are dealt out one by one.
-VERDICT = "gram LONG, large BOOLEAN, ord LONG, start LONG, n LONG"
-
-
 def _fragment_rows(batches):
     """Fragments; of equal ones in a block all but the first are settled (digest null, dealt by document)."""
     for b in batches:
         for block in _pieces([t or b"" for t in b.column(0).to_pylist()], b.column(1).to_pylist(), BLOCK_BYTES):
             gram, digest, ords, start, n = fragments(block)
-            old = _repeats([gram, digest, n], ords, start)
+            old = repeats([gram, digest, n], ords, start)
             key = np.where(old, ords, gram.view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(key), pa.array(digest.view(np.int64), mask=old), pa.array(ords), pa.array(start), pa.array(n)],
@@ -143,59 +122,6 @@ def _fragment_rows(batches):
             )
 
 
-def _columns(b: pa.RecordBatch) -> list[np.ndarray]:
-    return [c.to_numpy(zero_copy_only=False) for c in b.columns]
-
-
-def _verdicts(gram, ords, start, n, settled, large) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(gram, pa.int64(), mask=settled), pa.array(large), pa.array(ords), pa.array(start), pa.array(n)],
-        ["gram", "large", "ord", "start", "n"],
-    )
-
-
-def _compare(batches):
-    """Fragments sorted by (gram, ord, start): settled spans, and fragments to be looked into.
-
-    A fragment equal to an earlier one is settled whole.  If a gram has two
-    different fragments, each of them (its first occurrence) is looked into.
-    A group that doesn't end in this chunk is carried over without repeats.
-    """
-    held: list[np.ndarray] | None = None
-
-    def judge(gram, digest, ords, start, n, told, last):
-        """(verdicts, rows carried over); ``told``: carried rows whose verdict is out already."""
-        old = _repeats([gram, digest, n], ords, start)
-        new = ~old
-        group = np.cumsum(np.concatenate([[True], gram[1:] != gram[:-1]])) - 1
-        kinds = np.bincount(group, weights=new)[group]
-        open_ = np.zeros(len(gram), bool) if last else group == group[-1]
-        large = kinds > LARGE_GROUP
-        # An open group is judged when it is complete, or at once when it is large.
-        out = new & (kinds > 1) & ~told & (~open_ | large)
-        give, keep = old | out, open_ & new
-        carried = [x[keep] for x in (gram, digest, ords, start, n, told | out)]
-        return _verdicts(gram[give], ords[give], start[give], n[give], old[give], large[give]), carried
-
-    for b in batches:
-        if not b.num_rows:
-            continue
-        loose = b.column(1).is_null().to_numpy(zero_copy_only=False)
-        if loose.any():
-            gram, ords, start, n = (c[loose] for c in _columns(b.select(["gram", "ord", "start", "n"])))
-            yield _verdicts(gram, ords, start, n, np.ones(len(n), bool), np.zeros(len(n), bool))
-        rest = b.filter(pa.array(~loose))
-        if not rest.num_rows:
-            continue
-        cols = [*(c.astype(np.int64) for c in _columns(rest)), np.zeros(rest.num_rows, bool)]
-        held = cols if held is None else [np.concatenate(x) for x in zip(held, cols)]
-        if len(held[0]) >= CHUNK_ROWS:
-            out, held = judge(*held, last=False)
-            yield out
-    if held is not None and len(held[0]):
-        yield judge(*held, last=True)[0]
-
-
 def _cut_rows(batches):
     """Rows to be merged (key gram, the fragment's bytes) or, for large groups, each window (key its digest, no bytes)."""
     for b in batches:
@@ -248,13 +174,16 @@ def sorted_suffixes(text: np.ndarray) -> np.ndarray:
     rank, k = text, 1
     while True:
         then = np.where(left >= k, rank[np.minimum(np.arange(n) + k, n - 1)], 0)
-        both = rank * np.int64(max(n, int(rank.max())) + 1) + then
-        order = np.argsort(both, kind="stable")
-        ranked = both[order]
+        if max(rank.max(), then.max()) < 1 << 16:  # short keys are sorted by counting
+            order = np.argsort(then.astype(np.uint16), kind="stable")
+            order = order[np.argsort(rank.astype(np.uint16)[order], kind="stable")]
+        else:
+            order = np.lexsort((then, rank))
+        first, second = rank[order], then[order]
         dense = np.empty(n, np.int64)
-        dense[order] = np.cumsum(np.concatenate([[False], ranked[1:] != ranked[:-1]]))
+        dense[order] = np.cumsum(np.concatenate([[False], (first[1:] != first[:-1]) | (second[1:] != second[:-1])]))
         rank, k = dense, 2 * k
-        if k > left.max() or ranked.size == dense[order[-1]] + 1:
+        if k > left.max() or dense[order[-1]] + 1 == n:
             return order
 
 
@@ -323,7 +252,7 @@ def _merge(batches):
         ords, at = ords[order], at[order]
         follow = np.zeros(len(at), bool)
         follow[1:] = (ords[1:] == ords[:-1]) & (at[1:] == at[:-1] + 1)
-        first, size = _runs(follow)
+        first, size = runs(follow)
         return pa.RecordBatch.from_arrays(
             [pa.array(ords[first]), pa.array(at[first]), pa.array(at[first] + size + WINDOW - 1)], ["ord", "lo", "hi"]
         )
@@ -331,7 +260,7 @@ def _merge(batches):
     def flush():
         piece, place, interval = repeated_windows(pieces)
         o, at = np.array(ords, np.int64)[piece], np.array(starts, np.int64)[piece] + place
-        gone = _repeats([interval], o, at)
+        gone = repeats([interval], o, at)
         return spans(o[gone], at[gone])
 
     for b in batches:
@@ -339,7 +268,7 @@ def _merge(batches):
             continue
         single = b.column(3).is_null().to_numpy(zero_copy_only=False)
         if single.any():
-            key, o, at = (c[single].astype(np.int64) for c in _columns(b.select(["key", "ord", "start"])))
+            key, o, at = (c[single].astype(np.int64) for c in columns(b.select(["key", "ord", "start"])))
             gone = np.zeros(len(key), bool)
             gone[1:] = key[1:] == key[:-1]
             gone[0] = last is not None and key[0] == last
@@ -361,11 +290,11 @@ def _merge(batches):
 def covered_spans(ordered: DataFrame) -> DataFrame:
     """``ord, lo, hi``: bytes lo to hi (exclusive) covered by strings of WINDOW bytes with an earlier twin."""
     rows = ordered.select("text", "ord").mapInArrow(_fragment_rows, FRAGMENT)
-    dealt = rows.repartition("gram").sortWithinPartitions("gram", "ord", "start")
-    judged = store(dealt.mapInArrow(_compare, VERDICT), "fragments")
-    settled = judged.where("gram IS NULL").select("ord", F.col("start").alias("lo"), (F.col("start") + F.col("n") + WINDOW - 1).alias("hi"))
-    asked = judged.where("gram IS NOT NULL").groupBy("ord").agg(F.collect_list(F.struct("gram", "large", "start", "n")).alias("parts"))
-    cut = ordered.join(asked.hint("merge"), "ord").select("text", "ord", "parts").mapInArrow(_cut_rows, "key LONG, ord LONG, start LONG, piece BINARY")
+    settled, asked = fragment_verdicts(rows, "fragments")
+    settled = settled.select("ord", F.col("start").alias("lo"), (F.col("start") + F.col("n") + WINDOW - 1).alias("hi"))
+    # The same columns as in the last join of the texts, so that they are shuffled once for both.
+    cut = ordered.join(asked.hint("merge"), "ord").select("text", "ord", "parts", "doc_id")
+    cut = cut.mapInArrow(_cut_rows, "key LONG, ord LONG, start LONG, piece BINARY")
     merged = cut.repartition("key").sortWithinPartitions("key", "ord", "start").mapInArrow(_merge, "ord LONG, lo LONG, hi LONG")
     return settled.unionByName(merged)
 
@@ -405,8 +334,8 @@ def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str
     table gives no rows; other columns are not used.
 
     Whole texts are read.  Copies of a fragment are one fragment (the earliest)
-    before anything is merged; a gram with more than LARGE_GROUP different
-    fragments is dealt out by window, so no group grows in one task.
+    before anything is merged; a gram with more than ``spans.LARGE_GROUP``
+    different fragments is dealt out by window, so no group grows in one task.
     """
     ordered = in_order(docs, id_col, text_col)
     spans = covered_spans(ordered).groupBy("ord").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
