@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from stationlake import constants as C
 from stationlake.functions.columns import ts_lit
-from stationlake.schemas import MANIFEST_DDL
+from stationlake.schemas import MANIFEST_DDL, MANIFEST_FAILED_DDL
 from stationlake.sources.pages import page_kind, record_count
 
 # --- fetch outcomes ----------------------------------------------------------
@@ -167,6 +167,11 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], MANIFEST_DDL)
 
 
+def read_manifest_failed(spark: SparkSession, path: str) -> DataFrame:
+    """Failed sensor ids of completed windows, one distinct row each."""
+    return spark.read.schema(MANIFEST_FAILED_DDL).parquet(path).distinct()
+
+
 def append_manifest(records: DataFrame, path: str) -> None:
     """Append completed-window records.  Readers take distinct keys, so an
     append repeated after a crash is harmless."""

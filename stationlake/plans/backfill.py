@@ -1,94 +1,167 @@
 """A backfill run over the event world, as table jobs.
 
-Per (country, chunk) the run needs the fetch outcome counts, a landed batch
-to reconcile against, the failure gate and the manifest append.  The counts
-come from aggregates (readings per chunk, sensors per country, known-bad
-sensors per country and chunk), so no (sensor, chunk) pair is ever emitted.
-The pages are re-landed under ``…/{CC}/backfill/{start}_{end}/{sensor}.json``
-with one batch per chunk, stamped the morning after the chunk ends.
+A run takes the chunks without a manifest record, keeps the target sensors that
+are not on the skip list, and lands per chunk the pages of the fetches that
+went well, one batch per chunk, with the inventory pages under the first open
+chunk of each country.  A chunk whose failure rate is within the gate and whose
+reported count equals its landed count gets a manifest record, with its failed
+sensor ids in a child table.  If any chunk does not pass, the run stops with an
+error after recording those that do, and a later run takes up the rest.
+
+Fetch outcomes come from the ``events`` rows and landed counts from the written
+raw table.  Sensors without readings are counted, never paired with chunks.
+Chunk bounds follow arithmetically from a country's span (one row per country),
+so facts are joined to nothing larger.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationlake.functions.columns import country_from_uri, object_name, sensor_id_from_uri
+from stationlake import constants as C
+from stationlake.functions.columns import chunk_label, country_from_uri, object_name, sensor_id_from_uri
+from stationlake.operators import quality as Q
 from stationlake.operators import runs as R
 from stationlake.operators.windows import chunk_start_of
 from stationlake.plans import feeds as FD
-from stationlake.sources.pages import land_batch
+from stationlake.sources.pages import append_batch, ensure_raw_table, land_batch, read_raw
 
 COMPLETED_AT = "2024-02-01 03:00:00"
+RESUMED_AT = "2024-02-02 03:00:00"
+CHUNK = ["country_code", "chunk_start", "chunk_end"]
+#: Chunks named in the error of a stopped run.
+NAMED_CHUNKS = 20
 
 
-def readings_by_chunk(feed: FD.EventFeed, chunks: DataFrame) -> DataFrame:
-    """Measurement records with the chunk their period day falls in."""
-    spans = F.broadcast(feed.audit_spans.select("country_code", "span_start"))
-    recs = FD.S.measurement_records(feed.measurement_raw).select(
-        "sensor_id", "country_code", "ingested_at", "source_uri", "record_pos", "r"
-    )
-    day = F.to_date(F.col("r")["period"]["datetimeFrom"]["utc"].cast("timestamp"))
-    keyed = recs.join(spans, "country_code").withColumn(
-        "chunk_start", chunk_start_of(day, "span_start", FD.CHUNK_DAYS)
+class RunStopped(RuntimeError):
+    """Chunks above the failure gate, or with counts that differ, were left open."""
+
+
+@dataclass(frozen=True)
+class RunTables:
+    """Where a run keeps its manifest, the failed ids and the landed pages."""
+
+    manifest: str
+    failed: str
+    raw: str
+
+    @classmethod
+    def under(cls, path: str) -> RunTables:
+        return cls(f"{path}/manifest", f"{path}/manifest_failed", f"{path}/raw")
+
+
+def _in_chunks(rows: DataFrame, feed: FD.EventFeed, day: str) -> DataFrame:
+    """``rows`` with the bounds of the chunk that ``day`` falls in."""
+    keyed = rows.join(feed.audit_spans, "country_code")
+    start = chunk_start_of(day, "span_start", FD.CHUNK_DAYS)
+    end = F.least(F.date_add(start, FD.CHUNK_DAYS), F.date_add("span_end", 1))
+    return keyed.withColumns({"chunk_start": start, "chunk_end": end}).drop("span_start", "span_end")
+
+
+def unreachable(attempt: int):
+    """Sensors that can't be reached at first: a third of America's in its second chunk, with or without readings."""
+    chunk = (F.col("country_code") == "AM") & (F.dayofmonth("chunk_start") > 7) & (F.dayofmonth("chunk_start") < 15)
+    return chunk & (F.col("sensor_id") % 3 == 0) if attempt == 1 else F.lit(False)
+
+
+def overcounted(attempt: int):
+    """Sensors whose source reports a record too many: one in ten of Europe's third chunk at first."""
+    chunk = (F.col("country_code") == "EU") & (F.dayofmonth("chunk_start") > 14) & (F.dayofmonth("chunk_start") < 22)
+    return chunk & (F.col("sensor_id") % 10 == 1) if attempt == 1 else F.lit(False)
+
+
+def fetch_outcomes(feed: FD.EventFeed, targets: DataFrame, todo: DataFrame, attempt: int) -> DataFrame:
+    """One row per fetch of a target sensor and open chunk that brought readings or failed.
+
+    Readings come from the source's rows; one fetch in ten fails.  Fetches that
+    brought nothing (empty) are counted per chunk later, without a row.
+    """
+    r = FD.T.readings(feed.spark, feed.sf_dir).select("country_code", "sensor_id", F.to_date("reading_ts").alias("day"))
+    r = _in_chunks(r.join(targets.select("sensor_id"), "sensor_id"), feed, "day")
+    counts = r.groupBy(*CHUNK, "sensor_id").agg(F.count(F.lit(1)).alias("n")).join(todo.select(*CHUNK), CHUNK)
+    fails = (F.col("sensor_id") + F.dayofyear("chunk_start")) % 10 == 0
+    over = F.when(overcounted(attempt), 1).otherwise(0)
+    reached = counts.where(~unreachable(attempt)).select(
+        *CHUNK, "sensor_id",
+        F.when(fails, F.lit("failed")).otherwise(F.lit("ok")).alias("status"),
+        F.when(fails, 0).otherwise(F.col("n") + over).cast("bigint").alias("measurements"),
+    )
+    if attempt > 1:
+        return reached
+    # One chunk has an outage: its sensors fail whether they had readings or not.
+    outage = todo.where((F.col("country_code") == "AM") & F.dayofmonth("chunk_start").between(8, 14)).select(*CHUNK)
+    lost = targets.select("country_code", "sensor_id").join(outage, "country_code").where(unreachable(attempt)).select(
+        *CHUNK, "sensor_id", F.lit("failed").alias("status"), F.lit(0).cast("bigint").alias("measurements")
     )
-    return keyed.join(chunks, ["country_code", "chunk_start"])
+    return reached.unionByName(lost)
 
 
-def backfill_landed(feed: FD.EventFeed, chunks: DataFrame) -> DataFrame:
-    """The measurement pages re-landed under backfill prefixes, one batch per chunk."""
+def landed_pages(feed: FD.EventFeed, fetched: DataFrame, todo: DataFrame, attempt: int) -> DataFrame:
+    """Pages of the fetches that went well under their chunk, and inventories under a country's first open chunk."""
     pages = feed.measurement_raw.select(
-        "raw_payload",
-        "source_uri",
+        F.col("raw_payload").alias("value"),
         country_from_uri("source_uri").alias("country_code"),
         sensor_id_from_uri("source_uri").alias("sensor_id"),
         F.to_date("ingested_at").alias("day"),
     )
-    spans = F.broadcast(feed.audit_spans.select("country_code", "span_start"))
-    keyed = pages.join(spans, "country_code").withColumn(
-        "chunk_start", chunk_start_of("day", "span_start", FD.CHUNK_DAYS)
-    ).join(chunks, ["country_code", "chunk_start"])
-    uri = F.concat(
-        F.lit(FD.T.LANDING_ROOT + "/"), object_name("country_code", "chunk_label", "sensor_id")
+    ok = fetched.where("status = 'ok'").select(*CHUNK, "sensor_id")
+    measured = _in_chunks(pages, feed, "day").join(ok, [*CHUNK, "sensor_id"]).select(
+        "value", *CHUNK, F.col("sensor_id").cast("string").alias("leaf")
+    )
+    first = todo.groupBy("country_code").agg(F.min(F.struct("chunk_start", "chunk_end")).alias("c"))
+    inventory = feed.inventory_raw.select(
+        F.col("raw_payload").alias("value"), country_from_uri("source_uri").alias("country_code")
+    ).join(first, "country_code").select(
+        "value", "country_code", "c.chunk_start", "c.chunk_end", F.lit(C.LOCATIONS_LEAF).alias("leaf")
     )
-    lines = keyed.select(F.col("raw_payload").alias("value"), uri.alias("source_uri"), "chunk_end")
-    stamp = FD.daily_load_stamp(F.col("chunk_end"))
+    lines = measured.unionByName(inventory)
+    name = object_name("country_code", chunk_label("chunk_start", "chunk_end"), "leaf")
+    lines = lines.select("value", F.concat(F.lit(FD.T.LANDING_ROOT + "/"), name).alias("source_uri"), "chunk_end")
+    # A later attempt is a later batch of its segment.
+    stamp = FD.daily_load_stamp(F.col("chunk_end")) + F.expr(f"INTERVAL {attempt} HOURS")
     return land_batch(lines, stamp, validate=False)
 
 
-def chunk_outcomes(feed: FD.EventFeed, chunks: DataFrame) -> DataFrame:
-    """Fetch counts, gate and reconciliation per (country, chunk)."""
-    sensors = FD.inventory_sensors(feed)
-    bad = feed.known_bad.select("sensor_id").distinct().withColumn("is_bad", F.lit(True))
-    per_country = sensors.join(bad, "sensor_id", "left").groupBy("country_code").agg(
-        F.count(F.lit(1)).alias("sensors_fetched"),
-        F.count_if(F.coalesce("is_bad", F.lit(False))).alias("bad_sensors"),
-    )
-    recs = readings_by_chunk(feed, chunks).join(bad, "sensor_id", "left")
-    per_chunk = recs.groupBy("country_code", "chunk_start", "chunk_end", "chunk_label").agg(
-        F.count(F.lit(1)).alias("measurements"),
-        F.count_distinct("sensor_id").alias("sensors_ok"),
-        F.count_distinct(F.when(F.col("is_bad"), F.col("sensor_id"))).alias("bad_with_data"),
+def chunk_outcomes(todo: DataFrame, targets: DataFrame, fetched: DataFrame, raw: DataFrame) -> DataFrame:
+    """Fetch counts, failure gate and reconciliation per open chunk."""
+    per_country = targets.groupBy("country_code").agg(F.count(F.lit(1)).alias("sensors_fetched"))
+    counted = R.fetch_summary(fetched, CHUNK).drop("sensors_fetched", "sensors_empty")
+    summary = todo.join(per_country, "country_code").join(counted, CHUNK, "left").na.fill(
+        0, ["sensors_ok", "sensors_failed", "measurements"]
     )
-    summary = chunks.join(per_chunk, ["country_code", "chunk_start", "chunk_end", "chunk_label"], "left").join(
-        per_country, "country_code", "left"
-    ).na.fill(0, ["measurements", "sensors_ok", "bad_with_data", "sensors_fetched", "bad_sensors"])
-    summary = summary.withColumn("sensors_failed", F.col("bad_sensors") - F.col("bad_with_data")).withColumn(
+    summary = summary.withColumn(
         "sensors_empty", F.col("sensors_fetched") - F.col("sensors_ok") - F.col("sensors_failed")
     ).withColumn("segment", F.col("chunk_label"))
     gated = R.failure_gate(summary)
-    landed = R.latest_batch_records(backfill_landed(feed, chunks))
-    rec = R.reconcile_counts(gated, landed).select("country_code", "segment", "landed_total", "matches")
-    return gated.join(rec, ["country_code", "segment"]).select(
-        "country_code", "chunk_start", "chunk_end", "chunk_label", "sensors_fetched",
-        "sensors_ok", "sensors_empty", "sensors_failed", "measurements", "landed_total",
-        "failure_rate", "passes", "matches",
-    )
+    checked = R.reconcile_counts(gated, R.latest_batch_records(raw)).select("country_code", "segment", "landed_total", "matches")
+    return gated.join(checked, ["country_code", "segment"])
+
 
+def run(
+    feed: FD.EventFeed, chunks: DataFrame, tables: RunTables, attempt: int = 1, completed_at: str = COMPLETED_AT
+) -> DataFrame:
+    """Process the open ones of ``chunks``; return the manifest as it then stands.
 
-def run(feed: FD.EventFeed, chunks: DataFrame, manifest_path: str) -> DataFrame:
-    """Process ``chunks``: append a manifest record for each chunk whose gate
-    and reconciliation both passed; return the manifest as it now stands."""
-    outcomes = chunk_outcomes(feed, chunks)
-    R.append_manifest(R.manifest_records(outcomes, COMPLETED_AT), manifest_path)
-    return R.read_manifest(feed.spark, manifest_path)
+    Raises when a country with open chunks has no target sensor, and
+    :class:`RunStopped` when a chunk did not pass (the others are recorded).
+    """
+    spark = feed.spark
+    todo = R.windows_todo(chunks, R.read_manifest(spark, tables.manifest))
+    inventory = FD.inventory_sensors(feed).where(F.col("parameter").isin(*C.TARGET_PARAMETERS))
+    targets = R.skip_known_bad(inventory, feed.known_bad)
+    guard = Q.nonempty_guard(todo, targets, "country_code", "targets")
+    R.enforce(guard, "status = 'pass'", "a country with open chunks has no target sensor").write.format("noop").mode("overwrite").save()
+    fetched = fetch_outcomes(feed, targets, todo, attempt)
+    ensure_raw_table(spark, tables.raw)
+    append_batch(landed_pages(feed, fetched, todo, attempt).hint("rebalance", "ingest_date"), tables.raw)
+    outcomes = chunk_outcomes(todo, targets, fetched, read_raw(spark, tables.raw))
+    # Decided before the manifest changes: what is open is read from it.
+    stopped = outcomes.where(~(F.col("passes") & F.col("matches"))).select("country_code", "chunk_label").limit(NAMED_CHUNKS).collect()
+    R.manifest_failed_records(outcomes, fetched).write.mode("append").parquet(tables.failed)
+    R.append_manifest(R.manifest_records(outcomes, completed_at), tables.manifest)
+    if stopped:
+        raise RunStopped("chunks left open: " + ", ".join(f"{r[0]} {r[1]}" for r in stopped))
+    return R.read_manifest(spark, tables.manifest)

@@ -173,3 +173,64 @@ def check_sql(entry: tuple) -> str:
 
 def report_sql(entries: Iterable[tuple]) -> str:
     return "\nUNION ALL\n".join(check_sql(e) for e in entries)
+
+
+#: Faults planted for the check queries: per table the changed columns, and the
+#: rows that occur twice.  The texts are read by Spark and by the SQL oracles.
+FAULTS: dict[str, tuple[dict[str, str], str]] = {
+    "stg_measurements": ({
+        "sensor_id": "CASE WHEN sensor_id % 97 = 5 THEN NULL WHEN sensor_id % 89 = 3 THEN sensor_id + 10000000 ELSE sensor_id END",
+        "country_code": "CASE WHEN sensor_id % 83 = 1 THEN 'XX' WHEN sensor_id % 83 = 2 THEN NULL ELSE country_code END",
+        "parameter": "CASE WHEN sensor_id % 79 = 1 THEN 'dust' WHEN sensor_id % 79 = 2 THEN NULL ELSE parameter END",
+        "unit": "CASE WHEN sensor_id % 73 = 1 THEN 'ppm' WHEN sensor_id % 73 = 2 THEN NULL ELSE unit END",
+    }, "sensor_id % 71 = 4"),
+    "stg_locations": ({
+        "country_code": "CASE WHEN location_id = 3 THEN 'XX' WHEN location_id = 4 THEN NULL ELSE country_code END",
+        "is_reference_monitor": "CASE WHEN location_id = 5 THEN NULL ELSE is_reference_monitor END",
+    }, "location_id % 10 = 7"),
+    "stg_sensors": ({
+        "location_id": "CASE WHEN sensor_id % 67 = 1 THEN 999 WHEN sensor_id % 67 = 2 THEN NULL ELSE location_id END",
+        "parameter": "CASE WHEN sensor_id % 61 = 1 THEN NULL ELSE parameter END",
+    }, "sensor_id % 59 = 6"),
+    "int_daily": ({
+        "reading_count": "CASE WHEN location_id % 4 = 1 THEN 0 ELSE reading_count END",
+        "hours_covered": "CASE WHEN location_id % 4 = 2 THEN 25 WHEN location_id % 4 = 3 THEN NULL ELSE hours_covered END",
+        "daily_avg": "CASE WHEN location_id % 7 = 3 THEN NULL ELSE daily_avg END",
+    }, "location_id % 5 = 0"),
+    "mart_country_compare": ({
+        "country_code": "CASE WHEN parameter = 'no2' THEN 'XX' ELSE country_code END",
+        "exceedance_rate": "CASE WHEN country_code = 'EU' THEN 150.0 ELSE exceedance_rate END",
+        "locations_with_data": "CASE WHEN country_code = 'AF' THEN 0 ELSE locations_with_data END",
+    }, "country_code = 'AM' AND parameter = 'pm25'"),
+    "mart_annual_compare": ({
+        "days_with_data": "CASE WHEN country_code = 'AF' THEN 0 ELSE days_with_data END",
+        "locations_with_data": "CASE WHEN country_code = 'AS' THEN 0 ELSE locations_with_data END",
+        "annual_mean": "CASE WHEN country_code = 'EU' THEN NULL ELSE annual_mean END",
+    }, "country_code = 'AM'"),
+    "known_bad": ({
+        "country_code": "CASE WHEN sensor_id % 7 = 3 THEN 'XX' WHEN sensor_id % 7 = 4 THEN NULL ELSE country_code END",
+    }, "sensor_id % 5 = 1"),
+}
+
+
+def with_faults(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """``tables`` with FAULTS in them, so that checks of every kind find something."""
+    out = dict(tables)
+    for name, (changed, twice) in FAULTS.items():
+        df = tables[name]
+        both = df.unionAll(df.where(twice))
+        out[name] = both.selectExpr(*(f"{changed[c]} AS {c}" if c in changed else c for c in df.columns))
+    return out
+
+
+def faults_sql(ctes: str) -> str:
+    """A query text of model-table CTEs, with the faulty tables in the place of the sound ones."""
+    made = []
+    for name, (changed, twice) in FAULTS.items():
+        ctes = ctes.replace(f"\n{name} AS (", f"\nsound_{name} AS (")
+        replaced = ", ".join(f"{e} AS {c}" for c, e in changed.items())
+        made.append(
+            f"{name} AS (SELECT * REPLACE ({replaced}) FROM "
+            f"(SELECT * FROM sound_{name} UNION ALL SELECT * FROM sound_{name} WHERE {twice}))"
+        )
+    return ctes.rstrip() + ",\n" + ",\n".join(made) + "\n"

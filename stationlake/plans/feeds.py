@@ -12,6 +12,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stationlake.functions.columns import day_segment, sensor_id_from_uri
 from stationlake.operators import daily as D
 from stationlake.operators import staging as S
 from stationlake.operators.runs import partition_segment_of
@@ -67,6 +68,12 @@ class EventFeed:
     def location_records(self) -> DataFrame:
         return S.location_records(self.inventory_raw)
 
+    @cached_property
+    def records(self) -> DataFrame:
+        """Parsed records, every landed copy: enough wherever only (sensor, period) counts."""
+        parsed = S.parse_measurements(S.measurement_records(self.measurement_raw))
+        return parsed.where(F.col("period_start_utc").isNotNull())
+
     @cached_property
     def measurements(self) -> DataFrame:
         return S.stage_measurements(self.measurement_raw)
@@ -93,14 +100,14 @@ class EventFeed:
 
     @cached_property
     def audit_spans(self) -> DataFrame:
-        """Per country: first to last day with a staged reading.
+        """Per country: first to last day with a reading.
 
         Latest-wins never changes which (sensor, day) pairs exist, so the
-        staged measurements give the same span as the raw readings, and a
-        query that already stages them reuses that work.
+        records give the same span as the staged measurements without the
+        dedup shuffle.
         """
         day = F.to_date("period_start_utc")
-        return self.measurements.groupBy("country_code").agg(
+        return self.records.groupBy("country_code").agg(
             F.min(day).alias("span_start"), F.max(day).alias("span_end")
         )
 
@@ -142,12 +149,39 @@ def daily_load_stamp(day_col):
     return F.to_timestamp(day_col) + F.expr("INTERVAL 26 HOURS 5 MINUTES")
 
 
+#: A day's objects are loaded twice where the first load broke off after the even sensors.
+REPEATED_LOAD_DAYS = 4  # days of the month divisible by this
+#: Sensors whose source reports one record more than it delivers.
+OVERCOUNT_MODULO, OVERCOUNT_REST = 50, 7
+#: Percent of fetches that fail, by the day of the month modulo 3: below, at and above the gate.
+FAILING_PERCENT = (12, 20, 30)
+EMPTY_FROM_PERCENT = 92
+
+
+def fetch_lot(sensor_id, day):
+    """0 to 99, even over the sensors of a day."""
+    return F.pmod(sensor_id * 37 + F.dayofyear(day) * 11, F.lit(100))
+
+
+def fetch_status(sensor_id, day):
+    """ok, failed or empty of the fetch of one sensor and day."""
+    lot, kind = fetch_lot(sensor_id, day), F.dayofmonth(day) % 3
+    failing = F.when(kind == 0, FAILING_PERCENT[0]).when(kind == 1, FAILING_PERCENT[1]).otherwise(FAILING_PERCENT[2])
+    return F.when(lot < failing, "failed").when(lot >= EMPTY_FROM_PERCENT, "empty").otherwise("ok")
+
+
 def event_daily_loads(feed: EventFeed) -> DataFrame:
     """The raw pages re-landed the way the daily runs load them: the objects
-    under ``…/{CC}/{day}/`` form one batch stamped the morning after."""
-    lines = feed.raw.select(F.col("raw_payload").alias("value"), "source_uri")
-    stamp = daily_load_stamp(F.to_date(partition_segment_of("source_uri")))
-    return land_batch(lines, stamp, validate=False)
+    under ``…/{CC}/{day}/`` form one batch stamped the morning after.  Only
+    pages of fetches that went well are landed; on some days an hour's
+    earlier batch with the even sensors was broken off and loaded again."""
+    sensor, day = sensor_id_from_uri("source_uri"), F.to_date(partition_segment_of("source_uri"))
+    went_well = F.coalesce(fetch_status(sensor, day) == "ok", F.lit(True))  # inventory pages have no sensor
+    lines = feed.raw.where(went_well).select(F.col("raw_payload").alias("value"), "source_uri")
+    stamp = daily_load_stamp(day)
+    broken = lines.where((F.dayofmonth(day) % REPEATED_LOAD_DAYS == 0) & (sensor % 2 == 0))
+    first = land_batch(broken, stamp - F.expr("INTERVAL 1 HOUR"), validate=False)
+    return land_batch(lines, stamp, validate=False).unionByName(first)
 
 
 def inventory_sensors(feed: EventFeed) -> DataFrame:
@@ -157,42 +191,25 @@ def inventory_sensors(feed: EventFeed) -> DataFrame:
 
 
 def event_fetch_log(feed: EventFeed) -> DataFrame:
-    """One fetch outcome per inventoried sensor and day of its country's span.
+    """One fetch outcome per sensor and day that the source has readings of.
 
-    ok = the day has landed records (``measurements`` = their number), failed =
-    a known-bad sensor with nothing landed, empty = any other sensor with
-    nothing landed.  The days are generated per sensor row (no cross join);
-    the record counts are one grouped count of the landed records.
+    Taken from the ``events`` rows, not from the landed pages, so that counts
+    and landed batches are independent.  ``measurements`` is what the source
+    says it returned; some sensors report one record too many.
     """
-    spans = F.broadcast(feed.audit_spans)
-    sensor_days = inventory_sensors(feed).join(spans, "country_code").select(
-        "country_code",
-        "sensor_id",
-        "parameter",
-        F.explode(F.sequence("span_start", "span_end", F.expr("INTERVAL 1 DAY"))).alias("day"),
-    )
-    counts = (
-        S.measurement_records(feed.raw)
-        .select("sensor_id", F.to_date("ingested_at").alias("day"))
-        .groupBy("sensor_id", "day")
-        .agg(F.count(F.lit(1)).alias("records"))
-    )
-    bad = feed.known_bad.select("sensor_id").distinct().withColumn("is_bad", F.lit(True))
-    log = sensor_days.join(counts, ["sensor_id", "day"], "left").join(bad, "sensor_id", "left")
-    n = F.coalesce(F.col("records"), F.lit(0)).cast("bigint")
-    status = (
-        F.when(n > 0, F.lit("ok"))
-        .when(F.coalesce(F.col("is_bad"), F.lit(False)), F.lit("failed"))
-        .otherwise(F.lit("empty"))
+    r = T.readings(feed.spark, feed.sf_dir)
+    counts = r.groupBy("country_code", "sensor_id", F.to_date("reading_ts").alias("day")).agg(
+        F.count(F.lit(1)).alias("n")
     )
-    return log.select(
+    over = F.when(F.col("sensor_id") % OVERCOUNT_MODULO == OVERCOUNT_REST, 1).otherwise(0)
+    status = fetch_status(F.col("sensor_id"), F.col("day"))
+    return counts.select(
         "country_code",
-        F.date_format("day", "yyyy-MM-dd").alias("segment"),
+        day_segment("day").alias("segment"),
         "day",
         "sensor_id",
-        "parameter",
         status.alias("status"),
-        F.when(n > 0, n).otherwise(F.lit(0)).cast("bigint").alias("measurements"),
+        F.when(status == "ok", F.col("n") + over).otherwise(0).cast("bigint").alias("measurements"),
     )
 
 

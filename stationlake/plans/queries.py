@@ -27,7 +27,7 @@ from stationlake.operators import quality as Q
 from stationlake.operators import runs as R
 from stationlake.operators import staging as S
 from stationlake.operators.dedup import table_diff as table_diff_op
-from stationlake.operators.windows import chunk_start_of, in_half_open, runs_covering
+from stationlake.operators.windows import chunk_start_of, half_open_filter, lookback_bounds, runs_covering
 from stationlake.plans import backfill as B
 from stationlake.plans import checks as K
 from stationlake.plans import feeds as FD
@@ -38,6 +38,7 @@ from stationlake.plans.feeds import EventFeed, HistoryFeed
 from stationlake.plans.output import for_compare
 from stationlake.session import apply_model_conf, scratch_path, session_key
 from stationlake.sources import pages as P
+from stationlake.sources.seeds import skip_set
 from stationlake.streaming import ingest as ST
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -288,6 +289,21 @@ def fetch_summary(spark, sf_dir):
     return R.fetch_summary(log, ["country_code", "segment"])
 
 
+@query("failed_sensors")
+def failed_sensors(spark, sf_dir):
+    """Failed sensor ids as rows, by country, day and id."""
+    return R.failed_sensors(FD.event_fetch_log(EventFeed(spark, sf_dir)), ["country_code", "segment"])
+
+
+@query("records_in_latest_batch")
+def records_in_latest_batch(spark, sf_dir):
+    """The load contract's count for one day across countries, by LIKE and by prefix."""
+    loads = FD.event_daily_loads(EventFeed(spark, sf_dir))
+    like = R.records_in_latest_batch(loads, "%/raw/airq/%/2024-01-12/%").withColumn("mode", F.lit("like"))
+    prefix = f"{FD.T.LANDING_ROOT}/raw/airq/EU/2024-01-08/"
+    return like.unionByName(R.records_in_latest_batch(loads, prefix, mode="prefix").withColumn("mode", F.lit("prefix")))
+
+
 @query("failure_threshold")
 def failure_threshold(spark, sf_dir):
     log = FD.event_fetch_log(EventFeed(spark, sf_dir))
@@ -307,9 +323,12 @@ def reconcile_counts(spark, sf_dir):
 
 @query("skip_known_bad")
 def skip_known_bad(spark, sf_dir):
+    """Target sensors without those of a skip list read from CSV."""
     feed = EventFeed(spark, sf_dir)
     targets = FD.inventory_sensors(feed).where(F.col("parameter").isin(*C.TARGET_PARAMETERS))
-    return R.skip_known_bad(targets, feed.known_bad)
+    path = scratch_path(spark, "skip-list")
+    feed.known_bad.select("country_code", "sensor_id", "note").write.option("header", True).csv(path)
+    return R.skip_known_bad(targets, skip_set(spark, path))
 
 
 @query("skip_overlap")
@@ -328,20 +347,16 @@ def plan_chunks_q(spark, sf_dir):
 
 @query("half_open_window")
 def half_open_window(spark, sf_dir):
-    """Readings per backfill chunk: each reading lands in exactly one chunk."""
+    """Readings per backfill chunk: each reading lands in exactly one chunk,
+    whose bounds follow from the country's span (one row per country)."""
     feed = EventFeed(spark, sf_dir)
-    chunks = FD.event_chunks(feed)
-    spans = F.broadcast(feed.audit_spans.select("country_code", "span_start"))
-    r = FD.T.readings(spark, sf_dir).join(spans, "country_code")
-    keyed = r.withColumn(
-        "chunk_start", chunk_start_of(F.to_date("reading_ts"), "span_start", FD.CHUNK_DAYS)
-    )
-    joined = keyed.join(chunks, ["country_code", "chunk_start"]).where(
-        in_half_open(F.to_date("reading_ts"), F.col("chunk_start"), F.col("chunk_end"))
-    )
-    return joined.groupBy("country_code", "chunk_start", "chunk_end").agg(
-        F.count(F.lit(1)).alias("readings")
-    )
+    r = FD.T.readings(spark, sf_dir).join(feed.audit_spans, "country_code")
+    start = chunk_start_of(F.to_date("reading_ts"), "span_start", FD.CHUNK_DAYS)
+    end = F.least(F.date_add(start, FD.CHUNK_DAYS), F.date_add("span_end", 1))
+    inside = r.select("country_code", start.alias("chunk_start"), end.alias("chunk_end"), F.to_date("reading_ts").alias("day"))
+    return half_open_filter(inside, "day", F.col("chunk_start"), F.col("chunk_end")).groupBy(
+        "country_code", "chunk_start", "chunk_end"
+    ).agg(F.count(F.lit(1)).alias("readings"))
 
 
 @query("lookback_window")
@@ -358,32 +373,55 @@ def lookback_window(spark, sf_dir):
     )
     return out.select(
         "country_code", "run_day",
-        F.date_sub("run_day", C.LOOKBACK_DAYS - 1).alias("window_start"),
-        F.date_add("run_day", 1).alias("window_end"),
+        lookback_bounds("run_day")[0].alias("window_start"),
+        lookback_bounds("run_day")[1].alias("window_end"),
         "records", "days_with_data",
     )
 
 
 @query("checkpoint_resume")
 def checkpoint_resume(spark, sf_dir):
-    """A first run checkpointed the early chunks (twice, as after a crash);
-    a resumed run plans only the chunks without a record."""
+    """A first run checkpointed the early chunks (and was run again after a
+    crash); a resumed run plans only the chunks without a record."""
     feed = EventFeed(spark, sf_dir)
     chunks = FD.event_chunks(feed)
-    path = scratch_path(spark, "manifest")
+    tables = B.RunTables.under(scratch_path(spark, "backfill"))
     first_run = chunks.where(F.col("chunk_end") <= F.lit(FD.FIRST_RUN_CUTOFF).cast("date"))
-    B.run(feed, first_run, path)
-    B.run(feed, first_run, path)  # a rerun after a crash appends the same records again
-    return R.windows_todo(chunks, R.read_manifest(spark, path))
+    B.run(feed, first_run, tables, attempt=2)
+    B.run(feed, first_run, tables, attempt=2)
+    return R.windows_todo(chunks, R.read_manifest(spark, tables.manifest))
 
 
 @query("backfill_run")
 def backfill_run(spark, sf_dir):
-    """A backfill run over every chunk: per chunk fetch counts, failure gate
-    and reconciliation against the chunk's landed batch; the manifest records
-    of the chunks that passed."""
+    """A backfill run over every chunk with skipped sensors, a chunk above the
+    failure gate and a chunk whose counts differ, and the run resumed for the
+    two: the manifest with the failed ids of each chunk counted."""
     feed = EventFeed(spark, sf_dir)
-    return B.run(feed, FD.event_chunks(feed), scratch_path(spark, "manifest"))
+    tables = B.RunTables.under(scratch_path(spark, "backfill"))
+    try:
+        B.run(feed, FD.event_chunks(feed), tables, attempt=1)
+    except B.RunStopped:
+        pass  # the chunks that passed are checkpointed; the others are open
+    B.run(feed, FD.event_chunks(feed), tables, attempt=2, completed_at=B.RESUMED_AT)
+    keys = R.MANIFEST_KEYS
+    failed = R.read_manifest_failed(spark, tables.failed).groupBy(*keys).agg(F.count(F.lit(1)).alias("failed_ids"))
+    return R.read_manifest(spark, tables.manifest).join(failed, keys, "left").na.fill(0, ["failed_ids"])
+
+
+@query("backfill_landed")
+def backfill_landed(spark, sf_dir):
+    """What a first backfill run landed, per country and segment: the records
+    of each chunk, and the inventory under the first open chunk."""
+    feed = EventFeed(spark, sf_dir)
+    tables = B.RunTables.under(scratch_path(spark, "backfill"))
+    B.run(feed, FD.event_chunks(feed), tables, attempt=2)
+    raw = P.read_raw(spark, tables.raw)
+    return raw.groupBy(
+        country_from_uri("source_uri").alias("country_code"),
+        R.partition_segment_of("source_uri").alias("segment"),
+        P.page_kind("source_uri").alias("page_kind"),
+    ).agg(P.page_record_total(raw).alias("records"))
 
 
 @query("backfill_todo")
@@ -426,20 +464,20 @@ def expected_sensor_days(spark, sf_dir):
 
 @query("actual_sensor_days")
 def actual_sensor_days(spark, sf_dir):
-    return A.actual_sensor_days(EventFeed(spark, sf_dir).measurements)
+    return A.actual_sensor_days(EventFeed(spark, sf_dir).records)
 
 
 @query("gap_classify")
 def gap_classify(spark, sf_dir):
     feed = EventFeed(spark, sf_dir)
-    return A.gap_classify(_expected(feed), A.actual_sensor_days(feed.measurements), feed.known_bad)
+    return A.gap_classify(_expected(feed), A.actual_sensor_days(feed.records), feed.known_bad)
 
 
 @query("gap_audit_monthly")
 def gap_audit_monthly(spark, sf_dir):
     feed = EventFeed(spark, sf_dir)
     return A.gap_audit_by_ranges(
-        feed.sensors, feed.locations, feed.measurements, feed.known_bad, feed.audit_spans
+        feed.sensors, feed.locations, feed.records, feed.known_bad, feed.audit_spans
     )
 
 
@@ -447,7 +485,7 @@ def gap_audit_monthly(spark, sf_dir):
 def gap_audit_cells(spark, sf_dir):
     """The same monthly audit, counted by classifying every expected cell."""
     feed = EventFeed(spark, sf_dir)
-    return A.gap_audit(feed.sensors, feed.locations, feed.measurements, feed.known_bad, feed.audit_spans)
+    return A.gap_audit(feed.sensors, feed.locations, feed.records, feed.known_bad, feed.audit_spans)
 
 
 # --- station-days and marts ------------------------------------------------------
@@ -526,7 +564,7 @@ def event_tables(feed: EventFeed) -> dict[str, DataFrame]:
 
 def _dq(kind):
     def run(spark, sf_dir):
-        return K.evaluate(K.select(kind), event_tables(EventFeed(spark, sf_dir)))
+        return K.evaluate(K.select(kind), K.with_faults(event_tables(EventFeed(spark, sf_dir))))
 
     return run
 
@@ -568,23 +606,30 @@ def dq_report(spark, sf_dir):
 
 
 FRESHNESS_CHECK_TIME = "2024-02-01 06:00:00"
+#: Countries whose loads stopped early, with their last loaded day.
+STALLED = {"AM": "2024-01-29", "AS": "2024-01-27"}
 
 
 @query("dq_freshness")
 def dq_freshness(spark, sf_dir):
-    """Age of each country's newest daily load at a fixed check time."""
-    loads = FD.event_daily_loads(EventFeed(spark, sf_dir))
+    """Age of each country's newest measurement load at a fixed check time;
+    two countries' loads stopped early (a warning and an error)."""
+    loads = S.measurement_pages(FD.event_daily_loads(EventFeed(spark, sf_dir)))
     keyed = loads.withColumn("country_code", country_from_uri("source_uri"))
+    last = FD.T.lookup(F.col("country_code"), STALLED)
+    keyed = keyed.where(last.isNull() | (R.partition_segment_of("source_uri") <= last))
     ref = ts_lit(FRESHNESS_CHECK_TIME)
     return Q.freshness(keyed, "ingested_at", ref, ["country_code"])
 
 
 @query("dq_nonempty")
 def dq_nonempty(spark, sf_dir):
-    """Every country must have target sensors in its inventory."""
+    """Every country must have target sensors in its inventory; that of one
+    country was not delivered."""
     feed = EventFeed(spark, sf_dir)
     countries = FD.T.stations(spark, sf_dir).select("country_code")
     targets = FD.inventory_sensors(feed).where(F.col("parameter").isin(*C.TARGET_PARAMETERS))
+    targets = targets.where(F.col("country_code") != "AS")
     return Q.nonempty_guard(countries, targets, "country_code", "target_sensors")
 
 

@@ -20,13 +20,19 @@ def packaged_thresholds_path() -> str:
 
 
 def read_thresholds(spark: SparkSession, path: str | None = None) -> DataFrame:
-    """Typed CSV read of the threshold seed (UTF-8, header row)."""
+    """The guideline table: the declared rows, or a CSV seed (UTF-8, header row) read with declared types.
+
+    By default nothing is read: a file inside the installed package is on the
+    driver only.
+    """
+    if path is None:
+        return thresholds_from_constants(spark)
     return (
         spark.read.schema(THRESHOLDS_DDL)
         .option("header", True)
         .option("encoding", "UTF-8")
         .option("mode", "FAILFAST")
-        .csv(path or packaged_thresholds_path())
+        .csv(path)
     )
 
 

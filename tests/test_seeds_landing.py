@@ -6,12 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from stationlake.sources import pages as P
-from stationlake.sources.seeds import read_thresholds, skip_set, thresholds_from_constants
+from stationlake.sources.seeds import packaged_thresholds_path, read_thresholds, skip_set
 
 
 def test_seed_equals_constants_both_ways(spark):
-    seed = read_thresholds(spark)
-    consts = thresholds_from_constants(spark)
+    seed = read_thresholds(spark, packaged_thresholds_path())
+    consts = read_thresholds(spark)
     assert seed.exceptAll(consts).count() == 0 and consts.exceptAll(seed).count() == 0
     units = {r["unit"] for r in seed.collect()}
     assert units == {"µg/m³", "mg/m³"}
