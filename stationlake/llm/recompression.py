@@ -9,56 +9,51 @@ alone, so equal substrings get equal symbols except near their ends.
 For each window of words the symbols that its own content decides (the ends
 are dropped in every round) are followed up; one of the highest that are left
 is the window's anchor.  Equal windows have equal anchors, so anchors shared
-across the corpus reveal all repeats; the windows of an anchor are then
-verified by the digests of their whole word sequences.
+across the corpus reveal all repeats.  Runs of windows with one anchor are
+compared as wholes first; where an anchor has different runs, their windows
+are verified one by one by the digests of their word sequences.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationlake.llm.spans import in_order
+from stationlake.llm.spans import (
+    FRAGMENT,
+    ODD,
+    UNDO,
+    fragment_verdicts,
+    in_order,
+    mix,
+    repeats,
+    runs,
+    span_digests,
+)
 
 WINDOW_WORDS = 20
-#: Symbols that the anchor is chosen among, if the window has so many at some level.
-CHOICE = 6
+#: The anchor is chosen at the highest level that leaves a window so many symbols (the first, at least).
+#: Fewer make anchors short-lived: more runs of windows, and more of them different under one anchor.
+CHOICE = 12
 MAX_ROUNDS = 8
 #: Bytes of text that are recompressed at once (at least one document).
 BLOCK_BYTES = 4 << 20
 #: Windows that are verified at once.
 CHUNK_WINDOWS = 1 << 20
-ROWS = "name LONG, ord LONG, start LONG, n LONG, digests BINARY"
-_M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-_ODD, _UNDO = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
-
-
-def mix(x: np.ndarray) -> np.ndarray:
-    """A 64-bit finisher: nearby inputs get unrelated outputs."""
-    x = (x ^ (x >> np.uint64(30))) * _M1
-    x = (x ^ (x >> np.uint64(27))) * _M2
-    return x ^ (x >> np.uint64(31))
 
 
 def _named(a: np.ndarray, b: np.ndarray, tag: int) -> np.ndarray:
-    return mix(mix(a + np.uint64(tag * 2 + 1)) * _M2 + b)
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    if n:
-        out[0] = 1
-    return np.multiply.accumulate(out)
+    return mix(mix(a + np.uint64(tag * 2 + 1)) * np.uint64(ODD) + b)
 
 
 def window_digests(sym: np.ndarray, window: int) -> np.ndarray:
-    """Polynomial digest modulo 2^64 of every ``window`` consecutive symbols."""
-    p, undo = _powers(_ODD, len(sym)), _powers(_UNDO, len(sym) - window + 1)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(sym * p, dtype=np.uint64)])
-    return mix((sums[window:] - sums[:-window]) * undo)
+    """Digest of every ``window`` consecutive symbols."""
+    at = np.arange(len(sym) - window + 1)
+    return span_digests(sym, at, at + window)
 
 
 def anchors(sym: np.ndarray, own: np.ndarray, starts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -117,74 +112,52 @@ def anchors(sym: np.ndarray, own: np.ndarray, starts: np.ndarray, window: int) -
             best = np.where(order[idx] < order[best], idx, best)
         name[who] = mix(sym[best] + np.uint64(level << 1))
         place[who] = first[best] * (MAX_ROUNDS + 2) + level
+        enough = hi - lo >= CHOICE  # others can't be chosen from at a higher level
+        live, lo, hi = live[enough], lo[enough], hi[enough]
     return name, place
 
 
-def _windows_of(texts: list[bytes], ords: list[int], window: int) -> tuple[np.ndarray, ...]:
-    """(ord, start, digest, anchor name, anchor place) of all windows of some documents."""
-    words = [t.split() for t in texts]
-    sizes = np.array([len(w) for w in words], np.int64)
-    total = int(sizes.sum())
+def _word_names(words) -> np.ndarray:
     digest = xxhash.xxh64_intdigest
-    sym = np.fromiter((digest(w) for doc in words for w in doc), np.uint64, total)
-    own = np.repeat(np.arange(len(words)), sizes)
-    begins = np.repeat(np.cumsum(sizes) - sizes, sizes)
-    inside = np.arange(total) - begins
-    starts = np.flatnonzero(inside + window <= np.repeat(sizes, sizes))
-    if not len(starts):
-        return (np.empty(0, np.int64),) * 2 + (np.empty(0, np.uint64),) * 2 + (np.empty(0, np.int64),)
-    name, place = anchors(sym, own, starts, window)
-    return np.array(ords, np.int64)[own[starts]], inside[starts], window_digests(sym, window)[starts], name, place
-
-
-def _runs(follow: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(first, size) of maximal runs; ``follow[i]``: row i belongs with row i - 1."""
-    first = np.flatnonzero(~follow)
-    return first, np.diff(np.append(first, len(follow)))
-
-
-def _repeats(keys: list[np.ndarray], ords: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Whether a row's keys also occur at an earlier (ord, start) of these rows."""
-    order = np.lexsort((starts, ords, *reversed(keys)))
-    same = np.ones(max(0, len(order) - 1), bool)
-    for k in keys:
-        k = k[order]
-        same &= k[1:] == k[:-1]
-    out = np.zeros(len(order), bool)
-    out[order[1:]] = same
-    return out
-
-
-def _batch(name, ords, starts, n, digests) -> pa.RecordBatch:
-    arrays = [pa.array(np.asarray(x).astype(np.int64)) for x in (name, ords, starts, n)]
-    return pa.RecordBatch.from_arrays([*arrays, digests], ["name", "ord", "start", "n", "digests"])
+    return np.array([digest(w) for w in words], np.uint64)
 
 
-def _anchor_rows(window: int):
-    """Rows for the windows of each anchor; repeats within a block are settled at once (rows without digests)."""
+def fragments(texts: list[bytes], ords: list[int], window: int) -> tuple[np.ndarray, ...] | None:
+    """(anchor name, digest, ord, start, windows, settled) of the runs of windows with one anchor.
 
+    Windows that occur earlier in the same documents are settled at once.
+    """
+    words = [t.split() for t in texts]
+    sizes = np.array([len(w) for w in words], np.int64)
+    sym = _word_names(w for doc in words for w in doc)
+    own = np.repeat(np.arange(len(words)), sizes)
+    inside = np.arange(len(sym)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    at = np.flatnonzero(inside + window <= np.repeat(sizes, sizes))
+    if not len(at):
+        return None
+    name, place = anchors(sym, own, at, window)
+    doc, start = np.array(ords, np.int64)[own[at]], inside[at]
+    gone = repeats([window_digests(sym, window)[at], name], doc, start)
+    follow = np.zeros(len(at), bool)
+    follow[1:] = (doc[1:] == doc[:-1]) & (start[1:] == start[:-1] + 1) & (gone[1:] == gone[:-1])
+    follow[1:] &= gone[1:] | ((place[1:] == place[:-1]) & (name[1:] == name[:-1]))
+    first, n = runs(follow)
+    digest = span_digests(sym, at[first], at[first] + n + window - 1)
+    return name[first], digest, doc[first], start[first], n, gone[first]
+
+
+def _fragment_rows(window: int):
     def block(texts, ords):
         order = np.argsort(np.array(ords, np.int64), kind="stable").tolist()
-        doc, start, digest, name, place = _windows_of([texts[i] for i in order], [ords[i] for i in order], window)
-        if not len(doc):
+        made = fragments([texts[i] for i in order], [ords[i] for i in order], window)
+        if made is None:
             return
-        gone = _repeats([digest, name], doc, start)
-        next_to = np.zeros(len(doc), bool)
-        next_to[1:] = (doc[1:] == doc[:-1]) & (start[1:] == start[:-1] + 1) & (gone[1:] == gone[:-1])
-        follow = next_to.copy()
-        follow[1:] &= gone[1:] | ((place[1:] == place[:-1]) & (name[1:] == name[:-1]))
-        first, size = _runs(follow)
-        old = gone[first]
-        if old.any():
-            f = first[old]
-            # Dealt by document, as all have the same empty name otherwise.
-            nothing = pa.array([None] * len(f), pa.binary())
-            yield _batch(doc[f], doc[f], start[f], size[old], nothing)
-        f, n = first[~old], size[~old]
-        data = digest[~gone].tobytes()
-        ends = np.concatenate([[0], np.cumsum(n) * 8]).astype(np.int32)
-        parts = pa.Array.from_buffers(pa.binary(), len(f), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(data)])
-        yield _batch(name[f].view(np.int64), doc[f], start[f], n, parts)
+        name, digest, doc, start, n, old = made
+        key = np.where(old, doc, name.view(np.int64))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(key), pa.array(digest.view(np.int64), mask=old), pa.array(doc), pa.array(start), pa.array(n)],
+            ["gram", "digest", "ord", "start", "n"],
+        )
 
     def run(batches):
         for b in batches:
@@ -202,42 +175,70 @@ def _anchor_rows(window: int):
     return run
 
 
+def _cut_rows(window: int):
+    """The windows' digests of fragments to look into; those of large groups one by one, keyed by the digest."""
+
+    def run(batches):
+        for b in batches:
+            parts = b.column(2)
+            gram, large, start, n = (
+                pa.compute.struct_field(parts.flatten(), f).to_numpy(zero_copy_only=False) for f in ("gram", "large", "start", "n")
+            )
+            counts = pa.compute.list_value_length(parts).to_numpy(zero_copy_only=False)
+            ords = np.repeat(b.column(1).to_numpy(zero_copy_only=False), counts)
+            ends = np.cumsum(counts)
+            digests = []
+            for raw, x, y in zip(b.column(0).to_pylist(), (ends - counts).tolist(), ends.tolist()):
+                whole = window_digests(_word_names(raw.split()), window)
+                size = n[x:y]
+                digests.append(whole[np.repeat(start[x:y] - np.cumsum(size) + size, size) + np.arange(size.sum())])
+            digest = np.concatenate(digests) if digests else np.empty(0, np.uint64)
+            # Rows of large groups become one row for each window.
+            rows = np.repeat(np.arange(len(n)), np.where(large, n, 1))
+            step = np.arange(len(rows)) - np.searchsorted(rows, rows)
+            size = np.where(large[rows], 1, n[rows])
+            first = np.cumsum(size) - size
+            key = gram[rows].astype(np.int64)
+            one = large[rows].astype(bool)
+            key[one] = digest.view(np.int64)[first[one]]
+            offsets = pa.py_buffer(np.append(first, len(digest)).astype(np.int32) * np.int32(8))
+            data = pa.Array.from_buffers(pa.binary(), len(rows), [None, offsets, pa.py_buffer(digest.tobytes())])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key), pa.array(ords[rows]), pa.array(start[rows] + step), data], ["key", "ord", "start", "digests"]
+            )
+
+    return run
+
+
 def _verify(window: int):
-    """Rows sorted by (name, ord, start): spans of words that a window with an earlier twin covers."""
+    """Rows sorted by (key, ord, start): spans of words that a window with an earlier twin covers."""
 
     def spans(name, ords, starts, n, bits, seen):
         rows = np.repeat(np.arange(len(n)), n)
-        begin = np.repeat(np.cumsum(n) - n, n)
-        at = starts[rows] + np.arange(len(rows)) - begin
-        gone = _repeats([name[rows], bits], ords[rows], at)
+        at = starts[rows] + np.arange(len(rows)) - np.repeat(np.cumsum(n) - n, n)
+        gone = repeats([name[rows], bits], ords[rows], at)
         if seen is not None:
             gone |= (name[rows] == seen[0]) & np.isin(bits, seen[1])
         hit = np.flatnonzero(gone)
         follow = np.zeros(len(hit), bool)
         follow[1:] = (rows[hit[1:]] == rows[hit[:-1]]) & (at[hit[1:]] == at[hit[:-1]] + 1)
-        first, size = _runs(follow)
-        last = rows.size and name[-1]
-        kept = bits[(name[rows] == last) & ~gone] if rows.size else bits
-        return ords[rows[hit[first]]], at[hit[first]], size, last, kept
+        first, size = runs(follow)
+        last = name[-1]
+        return ords[rows[hit[first]]], at[hit[first]], size, last, bits[(name[rows] == last) & ~gone]
 
     def run(batches):
         seen = None
         for b in batches:
-            if not b.num_rows:
-                continue
-            settled = b.column(4).is_null().to_numpy(zero_copy_only=False)
-            cols = [b.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
-            done = [c[settled] for c in cols[1:]]
-            yield pa.RecordBatch.from_arrays([pa.array(done[0]), pa.array(done[1]), pa.array(done[1] + done[2] + window - 1)], ["ord", "lo", "hi"])
-            rest = b.filter(pa.array(~settled))
-            name, ords, starts, n = (c[~settled] for c in cols)
+            name, ords, starts = (b.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            parts = b.column(3)
+            n = pa.compute.binary_length(parts).to_numpy(zero_copy_only=False).astype(np.int64) // 8
             cuts = np.searchsorted(np.cumsum(n), np.arange(0, int(n.sum()), CHUNK_WINDOWS), side="left").tolist()
             for x, y in zip(cuts, [*cuts[1:], len(n)]):
                 if x == y:
                     continue
-                bits = np.frombuffer(b"".join(rest.column(4).slice(x, y - x).to_pylist()), np.uint64)
+                bits = np.frombuffer(b"".join(parts.slice(x, y - x).to_pylist()), np.uint64)
                 o, lo, size, last, kept = spans(name[x:y], ords[x:y], starts[x:y], n[x:y], bits, seen)
-                # Digests of the last name, whose rows may go on in the next chunk.
+                # Digests of the last key, whose rows may go on in the next chunk.
                 more = seen is not None and seen[0] == last
                 seen = (last, np.concatenate([seen[1], kept]) if more else kept)
                 yield pa.RecordBatch.from_arrays([pa.array(o), pa.array(lo), pa.array(lo + size + window - 1)], ["ord", "lo", "hi"])
@@ -247,9 +248,14 @@ def _verify(window: int):
 
 def covered_spans(ordered: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
     """``ord, lo, hi``: words lo to hi (exclusive) of a document covered by windows with an earlier twin."""
-    rows = ordered.select("text", "ord").mapInArrow(_anchor_rows(window), ROWS)
-    dealt = rows.repartition("name").sortWithinPartitions("name", "ord", "start")
-    return dealt.mapInArrow(_verify(window), "ord LONG, lo LONG, hi LONG")
+    rows = ordered.select("text", "ord").mapInArrow(_fragment_rows(window), FRAGMENT)
+    settled, asked = fragment_verdicts(rows, "anchors")
+    settled = settled.select("ord", F.col("start").alias("lo"), (F.col("start") + F.col("n") + window - 1).alias("hi"))
+    # The same columns as in the last join of the texts, so that they are shuffled once for both.
+    cut = ordered.join(asked.hint("merge"), "ord").select("text", "ord", "parts", "doc_id")
+    cut = cut.mapInArrow(_cut_rows(window), "key LONG, ord LONG, start LONG, digests BINARY")
+    dealt = cut.repartition("key").sortWithinPartitions("key", "ord", "start")
+    return settled.unionByName(dealt.mapInArrow(_verify(window), "ord LONG, lo LONG, hi LONG"))
 
 
 def _apply(batches):
@@ -290,7 +296,9 @@ def remove_repeated_words(
 
     Whole texts are read.  Repeats inside a block of documents are settled
     before the shuffle, so a passage that a third of the documents hold sends
-    one row per block; the rest are streamed by name.
+    one row per block; the rest are streamed by name.  An anchor with more than
+    ``spans.LARGE_GROUP`` different runs is dealt out by window, so no group
+    grows in one task.
     """
     ordered = in_order(docs, id_col, text_col)
     spans = covered_spans(ordered, window).groupBy("ord").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
