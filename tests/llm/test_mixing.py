@@ -5,7 +5,7 @@ import re
 from fractions import Fraction
 
 import pytest
-from conftest import words
+from cases import words
 
 from stationlake.llm import mixing as M
 

@@ -6,7 +6,7 @@ from collections import defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
-from conftest import words
+from cases import words
 from tokenizers import Tokenizer
 
 from stationlake.llm import packing as P

@@ -3,7 +3,7 @@
 import random
 
 import pytest
-from conftest import in_order
+from cases import in_order
 
 from stationlake.llm import recompression as R
 from stationlake.llm import spans

@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 import pytest
-from conftest import in_order
+from cases import in_order
 
 from stationlake.llm import spans
 from stationlake.llm import suffix_dedup as D
