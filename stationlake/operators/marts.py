@@ -16,16 +16,12 @@ from stationlake.functions.columns import rate_pct
 def thresholds_for(thresholds: DataFrame, period: str, value_name: str) -> DataFrame:
     """The rows of one averaging period, keyed (pollutant, unit).
 
-    The table holds one row per pollutant and period (checked by the seed's
-    uniqueness test), so it is bounded by the number of pollutants and is
-    broadcast.
+    The planner broadcasts the caller's table by its size in bytes.
     """
-    return F.broadcast(
-        thresholds.where(F.col("averaging_period") == period).select(
-            F.col("pollutant").alias("__t_pollutant"),
-            F.col("unit").alias("__t_unit"),
-            F.col("threshold_value").alias(value_name),
-        )
+    return thresholds.where(F.col("averaging_period") == period).select(
+        F.col("pollutant").alias("__t_pollutant"),
+        F.col("unit").alias("__t_unit"),
+        F.col("threshold_value").alias(value_name),
     )
 
 

@@ -184,7 +184,7 @@ def threshold_seed(spark, sf_dir):
     observed = feed.measurements.select("parameter", "unit").distinct()
     t = feed.thresholds
     joined = observed.join(
-        F.broadcast(t),
+        t,
         (observed.parameter == t.pollutant) & (observed.unit == t.unit),
         "left",
     )

@@ -10,6 +10,7 @@ keeps its own overwrite mode.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -97,7 +98,7 @@ def shared_dir(spark: SparkSession) -> str:
         configured = sc.getCheckpointDir()
     if not configured:
         master = spark.conf.get("spark.master", "") or ""
-        if not master.startswith("local"):
+        if not re.match(r"local(\[|$)", master):  # local-cluster has executors of its own
             raise RuntimeError(
                 "spark.checkpoint.dir is not set: name a folder every executor can "
                 "reach (it holds written tables, checkpoints and stream state)"
