@@ -170,7 +170,8 @@ def mix(
     sized = store(sized.where("n_tokens > 0"), "mix-sizes")
     leaves = store(sized.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens")), "mix-tokens")
     total = leaves.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
-    shares = leaf_budgets(leaves, weights or weights_frame(spark), total * target[0] // target[1], max_epochs)
+    weights = weights_frame(spark) if weights is None else weights
+    shares = leaf_budgets(leaves, weights, total * target[0] // target[1], max_epochs)
     shares = store(
         shares.where("share > 0").select(
             *LEVELS, F.expr("share div tokens").alias("whole"), F.expr("share % tokens").alias("due")

@@ -195,11 +195,12 @@ def train(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col:
     features only.  Without ratings the model has weight zero everywhere.
     """
     sample = ratings.select(F.col("doc_id").alias("rated"), "grade").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS)
-    # At most SAMPLE_ROWS rows.
-    rows = docs.join(F.broadcast(sample), F.col(id_col) == F.col("rated")).select("rated", "grade", text_col)
-    rows = rows.select("grade", text_col).mapInArrow(_feature_rows, "grade INT, slots BINARY, vals BINARY").collect()
-    # A repeated document must not add to the bound; the order of the sum is fixed.
-    rows = sorted((r["grade"], bytes(r["slots"]), bytes(r["vals"])) for r in rows)[: 2 * SAMPLE_ROWS]
+    # At most SAMPLE_ROWS rows; a doc_id that occurs again counts once, with its least text.
+    rows = docs.join(F.broadcast(sample), F.col(id_col) == F.col("rated"))
+    rows = rows.groupBy("rated", "grade").agg(F.min(text_col).alias("text"))
+    rows = rows.select("grade", "text").mapInArrow(_feature_rows, "grade INT, slots BINARY, vals BINARY").collect()
+    # Sorted, so that the sums don't depend on the order of the tasks.
+    rows = sorted((r["grade"], bytes(r["slots"]), bytes(r["vals"])) for r in rows)
     return fit_ordinal([(g, np.frombuffer(s, "<u4").astype(np.int64), np.frombuffer(v, "<f4").astype(float)) for g, s, v in rows])
 
 
