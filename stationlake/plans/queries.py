@@ -602,7 +602,7 @@ def dq_report(spark, sf_dir):
     result = _built(spark, sf_dir)
     path = scratch_path(spark, "dq-results")
     Q.append_results(result.report, path)
-    return Q.read_results(spark, path)
+    return Q.gate(Q.read_results(spark, path))
 
 
 FRESHNESS_CHECK_TIME = "2024-02-01 06:00:00"
