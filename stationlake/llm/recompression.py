@@ -26,7 +26,6 @@ from pyspark.sql import functions as F
 from stationlake.llm.spans import (
     FRAGMENT,
     ODD,
-    UNDO,
     fragment_verdicts,
     in_order,
     mix,
