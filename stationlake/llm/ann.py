@@ -5,6 +5,7 @@ each cut in steps of the same width.  A query looks into its own cell and into
 cells one step away in some coordinates, in the order of their estimated
 success: the sum of the squared distances to the walls between.  The cells of
 all tables give the candidates, whose distances are then computed exactly.
+Queries that find fewer than k are ranked against all entries.
 """
 
 from __future__ import annotations
@@ -49,6 +50,15 @@ class Index:
     step: float
     probes: int
 
+    @property
+    def tables(self) -> int:
+        return len(self.directions)
+
+    @property
+    def exact(self) -> bool:
+        """Whether there is but one cell."""
+        return not self.directions.any()
+
     def places(self, x: np.ndarray) -> np.ndarray:
         """Positions in steps: rows x tables x coordinates."""
         return np.einsum("nd,tdm->ntm", x, self.directions) / self.step + self.offsets
@@ -70,24 +80,32 @@ def _unit_index(dims: int, step: float, probes: int) -> Index:
     return Index(rng.normal(size=(TABLES, dims, COORDINATES)), rng.random((TABLES, COORDINATES)), step, probes)
 
 
+def one_cell(dims: int) -> Index:
+    """One table with one cell that holds every vector: the search is exact."""
+    return Index(np.zeros((1, dims, COORDINATES)), np.zeros((1, COORDINATES)), 1.0, 1)
+
+
 def fit_index(sample: np.ndarray, neighbours: int) -> Index:
     """Step and probes with which the sample's queries meet TARGET_RECALL of their nearest ``neighbours``.
 
     ``neighbours`` in the sample are about as far away as the k nearest of the
-    whole table.  Of the steps tried, that with the fewest candidates is taken.
+    whole table.  Of the STEPS, that with the fewest candidates is taken.  If
+    none meets the target, the step is doubled until one does; beyond the width
+    of the sample one cell for everything is left.  So it is for tiny samples.
     """
     dims, moves = sample.shape[1], _moves()
-    whole = _unit_index(dims, 1.0, len(moves))
     if len(sample) < 20:
-        return whole
+        return one_cell(dims)
     asked = sample[: min(SAMPLE_QUERIES, len(sample) // 4)]
-    gaps = np.maximum((asked**2).sum(1)[:, None] + (sample**2).sum(1) - 2 * asked @ sample.T, 0)
+    gaps = np.array([np.sqrt(((sample - a) ** 2).sum(axis=1)) for a in asked])
+    widest = float(gaps.max())
     gaps[np.arange(len(asked)), np.arange(len(asked))] = np.inf
     nearest = np.argsort(gaps, axis=1, kind="stable")[:, :neighbours]
-    reach = float(np.median(np.sqrt(gaps.min(axis=1)))) or 1.0
-    best = None
-    for factor in STEPS:
-        index = _unit_index(dims, reach * factor, len(moves))
+    reach = float(np.median(gaps.min(axis=1)))
+    best, steps = None, [reach * factor for factor in STEPS]
+    while steps and steps[-1] > 0 and np.isfinite(widest):
+        step = steps.pop(0)
+        index = _unit_index(dims, step, len(moves))
         places = index.places(sample)
         cells = np.floor(places)
         rank = np.full((len(asked), len(sample)), len(moves), int)  # probes until a row is met, over all tables
@@ -105,7 +123,9 @@ def fit_index(sample: np.ndarray, neighbours: int) -> Index:
         share = float((rank < probes).mean())
         if probes <= len(moves) and (best is None or share < best[0]):
             best = (share, Index(index.directions, index.offsets, index.step, probes))
-    return best[1] if best else whole
+        if not steps and best is None and step <= 4 * widest:
+            steps = [2 * step]
+    return best[1] if best else one_cell(dims)
 
 
 def _matrix(column) -> np.ndarray:
@@ -118,9 +138,9 @@ def _matrix(column) -> np.ndarray:
 def _hash_rows(index: Index):
     def run(batches):
         for b in batches:
-            keys = cell_keys(np.floor(index.places(_matrix(b.column(1))))) if b.num_rows else np.empty((0, TABLES), np.int64)
+            keys = cell_keys(np.floor(index.places(_matrix(b.column(1))))) if b.num_rows else np.empty((0, index.tables), np.int64)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.ListArray.from_arrays(np.arange(b.num_rows + 1, dtype=np.int32) * TABLES, pa.array(keys.ravel(), pa.int64()))],
+                [b.column(0), b.column(1), pa.ListArray.from_arrays(np.arange(b.num_rows + 1, dtype=np.int32) * index.tables, pa.array(keys.ravel(), pa.int64()))],
                 ["vec_ids", "v", "cells"],
             )
 
@@ -135,7 +155,7 @@ def _probe_rows(index: Index):
             if b.num_rows:
                 places = index.places(_matrix(b.column(1)))
                 for i, q in enumerate(b.column(0).to_pylist()):
-                    for t in range(TABLES):
+                    for t in range(index.tables):
                         cost = index.costs(places[i : i + 1, t], moves)[0]
                         first = np.argsort(cost, kind="stable")[: index.probes]
                         ids.append(np.full(len(first), q))
@@ -172,8 +192,9 @@ def _rank_unit(k: int):
             # The expanded square finds who can be among the nearest; their distances are then taken directly.
             rough = size[at] - 2 * (x[at] @ q[qi])
             if len(at) > most:
-                bound = np.partition(rough, most - 1)[most - 1]
-                at = at[rough <= bound + 1e-9 * (1 + abs(bound))]
+                slack = 1e-9 * (size[at] + q[qi] @ q[qi])  # of rounding, whatever the scale of the vectors
+                bound = np.partition(rough + slack, most - 1)[most - 1]
+                at = at[rough - slack <= bound]
             exact = np.sqrt(((x[at] - q[qi]) ** 2).sum(axis=1))
             found = sorted((s, v) for s, i in zip(exact.tolist(), at.tolist()) for v in ids[i] if v != query)
             seen = list(dict.fromkeys(found))[:k]
@@ -185,6 +206,38 @@ def _rank_unit(k: int):
     return run
 
 
+def _search(hashed: DataFrame, asked: DataFrame, index: Index, k: int) -> DataFrame:
+    """``query_id, vec_id, score``: the k nearest entries of each unit that a query visits, by units of bounded size."""
+    cells = hashed.select("vec_ids", "v", "h", F.posexplode("cells").alias("tbl", "cell")).withColumn("tbl", F.col("tbl").cast("long"))
+    directory = store(
+        cells.groupBy("tbl", "cell").agg(F.count("*").alias("n")).select(
+            "tbl", "cell", F.ceil(F.col("n") / CELL_ROWS).alias("salts"), F.col("n")
+        ),
+        "ann-cells",
+    )
+    units = max(1, -(-(directory.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]) // UNIT_ROWS))
+    parts = max(1, -(-asked.count() // UNIT_QUERIES))
+    part = F.pmod(F.xxhash64("query_id"), F.lit(parts).cast("long"))
+    unit = F.pmod(F.xxhash64("tbl", "cell", "salt"), F.lit(units)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
+    left = (
+        cells.join(directory.select("tbl", "cell", "salts"), ["tbl", "cell"])
+        .withColumn("salt", F.col("h") % F.col("salts"))
+        .select(unit.alias("unit"), each(F.lit(parts).cast("long")).alias("part"), "tbl", "cell", "salt", "vec_ids", "v")
+    )
+    probes = asked.select("query_id", "v").mapInArrow(_probe_rows(index), "query_id LONG, tbl LONG, cell LONG")
+    visits = (
+        probes.join(directory, ["tbl", "cell"])
+        .select("query_id", "tbl", "cell", each(F.col("salts")).alias("salt"))
+        .select("query_id", unit.alias("unit"), F.struct("tbl", "cell", "salt").alias("visit"))
+        .groupBy("query_id", "unit").agg(F.collect_list("visit").alias("visits"))
+    )
+    right = visits.join(asked, "query_id").select("unit", part.alias("part"), "query_id", "v", "visits")
+    return left.groupBy("unit", "part").cogroup(right.groupBy("unit", "part")).applyInArrow(
+        _rank_unit(k), "query_id LONG, vec_id LONG, score DOUBLE"
+    )
+
+
 def nearest(
     vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding"
 ) -> DataFrame:
@@ -199,7 +252,8 @@ def nearest(
     Equal vectors are one entry of the index with their k + 1 smallest ids, so
     a vector that a third of the rows have is compared once.  Large cells are
     split in parts and queries are grouped in blocks; a unit of work holds a
-    bounded number of both.  Every row is indexed.
+    bounded number of both.  Every row is indexed.  A query whose cells give
+    fewer than k is compared with all entries, in the same units.
     """
     spark = vectors.sparkSession
     clean = lambda df: df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v")).where(
@@ -214,44 +268,30 @@ def nearest(
     sizes = [len(r["v"]) for r in sample]
     dims = max(set(sizes), key=lambda n: (sizes.count(n), -n))
     known = np.unique(np.array([r["v"] for r in sample if len(r["v"]) == dims]), axis=0)
-    share = min(1.0, SAMPLE_ROWS / rows.count())
-    index = fit_index(known[np.random.default_rng(SEED).permutation(len(known))], max(1, math.ceil(k * share)))
     rows, asked = rows.where(F.size("v") == dims), asked.where(F.size("v") == dims).dropDuplicates(["id"])
+    asked = store(asked.select(F.col("id").alias("query_id"), "v"), "ann-queries")
 
     # The rank filter is applied before the shuffle too: a task sends k + 1 ids of a vector at most.
     least = rows.distinct().withColumn("nth", F.row_number().over(Window.partitionBy("v").orderBy("id"))).where(F.col("nth") <= k + 1)
     distinct = least.groupBy("v").agg(F.array_sort(F.collect_list("id")).alias("vec_ids"))
+    total = rows.count()
+    if 2 * len(known) < len(sample) < total:  # mostly copies: a sample of the entries tells more
+        distinct = store(distinct, "ann-entries")
+        total = distinct.count()
+        picked = distinct.orderBy(F.xxhash64("vec_ids"), F.col("vec_ids")[0]).limit(SAMPLE_ROWS).select("v").collect()
+        known = np.unique(np.array([r["v"] for r in picked]), axis=0)
+    share = min(1.0, SAMPLE_ROWS / total)
+    index = fit_index(known[np.random.default_rng(SEED).permutation(len(known))], max(1, math.ceil(k * share)))
     hashed = distinct.select("vec_ids", "v").mapInArrow(_hash_rows(index), "vec_ids ARRAY<LONG>, v ARRAY<DOUBLE>, cells ARRAY<LONG>")
     hashed = store(hashed.withColumn("h", F.abs(F.xxhash64(F.col("vec_ids")[0]) % (1 << 40))), "ann-index")
-    cells = hashed.select("vec_ids", "v", "h", F.posexplode("cells").alias("tbl", "cell")).withColumn("tbl", F.col("tbl").cast("long"))
-    directory = store(
-        cells.groupBy("tbl", "cell").agg(F.count("*").alias("n")).select(
-            "tbl", "cell", F.ceil(F.col("n") / CELL_ROWS).alias("salts"), F.col("n")
-        ),
-        "ann-cells",
-    )
-    units = max(1, -(-(directory.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]) // UNIT_ROWS))
-    asked = store(asked.select(F.col("id").alias("query_id"), "v"), "ann-queries")
-    parts = max(1, -(-asked.count() // UNIT_QUERIES))
-    part = F.pmod(F.xxhash64("query_id"), F.lit(parts).cast("long"))
-    unit = F.pmod(F.xxhash64("tbl", "cell", "salt"), F.lit(units)).cast("int")
-    each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
-    left = (
-        cells.join(directory.select("tbl", "cell", "salts"), ["tbl", "cell"])
-        .withColumn("salt", F.col("h") % F.col("salts"))
-        .select(unit.alias("unit"), each(F.lit(parts).cast("long")).alias("part"), "tbl", "cell", "salt", "vec_ids", "v")
-    )
-    probes = asked.select("query_id", "v").mapInArrow(_probe_rows(index), "query_id LONG, tbl LONG, cell LONG")
-    visits = (
-        probes.join(directory, ["tbl", "cell"])
-        .select("query_id", "tbl", "cell", each(F.col("salts")).alias("salt"))
-        .select("query_id", unit.alias("unit"), F.struct("tbl", "cell", "salt").alias("visit"))
-        .groupBy("query_id", "unit").agg(F.collect_list("visit").alias("visits"))
-    )
-    right = visits.join(asked, "query_id").select("unit", part.alias("part"), "query_id", "v", "visits")
-    found = left.groupBy("unit", "part").cogroup(right.groupBy("unit", "part")).applyInArrow(
-        _rank_unit(k), "query_id LONG, vec_id LONG, score DOUBLE"
-    )
+    found = _search(hashed, asked, index, k)
+    if not index.exact:
+        found = store(found, "ann-found")
+        full = found.groupBy("query_id").agg(F.count_distinct("vec_id").alias("n")).where(F.col("n") >= k)
+        short = store(asked.join(full, "query_id", "left_anti"), "ann-short")
+        if not short.isEmpty():
+            everything = F.array(F.lit(int(cell_keys(np.zeros(COORDINATES)))))
+            found = found.join(short, "query_id", "left_anti").unionByName(_search(hashed.withColumn("cells", everything), short, one_cell(dims), k))
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return found.distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
         "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"

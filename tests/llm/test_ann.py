@@ -69,3 +69,27 @@ def test_few_or_no_vectors(spark):
     assert found(few, few) == {0: [(0.5, 100)], 100: [(0.5, 0)]}
     assert A.nearest(few.limit(0), few.limit(0)).count() == 0
     assert A.nearest(few, few.limit(0)).count() == 0
+
+
+def far_apart(rng):
+    """Five vectors, none near another."""
+    return [(i, v.tolist()) for i, v in enumerate(10 * np.eye(6)[:5])]
+
+
+def clusters_and_outliers(rng, outliers):
+    """Twenty tight clusters, and vectors with no near neighbour at all."""
+    centres = np.repeat(rng.normal(size=(20, 12)), 15, axis=0)
+    near = centres + 0.001 * rng.normal(size=centres.shape)
+    return [(i, v.tolist()) for i, v in enumerate([*near, *(20 * rng.normal(size=(outliers, 12)))])]
+
+
+@pytest.mark.parametrize("scale", [1, 100])
+@pytest.mark.parametrize("made", [far_apart, lambda r: clusters_and_outliers(r, 6), lambda r: clusters_and_outliers(r, 40)])
+def test_any_scale_and_isolated_vectors(spark, made, scale):
+    rows = [(i, (scale * np.array(v)).astype(np.float32).astype(float).tolist()) for i, v in made(np.random.default_rng(4))]
+    frame = spark.createDataFrame([(i, v, None) for i, v in rows], SCHEMA)
+    want = exact(rows, [i for i, _ in rows], 10)
+    got = found(frame, frame)
+    assert {q: len(hits) for q, hits in got.items()} == {q: len(hits) for q, hits in want.items()}
+    hits = sum(len({i for _, i in got[q]} & {i for _, i in want[q]}) for q in want)
+    assert hits / sum(map(len, want.values())) >= 0.9
