@@ -125,7 +125,8 @@ class Encoder:
 
     def __call__(self, text: str | None) -> bytes:
         text = (text or "").replace("\n", " ")
-        if self.lowers and _is_latin(text):  # else left to the tokenizer: other alphabets have case rules by context
+        # Else left to the tokenizer: other alphabets have case rules by context, special tokens are met in raw text.
+        if self.lowers and "<|" not in text and _is_latin(text):
             text = text.lower()
         words = text.split(" ")
         self.words.turn()

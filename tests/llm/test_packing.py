@@ -69,6 +69,14 @@ def test_encoder_equals_the_tokenizer(tokenizer, monkeypatch):
         assert np.frombuffer(encode(t), "<u4").tolist() == tokenizer.encode(t or "", add_special_tokens=False).ids + [1], t
 
 
+def test_encoder_meets_special_tokens_by_case(tokenizer):
+    encode = P.Encoder(public_tokenizers.path("word_bpe_49k.json"), 1)
+    forms = ["endoftext", "EndOfText", "ENDOFTEXT", "startoftext", "StartOfText", "STARTOFTEXT"]
+    texts = [t for f in forms for t in (f"<|{f}|>", f"A Word<|{f}|>Y, <|{f}|> End", f"Été <|{f}|>. x", f"ΑΣ<|{f}|>")]
+    for t in [*texts, " ".join(texts), *reversed(texts)]:
+        assert np.frombuffer(encode(t), "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids + [1], t
+
+
 def test_least_squares_on_histograms_with_known_answers():
     patterns = [(9, 7), (8, 8), (10, 3, 3)]
     counts = {9: 5, 7: 5, 8: 6, 10: 4, 3: 8}
