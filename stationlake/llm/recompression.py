@@ -296,8 +296,8 @@ def remove_repeated_words(
     Whole texts are read.  Repeats inside a block of documents are settled
     before the shuffle, so a passage that a third of the documents hold sends
     one row per block; the rest are streamed by name.  An anchor with more than
-    ``spans.LARGE_GROUP`` different runs is dealt out by window, so no group
-    grows in one task.
+    ``spans.LARGE_GROUP`` different runs is dealt out by window.  One task
+    streams the runs of an anchor (not their words) and holds a bounded number.
     """
     ordered = in_order(docs, id_col, text_col)
     spans = covered_spans(ordered, window).groupBy("ord").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))

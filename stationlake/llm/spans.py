@@ -92,7 +92,10 @@ def compare_fragments(batches):
 
     A fragment equal to an earlier one is settled whole.  If a gram has two
     different fragments, each of them (its first occurrence) is looked into.
-    A group that doesn't end in this chunk is carried over without repeats.
+    A group that doesn't end in this chunk is carried over without repeats.  Of
+    a large one, whose verdicts are out, half a chunk at most is carried, to
+    settle copies of these; copies of others are looked into, where their
+    windows meet their twins by digest.  So a group of any size is streamed.
     """
     held: list[np.ndarray] | None = None
 
@@ -107,6 +110,9 @@ def compare_fragments(batches):
         # An open group is judged when it is complete, or at once when it is large.
         out = new & (kinds > 1) & ~told & (~open_ | large)
         give, keep = old | out, open_ & new
+        keep = np.flatnonzero(keep)
+        if len(keep) > LARGE_GROUP:
+            keep = keep[: max(LARGE_GROUP + 1, CHUNK_ROWS // 2)]
         carried = [x[keep] for x in (gram, digest, ords, start, n, told | out)]
         return verdicts(gram[give], ords[give], start[give], n[give], old[give], large[give]), carried
 

@@ -335,7 +335,8 @@ def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     Whole texts are read.  Copies of a fragment are one fragment (the earliest)
     before anything is merged; a gram with more than ``spans.LARGE_GROUP``
-    different fragments is dealt out by window, so no group grows in one task.
+    different fragments is dealt out by window.  One task streams the fragments
+    of a gram (not their bytes) and holds a bounded number of them.
     """
     ordered = in_order(docs, id_col, text_col)
     spans = covered_spans(ordered).groupBy("ord").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))

@@ -94,6 +94,30 @@ def test_blocks_chunks_and_large_groups(monkeypatch, seed):
         assert (got[i] == gone).all(), i
 
 
+@pytest.mark.parametrize("copies", [1, 3])
+def test_a_hot_gram_is_streamed(monkeypatch, copies):
+    """Many different fragments of one gram: bounded work a chunk, each is settled by a copy or looked into."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(spans, "CHUNK_ROWS", 100)
+    monkeypatch.setattr(spans, "LARGE_GROUP", 20)
+    sizes, real = [], spans.repeats
+    monkeypatch.setattr(spans, "repeats", lambda keys, *rest: sizes.append(len(keys[0])) or real(keys, *rest))
+    grams = [7] * 4000 + [8] * 2 + [9]
+    digests = [i // copies if i % 2 else i % 10 for i in range(4000)] + [1, 1, 1]
+    rows = pa.table({"gram": grams, "digest": digests, "ord": list(range(4003)), "start": [0] * 4003, "n": [5] * 4003})
+    out = pa.Table.from_batches(list(spans.compare_fragments(rows.to_batches(max_chunksize=40)))).to_pylist()
+    assert max(sizes) <= 100 + 40
+    asked = {v["ord"] for v in out if v["gram"] is not None}
+    settled = {v["ord"] for v in out if v["gram"] is None}
+    assert len(out) == len(asked) + len(settled) and all(v["large"] for v in out if v["gram"] == 7)
+    assert asked | settled == set(range(4000)) | {4001} and 4001 in settled
+    first = {}
+    for i, d in enumerate(digests[:4000]):  # who is first is looked into, who is settled has an earlier twin
+        assert first.setdefault(d, i) != i or i in asked
+    assert all(first[digests[i]] < i for i in settled if i < 4000) and len(settled) > 1500
+
+
 @pytest.mark.parametrize("shards", [1, 2, 5])
 def test_merged_transforms_equal_one_sorted_collection(shards):
     rng = np.random.default_rng(shards)
