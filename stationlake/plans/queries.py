@@ -7,6 +7,7 @@ compare cleanly with the SQL oracles in :mod:`stationlake.plans.oracles`.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -215,10 +216,33 @@ def written_zone(spark, sf_dir) -> str:
     return _ZONES[key]
 
 
+def zone_folder(name):
+    """Value of a folder level of the raw zone, from the object's path."""
+    return F.regexp_extract("source_uri", f"/{name}=([^/]+)/", 1)
+
+
+def whole_zone_objects(spark, zone) -> DataFrame:
+    """Every page of the raw zone by the public object reader: its countries dealt out over the path forms."""
+    zone_rows = spark.read.schema(P.PARTITIONED_TEXT_SCHEMA).text(zone)
+    folders = sorted(tuple(r) for r in zone_rows.select("country", "part").distinct().collect())
+    countries = sorted({c for c, _ in folders})
+    forms = [
+        ([f"{zone}/country={c}/part={p}" for c, p in folders if c in countries[0::3]], False),
+        ([f"{zone}/country={c}/part=*" for c in countries[1::3]], False),
+        ([f"{zone}/country={c}" for c in countries[2::3]], True),
+    ]
+    scans = [P.scan_pages(spark, paths, recursive=deep) for paths, deep in forms if paths]
+    return functools.reduce(DataFrame.unionByName, scans)
+
+
 @query("scan_pages")
 def scan_pages(spark, sf_dir):
-    """Pages written to the raw zone, scanned back: lines and records by kind."""
-    lines = P.scan_partitioned_pages(spark, written_zone(spark, sf_dir), FD.T.LANDING_ROOT)
+    """Pages written to the raw zone, scanned back by the public object reader: lines and records by kind."""
+    objects = whole_zone_objects(spark, written_zone(spark, sf_dir))
+    lines = P.zone_lines(
+        objects.select("value", zone_folder("country").alias("country"), zone_folder("part").alias("part")),
+        FD.T.LANDING_ROOT,
+    )
     return lines.groupBy(
         country_from_uri("source_uri").alias("country_code"),
         P.page_kind("source_uri").alias("page_kind"),
@@ -234,8 +258,7 @@ def scan_objects(spark, sf_dir):
     zone = written_zone(spark, sf_dir)
     lines = P.scan_pages(spark, [f"{zone}/country=AF/part=*", f"{zone}/country=EU/part=2024-01-0*"])
     lines = lines.unionByName(P.scan_pages(spark, f"{zone}/country=AM", recursive=True))
-    folder = lambda name: F.regexp_extract("source_uri", f"/{name}=([^/]+)/", 1)
-    return lines.groupBy(folder("country").alias("country_code"), folder("part").alias("part")).agg(
+    return lines.groupBy(zone_folder("country").alias("country_code"), zone_folder("part").alias("part")).agg(
         F.count(F.lit(1)).alias("pages")
     )
 

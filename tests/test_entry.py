@@ -3,6 +3,7 @@ sample of queries matches its oracle on sf0.001."""
 
 import datetime as dt
 import math
+from collections import Counter
 
 import duckdb
 import pytest
@@ -49,3 +50,25 @@ def test_query_matches_oracle(spark, key):
     res = con.sql(E.oracle_sql()[key])
     assert sorted(df.columns) == sorted(res.columns)
     assert _canon(df.columns, [tuple(r) for r in df.collect()]) == _canon(res.columns, res.fetchall())
+
+
+def test_public_reader_reads_the_whole_zone(spark, monkeypatch):
+    """The scan_pages key reads every page of every country and day by scan_pages, in all path forms."""
+    from stationlake.plans import queries as PQ
+    from stationlake.sources import pages as P
+
+    calls, real = [], P.scan_pages
+
+    def kept(spark_, paths, **how):
+        calls.append((paths, how, real(spark_, paths, **how)))
+        return calls[-1][2]
+
+    monkeypatch.setattr(P, "scan_pages", kept)
+    PQ.QUERIES["scan_pages"](spark, SF)
+    got = Counter()
+    for _, _, lines in calls:
+        counts = lines.groupBy(PQ.zone_folder("country"), PQ.zone_folder("part")).count()
+        got.update({(c, p): n for c, p, n in counts.collect()})
+    zone = spark.read.schema(P.PARTITIONED_TEXT_SCHEMA).text(PQ.written_zone(spark, SF))
+    assert got == {(c, p): n for c, p, n in zone.groupBy("country", "part").count().collect()} and got
+    assert any(how["recursive"] for _, how, _ in calls) and any("*" in paths[0] for paths, _, _ in calls) and len(calls) == 3
