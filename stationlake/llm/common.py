@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkAttributeError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,8 +32,8 @@ def with_row_key(df: DataFrame, *columns: str) -> DataFrame:
 
     ``doc_id`` can't be the key: it may be null or repeated.  A plain file scan
     has (hash of the file's path, row index in the file), at no cost.  Any
-    other frame is stored once with a running id.  A frame made from file scans
-    by joins or explodes must be stored by the caller first.
+    other frame, such as a union, or one that joins or explodes have multiplied
+    the rows of, is stored once with a running id.
     """
     return _keyed(df, [df[c] for c in columns])
 
@@ -43,15 +43,43 @@ def keyed_documents(df: DataFrame) -> DataFrame:
     return _keyed(df, [F.struct(*(df[c] for c in df.columns)).alias("document")])
 
 
-def _keyed(df: DataFrame, picked: list) -> DataFrame:
+def _is_plain_scan(df: DataFrame) -> bool:
+    """Whether ``df`` has each row of one file scan at most once: nothing but filters and projections above it."""
     try:
-        meta = df.metadataColumn("_metadata")
-        return df.select(
-            *picked, F.struct(F.xxhash64(meta["file_path"]).alias("file"), meta["row_index"].alias("row")).alias(ROW_KEY)
-        )
-    except AnalysisException:
-        key = F.struct(F.lit(0).cast("long").alias("file"), F.monotonically_increasing_id().alias("row"))
-        return store(df.select(*picked, key.alias(ROW_KEY)), "keyed")
+        node = df._jdf.queryExecution().analyzed()
+    except (AttributeError, PySparkAttributeError):  # a remote session does not show its plans
+        return False
+    while node.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        node = node.children().head()
+    return node.nodeName() == "LogicalRelation"
+
+
+def _keyed(df: DataFrame, picked: list) -> DataFrame:
+    if _is_plain_scan(df):
+        try:
+            meta = df.metadataColumn("_metadata")
+            key = F.struct(F.xxhash64(meta["file_path"]).alias("file"), meta["row_index"].alias("row"))
+            return df.select(*picked, key.alias(ROW_KEY))
+        except AnalysisException:  # a relation without files, or a projection that hides their columns
+            pass
+    key = F.struct(F.lit(0).cast("long").alias("file"), F.monotonically_increasing_id().alias("row"))
+    return store(df.select(*picked, key.alias(ROW_KEY)), "keyed")
+
+
+def with_group_total(df: DataFrame, key: str, row: str, value: str, name: str, salts: int = 64) -> DataFrame:
+    """``df`` with ``name``: the sum of ``value`` over all rows of the same ``key`` (nulls together).
+
+    ``df`` is a stored table and ``row`` tells its rows apart.  The rows of a
+    key are dealt out to ``salts`` groups, and only a group's sum meets the
+    others, so no key's rows come together in one task.
+    """
+    # A struct is never null itself, so null keys meet in the joins as well.
+    group = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("value"))
+    salted = df.withColumns({"__group": group, "__salt": F.pmod(F.xxhash64(row), F.lit(salts))})
+    partial = salted.groupBy("__group", "__salt").agg(F.sum(value).alias("__part"))
+    totals = partial.groupBy("__group").agg(F.sum("__part").alias(name))
+    spread = partial.drop("__part").join(totals, "__group")
+    return salted.join(spread, ["__group", "__salt"]).drop("__group", "__salt")
 
 
 def ascii_lower(col):
