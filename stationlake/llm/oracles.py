@@ -100,4 +100,100 @@ SELECT doc_id, domain, lang, source, n_tokens::BIGINT, (whole + 1)::BIGINT, leas
 FROM ordered WHERE before < due
 """
 
-ORACLES = {"op4_mixing": OP4, "op1_url_filter": OP1, "op7_exact_dedup": OP7}
+# crc32 of the decimal id, bit by bit (reversed polynomial 0xEDB88320).
+_CRC32 = """xor(4294967295, list_reduce(
+    list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+    lambda a, b: list_reduce(range(8), lambda y, i: CASE WHEN y & 1 = 1 THEN xor(y >> 1, 3988292384) ELSE y >> 1 END, xor(a, b)),
+    4294967295))"""
+
+OP11 = f"""
+WITH own AS (
+    SELECT conv_id, sha256(coalesce(role, '') || chr(31) || coalesce(text, '')) AS turn_hash, length(coalesce(text, '')) AS chars,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS pos
+    FROM conversations WHERE conv_id IS NOT NULL
+), sizes AS (
+    SELECT conv_id, count(*) AS n, {_CRC32} % 6 AS h FROM own GROUP BY conv_id
+), convs AS (
+    SELECT s.conv_id, s.n, s.h, s.conv_id - s.conv_id % 100 AS base, least(s.h, coalesce(b.n, 0)) AS shared
+    FROM sizes s LEFT JOIN sizes b ON b.conv_id = s.conv_id - s.conv_id % 100
+), rebuilt AS (
+    SELECT c.conv_id, o.pos, turn_hash, chars FROM convs c JOIN own o ON o.conv_id = c.base AND o.pos < c.h
+    UNION ALL
+    SELECT c.conv_id, o.pos - c.h + c.shared, turn_hash, chars FROM convs c JOIN own o ON o.conv_id = c.conv_id AND o.pos >= c.h
+), lists AS (
+    SELECT conv_id, list(turn_hash ORDER BY pos) AS turns, list(chars ORDER BY pos) AS chars FROM rebuilt GROUP BY conv_id
+), whole AS (
+    SELECT conv_id, coalesce(turns, []) AS turns, coalesce(chars, []) AS chars FROM convs LEFT JOIN lists USING (conv_id)
+), prefixes AS (
+    SELECT conv_id, depth, turns[1:depth] AS node, turns[1:depth - 1] AS parent, depth = len(turns) AS ends,
+           CASE WHEN depth > 0 THEN chars[depth] ELSE 0 END AS last_chars
+    FROM (SELECT *, unnest(range(len(turns) + 1)) AS depth FROM whole)
+), nodes AS (
+    SELECT depth, node, any_value(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs,
+           (count(*) - 1) * any_value(last_chars) AS saved,
+           sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+    FROM prefixes GROUP BY depth, node
+), children AS (
+    SELECT depth - 1 AS depth, parent AS node, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY depth, parent
+), told AS (
+    SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN children USING (depth, node)
+), below AS (
+    SELECT above AS depth, node[1:above] AS node, sum(saved) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves
+    FROM (SELECT *, unnest(range(depth + 1)) AS above FROM told) GROUP BY 1, 2
+)
+SELECT t.conv_id, t.depth, p.conv_id AS parent_conv_id, t.n_convs, t.n_children, b.n_leaves,
+       CAST(b.saved_tokens AS BIGINT) AS saved_tokens, t.ends_sha256
+FROM told t JOIN below b ON t.depth = b.depth AND t.node = b.node
+     LEFT JOIN told p ON t.depth > 0 AND p.depth = t.depth - 1 AND p.node = t.parent
+"""
+
+
+def _assigned(r: int) -> str:
+    """CTE: the nearest entry of round ``r``'s codebooks to every part."""
+    return f"""
+a{r} AS MATERIALIZED (
+    SELECT rid, part, min_by(entry, d * 256 + entry) AS entry, min(d) AS d FROM (
+        SELECT p.rid, p.part, b.entry, sum((p.x - b.x) * (p.x - b.x)) AS d
+        FROM points p JOIN b{r} b USING (part, pos) GROUP BY ALL
+    ) GROUP BY rid, part
+)"""
+
+
+def _moved(r: int) -> str:
+    """CTE: the codebooks after round ``r``."""
+    return f"""
+b{r + 1} AS MATERIALIZED (
+    SELECT part, entry, pos, coalesce(m.x, b.x) AS x FROM b{r} b LEFT JOIN (
+        SELECT p.part, a.entry, p.pos, CAST(floor(sum(p.x) / count(*)) AS BIGINT) AS x
+        FROM points p JOIN a{r} a USING (rid, part) GROUP BY ALL
+    ) m USING (part, entry, pos)
+)"""
+
+
+OP13 = f"""
+WITH kept AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY vec_id) AS rid, vec_id, label,
+           list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), points AS MATERIALIZED (
+    SELECT rid, (i - 1) // (len(v) // 8) AS part, (i - 1) % (len(v) // 8) AS pos, v[i] AS x
+    FROM (SELECT rid, v, unnest(range(1, len(v) + 1)) AS i FROM kept)
+), b0 AS MATERIALIZED (
+    SELECT part, rid - 1 AS entry, pos, x FROM points WHERE rid <= 16
+), {", ".join(step(r) for r in range(6) for step in (_assigned, _moved))}, {_assigned(6)}
+, codes AS (
+    SELECT rid, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM a6 GROUP BY rid
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY part, entry, pos)) FROM b6) AS codebooks_sha256
+FROM kept JOIN codes USING (rid)
+"""
+
+ORACLES = {
+    "op1_url_filter": OP1,
+    "op4_mixing": OP4,
+    "op7_exact_dedup": OP7,
+    "op11_prefix_trie": OP11,
+    "op13_vector_codes": OP13,
+}

@@ -9,15 +9,18 @@ from pyspark.sql import functions as F
 
 from stationlake.llm import (
     ann,
+    bpe,
     langid,
     mixing,
     packing,
+    prefix_trie,
     quality,
     radix_dedup,
     recompression,
     simhash,
     suffix_dedup,
     url_filter,
+    vector_codes,
 )
 from stationlake.llm.common import read_table
 
@@ -72,6 +75,31 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trie = prefix_trie.prefix_trie(read_table(spark, sf_dir, "conversations"))
+    no_ends = F.sha2(F.lit("").cast("binary"), 256)
+    return trie.nodes.join(prefix_trie.end_digests(trie.ends), "node", "left").select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+        F.coalesce("ends_sha256", no_ends).alias("ends_sha256"),
+    )
+
+
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = bpe.decode(bpe.encode(read_table(spark, sf_dir, "documents")))
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return out.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(ids, 256).alias("ids_sha256"),
+        F.sha2("data", 256).alias("decoded_sha256"),
+    )
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, _ = vector_codes.compress(read_table(spark, sf_dir, "embeddings"))
+    return codes
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_simhash": op2_simhash,
@@ -83,4 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ann": op8_ann,
     "op9_recompression": op9_recompression,
     "op10_packing": op10_packing,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_bpe": op12_bpe,
+    "op13_vector_codes": op13_vector_codes,
 }
