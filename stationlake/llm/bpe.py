@@ -18,6 +18,7 @@ from __future__ import annotations
 import base64
 import functools
 import heapq
+import struct
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,8 @@ LOOK_AHEAD = 4
 CACHE_PIECES = 500_000
 #: Bytes from which a pre-token is merged with a heap.
 LONG_PIECE = 64
+#: In place of the rank of a pair that is no token.
+APART = 1 << 62
 KEY = "STRUCT<file: LONG, row: LONG>"
 
 
@@ -71,18 +74,16 @@ def merge_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     if len(piece) >= LONG_PIECE:
         return _merge_long(piece, ranks)
     parts = [piece[i : i + 1] for i in range(len(piece))]
-    joint = [ranks.get(a + b) for a, b in zip(parts, parts[1:])]
-    while True:
-        best = min((r for r in joint if r is not None), default=None)
-        if best is None:
-            return [ranks[p] for p in parts]
+    joint = [ranks.get(piece[i : i + 2], APART) for i in range(len(piece) - 1)]
+    while joint and (best := min(joint)) < APART:
         i = joint.index(best)
         parts[i : i + 2] = [parts[i] + parts[i + 1]]
         del joint[i]
         if i < len(joint):
-            joint[i] = ranks.get(parts[i] + parts[i + 1])
+            joint[i] = ranks.get(parts[i] + parts[i + 1], APART)
         if i:
-            joint[i - 1] = ranks.get(parts[i - 1] + parts[i])
+            joint[i - 1] = ranks.get(parts[i - 1] + parts[i], APART)
+    return [ranks[p] for p in parts]
 
 
 def _merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -129,11 +130,19 @@ class PieceEncoder:
         if len(self.new) > CACHE_PIECES:
             self.old, self.new = self.new, {}
         for p in set(pieces).difference(self.new):
-            known = self.old.get(p)
-            self.new[p] = known if known is not None else np.array(merge_piece(p.encode(), self.ranks), "<i4").tobytes()
+            if (known := self.old.get(p)) is None:
+                ids = merge_piece(p.encode(), self.ranks)
+                known = struct.pack(f"<{len(ids)}i", *ids)
+            self.new[p] = known
         return b"".join(map(self.new.__getitem__, pieces))
 
 
+@functools.lru_cache(maxsize=2)
+def _encoder(path: str) -> PieceEncoder:
+    """One to a worker, whose tasks take over what it remembers."""
+    return PieceEncoder(path)
+
+
 def _ids_column(encoded: list[bytes]) -> pa.Array:
     ends = np.cumsum([0, *(len(x) // 4 for x in encoded)])
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(encoded), "<i4")))
@@ -143,7 +152,7 @@ def _encode_whole(path: str, pattern: str):
     """Texts of one chunk: (row_key, doc_id, ids)."""
 
     def run(batches):
-        encode, pieces = PieceEncoder(path), regex.compile(pattern).findall
+        encode, pieces = _encoder(path), regex.compile(pattern).findall
         for b in batches:
             for part in (b.slice(at, 512) for at in range(0, b.num_rows, 512)):
                 ids = [encode(pieces(t or "")) for t in part.column("text").to_pylist()]
@@ -211,7 +220,7 @@ def _encode_pieces(path: str):
     """Stitched chunks, of which the boundaries from ``since`` to ``until`` count: (row_key, chunk, ids)."""
 
     def run(batches):
-        encode = PieceEncoder(path)
+        encode = _encoder(path)
         for b in (whole.slice(at, 64) for whole in batches for at in range(0, whole.num_rows, 64)):
             out = []
             rows = zip(*(b.column(c).to_pylist() for c in ("start", "text", "ends", "since", "until")))
