@@ -69,6 +69,17 @@ def test_encoder_equals_the_tokenizer(tokenizer, monkeypatch):
         assert np.frombuffer(encode(t), "<u4").tolist() == tokenizer.encode(t or "", add_special_tokens=False).ids + [1], t
 
 
+def test_encoder_on_letters_that_change_with_case(tokenizer):
+    """A dotted capital I is a letter and a mark in lower case, and the mark joins what follows."""
+    encode = P.Encoder(public_tokenizers.path("word_bpe_49k.json"), 1)
+    texts = [w + m for w in ("İ", "kİ", "İx", "ǰİ", "ΑΣ", "ΐ", "ẞ") for m in ("", *P.Encoder.MARKS, "...", "!?")]
+    rng = random.Random(3)
+    odd = list("İIıiΣσςßẞǅŉΐﬁK.,!'-_ \n1éÉ́̇<|>") + ["<|endoftext|>", "'s", "'LL"]
+    texts += ["".join(rng.choice(odd) for _ in range(rng.randrange(1, 25))) for _ in range(4000)] + [" ".join(texts)]
+    for t in texts:
+        assert np.frombuffer(encode(t), "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids + [1], t
+
+
 def test_encoder_meets_special_tokens_by_case(tokenizer):
     encode = P.Encoder(public_tokenizers.path("word_bpe_49k.json"), 1)
     forms = ["endoftext", "EndOfText", "ENDOFTEXT", "startoftext", "StartOfText", "STARTOFTEXT"]
