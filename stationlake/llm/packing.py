@@ -46,7 +46,7 @@ def _is_latin(text: str) -> bool:
 
 def _is_letters(word: str) -> bool:
     """Whether ``word`` is all letters, also in lower case: a dotted capital I becomes a letter and a combining mark."""
-    return word.isalpha() and (word.isascii() or word.lower().isalpha())
+    return word.isalpha() and word.lower().isalpha()
 
 
 class _Recent:
@@ -110,7 +110,7 @@ class Encoder:
         """
         single, plain, known = [], [], self.parts.new
         for p in parts:
-            if not _is_letters(p):
+            if not p.isalpha() or not (p.isascii() or _is_letters(p)):
                 single.append(p)
             elif self.direct and p.isascii() and p.islower():
                 known[p] = array("I", [t.id for t in self.model.tokenize(p)]).tobytes()
@@ -140,7 +140,7 @@ class Encoder:
             cut = {}
             for w in missing:
                 core = w.rstrip(self.MARKS)
-                if _is_letters(core):
+                if core.isalpha() and (core.isascii() or _is_letters(core)):
                     cut[w] = (core, w[len(core) :])
                 else:
                     cut[w] = (w, "")
