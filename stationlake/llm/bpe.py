@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 import public_tokenizers
 import regex
+import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,11 +37,11 @@ GROWTH = 8
 #: Code points from a pre-token's end that may have decided it; nearer to the end of what was read it is not sure.
 LOOK_AHEAD = 4
 #: Pre-tokens that a worker remembers before it forgets those not met again.
-CACHE_PIECES = 500_000
-#: Bytes from which a pre-token is merged with a heap.
-LONG_PIECE = 64
-#: In place of the rank of a pair that is no token.
-APART = 1 << 62
+CACHE_PIECES = 250_000
+#: Code points from which a pre-token is merged with a heap of our own.
+LONG_PIECE = 512
+#: Ids whose bytes are looked up together.
+DECODED_AT_ONCE = 65_536
 KEY = "STRUCT<file: LONG, row: LONG>"
 
 
@@ -67,27 +68,13 @@ def _token_bytes(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8), np.cumsum(lengths) - lengths, lengths
 
 
-def merge_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Ids of one pre-token: neighbours of the lowest joint rank are joined first, the leftmost of equals."""
+def merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Ids of one pre-token: neighbours of the lowest joint rank are joined first, the leftmost of equals.
+
+    With a heap of (joint rank, position) it takes n log n for n bytes.
+    """
     if (whole := ranks.get(piece)) is not None:
         return [whole]
-    if len(piece) >= LONG_PIECE:
-        return _merge_long(piece, ranks)
-    parts = [piece[i : i + 1] for i in range(len(piece))]
-    joint = [ranks.get(piece[i : i + 2], APART) for i in range(len(piece) - 1)]
-    while joint and (best := min(joint)) < APART:
-        i = joint.index(best)
-        parts[i : i + 2] = [parts[i] + parts[i + 1]]
-        del joint[i]
-        if i < len(joint):
-            joint[i] = ranks.get(parts[i] + parts[i + 1], APART)
-        if i:
-            joint[i - 1] = ranks.get(parts[i - 1] + parts[i], APART)
-    return [ranks[p] for p in parts]
-
-
-def _merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """The same with a heap of (joint rank, position): n log n for a pre-token of n bytes."""
     n = len(piece)
     end = list(range(1, n + 1))  # where the part that begins at i ends
     before = list(range(-1, n - 1))
@@ -125,13 +112,20 @@ class PieceEncoder:
 
     def __init__(self, path: str):
         self.ranks, self.new, self.old = read_ranks(path), {}, {}
+        # Whatever it is given is one piece to it.
+        self.library = tiktoken.Encoding("ranks", pat_str=r"(?s).+", mergeable_ranks=self.ranks, special_tokens={})
+
+    def piece_ids(self, piece: str) -> list[int]:
+        if len(piece) < LONG_PIECE:
+            return self.library.encode_ordinary(piece)
+        return merge_long(piece.encode(), self.ranks)
 
     def __call__(self, pieces: list[str]) -> bytes:
         if len(self.new) > CACHE_PIECES:
             self.old, self.new = self.new, {}
         for p in set(pieces).difference(self.new):
             if (known := self.old.get(p)) is None:
-                ids = merge_piece(p.encode(), self.ranks)
+                ids = self.piece_ids(p)
                 known = struct.pack(f"<{len(ids)}i", *ids)
             self.new[p] = known
         return b"".join(map(self.new.__getitem__, pieces))
@@ -154,7 +148,7 @@ def _encode_whole(path: str, pattern: str):
     def run(batches):
         encode, pieces = _encoder(path), regex.compile(pattern).findall
         for b in batches:
-            for part in (b.slice(at, 512) for at in range(0, b.num_rows, 512)):
+            for part in (b.slice(at, 128) for at in range(0, b.num_rows, 128)):
                 ids = [encode(pieces(t or "")) for t in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(ROW_KEY), part.column("doc_id"), _ids_column(ids)], [ROW_KEY, "doc_id", "ids"]
@@ -301,19 +295,28 @@ def encode(
     return short.unionByName(long.select(ROW_KEY, "doc_id").join(ids, ROW_KEY))
 
 
+def token_data(ids: np.ndarray, path: str) -> bytes:
+    """The bytes of ``ids`` one after another, taken some ids at a time."""
+    data, first, lengths = _token_bytes(path)
+    out = []
+    for at in range(0, len(ids), DECODED_AT_ONCE):
+        some = ids[at : at + DECODED_AT_ONCE]
+        size = lengths[some]
+        ends = np.cumsum(size)
+        out.append(data[np.arange(ends[-1]) + np.repeat(first[some] - (ends - size), size)].tobytes())
+    return b"".join(out)
+
+
 def _decode(path: str):
     def run(batches):
-        data, first, lengths = _token_bytes(path)
+        lengths = _token_bytes(path)[2]
         for b in batches:
-            for part in (b.slice(at, 512) for at in range(0, b.num_rows, 512)):
+            for part in (b.slice(at, 128) for at in range(0, b.num_rows, 128)):
                 column = part.column("ids")
-                values = column.flatten().to_numpy(zero_copy_only=False)
-                size = lengths[values]
-                ends = np.cumsum(size)
-                take = np.arange(ends[-1] if len(ends) else 0) + np.repeat(first[values] - (ends - size), size)
-                raw = data[take].tobytes()
+                ids = column.flatten().to_numpy(zero_copy_only=False)
+                raw = token_data(ids, path)
                 count = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-                edge = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(count)])].tolist()
+                edge = np.concatenate([[0], np.cumsum(lengths[ids])])[np.concatenate([[0], np.cumsum(count)])].tolist()
                 out = [raw[x:y] for x, y in zip(edge, edge[1:])]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.binary())], [*part.schema.names, "data"])
 

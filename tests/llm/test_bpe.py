@@ -26,13 +26,16 @@ def library():
     )
 
 
-def test_merges_of_short_and_long_pieces(library):
-    ranks = bpe.read_ranks(bpe.default_path())
+def test_merges_of_single_pieces(library):
+    """By the heap and by the encoder, which chooses by length."""
+    encoder = bpe.PieceEncoder(bpe.default_path())
     rng = random.Random(5)
     letters = ["".join(rng.choice("abcdeéß漢") for _ in range(rng.randrange(1, 200))) for _ in range(300)]
-    for text in letters + mixed(1, 200) + RUNS:
-        got = [i for p in regex.findall(public_tokenizers.PATTERN, text) for i in bpe.merge_piece(p.encode(), ranks)]
-        assert got == library.encode_ordinary(text), text
+    for text in letters + mixed(1, 200) + RUNS + ["".join(letters)]:
+        pieces = regex.findall(public_tokenizers.PATTERN, text)
+        want = library.encode_ordinary(text)
+        assert [i for p in pieces for i in bpe.merge_long(p.encode(), encoder.ranks)] == want, text
+        assert [i for p in pieces for i in encoder.piece_ids(p)] == want, text
 
 
 @pytest.mark.parametrize("chunk,overlap", [(5, 5), (16, 6), (40, 10), (32_768, 1_024)])
