@@ -37,7 +37,7 @@ GROWTH = 8
 #: Code points from a pre-token's end that may have decided it; nearer to the end of what was read it is not sure.
 LOOK_AHEAD = 4
 #: Pre-tokens that a worker remembers before it forgets those not met again.
-CACHE_PIECES = 250_000
+CACHE_PIECES = 150_000
 #: Code points from which a pre-token is merged with a heap of our own.
 LONG_PIECE = 512
 #: Ids whose bytes are looked up together.
