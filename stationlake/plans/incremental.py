@@ -1,16 +1,17 @@
 """Incremental sensor-day table: recompute only the days a load touches.
 
 A full refresh reads the whole raw table every run.  A load only carries
-readings of a bounded set of days (its lookback or backfill window), and every
-copy of a reading for day ``d`` was landed on or after ``d`` (a page is never
-loaded before its period).  So an update:
-
-1. writes the touched days of the batches landed since the last build to a
-   small table (a high-water mark on ``ingested_at``; the ``ingest_date``
-   partitions before it are pruned);
-2. stages the pages from the first touched ingest day onwards (pruned as
-   well; latest-wins over every copy they hold) and keeps the touched days by
-   a join;
+readings of a bounded set of days, but the copies of these days' readings may
+have been landed at any time: later (corrections) and, where a clock runs
+ahead, before the day itself.  So an index is kept beside the table: which days
+the pages of each ingest day carry, one small row per pair.  An update:
+
+1. adds the pairs of the batches landed since the last build to the index (a
+   high-water mark on ``ingested_at``; the ``ingest_date`` partitions before it
+   are pruned); their days are the touched days;
+2. stages the pages of every ingest day that carries a touched day, and of no
+   other (the partitions to read are known when the read is planned), and keeps
+   the touched days by a join: latest-wins meets every copy of their readings;
 3. overwrites just those ``measurement_date`` partitions (dynamic partition
    overwrite).
 
@@ -35,13 +36,29 @@ from stationlake.schemas import SENSOR_DAY_DDL
 from stationlake.session import scratch_path
 
 
-def touched_days(raw: DataFrame, since: dt.datetime | str) -> DataFrame:
-    """Distinct measurement days carried by measurement pages landed at or after ``since``."""
-    stamp = ts_lit(since)
-    new_pages = raw.where((F.col("ingest_date") >= F.to_date(stamp)) & (F.col("ingested_at") >= stamp))
-    recs = S.parse_measurements(S.measurement_records(new_pages))
-    day = F.to_date("period_start_utc").alias("measurement_date")
-    return recs.where(F.col("period_start_utc").isNotNull()).select(day).distinct()
+INDEX_DDL = "measurement_date DATE, ingest_date DATE"
+
+
+def index_path(path: str) -> str:
+    """Where the index of the sensor-day table at ``path`` lies."""
+    return f"{path}_landed_days"
+
+
+def landed_days(raw: DataFrame, since: dt.datetime | str | None = None) -> DataFrame:
+    """Distinct (measurement day, ingest day) of the measurement pages landed at or after ``since``."""
+    if since is not None:
+        stamp = ts_lit(since)
+        raw = raw.where((F.col("ingest_date") >= F.to_date(stamp)) & (F.col("ingested_at") >= stamp))
+    pages = S.measurement_pages(raw)
+    recs = S.parse_measurements(S.measurement_records(pages)).where(F.col("period_start_utc").isNotNull())
+    return recs.select(
+        F.to_date("period_start_utc").alias("measurement_date"), F.to_date("ingested_at").alias("ingest_date")
+    ).distinct()
+
+
+def read_index(spark: SparkSession, path: str) -> DataFrame:
+    """The index of the sensor-day table at ``path``; a pair may have been added more than once."""
+    return spark.read.schema(INDEX_DDL).parquet(index_path(path)).distinct()
 
 
 def write_by_day(table: DataFrame, path: str, only_present_days: bool = True) -> None:
@@ -61,25 +78,30 @@ def write_by_day(table: DataFrame, path: str, only_present_days: bool = True) ->
 
 
 def build_sensor_days(raw: DataFrame, path: str) -> None:
-    """The sensor-day table of the whole raw table."""
+    """The sensor-day table of the whole raw table, and its index."""
+    landed_days(raw).write.mode("overwrite").parquet(index_path(path))
     write_by_day(D.sensor_day_agg(S.stage_measurements(raw)), path, only_present_days=False)
 
 
 def update_sensor_days(spark: SparkSession, raw: DataFrame, since: dt.datetime | str, path: str) -> DataFrame:
     """Recompute the sensor-days of every day touched by pages landed at or after ``since``.
 
-    Returns the touched days, as stored.  The first of them, which bounds the
-    pages to read, is the only value brought to the driver.
+    Returns the touched days, as stored.  The ingest days to read, at most one
+    per partition of the raw table, are the only values brought to the driver.
+    Stopped anywhere, an update can be run again with the same ``since``.
     """
-    days_path = scratch_path(spark, "touched-days")
-    touched_days(raw, since).write.parquet(days_path)
-    days = spark.read.schema("measurement_date DATE").parquet(days_path)
-    first = days.agg(F.min("measurement_date")).first()[0]
-    if first is not None:
-        pages = raw.where(F.col("ingest_date") >= F.lit(first))
-        fresh = D.sensor_day_agg(S.stage_measurements(pages)).join(days, "measurement_date", "left_semi")
+    new_path = scratch_path(spark, "landed-days")
+    landed_days(raw, since).write.parquet(new_path)
+    new = spark.read.schema(INDEX_DDL).parquet(new_path)
+    new.write.mode("append").parquet(index_path(path))
+    touched = new.select("measurement_date").distinct()
+    pairs = read_index(spark, path).join(touched, "measurement_date", "left_semi")
+    to_read = [r[0] for r in pairs.select("ingest_date").distinct().collect()]
+    if to_read:
+        pages = raw.where(F.col("ingest_date").isin(to_read))
+        fresh = D.sensor_day_agg(S.stage_measurements(pages)).join(touched, "measurement_date", "left_semi")
         write_by_day(fresh, path)
-    return days
+    return touched
 
 
 def read_sensor_days(spark: SparkSession, path: str) -> DataFrame:

@@ -6,10 +6,11 @@
 * :func:`latest_wins_stream` — measurement records aggregated per
   (sensor, period) with ``max_by`` over the newest-first order; the watermark
   on the period start bounds state to the lookback horizon.
-* :func:`late_records_stream` — rows older than the watermark, which the
-  aggregate above leaves out, are appended to a table of their own, so no
-  record is lost; :func:`with_late_records` (or the batch rebuild) takes them
-  in.
+* :func:`corrections_stream` — the same with nothing dropped: one query writes
+  each micro-batch once, its newest on-time copy per key and its rows behind
+  the lookback horizon, flagged late.  State and late rows come from the same
+  batch, so however loads fall into batches no record is lost;
+  :func:`with_late_records` (or the batch rebuild) takes the late rows in.
 
 Sinks are ``foreachBatch`` appends to files in the shared folder, with the
 checkpoint next to them, so a restarted query resumes where it stopped.  A
@@ -26,6 +27,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from stationlake import constants as C
 from stationlake.operators.dedup import latest_per_key
@@ -96,43 +98,68 @@ def run_update_stream(updates: DataFrame, out: str, checkpoint: str) -> Streamin
     )
 
 
-def late_records_stream(
+LATE = "is_late"
+
+
+def corrections_stream(
     records: DataFrame,
     out: str,
     checkpoint: str,
+    keys: Sequence[str] = ("sensor_id", "period_start_utc"),
+    order: Sequence[str] = ("ingested_at", "source_uri", "record_pos"),
     event_time: str = "period_start_utc",
     delay: str = f"{C.LOOKBACK_DAYS} days",
 ) -> StreamingQuery:
-    """Append the rows that :func:`latest_wins_stream` drops as too late.
+    """Write every micro-batch of ``records`` as on-time corrections and late rows.
 
     A row is late when its event time lies more than ``delay`` before the
-    newest one of the batches before its own.  The newest event time is kept
-    beside the rows, one row per batch; both are written to the batch's own
-    folder, so a batch that is run again replaces what it wrote.  Both queries
-    must read the same source with the same options.
+    newest one of the batches before its own, as a watermark would have it;
+    rows without event time are on time.  Of the on-time rows of a key the
+    newest copy in the batch is written, of the late ones every row, both to
+    the batch's own folder of ``out``; the batch's newest event time goes beside
+    it, one row.  A batch that is run again replaces what it wrote and decides
+    as before.  What has been seen is files, so no state grows in the executors
+    and the newest copy of a key is found by order, not by arrival.
     """
     spark = records.sparkSession
-    marks = f"{out}_marks"
+    newest = f"{out}_newest"
 
-    def split(batch: DataFrame, batch_id: int) -> None:
-        newest = batch.agg(F.max(event_time).alias("newest"))
-        newest.write.mode("overwrite").parquet(f"{marks}/batch_id={batch_id}")
-        seen = spark.read.schema("newest TIMESTAMP, batch_id BIGINT").parquet(marks).where(F.col("batch_id") < batch_id)
-        bound = seen.agg((F.max("newest") - F.expr(f"INTERVAL {delay}")).alias("bound"))
-        late = batch.join(F.broadcast(bound), F.col(event_time) < F.col("bound")).drop("bound")  # one row
-        late.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+    def write(batch: DataFrame, batch_id: int) -> None:
+        is_late = F.lit(False)
+        if batch_id:
+            seen = spark.read.schema("newest TIMESTAMP, batch_id BIGINT").parquet(newest).where(F.col("batch_id") < batch_id)
+            bound = seen.agg(F.max("newest") - F.expr(f"INTERVAL {delay}")).first()[0]  # one value
+            is_late = F.coalesce(F.col(event_time) < F.lit(bound), F.lit(False))
+        flagged = batch.withColumn(LATE, is_late).select(*records.columns, LATE)
+        on_time = latest_per_key(flagged.where(~F.col(LATE)), list(keys), [F.col(c).desc_nulls_last() for c in order])
+        both = on_time.unionByName(flagged.where(LATE))
+        both.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        written = spark.read.schema(both.schema).parquet(f"{out}/batch_id={batch_id}")
+        written.agg(F.max(event_time).alias("newest")).write.mode("overwrite").parquet(f"{newest}/batch_id={batch_id}")
 
     return (
-        records.writeStream.foreachBatch(split)
+        records.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def read_late_records(spark: SparkSession, out: str, schema) -> DataFrame:
-    """Late rows of every batch."""
-    return spark.read.schema(schema).parquet(out)
+def read_corrections(spark: SparkSession, out: str, schema) -> DataFrame:
+    """All rows that :func:`corrections_stream` wrote, with ``is_late``; ``schema`` is the records'."""
+    flagged = StructType([*schema.fields, StructField(LATE, BooleanType())])
+    return spark.read.schema(flagged).parquet(out)
+
+
+def corrected_state(corrections: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The newest on-time copy of each key."""
+    on_time = corrections.where(~F.col(LATE)).drop(LATE)
+    return latest_per_key(on_time, list(keys), [F.col(c).desc_nulls_last() for c in order])
+
+
+def late_records(corrections: DataFrame) -> DataFrame:
+    """The late rows, every one."""
+    return corrections.where(LATE).drop(LATE)
 
 
 def with_late_records(state: DataFrame, late: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

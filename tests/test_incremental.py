@@ -2,6 +2,9 @@
 
 import glob
 import os
+import random
+
+import pytest
 
 from helpers import location, page, raw_df, raw_row, reading, uri
 
@@ -76,3 +79,44 @@ def test_days_are_written_by_few_files(spark, tmp_dir):
     many = [raw_row(page(reading(float(s), "2026-07-01 03:00:00")), "2026-07-02 02:05:00", uri("AE", "2026-07-01", 100 + s)) for s in range(40)]
     _, path = _start(spark, tmp_dir, many)
     assert len(glob.glob(f"{path}/measurement_date=2026-07-01/*.parquet")) == 1
+
+
+def test_a_reading_landed_before_its_day_stays(spark, tmp_dir):
+    """A clock that runs ahead: the reading of the 16th came on the 15th, the next load brings another sensor's."""
+    early = raw_row(page(reading(7.0, "2026-07-16 00:00:00")), "2026-07-15 23:58:00", uri("AE", "2026-07-15", 11))
+    raw_path, path = _start(spark, tmp_dir, [early])
+    other = raw_row(page(reading(9.0, "2026-07-16 03:00:00")), "2026-07-17 02:05:00", uri("AE", "2026-07-16", 12))
+    P.append_batch(raw_df(spark, [other]), raw_path)
+    IN.update_sensor_days(spark, P.read_raw(spark, raw_path), "2026-07-17 00:00:00", path)
+    stored, full = _both(spark, raw_path, path)
+    assert stored == full and sum(r[4].day == 16 for r in stored) == 2
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_updates_equal_a_rebuild_whatever_the_stamps(spark, tmp_dir, seed):
+    rng = random.Random(seed)
+    raw_path, path = _start(spark, tmp_dir)
+    since = "2026-07-05 00:00:00"
+    for load in range(3):
+        rows = []
+        for _ in range(12):
+            day = rng.randrange(1, 29)  # before, at and long after its landing
+            at = f"2026-07-{5 + 6 * load + rng.randrange(6):02d} {rng.randrange(24):02d}:05:00"
+            value = rng.choice((None, float(rng.randrange(100))))
+            rows.append(raw_row(page(reading(value, f"2026-07-{day:02d} {rng.randrange(4):02d}:00:00")), at, uri("AE", "2026-07-01", rng.choice((11, 12)))))
+        P.append_batch(raw_df(spark, rows), raw_path)
+        IN.update_sensor_days(spark, P.read_raw(spark, raw_path), since, path)
+        since = f"2026-07-{5 + 6 * (load + 1):02d} 00:00:00"
+        stored, full = _both(spark, raw_path, path)
+        assert stored == full
+
+
+def test_an_update_reads_the_ingest_days_of_touched_days_only(spark, tmp_dir, monkeypatch):
+    raw_path, path = _start(spark, tmp_dir)
+    fix = raw_row(page(reading(22.0, "2026-07-02 01:00:00")), "2026-07-09 02:05:00", uri("AE", "2026-07-08", 11))
+    P.append_batch(raw_df(spark, [fix]), raw_path)
+    staged = []
+    real = S.stage_measurements
+    monkeypatch.setattr(IN.S, "stage_measurements", lambda pages: staged.append(pages) or real(pages))
+    IN.update_sensor_days(spark, P.read_raw(spark, raw_path), "2026-07-09 00:00:00", path)
+    assert sorted(r[0].isoformat() for r in staged[0].select("ingest_date").distinct().collect()) == ["2026-07-03", "2026-07-09"]
