@@ -167,9 +167,20 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], MANIFEST_DDL)
 
 
-def read_manifest_failed(spark: SparkSession, path: str) -> DataFrame:
-    """Failed sensor ids of completed windows, one distinct row each."""
-    return spark.read.schema(MANIFEST_FAILED_DDL).parquet(path).distinct()
+def read_manifest_failed(spark: SparkSession, path: str, manifest: DataFrame) -> DataFrame:
+    """Failed sensor ids of completed windows, one distinct row each.
+
+    Ids written by a run that stopped before its manifest rows belong to no
+    completion and are left out.
+    """
+    done = manifest.select(*MANIFEST_KEYS, "completed_at").distinct()
+    rows = spark.read.schema(MANIFEST_FAILED_DDL).parquet(path).distinct()
+    return rows.join(done, [*MANIFEST_KEYS, "completed_at"], "left_semi").drop("completed_at")
+
+
+def append_manifest_failed(records: DataFrame, path: str) -> None:
+    """Append failed ids; they count once their window's manifest row is there."""
+    records.select(*(f.split(" ")[0] for f in MANIFEST_FAILED_DDL.split(", "))).write.mode("append").parquet(path)
 
 
 def append_manifest(records: DataFrame, path: str) -> None:
@@ -216,8 +227,8 @@ def manifest_records(chunk_outcomes: DataFrame, completed_at: Column | str) -> D
     )
 
 
-def manifest_failed_records(chunk_outcomes: DataFrame, fetch_log: DataFrame) -> DataFrame:
-    """Failed sensor ids of the chunks that are checkpointed."""
+def manifest_failed_records(chunk_outcomes: DataFrame, fetch_log: DataFrame, completed_at: Column | str) -> DataFrame:
+    """Failed sensor ids of the chunks that are checkpointed, with the stamp of their manifest rows."""
     ok = chunk_outcomes.where(F.col("passes") & F.col("matches")).select(
         "country_code", "chunk_start", "chunk_end"
     )
@@ -229,6 +240,7 @@ def manifest_failed_records(chunk_outcomes: DataFrame, fetch_log: DataFrame) ->
         F.col("chunk_start").alias("window_start"),
         F.col("chunk_end").alias("window_end"),
         "sensor_id",
+        ts_lit(completed_at).alias("completed_at"),
     )
 
 

@@ -1,39 +1,46 @@
-"""A backfill run over the event world, as table jobs.
+"""A backfill run over one's own fetch log and pages, as table jobs.
 
 A run takes the chunks without a manifest record, keeps the target sensors that
-are not on the skip list, and lands per chunk the pages of the fetches that
-went well, one batch per chunk, with the inventory pages under the first open
-chunk of each country.  A chunk whose failure rate is within the gate and whose
-reported count equals its landed count gets a manifest record, with its failed
-sensor ids in a child table.  If any chunk does not pass, the run stops with an
-error after recording those that do, and a later run takes up the rest.
-
-Fetch outcomes come from the ``events`` rows and landed counts from the written
-raw table.  Sensors without readings are counted, never paired with chunks.
-Chunk bounds follow arithmetically from a country's span (one row per country),
-so facts are joined to nothing larger.
+are not on the skip list, and commits in three steps, each a write of its own:
+
+1. *land* — the pages of the fetches that went well go to the raw table as one
+   batch, with the inventory pages under the first open chunk of each country;
+   then a marker per chunk says under which stamp and for which fetch log;
+2. *reconcile* — per chunk, the failure gate over its fetches and the source's
+   total against the records of the landed batch;
+3. *record* — failed sensor ids of the chunks that pass, then their manifest
+   rows.  A manifest row makes a chunk done; nothing else does.
+
+A run that was stopped at any point is run again.  Chunks whose marker fits the
+fetch log and whose batch is whole are not landed twice; the rest are landed
+under the new run's later stamp, and the newest batch counts.  If any chunk
+does not pass, the run ends with an error after recording those that do.
+
+Facts are joined to the chunks they name; sensors without a fetch are counted
+from the targets, never paired with chunks.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationlake import constants as C
-from stationlake.functions.columns import chunk_label, country_from_uri, object_name, sensor_id_from_uri
+from stationlake.functions.columns import chunk_label, object_name, ts_lit
 from stationlake.operators import quality as Q
 from stationlake.operators import runs as R
-from stationlake.operators.windows import chunk_start_of
-from stationlake.plans import feeds as FD
+from stationlake.session import scratch_path
 from stationlake.sources.pages import append_batch, ensure_raw_table, land_batch, read_raw
 
-COMPLETED_AT = "2024-02-01 03:00:00"
-RESUMED_AT = "2024-02-02 03:00:00"
 CHUNK = ["country_code", "chunk_start", "chunk_end"]
 #: Chunks named in the error of a stopped run.
 NAMED_CHUNKS = 20
+MARKER_DDL = "country_code STRING, chunk_start DATE, chunk_end DATE, log_print DECIMAL(38,0), stamp TIMESTAMP"
 
 
 class RunStopped(RuntimeError):
@@ -42,92 +49,75 @@ class RunStopped(RuntimeError):
 
 @dataclass(frozen=True)
 class RunTables:
-    """Where a run keeps its manifest, the failed ids and the landed pages."""
+    """Where runs keep their manifest, the failed ids, the landing markers and the landed pages."""
 
     manifest: str
     failed: str
+    landed: str
     raw: str
 
     @classmethod
     def under(cls, path: str) -> RunTables:
-        return cls(f"{path}/manifest", f"{path}/manifest_failed", f"{path}/raw")
+        return cls(f"{path}/manifest", f"{path}/manifest_failed", f"{path}/landed", f"{path}/raw")
 
 
-def _in_chunks(rows: DataFrame, feed: FD.EventFeed, day: str) -> DataFrame:
-    """``rows`` with the bounds of the chunk that ``day`` falls in."""
-    keyed = rows.join(feed.audit_spans, "country_code")
-    start = chunk_start_of(day, "span_start", FD.CHUNK_DAYS)
-    end = F.least(F.date_add(start, FD.CHUNK_DAYS), F.date_add("span_end", 1))
-    return keyed.withColumns({"chunk_start": start, "chunk_end": end}).drop("span_start", "span_end")
+def read_markers(spark: SparkSession, path: str) -> DataFrame:
+    """Landing markers; none before the first landing."""
+    try:
+        return spark.read.schema(MARKER_DDL).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], MARKER_DDL)
 
 
-def unreachable(attempt: int):
-    """Sensors that can't be reached at first: a third of America's in its second chunk, with or without readings."""
-    chunk = (F.col("country_code") == "AM") & (F.dayofmonth("chunk_start") > 7) & (F.dayofmonth("chunk_start") < 15)
-    return chunk & (F.col("sensor_id") % 3 == 0) if attempt == 1 else F.lit(False)
+def open_fetches(fetch_log: DataFrame, todo: DataFrame, targets: DataFrame) -> DataFrame:
+    """The fetches of target sensors in open chunks."""
+    mine = fetch_log.join(targets.select("country_code", "sensor_id").distinct(), ["country_code", "sensor_id"], "left_semi")
+    return mine.join(todo.select(*CHUNK), CHUNK, "left_semi").select(*CHUNK, "sensor_id", "status", "measurements")
 
 
-def overcounted(attempt: int):
-    """Sensors whose source reports a record too many: one in ten of Europe's third chunk at first."""
-    chunk = (F.col("country_code") == "EU") & (F.dayofmonth("chunk_start") > 14) & (F.dayofmonth("chunk_start") < 22)
-    return chunk & (F.col("sensor_id") % 10 == 1) if attempt == 1 else F.lit(False)
+def log_prints(fetched: DataFrame, todo: DataFrame) -> DataFrame:
+    """Per open chunk a number that differs when any of its fetches does, and the total that the source reports."""
+    row = F.xxhash64("sensor_id", "status", "measurements").cast("decimal(38,0)")
+    per_chunk = fetched.groupBy(*CHUNK).agg(
+        F.sum(row).cast("decimal(38,0)").alias("log_print"),
+        F.sum(F.when(F.col("status") == "ok", F.col("measurements"))).alias("api_total"),
+    )
+    return todo.select(*CHUNK, "chunk_label").join(per_chunk, CHUNK, "left").na.fill(0, ["api_total"]).withColumn(
+        "log_print", F.coalesce("log_print", F.lit(0).cast("decimal(38,0)"))
+    )
 
 
-def fetch_outcomes(feed: FD.EventFeed, targets: DataFrame, todo: DataFrame, attempt: int) -> DataFrame:
-    """One row per fetch of a target sensor and open chunk that brought readings or failed.
+def landed_at(raw: DataFrame, marked: DataFrame) -> DataFrame:
+    """``marked`` chunks with ``landed_records``: the measurement records of the batch under their stamp.
 
-    Readings come from the source's rows; one fetch in ten fails.  Fetches that
-    brought nothing (empty) are counted per chunk later, without a row.
+    Only the partitions of the stamps' days are read: one per run that left a
+    chunk open.
     """
-    r = FD.T.readings(feed.spark, feed.sf_dir).select("country_code", "sensor_id", F.to_date("reading_ts").alias("day"))
-    r = _in_chunks(r.join(targets.select("sensor_id"), "sensor_id"), feed, "day")
-    counts = r.groupBy(*CHUNK, "sensor_id").agg(F.count(F.lit(1)).alias("n")).join(todo.select(*CHUNK), CHUNK)
-    fails = (F.col("sensor_id") + F.dayofyear("chunk_start")) % 10 == 0
-    over = F.when(overcounted(attempt), 1).otherwise(0)
-    reached = counts.where(~unreachable(attempt)).select(
-        *CHUNK, "sensor_id",
-        F.when(fails, F.lit("failed")).otherwise(F.lit("ok")).alias("status"),
-        F.when(fails, 0).otherwise(F.col("n") + over).cast("bigint").alias("measurements"),
-    )
-    if attempt > 1:
-        return reached
-    # One chunk has an outage: its sensors fail whether they had readings or not.
-    outage = todo.where((F.col("country_code") == "AM") & F.dayofmonth("chunk_start").between(8, 14)).select(*CHUNK)
-    lost = targets.select("country_code", "sensor_id").join(outage, "country_code").where(unreachable(attempt)).select(
-        *CHUNK, "sensor_id", F.lit("failed").alias("status"), F.lit(0).cast("bigint").alias("measurements")
-    )
-    return reached.unionByName(lost)
+    days = [r[0] for r in marked.select(F.to_date("stamp")).distinct().collect()]
+    batches = R.landed_by_batch(raw.where(F.col("ingest_date").isin(days) if days else F.lit(False)))
+    keys = ["country_code", "chunk_label", "stamp"]
+    found = batches.withColumnsRenamed({"segment": "chunk_label", "ingested_at": "stamp", "records": "landed_records"})
+    return marked.join(found.select(*keys, "landed_records"), keys, "left").na.fill(0, ["landed_records"])
 
 
-def landed_pages(feed: FD.EventFeed, fetched: DataFrame, todo: DataFrame, attempt: int) -> DataFrame:
-    """Pages of the fetches that went well under their chunk, and inventories under a country's first open chunk."""
-    pages = feed.measurement_raw.select(
-        F.col("raw_payload").alias("value"),
-        country_from_uri("source_uri").alias("country_code"),
-        sensor_id_from_uri("source_uri").alias("sensor_id"),
-        F.to_date("ingested_at").alias("day"),
-    )
-    ok = fetched.where("status = 'ok'").select(*CHUNK, "sensor_id")
-    measured = _in_chunks(pages, feed, "day").join(ok, [*CHUNK, "sensor_id"]).select(
-        "value", *CHUNK, F.col("sensor_id").cast("string").alias("leaf")
-    )
+def pages_to_land(pages: DataFrame, inventory: DataFrame, fetched: DataFrame, to_land: DataFrame, todo: DataFrame, root: str) -> DataFrame:
+    """Lines of the pages of fetches that went well, and inventories under a country's first open chunk."""
+    ok = fetched.where("status = 'ok'").join(to_land.select(*CHUNK), CHUNK, "left_semi").select(*CHUNK, "sensor_id").distinct()
+    measured = pages.join(ok, [*CHUNK, "sensor_id"]).select("body", *CHUNK, F.col("sensor_id").cast("string").alias("leaf"))
     first = todo.groupBy("country_code").agg(F.min(F.struct("chunk_start", "chunk_end")).alias("c"))
-    inventory = feed.inventory_raw.select(
-        F.col("raw_payload").alias("value"), country_from_uri("source_uri").alias("country_code")
-    ).join(first, "country_code").select(
-        "value", "country_code", "c.chunk_start", "c.chunk_end", F.lit(C.LOCATIONS_LEAF).alias("leaf")
-    )
-    lines = measured.unionByName(inventory)
+    first = first.select("country_code", "c.*").join(to_land.select(*CHUNK), CHUNK, "left_semi")
+    listed = inventory.join(first, "country_code").select("body", *CHUNK, F.lit(C.LOCATIONS_LEAF).alias("leaf"))
     name = object_name("country_code", chunk_label("chunk_start", "chunk_end"), "leaf")
-    lines = lines.select("value", F.concat(F.lit(FD.T.LANDING_ROOT + "/"), name).alias("source_uri"), "chunk_end")
-    # A later attempt is a later batch of its segment.
-    stamp = FD.daily_load_stamp(F.col("chunk_end")) + F.expr(f"INTERVAL {attempt} HOURS")
-    return land_batch(lines, stamp, validate=False)
+    return measured.unionByName(listed).select(
+        F.col("body").alias("value"), F.concat(F.lit(root.rstrip("/") + "/"), name).alias("source_uri")
+    )
 
 
-def chunk_outcomes(todo: DataFrame, targets: DataFrame, fetched: DataFrame, raw: DataFrame) -> DataFrame:
-    """Fetch counts, failure gate and reconciliation per open chunk."""
-    per_country = targets.groupBy("country_code").agg(F.count(F.lit(1)).alias("sensors_fetched"))
+def chunk_outcomes(todo: DataFrame, targets: DataFrame, fetched: DataFrame, landed: DataFrame) -> DataFrame:
+    """Fetch counts, failure gate and reconciliation per open chunk; ``landed`` as of :func:`landed_at`."""
+    per_country = targets.groupBy("country_code").agg(F.count_distinct("sensor_id").alias("sensors_fetched"))
     counted = R.fetch_summary(fetched, CHUNK).drop("sensors_fetched", "sensors_empty")
     summary = todo.join(per_country, "country_code").join(counted, CHUNK, "left").na.fill(
         0, ["sensors_ok", "sensors_failed", "measurements"]
@@ -136,32 +126,78 @@ def chunk_outcomes(todo: DataFrame, targets: DataFrame, fetched: DataFrame, raw:
         "sensors_empty", F.col("sensors_fetched") - F.col("sensors_ok") - F.col("sensors_failed")
     ).withColumn("segment", F.col("chunk_label"))
     gated = R.failure_gate(summary)
-    checked = R.reconcile_counts(gated, R.latest_batch_records(raw)).select("country_code", "segment", "landed_total", "matches")
+    batches = landed.select("country_code", F.col("chunk_label").alias("segment"), "landed_records")
+    checked = R.reconcile_counts(gated, batches).select("country_code", "segment", "landed_total", "matches")
     return gated.join(checked, ["country_code", "segment"])
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def run(
-    feed: FD.EventFeed, chunks: DataFrame, tables: RunTables, attempt: int = 1, completed_at: str = COMPLETED_AT
+    spark: SparkSession,
+    chunks: DataFrame,
+    targets: DataFrame,
+    fetch_log: DataFrame,
+    pages: DataFrame,
+    inventory: DataFrame,
+    tables: RunTables,
+    *,
+    skip: DataFrame | None = None,
+    stamp: dt.datetime | str | None = None,
+    completed_at: dt.datetime | str | None = None,
+    root: str = "lake://landing",
+    validate: bool = True,
 ) -> DataFrame:
     """Process the open ones of ``chunks``; return the manifest as it then stands.
 
+    ``chunks``: country_code, chunk_start, chunk_end, chunk_label (as of
+    ``plan_chunks``); ``targets``: country_code, sensor_id; ``fetch_log``: the
+    chunk's keys, sensor_id, status (ok, empty or failed), measurements;
+    ``pages``: the chunk's keys, sensor_id, body; ``inventory``: country_code,
+    body; ``skip``: sensor_id.  Fetches and pages of closed chunks and of other
+    sensors are left alone.  ``stamp`` is the batch's, later than any earlier
+    run's over the same chunks; it and ``completed_at`` are now by default.
+
     Raises when a country with open chunks has no target sensor, and
     :class:`RunStopped` when a chunk did not pass (the others are recorded).
     """
-    spark = feed.spark
-    todo = R.windows_todo(chunks, R.read_manifest(spark, tables.manifest))
-    inventory = FD.inventory_sensors(feed).where(F.col("parameter").isin(*C.TARGET_PARAMETERS))
-    targets = R.skip_known_bad(inventory, feed.known_bad)
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat(sep=" ")
+    batch, completed = ts_lit(stamp or now), completed_at or stamp or now
+    todo = _stored(R.windows_todo(chunks, R.read_manifest(spark, tables.manifest)), "backfill-todo")
+    if skip is not None:
+        targets = R.skip_known_bad(targets, skip)
     guard = Q.nonempty_guard(todo, targets, "country_code", "targets")
     R.enforce(guard, "status = 'pass'", "a country with open chunks has no target sensor").write.format("noop").mode("overwrite").save()
-    fetched = fetch_outcomes(feed, targets, todo, attempt)
+    fetched = _stored(open_fetches(fetch_log, todo, targets), "backfill-fetches")  # one view of the log for all steps
+    prints = _stored(log_prints(fetched, todo), "backfill-prints")
+
     ensure_raw_table(spark, tables.raw)
-    append_batch(landed_pages(feed, fetched, todo, attempt).hint("rebalance", "ingest_date"), tables.raw)
-    outcomes = chunk_outcomes(todo, targets, fetched, read_raw(spark, tables.raw))
-    # Decided before the manifest changes: what is open is read from it.
+    markers = read_markers(spark, tables.landed)
+    later = markers.join(todo.select(*CHUNK), CHUNK, "left_semi").where(F.col("stamp") >= batch)
+    if not later.isEmpty():
+        raise ValueError("the stamp of a run must be later than those of earlier runs over its chunks")
+    newest = markers.groupBy(*CHUNK, "log_print").agg(F.max("stamp").alias("stamp"))
+    whole = landed_at(read_raw(spark, tables.raw), prints.join(newest, [*CHUNK, "log_print"]))
+    ready = _stored(whole.where("landed_records = api_total"), "backfill-ready")  # before the raw table changes
+    to_land = prints.join(ready.select(*CHUNK), CHUNK, "left_anti")
+    lines = pages_to_land(pages, inventory, fetched, to_land, todo, root)
+    append_batch(land_batch(lines, batch, validate=validate).hint("rebalance", "ingest_date"), tables.raw)
+    mark = to_land.withColumn("stamp", batch)
+    append_markers(mark, tables.landed)
+
+    landed = ready.unionByName(landed_at(read_raw(spark, tables.raw), mark))
+    outcomes = _stored(chunk_outcomes(todo, targets, fetched, landed), "backfill-outcomes")
+    R.append_manifest_failed(R.manifest_failed_records(outcomes, fetched, completed), tables.failed)
+    R.append_manifest(R.manifest_records(outcomes, completed), tables.manifest)
     stopped = outcomes.where(~(F.col("passes") & F.col("matches"))).select("country_code", "chunk_label").limit(NAMED_CHUNKS).collect()
-    R.manifest_failed_records(outcomes, fetched).write.mode("append").parquet(tables.failed)
-    R.append_manifest(R.manifest_records(outcomes, completed_at), tables.manifest)
     if stopped:
         raise RunStopped("chunks left open: " + ", ".join(f"{r[0]} {r[1]}" for r in stopped))
     return R.read_manifest(spark, tables.manifest)
+
+
+def append_markers(marked: DataFrame, path: str, columns: Sequence[str] = (*CHUNK, "log_print", "stamp")) -> None:
+    marked.select(*columns).write.mode("append").parquet(path)

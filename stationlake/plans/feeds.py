@@ -12,11 +12,12 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationlake.functions.columns import day_segment, sensor_id_from_uri
+from stationlake import constants as C
+from stationlake.functions.columns import country_from_uri, day_segment, sensor_id_from_uri
 from stationlake.operators import daily as D
 from stationlake.operators import staging as S
 from stationlake.operators.runs import partition_segment_of
-from stationlake.operators.windows import plan_chunks
+from stationlake.operators.windows import chunk_start_of, plan_chunks
 from stationlake.sources.pages import append_batch, ensure_raw_table, land_batch, read_raw
 from stationlake.sources import driver_tables as T
 from stationlake.sources.seeds import read_thresholds
@@ -223,3 +224,91 @@ def event_chunks(feed: EventFeed, chunk_days: int = CHUNK_DAYS) -> DataFrame:
     return plan_chunks(windows, chunk_days).select(
         "country_code", "chunk_start", "chunk_end", "chunk_label"
     )
+
+
+# --- a source for backfill runs: what fetching each chunk brought --------------
+
+#: One batch stamp and completion time per attempt.
+BACKFILL_STAMPS = {1: "2024-02-01 02:00:00", 2: "2024-02-02 02:00:00", 3: "2024-02-03 02:00:00"}
+COMPLETED_AT = {1: "2024-02-01 03:00:00", 2: "2024-02-02 03:00:00", 3: "2024-02-03 03:00:00"}
+CHUNK = ["country_code", "chunk_start", "chunk_end"]
+
+
+def in_chunks(rows: DataFrame, chunks: DataFrame, day: str) -> DataFrame:
+    """``rows`` with the bounds of the chunk that ``day`` falls in.
+
+    The chunks of a country abut and are equally long, so a row's chunk follows
+    from the country's first one (one row per country).
+    """
+    spans = chunks.groupBy("country_code").agg(F.min("chunk_start").alias("span_start"), F.max("chunk_end").alias("span_end"))
+    keyed = rows.join(F.broadcast(spans), "country_code")  # one row per country
+    start = chunk_start_of(day, "span_start", CHUNK_DAYS)
+    end = F.least(F.date_add(start, CHUNK_DAYS), F.col("span_end"))
+    inside = keyed.where((F.col(day) >= F.col("span_start")) & (F.col(day) < F.col("span_end")))
+    return inside.withColumns({"chunk_start": start, "chunk_end": end}).drop("span_start", "span_end")
+
+
+def unreachable(attempt: int):
+    """Sensors that can't be reached at first: a third of America's in its second chunk, with or without readings."""
+    chunk = (F.col("country_code") == "AM") & (F.dayofmonth("chunk_start") > 7) & (F.dayofmonth("chunk_start") < 15)
+    return chunk & (F.col("sensor_id") % 3 == 0) if attempt == 1 else F.lit(False)
+
+
+def overcounted(attempt: int):
+    """Sensors whose source reports a record too many: one in ten of Europe's third chunk at first."""
+    chunk = (F.col("country_code") == "EU") & (F.dayofmonth("chunk_start") > 14) & (F.dayofmonth("chunk_start") < 22)
+    return chunk & (F.col("sensor_id") % 10 == 1) if attempt == 1 else F.lit(False)
+
+
+def backfill_fetch_log(feed: EventFeed, chunks: DataFrame, attempt: int) -> DataFrame:
+    """One row per fetch of a sensor and chunk that brought readings or failed.
+
+    Readings come from the source's rows; one fetch in ten fails.  Fetches that
+    brought nothing have no row.
+    """
+    r = T.readings(feed.spark, feed.sf_dir).select("country_code", "sensor_id", F.to_date("reading_ts").alias("day"))
+    counts = in_chunks(r, chunks, "day").groupBy(*CHUNK, "sensor_id").agg(F.count(F.lit(1)).alias("n"))
+    fails = (F.col("sensor_id") + F.dayofyear("chunk_start")) % 10 == 0
+    over = F.when(overcounted(attempt), 1).otherwise(0)
+    reached = counts.where(~unreachable(attempt)).select(
+        *CHUNK, "sensor_id",
+        F.when(fails, F.lit("failed")).otherwise(F.lit("ok")).alias("status"),
+        F.when(fails, 0).otherwise(F.col("n") + over).cast("bigint").alias("measurements"),
+    )
+    if attempt > 1:
+        return reached
+    # One chunk has an outage: its sensors fail whether they had readings or not.
+    outage = chunks.where((F.col("country_code") == "AM") & F.dayofmonth("chunk_start").between(8, 14)).select(*CHUNK)
+    sensors = inventory_sensors(feed).select("country_code", "sensor_id")
+    lost = sensors.join(outage, "country_code").where(unreachable(attempt)).select(
+        *CHUNK, "sensor_id", F.lit("failed").alias("status"), F.lit(0).cast("bigint").alias("measurements")
+    )
+    return reached.unionByName(lost)
+
+
+def backfill_pages(feed: EventFeed, chunks: DataFrame) -> DataFrame:
+    """Every measurement page under the chunk that its day falls in."""
+    pages = feed.measurement_raw.select(
+        country_from_uri("source_uri").alias("country_code"),
+        sensor_id_from_uri("source_uri").alias("sensor_id"),
+        F.to_date("ingested_at").alias("day"),
+        F.col("raw_payload").alias("body"),
+    )
+    return in_chunks(pages, chunks, "day").drop("day")
+
+
+def backfill_inputs(feed: EventFeed, chunks: DataFrame, attempt: int) -> dict:
+    """Everything of the event world that a backfill run takes, by argument name."""
+    targets = inventory_sensors(feed).where(F.col("parameter").isin(*C.TARGET_PARAMETERS))
+    return {
+        "chunks": chunks,
+        "targets": targets,
+        "fetch_log": backfill_fetch_log(feed, chunks, attempt),
+        "pages": backfill_pages(feed, chunks),
+        "inventory": feed.inventory_raw.select(country_from_uri("source_uri").alias("country_code"), F.col("raw_payload").alias("body")),
+        "skip": feed.known_bad,
+        "stamp": BACKFILL_STAMPS[attempt],
+        "completed_at": COMPLETED_AT[attempt],
+        "root": T.LANDING_ROOT,
+        "validate": False,  # pages of the landed raw table
+    }

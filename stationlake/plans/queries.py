@@ -284,14 +284,15 @@ LOAD_STAMPS = ("2024-02-01 02:05:00", "2024-02-02 02:05:00")
 
 @query("land_batch")
 def land_batch_q(spark, sf_dir):
-    """Ensure the raw table, append the same pages twice (a rerun), read back."""
+    """Declare the raw table in the catalog, load the same pages twice (a rerun), read back."""
     path = scratch_path(spark, "raw-table")
-    P.ensure_raw_table(spark, path)
+    name = "raw_pages_" + path.rsplit("-", 1)[1]
+    P.declare_raw_table(spark, name, path)
     raw = EventFeed(spark, sf_dir).raw
     lines = raw.select(F.col("raw_payload").alias("value"), "source_uri")
     for stamp in LOAD_STAMPS:
-        P.append_batch(P.land_batch(lines, stamp), path)
-    table = P.read_raw(spark, path)
+        P.load_batch(P.land_batch(lines, stamp), name)
+    table = P.declare_raw_table(spark, name, path)  # as a later session does
     return table.groupBy(
         "ingested_at", "ingest_date", P.page_kind("source_uri").alias("page_kind")
     ).agg(F.count(F.lit(1)).alias("pages"), P.page_record_total(table).alias("records"))
@@ -402,16 +403,23 @@ def lookback_window(spark, sf_dir):
     )
 
 
+def stored_chunks(feed: EventFeed) -> DataFrame:
+    """The chunk plan as a table, as a run takes it."""
+    path = scratch_path(feed.spark, "chunks")
+    FD.event_chunks(feed).write.parquet(path)
+    return feed.spark.read.schema("country_code STRING, chunk_start DATE, chunk_end DATE, chunk_label STRING").parquet(path)
+
+
 @query("checkpoint_resume")
 def checkpoint_resume(spark, sf_dir):
     """A first run checkpointed the early chunks (and was run again after a
     crash); a resumed run plans only the chunks without a record."""
     feed = EventFeed(spark, sf_dir)
-    chunks = FD.event_chunks(feed)
+    chunks = stored_chunks(feed)
     tables = B.RunTables.under(scratch_path(spark, "backfill"))
     first_run = chunks.where(F.col("chunk_end") <= F.lit(FD.FIRST_RUN_CUTOFF).cast("date"))
-    B.run(feed, first_run, tables, attempt=2)
-    B.run(feed, first_run, tables, attempt=2)
+    B.run(spark, tables=tables, **FD.backfill_inputs(feed, first_run, 2))
+    B.run(spark, tables=tables, **FD.backfill_inputs(feed, first_run, 3))
     return R.windows_todo(chunks, R.read_manifest(spark, tables.manifest))
 
 
@@ -421,15 +429,15 @@ def backfill_run(spark, sf_dir):
     failure gate and a chunk whose counts differ, and the run resumed for the
     two: the manifest with the failed ids of each chunk counted."""
     feed = EventFeed(spark, sf_dir)
-    tables = B.RunTables.under(scratch_path(spark, "backfill"))
+    tables, chunks = B.RunTables.under(scratch_path(spark, "backfill")), stored_chunks(feed)
     try:
-        B.run(feed, FD.event_chunks(feed), tables, attempt=1)
+        B.run(spark, tables=tables, **FD.backfill_inputs(feed, chunks, 1))
     except B.RunStopped:
         pass  # the chunks that passed are checkpointed; the others are open
-    B.run(feed, FD.event_chunks(feed), tables, attempt=2, completed_at=B.RESUMED_AT)
-    keys = R.MANIFEST_KEYS
-    failed = R.read_manifest_failed(spark, tables.failed).groupBy(*keys).agg(F.count(F.lit(1)).alias("failed_ids"))
-    return R.read_manifest(spark, tables.manifest).join(failed, keys, "left").na.fill(0, ["failed_ids"])
+    B.run(spark, tables=tables, **FD.backfill_inputs(feed, chunks, 2))
+    keys, manifest = R.MANIFEST_KEYS, R.read_manifest(spark, tables.manifest)
+    failed = R.read_manifest_failed(spark, tables.failed, manifest).groupBy(*keys).agg(F.count(F.lit(1)).alias("failed_ids"))
+    return manifest.join(failed, keys, "left").na.fill(0, ["failed_ids"])
 
 
 @query("backfill_landed")
@@ -438,7 +446,7 @@ def backfill_landed(spark, sf_dir):
     of each chunk, and the inventory under the first open chunk."""
     feed = EventFeed(spark, sf_dir)
     tables = B.RunTables.under(scratch_path(spark, "backfill"))
-    B.run(feed, FD.event_chunks(feed), tables, attempt=2)
+    B.run(spark, tables=tables, **FD.backfill_inputs(feed, stored_chunks(feed), 2))
     raw = P.read_raw(spark, tables.raw)
     return raw.groupBy(
         country_from_uri("source_uri").alias("country_code"),

@@ -66,7 +66,9 @@ MANIFEST_DDL = (
 )
 
 # Failed sensor ids of completed windows, one row each (child of the manifest).
-MANIFEST_FAILED_DDL = "country STRING, window_start DATE, window_end DATE, sensor_id BIGINT"
+MANIFEST_FAILED_DDL = (
+    "country STRING, window_start DATE, window_end DATE, sensor_id BIGINT, completed_at TIMESTAMP"
+)
 
 DQ_REPORT_DDL = (
     "run_id STRING, table_name STRING, check_name STRING, column_name STRING, "

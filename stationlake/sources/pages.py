@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from stationlake import constants as C
 from stationlake.functions.columns import object_name, ts_lit
@@ -119,21 +120,34 @@ def land_batch(
     )
 
 
+class RawTableMismatch(ValueError):
+    """What lies where the raw table should be is not one."""
+
+
+def _check_raw(found: StructType, what: str) -> None:
+    want = StructType.fromDDL(RAW_PAGES_DDL)
+    listed = lambda schema: [(f.name, f.dataType.simpleString()) for f in schema]
+    if listed(found) != listed(want):
+        raise RawTableMismatch(f"{what} has {found.simpleString()}, a raw table {want.simpleString()}")
+
+
 def ensure_raw_table(spark: SparkSession, path: str) -> DataFrame:
     """Create the raw table at ``path`` if it does not exist; return a reader.
 
     An empty append makes the folder, so a later reader finds a table even
     before the first load.  Only a missing path counts as missing: any other
-    error (permissions, a wrong store) is raised.
+    error (permissions, a wrong store) is raised, and files of another schema
+    are refused (RawTableMismatch).
     """
     try:
-        return spark.read.schema(RAW_PAGES_DDL).parquet(path)
+        _check_raw(spark.read.parquet(path).schema, path)
+        return read_raw(spark, path)
     except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
+        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
     empty = spark.createDataFrame([], RAW_PAGES_DDL)
     empty.write.mode("append").partitionBy("ingest_date").parquet(path)
-    return spark.read.schema(RAW_PAGES_DDL).parquet(path)
+    return read_raw(spark, path)
 
 
 def append_batch(batch: DataFrame, path: str) -> None:
@@ -146,6 +160,38 @@ def append_batch(batch: DataFrame, path: str) -> None:
     )
 
 
+def declare_raw_table(spark: SparkSession, name: str, path: str) -> DataFrame:
+    """Declare the raw table ``name`` in the catalog if it is not there, over the files at ``path``; return it.
+
+    A table of that name, or files there, with another schema or partitioning
+    are refused (RawTableMismatch).  Partitions that other sessions landed are
+    taken in.
+    """
+    location = path.replace("'", "\\'")
+    if not spark.catalog.tableExists(name):
+        ensure_raw_table(spark, path)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({RAW_PAGES_DDL}) USING parquet PARTITIONED BY (ingest_date) LOCATION '{location}'"
+    )
+    check_raw_table(spark, name)
+    spark.sql(f"MSCK REPAIR TABLE {name}")
+    return spark.table(name)
+
+
+def check_raw_table(spark: SparkSession, name: str) -> None:
+    """Refuse a catalog table that is no raw table (RawTableMismatch)."""
+    _check_raw(spark.table(name).schema, name)
+    by = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    if by != ["ingest_date"]:
+        raise RawTableMismatch(f"{name} is partitioned by {by}, a raw table by ingest_date")
+
+
+def load_batch(batch: DataFrame, name: str) -> None:
+    """Append one batch to the declared raw table ``name``, whose schema is checked first; never truncates."""
+    check_raw_table(batch.sparkSession, name)
+    batch.select("raw_payload", "ingested_at", "source_uri", "ingest_date").write.mode("append").insertInto(name)
+
+
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RAW_PAGES_DDL).parquet(path)
 

@@ -40,12 +40,12 @@ def test_label_of_a_chunk_across_a_leap_day(spark):
 
 
 def test_half_open_and_lookback(spark):
-    df = spark.createDataFrame([(d("2026-07-05"),), (d("2026-07-06"),), (d("2026-07-12"),), (d("2026-07-13"),)], "day DATE")
-    lo, hi = lookback_bounds(F.lit(d("2026-07-12")), 7)
+    df = spark.createDataFrame([(d("2031-03-02"),), (d("2031-03-03"),), (d("2031-03-09"),), (d("2031-03-10"),)], "day DATE")
+    lo, hi = lookback_bounds(F.lit(d("2031-03-09")), 7)
     got = [r["day"].isoformat() for r in half_open_filter(df, "day", lo, hi).orderBy("day").collect()]
-    assert got == ["2026-07-06", "2026-07-12"]
+    assert got == ["2031-03-03", "2031-03-09"]
     bounds = spark.range(1).select(lo.alias("lo"), hi.alias("hi")).first()
-    assert (bounds["lo"], bounds["hi"]) == (d("2026-07-06"), d("2026-07-13"))
+    assert (bounds["lo"], bounds["hi"]) == (d("2031-03-03"), d("2031-03-10"))
 
 
 def test_object_names_for_days_and_windows(spark):
@@ -53,7 +53,7 @@ def test_object_names_for_days_and_windows(spark):
     from stationlake.functions.columns import chunk_label, day_segment, object_name
 
     df = spark.createDataFrame(
-        [("AE", d("2026-07-12"), d("2026-07-12"), "12345"), ("pk", d("2025-06-01"), d("2025-07-31"), "locations")],
+        [("NO", d("2031-03-09"), d("2031-03-09"), "771"), ("se", d("2030-02-11"), d("2030-04-12"), "locations")],
         "cc STRING, s DATE, e DATE, leaf STRING",
     )
     got = df.select(
@@ -61,6 +61,6 @@ def test_object_names_for_days_and_windows(spark):
         object_name("cc", chunk_label("s", "e"), "leaf").alias("window"),
     ).collect()
     prefix = C.RAW_PREFIX
-    assert got[0]["daily"] == f"{prefix}/AE/2026-07-12/12345.json"
-    assert got[1]["daily"] == f"{prefix}/PK/2025-06-01/locations.json"
-    assert got[1]["window"] == f"{prefix}/PK/backfill/2025-06-01_2025-07-31/locations.json"
+    assert got[0]["daily"] == f"{prefix}/NO/2031-03-09/771.json"
+    assert got[1]["daily"] == f"{prefix}/SE/2030-02-11/locations.json"
+    assert got[1]["window"] == f"{prefix}/SE/backfill/2030-02-11_2030-04-12/locations.json"
