@@ -17,10 +17,11 @@ Two plan shapes give the same monthly counts:
   (narrow), joined to the distinct sensor-days with data on (sensor_id, day)
   (a shuffle join, both sides hash-partitioned on the same key), and the
   known-bad list is reduced to distinct ids before its left join;
-* by ranges (:func:`gap_audit_by_ranges`, the default for the monthly
-  report): one row per sensor-month with its day ranges counted
-  arithmetically, plus one row per sensor-day with data, so the shuffle does
-  not grow with the length of the audited span.
+* by masks (:func:`gap_audit_by_masks`, the default for the monthly report):
+  the days of a sensor and month that have data are the bits of one integer,
+  collected by ``bit_or`` (mergeable, combined before the shuffle, no
+  distinct); the month's day ranges are masks as well, and every class is a
+  bit count.  One row per sensor-month is joined, whatever the span.
 
 Nothing is collected.
 """
@@ -177,89 +178,97 @@ def gap_audit(
 # --- monthly counts without enumerating cells -----------------------------------
 
 
-def _days(lo, hi):
-    """Number of days in ``[lo, hi]`` (0 when empty)."""
-    return F.greatest(F.datediff(hi, lo) + 1, F.lit(0))
+def sensor_month_masks(measurements: DataFrame) -> DataFrame:
+    """Per country, sensor and month the days with a record, as bits of ``day_mask`` (bit 0 is the 1st).
 
+    A record counts with or without a value.  Everything the audit asks of the
+    measurements, the countries' spans included, follows from these rows.
+    """
+    day = F.to_date("period_start_utc")
+    return measurements.where(day.isNotNull()).groupBy(
+        "country_code", "sensor_id", F.trunc(day, "month").alias("audit_month")
+    ).agg(F.bit_or(F.expr("shiftleft(1, day(to_date(period_start_utc)) - 1)")).alias("day_mask"))
 
-def gap_audit_by_ranges(
+
+def _lowest_bit(mask):
+    return F.bit_count(F.expr(f"({mask} & -{mask}) - 1")).cast("int")
+
+
+def _highest_bit(mask):
+    return F.floor(F.log2(F.col(mask).cast("double"))).cast("int")
+
+
+def mask_spans(masks: DataFrame) -> DataFrame:
+    """First and last day with a record per country."""
+    return masks.groupBy("country_code").agg(
+        F.min(F.date_add("audit_month", _lowest_bit("day_mask"))).alias("span_start"),
+        F.max(F.date_add("audit_month", _highest_bit("day_mask"))).alias("span_end"),
+    )
+
+
+def _days_mask(lo, hi, month):
+    """Bits of the days of ``month`` in ``[lo, hi]``; 0 when there is none."""
+    a = F.greatest(F.datediff(lo, month), F.lit(0))
+    b = F.least(F.datediff(hi, month), F.lit(30))
+    one = F.lit(1).cast("long")
+    upto = lambda n: F.call_function("shiftleft", one, n) - 1
+    return F.when(b >= a, upto(b + 1) - upto(a)).otherwise(F.lit(0).cast("long"))
+
+
+def gap_audit_by_masks(
     sensors: DataFrame,
     locations: DataFrame,
-    measurements: DataFrame,
+    masks: DataFrame,
     known_bad: DataFrame,
     spans: DataFrame,
     targets: Sequence[str] = C.TARGET_PARAMETERS,
 ) -> DataFrame:
-    """The monthly audit computed from date ranges instead of from cells.
-
-    A month of one sensor splits into three day ranges: before the first
-    day (or all of it when there is none), between first and last day, and
-    after the last day.  Each range is counted arithmetically; only the days
-    that have data are counted as rows.  This equals classifying every
-    (sensor, day) cell in the fixed class order, but the work is one row per
-    sensor-month plus one per sensor-day with data, instead of one per
-    sensor-day of the span.
+    """The monthly audit from ``masks`` (as of :func:`sensor_month_masks`) instead of from cells.
+
+    A month of one sensor splits into the days before its first day (all of
+    them when there is none), after its last day, and between.  Days outside the
+    span count for nothing.  This equals classifying every (sensor, day) cell
+    in the fixed class order.
     """
-    s = audited_sensors(sensors, locations, targets)
-    sp = spans.select("country_code", "span_start", "span_end")
     bad = known_bad.select("sensor_id").distinct().withColumn("is_known_bad", F.lit(True))
-    # one row per audited sensor, used by both branches
-    attrs = (
-        s.join(sp, "country_code")
+    months = (
+        audited_sensors(sensors, locations, targets)
+        .join(spans.select("country_code", "span_start", "span_end"), "country_code")
         .join(bad, "sensor_id", "left")
-        .withColumn("is_known_bad", F.coalesce("is_known_bad", F.lit(False)))
-    )
-
-    first, last = F.col("first_day"), F.col("last_day")
-    months = attrs.select(
-        "*",
-        F.explode(
-            F.sequence(
-                F.trunc("span_start", "month"), F.trunc("span_end", "month"), F.expr("INTERVAL 1 MONTH")
-            )
-        ).alias("audit_month"),
-    )
-    a = F.greatest(F.col("span_start"), F.col("audit_month"))
-    b = F.least(F.col("span_end"), F.last_day("audit_month"))
-    n = _days(a, b)
-    n_pre = F.when(first.isNull(), n).otherwise(_days(a, F.least(b, F.date_sub(first, 1))))
-    n_post = F.when(first.isNull() | last.isNull(), F.lit(0)).otherwise(
-        _days(F.greatest(a, first, F.date_add(last, 1)), b)
-    )
-    ranges = months.select(
-        "sensor_id", "country_code", "parameter", "audit_month", "is_known_bad",
-        n.alias("n_all"), n_pre.alias("n_pre"), n_post.alias("n_post"),
-    )
-
-    day = F.col("measurement_day")
-    data_days = actual_sensor_days(measurements).join(
-        attrs.select("sensor_id", "first_day", "last_day", "span_start", "span_end"), "sensor_id"
-    ).where((day >= F.col("span_start")) & (day <= F.col("span_end")))
-    is_pre = first.isNull() | (day < first)
-    is_post = first.isNotNull() & last.isNotNull() & (day >= first) & (day > last)
-    per_month = data_days.groupBy("sensor_id", F.trunc("measurement_day", "month").alias("audit_month")).agg(
-        F.count(F.lit(1)).alias("d_all"),
-        F.count_if(is_pre).alias("d_pre"),
-        F.count_if(is_post).alias("d_post"),
-        F.count_if(first.isNotNull() & (day < first)).alias("d_before_first"),
+        .withColumn(
+            "audit_month",
+            F.explode(F.sequence(F.trunc("span_start", "month"), F.trunc("span_end", "month"), F.expr("INTERVAL 1 MONTH"))),
+        )
     )
-
-    joined = ranges.join(per_month, ["sensor_id", "audit_month"], "left").na.fill(
-        0, ["d_all", "d_pre", "d_post", "d_before_first"]
-    )
-    n_mid = F.col("n_all") - F.col("n_pre") - F.col("n_post")
-    d_mid = F.col("d_all") - F.col("d_pre") - F.col("d_post")
-    no_data_mid = n_mid - d_mid
+    # A sensor may have records under more than one country's path.
+    seen = masks.groupBy("sensor_id", "audit_month").agg(F.bit_or("day_mask").cast("long").alias("seen"))
+    joined = months.join(seen, ["sensor_id", "audit_month"], "left")
+
+    first, last, month = F.col("first_day"), F.col("last_day"), F.col("audit_month")
+    a, b = F.greatest("span_start", "audit_month"), F.least(F.col("span_end"), F.last_day(month))
+    days = _days_mask(a, b, month)
+    none = F.lit(0).cast("long")
+    before = F.when(first.isNull(), none).otherwise(_days_mask(a, F.least(b, F.date_sub(first, 1)), month))
+    after = F.when(last.isNull(), none).otherwise(_days_mask(F.greatest(a, F.date_add(last, 1)), b, month))
+    marked = joined.select(
+        "country_code", "parameter", "audit_month",
+        first.isNull().alias("unknown"), F.coalesce("is_known_bad", F.lit(False)).alias("listed"),
+        days.alias("days"), before.alias("before"), after.alias("after"),
+        F.coalesce("seen", none).bitwiseAND(days).alias("data"),
+    )
+    count = lambda text: F.expr(f"bit_count({text})")
+    quiet = "days & ~data & ~before"  # days without data, from the first day on
+    rest = F.when(F.col("unknown"), F.lit(0)).otherwise(count(f"{quiet} & ~after"))
     classes = {
-        "with_data": F.col("d_all") - F.col("d_before_first"),
-        "pre_onboarding": F.col("n_pre") - F.col("d_pre"),
-        "post_dormancy": F.col("n_post") - F.col("d_post"),
-        "known_bad": F.when(F.col("is_known_bad"), no_data_mid).otherwise(F.lit(0)),
-        "upstream_no_data": F.when(F.col("is_known_bad"), F.lit(0)).otherwise(no_data_mid),
-        "data_before_first": F.col("d_before_first"),
+        "with_data": count("data & ~before"),
+        "pre_onboarding": F.when(F.col("unknown"), count("days & ~data")).otherwise(count("before & ~data")),
+        "post_dormancy": F.when(F.col("unknown"), F.lit(0)).otherwise(count(f"{quiet} & after")),
+        "known_bad": F.when(F.col("listed"), rest).otherwise(F.lit(0)),
+        "upstream_no_data": F.when(F.col("listed"), F.lit(0)).otherwise(rest),
+        "data_before_first": count("data & before"),
     }
-    agg = joined.groupBy("country_code", "parameter", "audit_month").agg(
-        F.sum("n_all").cast("bigint").alias("expected_sensor_days"),
+    agg = marked.groupBy("country_code", "parameter", "audit_month").agg(
+        F.sum(count("days")).cast("bigint").alias("expected_sensor_days"),
         *[F.sum(expr).cast("bigint").alias(name) for name, expr in classes.items()],
     )
     coverage = F.round(F.col("with_data") / F.col("expected_sensor_days") * 100, 1)
@@ -267,3 +276,16 @@ def gap_audit_by_ranges(
         "country_code", "parameter", "audit_month", "expected_sensor_days", *GAP_CLASSES,
         coverage.alias("coverage_pct"),
     ).orderBy("country_code", "parameter", "audit_month")
+
+
+def gap_audit_by_ranges(
+    sensors: DataFrame,
+    locations: DataFrame,
+    measurements: DataFrame,
+    known_bad: DataFrame,
+    spans: DataFrame,
+    targets: Sequence[str] = C.TARGET_PARAMETERS,
+) -> DataFrame:
+    """:func:`gap_audit_by_masks` over staged measurements."""
+    with_country = measurements if "country_code" in measurements.columns else measurements.withColumn("country_code", F.lit(None).cast("string"))
+    return gap_audit_by_masks(sensors, locations, sensor_month_masks(with_country), known_bad, spans, targets)

@@ -136,16 +136,38 @@ ANNUAL_COLUMNS = [
 ]
 
 
+#: Days of a year that one integer holds, and how many integers a year takes.
+MASK_DAYS, YEAR_MASKS = 62, 6
+
+
+def _year_masks(day: str) -> list[Column]:
+    """The days seen in a year as bits of YEAR_MASKS integers: mergeable, so that counting days needs no distinct."""
+    n = f"(dayofyear({day}) - 1)"
+    bit = f"shiftleft(1L, {n} % {MASK_DAYS})"
+    return [F.bit_or(F.expr(f"CASE WHEN {n} div {MASK_DAYS} = {i} THEN {bit} END")).alias(f"days_{i}") for i in range(YEAR_MASKS)]
+
+
 def annual_rollup(daily: DataFrame) -> DataFrame:
-    return daily.groupBy(
-        "country_code",
-        "parameter",
-        "unit",
-        F.year("measurement_date").cast("bigint").alias("measurement_year"),
+    """Country-years of station-days, by way of station-years.
+
+    A station-year is one row with its sums and the days it saw, so a
+    country-year counts rows for its stations and bits for its days: no
+    distinct aggregate, and the station-days are combined before any shuffle.
+    """
+    keys = ["country_code", "parameter", "unit", "measurement_year"]
+    stations = daily.groupBy(
+        "country_code", "parameter", "unit", F.year("measurement_date").cast("bigint").alias("measurement_year"), "location_id"
     ).agg(
-        F.avg("daily_avg").alias("annual_mean"),
-        F.count_distinct("measurement_date").alias("days_with_data"),
-        F.count_distinct("location_id").alias("locations_with_data"),
+        F.sum("daily_avg").alias("mean_sum"),
+        F.count("daily_avg").alias("mean_count"),
+        F.sum("reading_count").alias("reading_count"),
+        *_year_masks("measurement_date"),
+    )
+    days = sum((F.coalesce(F.bit_count(F.bit_or(f"days_{i}")), F.lit(0)) for i in range(YEAR_MASKS)), F.lit(0).cast("bigint"))
+    return stations.groupBy(*keys).agg(
+        F.try_divide(F.sum("mean_sum"), F.sum("mean_count")).alias("annual_mean"),
+        days.alias("days_with_data"),
+        F.count("location_id").alias("locations_with_data"),
         F.sum("reading_count").alias("reading_count"),
     )
 

@@ -103,14 +103,28 @@ def _report_row(table_name: str, check: Check, failures: Column) -> Column:
     )
 
 
+def row_checks(checks: Sequence[Check]) -> list[Check]:
+    """Those that look at one row at a time."""
+    return [c for c in checks if c.kind in ROW_LEVEL]
+
+
+def failing(check: Check) -> Column:
+    """Aggregate: rows that a row-level check finds wrong."""
+    return F.count_if(violation(check))
+
+
+def result_row(table_name: str, check: Check, failures: int) -> tuple:
+    """The report row of a check whose failures were counted elsewhere."""
+    status = "pass" if failures == 0 else "warn" if check.severity == "warn" else "fail"
+    return (table_name, check.kind, check.column_name, check.severity, int(failures), status)
+
+
 def run_checks(table_name: str, df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """Evaluate ``checks`` on ``df``; returns one report row per check."""
     parts: list[DataFrame] = []
-    row_level = [c for c in checks if c.kind in ROW_LEVEL]
+    row_level = row_checks(checks)
     if row_level:
-        counts = df.agg(
-            *[F.count_if(violation(c)).alias(f"c{i}") for i, c in enumerate(row_level)]
-        )
+        counts = df.agg(*[failing(c).alias(f"c{i}") for i, c in enumerate(row_level)])
         rows = F.array(
             *[_report_row(table_name, c, F.col(f"c{i}")) for i, c in enumerate(row_level)]
         )

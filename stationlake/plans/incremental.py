@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,9 +57,25 @@ def landed_days(raw: DataFrame, since: dt.datetime | str | None = None) -> DataF
     ).distinct()
 
 
-def read_index(spark: SparkSession, path: str) -> DataFrame:
-    """The index of the sensor-day table at ``path``; a pair may have been added more than once."""
-    return spark.read.schema(INDEX_DDL).parquet(index_path(path)).distinct()
+def write_index(raw: DataFrame, path: str) -> None:
+    """Index the whole raw table for the sensor-day table at ``path``."""
+    landed_days(raw).write.mode("overwrite").parquet(index_path(path))
+
+
+def drop_index(spark: SparkSession, path: str) -> None:
+    """Say that the table at ``path`` was built without an index: the next update makes one."""
+    spark.createDataFrame([(None, None)], INDEX_DDL).write.mode("overwrite").parquet(index_path(path))
+
+
+def read_index(spark: SparkSession, path: str) -> DataFrame | None:
+    """The index of the sensor-day table at ``path`` (a pair may have been added twice), None if there is none."""
+    try:
+        index = spark.read.schema(INDEX_DDL).parquet(index_path(path))
+        return None if not index.where("ingest_date IS NULL").isEmpty() else index.distinct()
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
 def write_by_day(table: DataFrame, path: str, only_present_days: bool = True) -> None:
@@ -79,21 +96,25 @@ def write_by_day(table: DataFrame, path: str, only_present_days: bool = True) ->
 
 def build_sensor_days(raw: DataFrame, path: str) -> None:
     """The sensor-day table of the whole raw table, and its index."""
-    landed_days(raw).write.mode("overwrite").parquet(index_path(path))
+    write_index(raw, path)
     write_by_day(D.sensor_day_agg(S.stage_measurements(raw)), path, only_present_days=False)
 
 
 def update_sensor_days(spark: SparkSession, raw: DataFrame, since: dt.datetime | str, path: str) -> DataFrame:
     """Recompute the sensor-days of every day touched by pages landed at or after ``since``.
 
-    Returns the touched days, as stored.  The ingest days to read, at most one
+    Without an index yet, or after a build that made none, the whole raw table
+    is indexed first.  Returns the touched days, as stored.  The ingest days to read, at most one
     per partition of the raw table, are the only values brought to the driver.
     Stopped anywhere, an update can be run again with the same ``since``.
     """
     new_path = scratch_path(spark, "landed-days")
     landed_days(raw, since).write.parquet(new_path)
     new = spark.read.schema(INDEX_DDL).parquet(new_path)
-    new.write.mode("append").parquet(index_path(path))
+    if read_index(spark, path) is None:
+        write_index(raw, path)
+    else:
+        new.write.mode("append").parquet(index_path(path))
     touched = new.select("measurement_date").distinct()
     pairs = read_index(spark, path).join(touched, "measurement_date", "left_semi")
     to_read = [r[0] for r in pairs.select("ingest_date").distinct().collect()]

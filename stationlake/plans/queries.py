@@ -60,6 +60,13 @@ def query(name: str):
     return register
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table of the shared folder."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @query("country_compare")
 def country_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: raw pages → staging → station-days → country-day mart."""
@@ -374,7 +381,7 @@ def half_open_window(spark, sf_dir):
     """Readings per backfill chunk: each reading lands in exactly one chunk,
     whose bounds follow from the country's span (one row per country)."""
     feed = EventFeed(spark, sf_dir)
-    r = FD.T.readings(spark, sf_dir).join(feed.audit_spans, "country_code")
+    r = FD.T.readings(spark, sf_dir).join(F.broadcast(feed.audit_spans), "country_code")  # two-letter codes
     start = chunk_start_of(F.to_date("reading_ts"), "span_start", FD.CHUNK_DAYS)
     end = F.least(F.date_add(start, FD.CHUNK_DAYS), F.date_add("span_end", 1))
     inside = r.select("country_code", start.alias("chunk_start"), end.alias("chunk_end"), F.to_date("reading_ts").alias("day"))
@@ -405,9 +412,7 @@ def lookback_window(spark, sf_dir):
 
 def stored_chunks(feed: EventFeed) -> DataFrame:
     """The chunk plan as a table, as a run takes it."""
-    path = scratch_path(feed.spark, "chunks")
-    FD.event_chunks(feed).write.parquet(path)
-    return feed.spark.read.schema("country_code STRING, chunk_start DATE, chunk_end DATE, chunk_label STRING").parquet(path)
+    return stored(FD.event_chunks(feed), "chunks")
 
 
 @query("checkpoint_resume")
@@ -506,10 +511,10 @@ def gap_classify(spark, sf_dir):
 
 @query("gap_audit_monthly")
 def gap_audit_monthly(spark, sf_dir):
+    """The monthly audit by day masks, which are stored once and give the spans as well."""
     feed = EventFeed(spark, sf_dir)
-    return A.gap_audit_by_ranges(
-        feed.sensors, feed.locations, feed.records, feed.known_bad, feed.audit_spans
-    )
+    masks = stored(A.sensor_month_masks(feed.records), "sensor-months")
+    return A.gap_audit_by_masks(feed.sensors, feed.locations, masks, feed.known_bad, A.mask_spans(masks))
 
 
 @query("gap_audit_cells")
@@ -579,23 +584,23 @@ def history_daily(spark, sf_dir):
 # --- data quality and the layered build -------------------------------------------
 
 
-def event_tables(feed: EventFeed) -> dict[str, DataFrame]:
-    """The event world's model tables, as the check suite names them."""
-    return {
-        "stg_measurements": feed.measurements,
-        "stg_locations": feed.locations,
-        "stg_sensors": feed.sensors,
-        "int_daily": feed.daily,
-        "mart_country_compare": M.country_compare(feed.daily, feed.thresholds),
-        "mart_annual_compare": M.annual_compare(feed.daily, feed.thresholds),
-        "thresholds": feed.thresholds,
-        "known_bad": feed.known_bad,
-    }
+_MODELS: dict[tuple[str, str], dict[str, DataFrame]] = {}
+
+
+def event_tables(spark, sf_dir) -> dict[str, DataFrame]:
+    """The event world's model tables, built once per application and data folder; checks read them as stored."""
+    key = (session_key(spark), sf_dir)
+    if key not in _MODELS:
+        feed = EventFeed(spark, sf_dir)
+        known_bad = stored(feed.known_bad, "known-bad")
+        built = _build_all(spark, feed.raw, feed.thresholds, known_bad, scratch_path(spark, "models"), suite=[])
+        _MODELS[key] = built.tables
+    return _MODELS[key]
 
 
 def _dq(kind):
     def run(spark, sf_dir):
-        return K.evaluate(K.select(kind), K.with_faults(event_tables(EventFeed(spark, sf_dir))))
+        return K.evaluate(K.select(kind), K.with_faults(event_tables(spark, sf_dir)))
 
     return run
 

@@ -13,7 +13,10 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 # Settings every query in this package relies on.  They are session-scoped SQL
@@ -125,3 +128,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique sub-path of the shared folder (never reused, never cleared)."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
+
+def at_once(spark: SparkSession, *steps: Callable[[], object]) -> list:
+    """Run independent jobs at the same time; the first error is raised when all have ended."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        jobs = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
+    return [job.result() for job in jobs]
