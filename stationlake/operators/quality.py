@@ -14,6 +14,7 @@ range checks, as in the usual declarative-test semantics.
 from __future__ import annotations
 
 import datetime as dt
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -177,15 +178,47 @@ def freshness(
     error_hours: float = C.FRESHNESS_ERROR_HOURS,
 ) -> DataFrame:
     """Age of the newest load per key against a reference time: pass / warn / error."""
-    ref = ts_lit(reference_time)
     agg = (df.groupBy(*keys) if keys else df.groupBy()).agg(F.max(loaded_at).alias("latest_loaded_at"))
+    return _aged(agg, reference_time, warn_hours, error_hours)
+
+
+def _aged(newest: DataFrame, reference_time: dt.datetime | Column, warn_hours: float, error_hours: float) -> DataFrame:
+    ref = ts_lit(reference_time)
     age = (F.unix_micros(ref) - F.unix_micros(F.col("latest_loaded_at"))) / F.lit(3_600_000_000)
     status = (
-        F.when(F.col("age_hours") > error_hours, F.lit("error"))
+        F.when(F.col("age_hours").isNull() | (F.col("age_hours") > error_hours), F.lit("error"))
         .when(F.col("age_hours") > warn_hours, F.lit("warn"))
         .otherwise(F.lit("pass"))
     )
-    return agg.withColumn("age_hours", age).withColumn("freshness", status)
+    return newest.withColumn("age_hours", age).withColumn("freshness", status)
+
+
+def partition_freshness(
+    table: DataFrame,
+    loaded_at: str,
+    day: str,
+    reference_time: dt.datetime | str | Column,
+    keys: Sequence[str],
+    expected: DataFrame,
+    warn_hours: float = C.FRESHNESS_WARN_HOURS,
+    error_hours: float = C.FRESHNESS_ERROR_HOURS,
+) -> DataFrame:
+    """:func:`freshness` of a table partitioned by ``day``, the day of ``loaded_at``, for every key of ``expected``.
+
+    Only partitions that can still be fresh are read.  Keys without a load in
+    them are an error whatever came before; for these alone, and only if there
+    are any, the older partitions are read for the time of their last load.  A
+    key that was never loaded has none.
+    """
+    since = F.date_sub(F.to_date(ts_lit(reference_time)), math.ceil(error_hours / 24))
+    newest = lambda rows: rows.groupBy(*keys).agg(F.max(loaded_at).alias("latest_loaded_at"))
+    wanted = expected.select(*keys).distinct()
+    found = newest(table.where(F.col(day) >= since)).join(wanted, list(keys), "left_semi")
+    missing = wanted.join(found, list(keys), "left_anti")
+    if not missing.isEmpty():
+        older = newest(table.where(F.col(day) < since).join(missing, list(keys), "left_semi"))
+        found = found.unionByName(missing.join(older, list(keys), "left"))
+    return _aged(found, reference_time, warn_hours, error_hours)
 
 
 def nonempty_guard(expected_keys: DataFrame, items: DataFrame, key: str, name: str = "items") -> DataFrame:

@@ -261,17 +261,17 @@ def records_in_latest_batch(raw: DataFrame, pattern: str, mode: str = "like") ->
     """Measurement records of the newest batch among pages matching ``pattern``.
 
     The newest batch is ``max(ingested_at)`` over every matching page,
-    inventory pages included; inventory pages add no records.  Returns one
-    row: ``latest_batch``, ``records`` (0 when nothing matches).
+    inventory pages included; inventory pages add no records.  Its stamp, one
+    value, is found first from the uris and stamps alone, so that payloads are
+    read from that batch's partition only.  Returns one row:
+    ``latest_batch``, ``records`` (0 when nothing matches).
     """
     matching = raw.where(uri_matches(pattern, mode))
+    stamp = matching.agg(F.max("ingested_at")).first()[0]
+    newest = F.lit(stamp).cast("timestamp")
+    batch = matching.where((F.col("ingest_date") == F.to_date(newest)) & (F.col("ingested_at") == newest))
     is_measurement = page_kind("source_uri") == "measurement"
-    per_batch = matching.groupBy("ingested_at").agg(
-        F.coalesce(F.sum(F.when(is_measurement, record_count("raw_payload"))), F.lit(0))
-        .cast("bigint")
-        .alias("records")
-    )
-    return per_batch.agg(
-        F.max("ingested_at").alias("latest_batch"),
-        F.coalesce(F.max_by("records", "ingested_at"), F.lit(0)).cast("bigint").alias("records"),
+    return batch.agg(
+        newest.alias("latest_batch"),
+        F.coalesce(F.sum(F.when(is_measurement, record_count("raw_payload"))), F.lit(0)).cast("bigint").alias("records"),
     )

@@ -185,6 +185,22 @@ def event_daily_loads(feed: EventFeed) -> DataFrame:
     return land_batch(lines, stamp, validate=False).unionByName(first)
 
 
+_LOADS: dict[tuple[str, str], str] = {}
+
+
+def landed_daily_loads(feed: EventFeed) -> DataFrame:
+    """The raw table as the daily runs loaded it, landed once per application and data folder."""
+    from stationlake.session import scratch_path, session_key
+
+    key = (session_key(feed.spark), feed.sf_dir)
+    if key not in _LOADS:
+        path = scratch_path(feed.spark, "daily-loads")
+        ensure_raw_table(feed.spark, path)
+        append_batch(event_daily_loads(feed).hint("rebalance", "ingest_date"), path)
+        _LOADS[key] = path
+    return read_raw(feed.spark, _LOADS[key])
+
+
 def inventory_sensors(feed: EventFeed) -> DataFrame:
     """Every inventoried sensor with its station's country."""
     loc = feed.locations.select("location_id", "country_code")

@@ -33,13 +33,15 @@ from stationlake.plans import backfill as B
 from stationlake.plans import checks as K
 from stationlake.plans import feeds as FD
 from stationlake.plans import incremental as IN
+from stationlake.plans import latest as L
 from stationlake.plans.build import build_all as _build_all
 from stationlake.plans.build import layer_counts
+from stationlake.plans.check_state import UniqueState
 from stationlake.plans.feeds import EventFeed, HistoryFeed
 from stationlake.plans.output import for_compare
 from stationlake.session import apply_model_conf, scratch_path, session_key
 from stationlake.sources import pages as P
-from stationlake.sources.seeds import skip_set
+from stationlake.sources.seeds import read_thresholds, skip_set
 from stationlake.streaming import ingest as ST
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -83,6 +85,20 @@ def stage_measurements(spark, sf_dir):
     return EventFeed(spark, sf_dir).measurements
 
 
+SECOND_LOAD_FROM = "2024-01-21"
+
+
+@query("stage_second_load")
+def stage_second_load(spark, sf_dir):
+    """A bucketed base of staged readings and a later load merged into it without
+    shuffling the base; equals staging both at once."""
+    pages, root = EventFeed(spark, sf_dir).measurement_raw, scratch_path(spark, "latest")
+    later = F.col("ingest_date") >= F.lit(SECOND_LOAD_FROM).cast("date")
+    L.build_base(pages.where(~later), root)
+    L.merge_load(spark, pages.where(later), root)
+    return L.read_staged(spark, root)
+
+
 @query("stage_locations")
 def stage_locations(spark, sf_dir):
     return EventFeed(spark, sf_dir).locations
@@ -201,6 +217,27 @@ def threshold_seed(spark, sf_dir):
     )
 
 
+@query("threshold_csv")
+def threshold_csv(spark, sf_dir):
+    """Guidelines read from a typed CSV seed (UTF-8 units), matched to the station-days' parameters and units."""
+    feed = EventFeed(spark, sf_dir)
+    path = scratch_path(spark, "thresholds-csv")
+    feed.thresholds.write.option("header", True).option("encoding", "UTF-8").csv(path)
+    seed = read_thresholds(spark, path)
+    days = feed.daily.groupBy("parameter", "unit").agg(F.count(F.lit(1)).alias("station_days"))
+    matched = days.join(seed, (days["parameter"] == seed["pollutant"]) & (days["unit"] == seed["unit"]), "left")
+    return matched.select(days["parameter"], days["unit"], "station_days", "averaging_period", "threshold_value")
+
+
+@query("object_name_any_case")
+def object_name_any_case(spark, sf_dir):
+    """Object names from country codes in either case: one name per object."""
+    r = FD.T.readings(spark, sf_dir)
+    code = F.when(F.col("sensor_id") % 2 == 1, F.lower("country_code")).otherwise(F.col("country_code"))
+    name = object_name(code, day_segment("reading_ts"), "sensor_id")
+    return r.groupBy(name.alias("object_name")).agg(F.count(F.lit(1)).alias("pages"))
+
+
 # --- raw zone and raw table (written to the shared folder) --------------------
 
 _ZONES: dict[tuple[str, str], str] = {}
@@ -230,15 +267,11 @@ def zone_folder(name):
 
 def whole_zone_objects(spark, zone) -> DataFrame:
     """Every page of the raw zone by the public object reader: its countries dealt out over the path forms."""
-    zone_rows = spark.read.schema(P.PARTITIONED_TEXT_SCHEMA).text(zone)
-    folders = sorted(tuple(r) for r in zone_rows.select("country", "part").distinct().collect())
-    countries = sorted({c for c, _ in folders})
-    forms = [
-        ([f"{zone}/country={c}/part={p}" for c, p in folders if c in countries[0::3]], False),
-        ([f"{zone}/country={c}/part=*" for c in countries[1::3]], False),
-        ([f"{zone}/country={c}" for c in countries[2::3]], True),
+    scans = [
+        P.scan_pages(spark, f"{zone}/country=A[A-L]/part=*"),
+        P.scan_pages(spark, [f"{zone}/country=A[M-R]", f"{zone}/country=A[S-Z]/part=*"]),
+        P.scan_pages(spark, f"{zone}/country=[B-Z]*", recursive=True),
     ]
-    scans = [P.scan_pages(spark, paths, recursive=deep) for paths, deep in forms if paths]
     return functools.reduce(DataFrame.unionByName, scans)
 
 
@@ -308,7 +341,7 @@ def land_batch_q(spark, sf_dir):
 @query("latest_batch_records")
 def latest_batch_records(spark, sf_dir):
     """Records of the newest batch under each country/day prefix."""
-    return R.latest_batch_records(FD.event_daily_loads(EventFeed(spark, sf_dir)))
+    return R.latest_batch_records(FD.landed_daily_loads(EventFeed(spark, sf_dir)))
 
 
 # --- run bookkeeping -----------------------------------------------------------
@@ -329,7 +362,7 @@ def failed_sensors(spark, sf_dir):
 @query("records_in_latest_batch")
 def records_in_latest_batch(spark, sf_dir):
     """The load contract's count for one day across countries, by LIKE and by prefix."""
-    loads = FD.event_daily_loads(EventFeed(spark, sf_dir))
+    loads = FD.landed_daily_loads(EventFeed(spark, sf_dir))
     like = R.records_in_latest_batch(loads, "%/raw/airq/%/2024-01-12/%").withColumn("mode", F.lit("like"))
     prefix = f"{FD.T.LANDING_ROOT}/raw/airq/EU/2024-01-08/"
     return like.unionByName(R.records_in_latest_batch(loads, prefix, mode="prefix").withColumn("mode", F.lit("prefix")))
@@ -348,7 +381,7 @@ def failure_threshold(spark, sf_dir):
 def reconcile_counts(spark, sf_dir):
     feed = EventFeed(spark, sf_dir)
     summary = R.fetch_summary(FD.event_fetch_log(feed), ["country_code", "segment"])
-    landed = R.latest_batch_records(FD.event_daily_loads(feed))
+    landed = R.latest_batch_records(FD.landed_daily_loads(feed))
     return R.reconcile_counts(summary, landed)
 
 
@@ -615,6 +648,34 @@ for _key, _kind in (
 ):
     query(_key)(_dq(_kind))
 
+#: Days of the first run of the incremental checks.
+FIRST_CHECKED = "2024-01-16"
+#: Table, key and partition of each incremental check, and whether the key decides the partition.
+UNIQUE_STATES = (
+    ("stg_measurements", ("sensor_id", "period_start_utc"), "measurement_date", True),
+    ("int_daily", ("location_id", "parameter", "measurement_date"), "measurement_date", True),
+    ("int_daily", ("location_id", "parameter", "reading_count"), "measurement_date", False),
+)
+
+
+@query("dq_unique_incremental")
+def dq_unique_incremental(spark, sf_dir):
+    """Uniqueness of faulty tables checked in two runs, the second over the new
+    days only: failing keys after each run and the rows that it read."""
+    tables = K.with_faults(event_tables(spark, sf_dir))
+    out = []
+    for name, keys, day, decides in UNIQUE_STATES:
+        table = tables[name] if day in tables[name].columns else tables[name].withColumn(day, F.to_date("period_start_utc"))
+        state = UniqueState(scratch_path(spark, "unique-state"), keys, day, decides)
+        state.check(table.where(F.col(day) < F.lit(FIRST_CHECKED).cast("date")))
+        state.check(table)
+        runs = state.runs(spark).select(
+            F.lit(name).alias("table_name"), F.lit(",".join(keys)).alias("column_name"), "run", "rows_read", "failures"
+        )
+        out.append(runs)
+    return functools.reduce(DataFrame.unionByName, out)
+
+
 DQ_RUN_ID = "event-world-check"
 
 
@@ -650,12 +711,12 @@ STALLED = {"AM": "2024-01-29", "AS": "2024-01-27"}
 def dq_freshness(spark, sf_dir):
     """Age of each country's newest measurement load at a fixed check time;
     two countries' loads stopped early (a warning and an error)."""
-    loads = S.measurement_pages(FD.event_daily_loads(EventFeed(spark, sf_dir)))
+    loads = S.measurement_pages(FD.landed_daily_loads(EventFeed(spark, sf_dir)))
     keyed = loads.withColumn("country_code", country_from_uri("source_uri"))
     last = FD.T.lookup(F.col("country_code"), STALLED)
     keyed = keyed.where(last.isNull() | (R.partition_segment_of("source_uri") <= last))
-    ref = ts_lit(FRESHNESS_CHECK_TIME)
-    return Q.freshness(keyed, "ingested_at", ref, ["country_code"])
+    countries = FD.T.stations(spark, sf_dir).select("country_code")
+    return Q.partition_freshness(keyed, "ingested_at", "ingest_date", FRESHNESS_CHECK_TIME, ["country_code"], countries)
 
 
 @query("dq_nonempty")
