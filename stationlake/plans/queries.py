@@ -269,7 +269,7 @@ def whole_zone_objects(spark, zone) -> DataFrame:
     """Every page of the raw zone by the public object reader: its countries dealt out over the path forms."""
     scans = [
         P.scan_pages(spark, f"{zone}/country=A[A-L]/part=*"),
-        P.scan_pages(spark, [f"{zone}/country=A[M-R]", f"{zone}/country=A[S-Z]/part=*"]),
+        P.scan_pages(spark, [f"{zone}/country=A[M-R]/part=*", f"{zone}/country=A[S-Z]/part=*"]),
         P.scan_pages(spark, f"{zone}/country=[B-Z]*", recursive=True),
     ]
     return functools.reduce(DataFrame.unionByName, scans)
