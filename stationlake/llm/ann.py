@@ -220,15 +220,17 @@ def _search(hashed: DataFrame, asked: DataFrame, index: Index, k: int) -> DataFr
     part = F.pmod(F.xxhash64("query_id"), F.lit(parts).cast("long"))
     unit = F.pmod(F.xxhash64("tbl", "cell", "salt"), F.lit(units)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
+    probes = asked.select("query_id", "v").mapInArrow(_probe_rows(index), "query_id LONG, tbl LONG, cell LONG")
+    probes = store(probes.withColumn("part", part).join(directory, ["tbl", "cell"]), "ann-probes")
+    # A row goes to the blocks of queries that visit its cell, and to no other.
+    visited = store(probes.select("tbl", "cell", "salts", "part").distinct(), "ann-visited")
     left = (
-        cells.join(directory.select("tbl", "cell", "salts"), ["tbl", "cell"])
+        cells.join(visited, ["tbl", "cell"])
         .withColumn("salt", F.col("h") % F.col("salts"))
-        .select(unit.alias("unit"), each(F.lit(parts).cast("long")).alias("part"), "tbl", "cell", "salt", "vec_ids", "v")
+        .select(unit.alias("unit"), "part", "tbl", "cell", "salt", "vec_ids", "v")
     )
-    probes = asked.select("query_id", "v").mapInArrow(_probe_rows(index), "query_id LONG, tbl LONG, cell LONG")
     visits = (
-        probes.join(directory, ["tbl", "cell"])
-        .select("query_id", "tbl", "cell", each(F.col("salts")).alias("salt"))
+        probes.select("query_id", "tbl", "cell", each(F.col("salts")).alias("salt"))
         .select("query_id", unit.alias("unit"), F.struct("tbl", "cell", "salt").alias("visit"))
         .groupBy("query_id", "unit").agg(F.collect_list("visit").alias("visits"))
     )
@@ -247,7 +249,8 @@ def nearest(
     smaller id, and a query's own id is no candidate.  Vectors that are null,
     empty, zero, of another length than most of the sample, or hold a null or
     non-finite component, and rows with a null id, take no part on either side;
-    of repeated rows of one id one counts.  An empty table gives no rows.
+    of repeated rows of one id one counts.  Of a queried id with several vectors
+    the least asks.  An empty table gives no rows; other columns are not used.
 
     Equal vectors are one entry of the index with their k + 1 smallest ids, so
     a vector that a third of the rows have is compared once.  Large cells are
@@ -268,8 +271,8 @@ def nearest(
     sizes = [len(r["v"]) for r in sample]
     dims = max(set(sizes), key=lambda n: (sizes.count(n), -n))
     known = np.unique(np.array([r["v"] for r in sample if len(r["v"]) == dims]), axis=0)
-    rows, asked = rows.where(F.size("v") == dims), asked.where(F.size("v") == dims).dropDuplicates(["id"])
-    asked = store(asked.select(F.col("id").alias("query_id"), "v"), "ann-queries")
+    rows, asked = rows.where(F.size("v") == dims), asked.where(F.size("v") == dims)
+    asked = store(asked.groupBy(F.col("id").alias("query_id")).agg(F.min("v").alias("v")), "ann-queries")
 
     # The rank filter is applied before the shuffle too: a task sends k + 1 ids of a vector at most.
     least = rows.distinct().withColumn("nth", F.row_number().over(Window.partitionBy("v").orderBy("id"))).where(F.col("nth") <= k + 1)
