@@ -20,10 +20,9 @@ from pyspark.sql import functions as F
 WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 16
-#: The sample: documents of a language, windows of a document, languages (the most frequent).
+#: The sample: documents of a language, windows of a document.
 SAMPLE_DOCS = 400
 SAMPLE_WINDOWS = 4
-MAX_LANGUAGES = 256
 EPOCHS = 12
 BATCH = 64
 RATE = 0.01
@@ -165,11 +164,12 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     """Fit on at most SAMPLE_DOCS documents of each language, those of the smallest hashed ids.
 
     Only documents with a text, a language and a doc_id that is not held out
-    are learned from.  Windows of the sample are cut by the tasks.
+    are learned from, by at most SAMPLE_WINDOWS windows of each, spread evenly
+    over its text.  Every language met is learned, however rare.  Windows of the sample are cut by the tasks.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     rows = rows.where(~held_out(F.col("doc_id")) & F.col("text").isNotNull() & F.col("lang").isNotNull())
-    counted = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    counted = rows.groupBy("lang").count().collect()  # one row per language, as many as the model has outputs
     if not counted:
         return train_net([UNKNOWN], np.empty((0, WINDOW), np.uint8), np.empty(0, int))
     # Below this hash lie about twice as many documents of the language as are wanted.
