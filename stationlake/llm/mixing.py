@@ -154,8 +154,8 @@ def mix(
     b div t whole, and in the next epoch the documents that come first by
     md5(seed:epoch:doc_id) until the rest is used; of the last one only the
     first ``take_tokens`` words.  A null language or source is the node
-    ``(none)``; null doc_ids come last among equal hashes, repeated rows are
-    used one by one.  Documents without words (null, empty, blank) have no
+    ``(none)``; rows without doc_id are ordered by a hash of their row key,
+    repeated rows are used one by one.  Documents without words (null, empty, blank) have no
     tokens and are never used; an empty table gives no rows; other columns of
     ``docs`` are not used.
     """
@@ -184,7 +184,9 @@ def mix(
         F.col("n_tokens").alias("take_tokens"),
     )
     part = used.where("due > 0").withColumn("epoch", F.col("whole") + 1).drop("whole")
-    order = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("epoch").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
+    # Rows without doc_id go by their row key, so that they are spread over the digits like others.
+    keyed_by = F.coalesce(F.col("doc_id").cast("string"), F.concat_ws("/", F.lit("row"), f"{ROW_KEY}.file", f"{ROW_KEY}.row"))
+    order = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("epoch").cast("string"), keyed_by).cast("binary"))
     part = _prefix(part.withColumn("h", order))
     columns = [ROW_KEY, "doc_id", *LEVELS, "n_tokens", "epoch", "take_tokens"]
     return whole.select(columns).unionByName(part.select(columns))
