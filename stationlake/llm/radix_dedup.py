@@ -74,15 +74,15 @@ def equal_texts(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame,
     while True:
         split = members.join(_repeated(members).hint("merge"), ["grp", "digit"])
         # A digit shorter than asked for is the end of the text.
-        closed = closed.unionAll(split.where(F.length("digit") < width).select(ROW_KEY, F.col("next").alias("grp")))
-        still = split.where(F.length("digit") >= width)
+        ended = (F.length("digit") < width).alias("ended")
+        rest = [] if rests is None else [F.when(~ended, F.expr(f"substring(rest, {width + 1})")).alias("rest")]
+        met = store(split.select(ROW_KEY, F.col("next").alias("grp"), ended, *rest), "radix-split")
+        closed = closed.unionAll(met.where("ended").select(ROW_KEY, "grp"))
         if rests is None:
-            still = store(still.select(ROW_KEY, F.col("next").alias("grp")), "radix-open")
-            texts = keyed.select("text", ROW_KEY).join(still.hint("merge"), ROW_KEY).select("text", ROW_KEY, "grp")
-            rests = texts.mapInArrow(_rests, f"row_key {KEY}, grp {KEY}, rest BINARY")
+            texts = keyed.select("text", ROW_KEY).join(met.where("NOT ended").hint("merge"), ROW_KEY).select("text", ROW_KEY, "grp")
+            rests = store(texts.mapInArrow(_rests, f"row_key {KEY}, grp {KEY}, rest BINARY"), "radix-rest")
         else:
-            rests = still.select(ROW_KEY, F.col("next").alias("grp"), F.expr(f"substring(rest, {width + 1})").alias("rest"))
-        rests = store(rests, "radix-rest")
+            rests = met.where("NOT ended").select(ROW_KEY, "grp", "rest")
         if rests.isEmpty():
             return facts, closed
         width *= GROWTH
