@@ -29,7 +29,7 @@ WINDOW = 2048
 END_ID = 1
 #: Words, and parts of words, that a worker takes in before it forgets the ones not met again.
 CACHE_WORDS, CACHE_PARTS = 250_000, 400_000
-#: Most partner lengths tried per length when triples are enumerated.
+#: Partner lengths, the commonest, tried per length when triples are enumerated; what no triple fills is packed greedily.
 PARTNERS = 24
 #: Rows that are ranked together.
 RANK_BLOCK = 50_000
