@@ -99,12 +99,18 @@ class Stop(Exception):
 WRITES = [(B, "append_batch"), (B, "append_markers"), (B.R, "append_manifest_failed"), (B.R, "append_manifest")]
 
 
+@pytest.fixture(scope="module")
+def unstopped(spark, tmp_path_factory):
+    tables = B.RunTables.under(str(tmp_path_factory.mktemp("whole")))
+    B.run(spark, tables=tables, **inputs(spark, failed=[(1, 3)]), stamp="2031-04-01 02:00:00")
+    return outcome(spark, tables)
+
+
 @pytest.mark.parametrize("after", [False, True])
 @pytest.mark.parametrize("module,name", WRITES, ids=[n for _, n in WRITES])
-def test_stopped_around_any_write_a_run_is_resumed(spark, tmp_path, monkeypatch, module, name, after):
-    whole, stopped = B.RunTables.under(str(tmp_path / "whole")), B.RunTables.under(str(tmp_path / "stopped"))
+def test_stopped_around_any_write_a_run_is_resumed(spark, tmp_path, monkeypatch, unstopped, module, name, after):
+    stopped = B.RunTables.under(str(tmp_path))
     given = inputs(spark, failed=[(1, 3)])
-    B.run(spark, tables=whole, **given, stamp="2031-04-01 02:00:00")
     real = getattr(module, name)
 
     def breaks(*args, **kwargs):
@@ -117,7 +123,7 @@ def test_stopped_around_any_write_a_run_is_resumed(spark, tmp_path, monkeypatch,
         with pytest.raises(Stop):
             B.run(spark, tables=stopped, **given, stamp="2031-04-01 02:00:00")
     B.run(spark, tables=stopped, **given, stamp="2031-04-02 02:00:00")
-    assert outcome(spark, stopped) == outcome(spark, whole)
+    assert outcome(spark, stopped) == unstopped
     # Pages without a marker are landed again; with it, or before them, once.
     twice = (name, after) in (("append_batch", True), ("append_markers", False))
     assert batches(spark, stopped) == (2 if twice else 1)
