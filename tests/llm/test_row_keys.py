@@ -27,11 +27,16 @@ FORMS = {
 
 
 @pytest.mark.parametrize("form", FORMS)
-def test_operators_give_every_row_its_own(scan, form):
+def test_multiplied_rows_have_keys_of_their_own(scan, form):
     many = FORMS[form](scan)
-    n = many.count()
-    assert n == 18 and not _is_plain_scan(many)
-    assert with_row_key(many, "doc_id").select(ROW_KEY).distinct().count() == n
+    assert many.count() == 18 and not _is_plain_scan(many)
+    assert with_row_key(many, "doc_id").select(ROW_KEY).distinct().count() == 18
+    assert keyed_documents(many).select(ROW_KEY).distinct().count() == 18
+
+
+@pytest.mark.parametrize("form", ["explode", "self join"])
+def test_operators_give_every_row_its_own(scan, form):
+    many, n = FORMS[form](scan), 18
     near = simhash.near_duplicates(many)
     assert (near.count(), near.where("stays").count()) == (n, near.select("component_id").distinct().count())
     exact = radix_dedup.exact_duplicates(many)
