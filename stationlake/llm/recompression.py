@@ -1,260 +1,472 @@
 """Substring dedup over words by recompression.
 
-Words are named by a hash.  Rounds then name runs of one symbol and pairs of
-neighbours, the same way everywhere: a run is named by its symbol and length, a
-pair is joined when a bit of the round puts its left symbol on one side and its
-right symbol on the other.  What happens to a symbol depends on its neighbours
-alone, so equal substrings get equal symbols except near their ends.
-
-For each window of words the symbols that its own content decides (the ends
-are dropped in every round) are followed up; one of the highest that are left
-is the window's anchor.  Equal windows have equal anchors, so anchors shared
-across the corpus reveal all repeats.  Runs of windows with one anchor are
-compared as wholes first; where an anchor has different runs, their windows
-are verified one by one by the digests of their word sequences.
+A first pass leaves out text that can't repeat: equal windows have the same
+least half-window of words, so only windows whose least half-window is met
+twice are candidates.  Maximal runs of candidates are zones; of zones with
+equal words the earliest goes on.
+
+Spark rounds then name what the zones are made of: the words, and level by
+level the runs of one symbol and the pairs of neighbours (a pair is joined when
+a bit of the level puts its left symbol on one side and its right symbol on the
+other).  Tasks propose hashes as names; each round gathers the proposals of all
+zones in one dictionary, stored by name, and where a name stands for different
+contents all but one of these get a new name before the next level is built.
+So a name stands for one sequence of words everywhere, and equal substrings
+have equal symbols except near their ends.
+
+A window's anchor is one of the symbols of the highest level that its own words
+decide.  Equal windows have equal anchors, so anchors shared between zones
+reveal the repeats, and the words of the windows verify them.
 """
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stationlake.llm.spans import (
-    FRAGMENT,
-    ODD,
-    fragment_verdicts,
-    in_order,
-    mix,
-    repeats,
-    runs,
-    span_digests,
-)
+from stationlake.llm.common import store
+from stationlake.llm.spans import ODD, in_order, mix, runs, span_digests
+from stationlake.llm.suffix_dedup import sliding_min
 
 WINDOW_WORDS = 20
-#: The anchor is chosen at the highest level that leaves a window so many symbols (the first, at least).
-#: Fewer make anchors short-lived: more runs of windows, and more of them different under one anchor.
-CHOICE = 12
-MAX_ROUNDS = 8
-#: Bytes of text that are recompressed at once (at least one document).
+#: Bytes of text that are named at once (at least one document or zone).
 BLOCK_BYTES = 4 << 20
-#: Windows that are verified at once.
-CHUNK_WINDOWS = 1 << 20
-
-
-def _named(a: np.ndarray, b: np.ndarray, tag: int) -> np.ndarray:
-    return mix(mix(a + np.uint64(tag * 2 + 1)) * np.uint64(ODD) + b)
+#: Windows of one anchor that a task remembers; further ones are dealt out by their own digests.
+HELD_WINDOWS = 1 << 16
+#: A proposed name: the highest bit (never set in a name given to a contested content), six bits of level, and a hash.
+NAME_BITS = 57
+WORD, RUN, PAIR = 0, 1, 2
+ZONE = "ord LONG, start LONG, n LONG, words BINARY"
+RENAMES = "ARRAY<STRUCT<content: BINARY, name: LONG>>"
+_PLACE = np.uint64(32)  # bits for the place in a block
+_CONTENT = np.dtype([("kind", "u1"), ("a", "<u8"), ("b", "<u8")])
 
 
 def window_digests(sym: np.ndarray, window: int) -> np.ndarray:
     """Digest of every ``window`` consecutive symbols."""
-    at = np.arange(len(sym) - window + 1)
+    at = np.arange(max(0, len(sym) - window + 1))
     return span_digests(sym, at, at + window)
 
 
-def anchors(sym: np.ndarray, own: np.ndarray, starts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """(name, place) of the anchor of each window; ``place`` tells apart the occurrences of a name.
+class Names:
+    """Names of words, runs and pairs: proposed by hash unless the content was given another one."""
+
+    def __init__(self, given: dict[bytes, int] | None = None, bits: int = NAME_BITS):
+        self.given, self.bits = given or {}, bits
+
+    def _proposed(self, level: int, digest: np.ndarray) -> np.ndarray:
+        return (digest >> np.uint64(64 - self.bits)) | np.uint64(1 << 63 | min(level, 63) << 57)
+
+    def words(self, words: list[bytes]) -> np.ndarray:
+        digest = xxhash.xxh64_intdigest
+        names = self._proposed(0, np.fromiter((digest(w) for w in words), np.uint64, len(words)))
+        for i, w in enumerate(words) if self.given else ():
+            if (name := self.given.get(bytes([WORD]) + w)) is not None:
+                names[i] = name
+        return names
+
+    def joined(self, kind: int, level: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        names = self._proposed(level, mix(mix(a + np.uint64(kind)) * np.uint64(ODD) + b))
+        for i, c in enumerate(contents(kind, a, b)) if self.given else ():
+            if (name := self.given.get(c)) is not None:
+                names[i] = name
+        return names
+
+
+def contents(kind: int, a: np.ndarray, b: np.ndarray) -> list[bytes]:
+    """What a name stands for: the kind, and the symbol and length of a run or the symbols of a pair."""
+    packed = np.empty(len(a), _CONTENT)
+    packed["kind"], packed["a"], packed["b"] = kind, a, b
+    data, size = packed.tobytes(), _CONTENT.itemsize
+    return [data[i : i + size] for i in range(0, len(data), size)]
+
+
+class Level:
+    """Symbols after a round, the windows that still decide some of them (lo to hi), and what was named."""
+
+    def __init__(self, sym, own, first, spans, live, lo, hi, made):
+        self.sym, self.own, self.first, self.spans = sym, own, first, spans
+        self.live, self.lo, self.hi, self.made = live, lo, hi, made
+
+    def inside(self) -> np.ndarray:
+        """Whether a symbol is decided by some window."""
+        edge = np.bincount(self.lo, minlength=len(self.sym) + 1) - np.bincount(self.hi, minlength=len(self.sym) + 1)
+        return np.cumsum(edge[: len(self.sym)]) > 0
+
+
+def levels(sym: np.ndarray, own: np.ndarray, starts: np.ndarray, window: int, names: Names):
+    """The levels, as long as a window decides a symbol.
 
-    ``sym``: names of all words; ``own``: the document of each; ``starts``: first words of the windows.
+    ``sym``: names of all words; ``own``: the text of each; ``starts``: first words of the windows.
     """
-    first = np.arange(len(sym))
-    spans = np.ones(len(sym), np.int64)
-    lo, hi = starts.copy(), starts + window
-    name = window_digests(sym, window)[starts] if len(starts) else np.empty(0, np.uint64)
-    place = starts.copy()
-    # Windows that end at level 0 keep their own digest as anchor.
-    live = np.arange(len(starts))
-    for level in range(1, MAX_ROUNDS + 1):
+    first, spans = np.arange(len(sym)), np.ones(len(sym), np.int64)
+    live, lo, hi = np.arange(len(starts)), starts, starts + window
+    for level in itertools.count(1):
         # Runs.
         new = np.ones(len(sym), bool)
         new[1:] = (sym[1:] != sym[:-1]) | (own[1:] != own[:-1])
-        heads = np.flatnonzero(new)
-        run = np.cumsum(new) - 1
-        size = np.diff(np.append(heads, len(sym)))
+        run, heads = np.cumsum(new) - 1, np.flatnonzero(new)
         lo, hi = run[lo] + 1, run[hi - 1]
         keep = lo < hi
         live, lo, hi = live[keep], lo[keep], hi[keep]
-        spans = np.add.reduceat(spans, heads) if len(heads) else spans
-        sym = np.where(size > 1, _named(sym[heads], size.astype(np.uint64), 2 * level), sym[heads])
-        own, first = own[heads], first[heads]
+        if not len(live):
+            return
+        size = np.diff(np.append(heads, len(sym)))
+        spans, sym, own, first = np.add.reduceat(spans, heads), sym[heads], own[heads], first[heads]
+        many = np.flatnonzero(size > 1)
+        made_runs = sym[many], size[many].astype(np.uint64)
+        sym[many] = names.joined(RUN, level, *made_runs)
         # Pairs: left symbols of one side with right symbols of the other.
         right = (mix(sym ^ np.uint64(level * 0x1F123BB5)) >> np.uint64(63)).astype(bool)
         joins = np.zeros(len(sym), bool)
         joins[:-1] = ~right[:-1] & right[1:] & (own[:-1] == own[1:])
         begin = np.ones(len(sym), bool)
         begin[1:] = ~joins[:-1]
-        at = np.cumsum(begin) - 1
-        if not len(live):
-            break
-        lo = lo + right[lo]
-        hi = hi - ~right[hi - 1]
+        at, heads = np.cumsum(begin) - 1, np.flatnonzero(begin)
+        lo, hi = lo + right[lo], hi - ~right[hi - 1]
         keep = lo < hi
         live, lo, hi = live[keep], lo[keep], hi[keep]
+        if not len(live):
+            return
         lo, hi = at[lo], at[hi - 1] + 1
-        heads = np.flatnonzero(begin)
-        mate = np.minimum(heads + 1, len(sym) - 1)
-        paired = joins[heads]
-        spans = np.add.reduceat(spans, heads) if len(heads) else spans
-        sym = np.where(paired, _named(sym[heads], sym[mate], 2 * level + 1), sym[heads])
-        own, first = own[heads], first[heads]
-        # The longest symbol inside, then the least by hash; taken while enough are left to choose from.
-        order = mix(sym + np.uint64(level)) >> np.uint64(8)
-        order |= (np.uint64(255) - np.minimum(spans, 255).astype(np.uint64)) << np.uint64(56)
-        wide = hi - lo >= (CHOICE if level > 1 else 1)
-        idx, end, who = lo[wide].copy(), hi[wide], live[wide]
+        pair = np.flatnonzero(joins)
+        made_pairs = sym[pair], sym[pair + 1]
+        spans, sym, own, first = np.add.reduceat(spans, heads), sym[heads], own[heads], first[heads]
+        sym[at[pair]] = names.joined(PAIR, level, *made_pairs)
+        here = Level(sym, own, first, spans, live, lo, hi, [])
+        inside, run_at = here.inside(), at[many]
+        for kind, place, (a, b) in ((RUN, run_at, made_runs), (PAIR, at[pair], made_pairs)):
+            asked = inside[place]
+            here.made.append((kind, a[asked], b[asked]))
+        yield here
+
+
+def anchors(sym: np.ndarray, own: np.ndarray, starts: np.ndarray, window: int, names: Names):
+    """(name, place, level) of the anchor of each window: of its highest level's symbols the longest, then the least by hash.
+
+    ``place`` tells apart the occurrences of a name.  A window that decides no
+    symbol (a run goes through it) has its own digest as name, level 0.
+    """
+    name, place, top = window_digests(sym, window)[starts], starts.copy(), np.zeros(len(starts), np.int64)
+    before = None
+
+    def settle(a: Level, level: int, gone: np.ndarray) -> None:
+        order = mix(a.sym + np.uint64(level)) >> np.uint64(8)
+        order |= (np.uint64(255) - np.minimum(a.spans, 255).astype(np.uint64)) << np.uint64(56)
+        idx, end, who = a.lo[gone], a.hi[gone], a.live[gone]
         best = idx.copy()
         for _ in range(int((end - idx).max()) - 1 if len(idx) else 0):
             idx = np.minimum(idx + 1, end - 1)
             best = np.where(order[idx] < order[best], idx, best)
-        name[who] = mix(sym[best] + np.uint64(level << 1))
-        place[who] = first[best] * (MAX_ROUNDS + 2) + level
-        enough = hi - lo >= CHOICE  # others can't be chosen from at a higher level
-        live, lo, hi = live[enough], lo[enough], hi[enough]
-    return name, place
+        name[who], place[who], top[who] = mix(a.sym[best] + np.uint64(level << 1)), a.first[best] * (window + 1) + level, level
+
+    for level, now in enumerate(levels(sym, own, starts, window, names), 1):
+        if before is not None:
+            alive = np.zeros(len(starts), bool)
+            alive[now.live] = True
+            settle(before, level - 1, ~alive[before.live])
+        before, last = now, level
+    if before is not None:
+        settle(before, last, np.ones(len(before.live), bool))
+    return name, place, top
+
+
+def _blocks(rows, size):
+    """Lists of rows whose ``size`` adds up to BLOCK_BYTES."""
+    part, held = [], 0
+    for r in rows:
+        part.append(r)
+        held += size(r)
+        if held >= BLOCK_BYTES:
+            yield part
+            part, held = [], 0
+    if part:
+        yield part
+
+
+def _laid_out(texts: list[list[bytes]], window: int):
+    """(words, text of each, place in its text, places where a window starts) of all texts."""
+    sizes = np.array([len(w) for w in texts], np.int64)
+    own = np.repeat(np.arange(len(texts)), sizes)
+    inside = np.arange(len(own)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    return [w for t in texts for w in t], own, inside, np.flatnonzero(inside + window <= sizes[own])
+
+
+def _half_rows(window: int):
+    """Runs of windows with one least half-window; ``sure``: met twice in the block (all but one are dealt by document)."""
+    half = max(1, window // 2)
 
+    def run(batches):
+        for b in batches:
+            rows = zip(b.column(0).to_pylist(), b.column(1).to_pylist())
+            for block in _blocks(rows, lambda r: len(r[0] or b"")):
+                words, own, inside, at = _laid_out([(t or b"").split() for t, _ in block], window)
+                if not len(at):
+                    continue
+                digests = window_digests(Names().words(words), half)
+                spot = np.arange(len(digests), dtype=np.uint64)
+                least = sliding_min((digests >> _PLACE << _PLACE) | spot, window - half + 1)
+                place = (least[at] & np.uint64((1 << 32) - 1)).astype(np.int64)
+                follow = np.zeros(len(at), bool)
+                follow[1:] = (place[1:] == place[:-1]) & (at[1:] == at[:-1] + 1)
+                first, n = runs(follow)
+                key = digests[place[first]].view(np.int64)
+                ords = np.array([o for _, o in block], np.int64)[own[at[first]]]
+                _, met, which, times = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
+                sure = times[which] > 1
+                other = sure.copy()
+                other[met] = False  # one row of each half-window speaks for the block
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.where(other, ords, key)), pa.array(other), pa.array(sure), pa.array(ords), pa.array(inside[at[first]]), pa.array(n)],
+                    ["key", "other", "sure", "ord", "start", "n"],
+                )
 
-def _word_names(words) -> np.ndarray:
-    digest = xxhash.xxh64_intdigest
-    return np.array([digest(w) for w in words], np.uint64)
+    return run
 
 
-def fragments(texts: list[bytes], ords: list[int], window: int) -> tuple[np.ndarray, ...] | None:
-    """(anchor name, digest, ord, start, windows, settled) of the runs of windows with one anchor.
+def _shared(batches):
+    """Rows sorted by (other, key): the runs of windows whose half-window another row has too."""
 
-    Windows that occur earlier in the same documents are settled at once.
-    """
-    words = [t.split() for t in texts]
-    sizes = np.array([len(w) for w in words], np.int64)
-    sym = _word_names(w for doc in words for w in doc)
-    own = np.repeat(np.arange(len(words)), sizes)
-    inside = np.arange(len(sym)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    at = np.flatnonzero(inside + window <= np.repeat(sizes, sizes))
-    if not len(at):
-        return None
-    name, place = anchors(sym, own, at, window)
-    doc, start = np.array(ords, np.int64)[own[at]], inside[at]
-    gone = repeats([window_digests(sym, window)[at], name], doc, start)
-    follow = np.zeros(len(at), bool)
-    follow[1:] = (doc[1:] == doc[:-1]) & (start[1:] == start[:-1] + 1) & (gone[1:] == gone[:-1])
-    follow[1:] &= gone[1:] | ((place[1:] == place[:-1]) & (name[1:] == name[:-1]))
-    first, n = runs(follow)
-    digest = span_digests(sym, at[first], at[first] + n + window - 1)
-    return name[first], digest, doc[first], start[first], n, gone[first]
-
-
-def _fragment_rows(window: int):
-    def block(texts, ords):
-        order = np.argsort(np.array(ords, np.int64), kind="stable").tolist()
-        made = fragments([texts[i] for i in order], [ords[i] for i in order], window)
-        if made is None:
-            return
-        name, digest, doc, start, n, old = made
-        key = np.where(old, doc, name.view(np.int64))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(key), pa.array(digest.view(np.int64), mask=old), pa.array(doc), pa.array(start), pa.array(n)],
-            ["gram", "digest", "ord", "start", "n"],
-        )
+    def out(rows, sure):
+        keep = sure & ~rows[1]
+        keep[1:] |= rows[0][1:] == rows[0][:-1]
+        keep[:-1] |= rows[0][1:] == rows[0][:-1]
+        return keep | rows[1]
+
+    held = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        rows = [c.to_numpy(zero_copy_only=False) for c in b.columns]
+        if held is not None:  # the last row so far, whose key may go on
+            rows = [np.concatenate(x) for x in zip(held, rows)]
+        keep = out(rows, rows[2])
+        # Its verdict waits for the next batch; what it has met is kept in ``sure``.
+        held = [x[-1:].copy() for x in rows]
+        held[2][:] = keep[-1]
+        keep[-1] = False
+        yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in rows[3:]], ["ord", "start", "n"])
+    if held is not None and held[2][0]:
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in held[3:]], ["ord", "start", "n"])
+
+
+def _zone_rows(window: int):
+    """Maximal runs of candidates with their words; without words where a batch has had the same words already."""
 
     def run(batches):
         for b in batches:
-            texts, ords, held = [], [], 0
-            for raw, o in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                texts.append(raw or b"")
-                ords.append(o)
-                held += len(texts[-1])
-                if held >= BLOCK_BYTES:
-                    yield from block(texts, ords)
-                    texts, ords, held = [], [], 0
-            if texts:
-                yield from block(texts, ords)
+            found, out, met = [], [], set()
+            for raw, o, parts in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
+                words, zones = raw.split(), []
+                for start, n in sorted((p["start"], p["n"]) for p in parts):
+                    if zones and zones[-1][1] == start:
+                        zones[-1][1] = start + n
+                    else:
+                        zones.append([start, start + n])
+                for x, y in zones:
+                    found.append((o, x, y - x, b" ".join(words[x : y + window - 1])))
+            for o, x, n, content in sorted(found):
+                out.append((o, x, n, None if content in met else content))
+                met.add(content)
+            cols = list(zip(*out)) or [()] * 4
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["ord", "start", "n", "words"])
 
     return run
 
 
-def _cut_rows(window: int):
-    """The windows' digests of fragments to look into; those of large groups one by one, keyed by the digest."""
+def _earliest(batches):
+    """Rows sorted by (words, ord, start): only the first of equal words keeps them."""
+    last = None
+    for b in batches:
+        kept = []
+        for w in b.column(3).to_pylist():
+            kept.append(None if w == last else w)
+            last = w
+        yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(kept, pa.binary())], ["ord", "start", "n", "words"])
+
+
+def _named_blocks(batches, window: int, bits: int):
+    """(zones, words, names of words, zone of each, place in it, starts of windows, naming) of blocks of zones."""
+    for b in batches:
+        rows = zip(*(b.column(c).to_pylist() for c in ("ord", "start", "words", "renames")))
+        for block in _blocks(rows, lambda r: len(r[2])):
+            names = Names({x["content"]: x["name"] for r in block for x in r[3] or ()}, bits)
+            words, own, inside, at = _laid_out([r[2].split(b" ") for r in block], window)
+            yield block, words, names.words(words), own, inside, at, names
+
+
+def _made(words, sym, own, at, window, names, level) -> list[tuple[np.ndarray, list[bytes]]]:
+    """(names, contents) of what is named at ``level`` (0: the words)."""
+    if level == 0:
+        different = list(dict.fromkeys(words))
+        return [(names.words(different), [bytes([WORD]) + w for w in different])]
+    here = next(itertools.islice(levels(sym, own, at, window, names), level - 1, None), None)
+    if here is None:
+        return []
+    out = [(np.zeros(1, np.uint64), [b""])]  # some window goes on, whether or not anything is named
+    for kind, a, b in here.made:
+        order = np.lexsort((b, a))
+        a, b = a[order], b[order]
+        new = np.ones(len(a), bool)
+        new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+        out.append((names.joined(kind, level, a[new], b[new]), contents(kind, a[new], b[new])))
+    return out
+
+
+def _proposals(window: int, level: int, bits: int):
+    def run(batches):
+        for block, words, sym, own, _, at, names in _named_blocks(batches, window, bits):
+            for name, content in _made(words, sym, own, at, window, names, level):
+                yield pa.RecordBatch.from_arrays([pa.array(name.view(np.int64)), pa.array(content, pa.binary())], ["name", "content"])
+
+    return run
+
+
+def _users(window: int, level: int, bits: int):
+    """The zones in which a content occurs, one zone at a time."""
 
     def run(batches):
         for b in batches:
-            parts = b.column(2)
-            gram, large, start, n = (
-                pa.compute.struct_field(parts.flatten(), f).to_numpy(zero_copy_only=False) for f in ("gram", "large", "start", "n")
-            )
-            counts = pa.compute.list_value_length(parts).to_numpy(zero_copy_only=False)
-            ords = np.repeat(b.column(1).to_numpy(zero_copy_only=False), counts)
-            ends = np.cumsum(counts)
-            digests = []
-            for raw, x, y in zip(b.column(0).to_pylist(), (ends - counts).tolist(), ends.tolist()):
-                whole = window_digests(_word_names(raw.split()), window)
-                size = n[x:y]
-                digests.append(whole[np.repeat(start[x:y] - np.cumsum(size) + size, size) + np.arange(size.sum())])
-            digest = np.concatenate(digests) if digests else np.empty(0, np.uint64)
-            # Rows of large groups become one row for each window.
-            rows = np.repeat(np.arange(len(n)), np.where(large, n, 1))
-            step = np.arange(len(rows)) - np.searchsorted(rows, rows)
-            size = np.where(large[rows], 1, n[rows])
-            first = np.cumsum(size) - size
-            key = gram[rows].astype(np.int64)
-            one = large[rows].astype(bool)
-            key[one] = digest.view(np.int64)[first[one]]
-            offsets = pa.py_buffer(np.append(first, len(digest)).astype(np.int32) * np.int32(8))
-            data = pa.Array.from_buffers(pa.binary(), len(rows), [None, offsets, pa.py_buffer(digest.tobytes())])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(key), pa.array(ords[rows]), pa.array(start[rows] + step), data], ["key", "ord", "start", "digests"]
-            )
+            for one in (b.slice(i, 1) for i in range(b.num_rows)):
+                for block, words, sym, own, _, at, names in _named_blocks([one], window, bits):
+                    made = sorted({c for _, content in _made(words, sym, own, at, window, names, level) for c in content})
+                    o, s = (pa.array([block[0][i]] * len(made), pa.int64()) for i in (0, 1))
+                    yield pa.RecordBatch.from_arrays([o, s, pa.array(made, pa.binary())], ["ord", "start", "content"])
 
     return run
 
 
-def _verify(window: int):
-    """Rows sorted by (key, ord, start): spans of words that a window with an earlier twin covers."""
+def name_zones(zones: DataFrame, window: int = WINDOW_WORDS, bits: int = NAME_BITS) -> tuple[DataFrame, list[DataFrame]]:
+    """(``zones`` with ``renames``, the dictionary of each level): one Spark round a level.
 
-    def spans(name, ords, starts, n, bits, seen):
-        rows = np.repeat(np.arange(len(n)), n)
-        at = starts[rows] + np.arange(len(rows)) - np.repeat(np.cumsum(n) - n, n)
-        gone = repeats([name[rows], bits], ords[rows], at)
-        if seen is not None:
-            gone |= (name[rows] == seen[0]) & np.isin(bits, seen[1])
-        hit = np.flatnonzero(gone)
-        follow = np.zeros(len(hit), bool)
-        follow[1:] = (rows[hit[1:]] == rows[hit[:-1]]) & (at[hit[1:]] == at[hit[:-1]] + 1)
-        first, size = runs(follow)
-        last = name[-1]
-        return ords[rows[hit[first]]], at[hit[first]], size, last, bits[(name[rows] == last) & ~gone]
+    A dictionary has ``name, content, rank``; contents of rank 2 and above
+    share a proposed name and get one of their own, which is carried to the
+    zones that they occur in.
+    """
+    zones = zones.withColumn("renames", F.lit(None).cast(RENAMES))
+    dictionaries = []
+    for level in itertools.count():
+        made = zones.mapInArrow(_proposals(window, level, bits), "name LONG, content BINARY")
+        made = made.repartition("name").dropDuplicates(["name", "content"])
+        rank = F.row_number().over(Window.partitionBy("name").orderBy("content"))
+        dictionary = store(made.withColumn("rank", rank), f"names-{level}")
+        if level and dictionary.isEmpty():
+            return zones, dictionaries
+        dictionaries.append(dictionary)
+        contested = dictionary.where("rank > 1")
+        if contested.isEmpty():
+            continue
+        fresh = F.monotonically_increasing_id() + F.lit(level << 55)
+        fresh = store(contested.orderBy("name", "content").select("content", fresh.alias("name")), f"renames-{level}")
+        users = zones.mapInArrow(_users(window, level, bits), "ord LONG, start LONG, content BINARY")
+        more = users.join(fresh, "content").groupBy("ord", "start").agg(F.collect_list(F.struct("content", "name")).alias("more"))
+        zones = zones.join(more, ["ord", "start"], "left")
+        renames = F.coalesce(F.concat("renames", "more"), "renames", "more")
+        zones = store(zones.withColumn("renames", renames).drop("more"), f"zones-{level}")
+
+
+def _anchored(window: int, bits: int):
+    """Runs of windows with one anchor and their words; without words where the block has had the same run."""
 
     def run(batches):
-        seen = None
+        for block, words, sym, own, inside, at, names in _named_blocks(batches, window, bits):
+            name, place, top = anchors(sym, own, at, window, names)
+            follow = np.zeros(len(at), bool)
+            follow[1:] = (place[1:] == place[:-1]) & (name[1:] == name[:-1]) & (at[1:] == at[:-1] + 1)
+            first, n = runs(follow)
+            x = at[first]
+            content = [b" ".join(words[i:j]) for i, j in zip(x.tolist(), (x + n + window - 1).tolist())]
+            ords, begins = (np.array([r[i] for r in block], np.int64) for i in (0, 1))
+            ords, starts, key = ords[own[x]], begins[own[x]] + inside[x], name[first].view(np.int64)
+            met: dict[bytes, tuple] = {}
+            for i in np.lexsort((starts, ords)).tolist():
+                if met.setdefault(content[i], i) != i:
+                    content[i], key[i] = None, ords[i]
+            cols = [pa.array(key), pa.array(ords), pa.array(starts), pa.array(n), pa.array(content, pa.binary()), pa.array(top[first])]
+            yield pa.RecordBatch.from_arrays(cols, ["key", "ord", "start", "n", "words", "level"])
+
+    return run
+
+
+def _verify(window: int, most: int | None):
+    """Rows sorted by (key, ord, start): runs of windows whose words came earlier under the key (words null).
+
+    Of a key ``most`` different windows are remembered.  A window first met
+    later, and every copy of it, is given out under its own digest.
+    """
+
+    def run(batches):
+        last, seen = None, set()
         for b in batches:
-            name, ords, starts = (b.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-            parts = b.column(3)
-            n = pa.compute.binary_length(parts).to_numpy(zero_copy_only=False).astype(np.int64) // 8
-            cuts = np.searchsorted(np.cumsum(n), np.arange(0, int(n.sum()), CHUNK_WINDOWS), side="left").tolist()
-            for x, y in zip(cuts, [*cuts[1:], len(n)]):
-                if x == y:
+            keys, ords, starts, sizes, texts = (b.column(c).to_pylist() for c in ("key", "ord", "start", "n", "words"))
+            out = []
+            for key, o, start, n, raw in zip(keys, ords, starts, sizes, texts):
+                if raw is None:
+                    out.append((None, o, start, n, None))
                     continue
-                bits = np.frombuffer(b"".join(parts.slice(x, y - x).to_pylist()), np.uint64)
-                o, lo, size, last, kept = spans(name[x:y], ords[x:y], starts[x:y], n[x:y], bits, seen)
-                # Digests of the last key, whose rows may go on in the next chunk.
-                more = seen is not None and seen[0] == last
-                seen = (last, np.concatenate([seen[1], kept]) if more else kept)
-                yield pa.RecordBatch.from_arrays([pa.array(o), pa.array(lo), pa.array(lo + size + window - 1)], ["ord", "lo", "hi"])
+                if key != last:
+                    last, seen = key, set()
+                ends = np.cumsum([len(w) + 1 for w in raw.split(b" ")]).tolist()
+                begins, began = [0, *ends], None
+                for j in range(n):
+                    w = raw[begins[j] : ends[j + window - 1] - 1]
+                    if w in seen:
+                        began = j if began is None else began
+                        continue
+                    if began is not None:
+                        out.append((None, o, start + began, j - began, None))
+                        began = None
+                    if most is None or len(seen) < most:
+                        seen.add(w)
+                    else:
+                        out.append((xxhash.xxh64_intdigest(w) - (1 << 63), o, start + j, 1, w))
+                if began is not None:
+                    out.append((None, o, start + began, n - began, None))
+            cols = list(zip(*out)) or [()] * 5
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["key", "ord", "start", "n", "words"])
 
     return run
 
 
-def covered_spans(ordered: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
-    """``ord, lo, hi``: words lo to hi (exclusive) of a document covered by windows with an earlier twin."""
-    rows = ordered.select("text", "ord").mapInArrow(_fragment_rows(window), FRAGMENT)
-    settled, asked = fragment_verdicts(rows, "anchors")
-    settled = settled.select("ord", F.col("start").alias("lo"), (F.col("start") + F.col("n") + window - 1).alias("hi"))
+def repeated_zones(ordered: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
+    """ZONE rows, stored: zones with words are the earliest with these; the others (words null) repeat one whole."""
+    halves = ordered.select("text", "ord").mapInArrow(
+        _half_rows(window), "key LONG, other BOOLEAN, sure BOOLEAN, ord LONG, start LONG, n LONG"
+    )
+    shared = halves.repartition("key").sortWithinPartitions("other", "key").mapInArrow(_shared, "ord LONG, start LONG, n LONG")
+    parts = shared.groupBy("ord").agg(F.collect_list(F.struct("start", "n")).alias("parts"))
     # The same columns as in the last join of the texts, so that they are shuffled once for both.
-    cut = ordered.join(asked.hint("merge"), "ord").select("text", "ord", "parts", "doc_id")
-    cut = cut.mapInArrow(_cut_rows(window), "key LONG, ord LONG, start LONG, digests BINARY")
-    dealt = cut.repartition("key").sortWithinPartitions("key", "ord", "start")
-    return settled.unionByName(dealt.mapInArrow(_verify(window), "ord LONG, lo LONG, hi LONG"))
+    cut = ordered.join(parts.hint("merge"), "ord").select("text", "ord", "parts", "doc_id")
+    cut = cut.mapInArrow(_zone_rows(window), ZONE)
+    deal = F.when(F.col("words").isNull(), F.col("ord")).otherwise(F.xxhash64("words"))
+    dealt = cut.repartition(deal).sortWithinPartitions("words", "ord", "start")
+    return store(dealt.mapInArrow(_earliest, ZONE), "zones")
+
+
+def covered_spans(
+    ordered: DataFrame, window: int = WINDOW_WORDS, bits: int = NAME_BITS, held: int = HELD_WINDOWS
+) -> DataFrame:
+    """``ord, lo, hi``: words lo to hi (exclusive) of a document covered by windows with an earlier twin."""
+    zones = repeated_zones(ordered, window)
+    named, _ = name_zones(zones.where("words IS NOT NULL"), window, bits)
+    rows = named.mapInArrow(_anchored(window, bits), "key LONG, ord LONG, start LONG, n LONG, words BINARY, level LONG").drop("level")
+
+    def verified(rows, most):
+        dealt = rows.repartition("key").sortWithinPartitions("key", "ord", "start")
+        return dealt.mapInArrow(_verify(window, most), f"key LONG, {ZONE}")
+
+    judged = store(verified(rows, held), "anchors")
+    found = zones.where("words IS NULL").unionByName(judged.where("words IS NULL").drop("key"))
+    found = found.unionByName(verified(judged.where("words IS NOT NULL"), None).drop("key"))
+    return found.select("ord", F.col("start").alias("lo"), (F.col("start") + F.col("n") + window - 1).alias("hi"))
 
 
 def _apply(batches):
@@ -293,11 +505,11 @@ def remove_repeated_words(
     nothing.  Rows with a null doc_id come last, repeated doc_ids in the order
     of their rows.  An empty table gives no rows; other columns are not used.
 
-    Whole texts are read.  Repeats inside a block of documents are settled
-    before the shuffle, so a passage that a third of the documents hold sends
-    one row per block; the rest are streamed by name.  An anchor with more than
-    ``spans.LARGE_GROUP`` different runs is dealt out by window.  One task
-    streams the runs of an anchor (not their words) and holds a bounded number.
+    Whole texts are read, and words decide: names and digests only bring equal
+    windows together.  Equal zones and equal runs of windows inside a block are
+    settled before the shuffle, so a passage that a third of the documents hold
+    sends one row per block.  A task remembers HELD_WINDOWS windows of an
+    anchor; what is first met later is dealt out by the digests of its words.
     """
     ordered = in_order(docs, id_col, text_col)
     spans = covered_spans(ordered, window).groupBy("ord").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
