@@ -198,8 +198,17 @@ def _laid_out(texts: list[list[bytes]], window: int):
     return [w for t in texts for w in t], own, inside, np.flatnonzero(inside + window <= sizes[own])
 
 
+def _stretches(ords: np.ndarray, start: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of windows in the order of their texts, those that follow one another as one."""
+    follow = np.zeros(len(ords), bool)
+    follow[1:] = (ords[1:] == ords[:-1]) & (start[1:] == start[:-1] + n[:-1])
+    first, _ = runs(follow)
+    size = np.add.reduceat(n, first) if len(first) else n
+    return ords[first], start[first], size
+
+
 def _half_rows(window: int):
-    """Runs of windows with one least half-window; ``sure``: met twice in the block (all but one are dealt by document)."""
+    """Runs of windows with one least half-window, the first of a block; ``other``: stretches of windows met twice in it."""
     half = max(1, window // 2)
 
     def run(batches):
@@ -217,42 +226,40 @@ def _half_rows(window: int):
                 follow[1:] = (place[1:] == place[:-1]) & (at[1:] == at[:-1] + 1)
                 first, n = runs(follow)
                 key = digests[place[first]].view(np.int64)
-                ords = np.array([o for _, o in block], np.int64)[own[at[first]]]
+                ords, start = np.array([o for _, o in block], np.int64)[own[at[first]]], inside[at[first]]
                 _, met, which, times = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
                 sure = times[which] > 1
-                other = sure.copy()
-                other[met] = False  # one row of each half-window speaks for the block
+                # One row of each half-window speaks for the block; windows that are sure come as whole stretches.
+                o, x, size = _stretches(ords[sure], start[sure], n[sure])
+                sure = sure[met]
+                cols = (key[met], np.zeros(len(met), bool), sure, ords[met], start[met], n[met])
+                more = (o, np.ones(len(o), bool), np.ones(len(o), bool), o, x, size)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.where(other, ords, key)), pa.array(other), pa.array(sure), pa.array(ords), pa.array(inside[at[first]]), pa.array(n)],
-                    ["key", "other", "sure", "ord", "start", "n"],
+                    [pa.array(np.concatenate(c)) for c in zip(cols, more)], ["key", "other", "sure", "ord", "start", "n"]
                 )
 
     return run
 
 
 def _shared(batches):
-    """Rows sorted by (other, key): the runs of windows whose half-window another row has too."""
-
-    def out(rows, sure):
-        keep = sure & ~rows[1]
-        keep[1:] |= rows[0][1:] == rows[0][:-1]
-        keep[:-1] |= rows[0][1:] == rows[0][:-1]
-        return keep | rows[1]
-
-    held = None
+    """Rows sorted by (other, key): stretches, and runs of windows whose half-window another block has too."""
+    held, waits, last = None, False, False
     for b in batches:
         if not b.num_rows:
             continue
         rows = [c.to_numpy(zero_copy_only=False) for c in b.columns]
         if held is not None:  # the last row so far, whose key may go on
             rows = [np.concatenate(x) for x in zip(held, rows)]
-        keep = out(rows, rows[2])
-        # Its verdict waits for the next batch; what it has met is kept in ``sure``.
-        held = [x[-1:].copy() for x in rows]
-        held[2][:] = keep[-1]
-        keep[-1] = False
+        key, other, sure, met = rows[0], rows[1], rows[2], np.zeros(len(rows[0]), bool)
+        same = (key[1:] == key[:-1]) & (other[1:] == other[:-1])
+        met[1:] |= same
+        met[:-1] |= same
+        met[0] |= waits
+        keep = other | (met & ~sure)  # what is sure is in a stretch
+        held, waits = [x[-1:].copy() for x in rows], met[-1]
+        last, keep[-1] = keep[-1], False
         yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in rows[3:]], ["ord", "start", "n"])
-    if held is not None and held[2][0]:
+    if held is not None and last:
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in held[3:]], ["ord", "start", "n"])
 
 
@@ -373,7 +380,7 @@ def name_zones(zones: DataFrame, window: int = WINDOW_WORDS, bits: int = NAME_BI
 
 
 def _anchored(window: int, bits: int):
-    """Runs of windows with one anchor and their words; without words where the block has had the same run."""
+    """Runs of windows with one anchor and their words; without words stretches of runs that the block has had before."""
 
     def run(batches):
         for block, words, sym, own, inside, at, names in _named_blocks(batches, window, bits):
@@ -385,11 +392,19 @@ def _anchored(window: int, bits: int):
             content = [b" ".join(words[i:j]) for i, j in zip(x.tolist(), (x + n + window - 1).tolist())]
             ords, begins = (np.array([r[i] for r in block], np.int64) for i in (0, 1))
             ords, starts, key = ords[own[x]], begins[own[x]] + inside[x], name[first].view(np.int64)
-            met: dict[bytes, tuple] = {}
-            for i in np.lexsort((starts, ords)).tolist():
-                if met.setdefault(content[i], i) != i:
-                    content[i], key[i] = None, ords[i]
-            cols = [pa.array(key), pa.array(ords), pa.array(starts), pa.array(n), pa.array(content, pa.binary()), pa.array(top[first])]
+            order = np.lexsort((starts, ords))
+            met, old = set(), np.zeros(len(x), bool)
+            for i in order.tolist():
+                old[i] = content[i] in met
+                met.add(content[i])
+            gone = order[old[order]]
+            o, s, size = _stretches(ords[gone], starts[gone], n[gone])
+            new = np.flatnonzero(~old)
+            cols = [
+                *(pa.array(np.concatenate(c)) for c in ((key[new], o), (ords[new], o), (starts[new], s), (n[new], size))),
+                pa.array([content[i] for i in new.tolist()] + [None] * len(o), pa.binary()),
+                pa.array(np.concatenate([top[first[new]], np.zeros(len(o), np.int64)])),
+            ]
             yield pa.RecordBatch.from_arrays(cols, ["key", "ord", "start", "n", "words", "level"])
 
     return run
@@ -403,7 +418,7 @@ def _verify(window: int, most: int | None):
     """
 
     def run(batches):
-        last, seen = None, set()
+        last, seen, whole = None, set(), set()
         for b in batches:
             keys, ords, starts, sizes, texts = (b.column(c).to_pylist() for c in ("key", "ord", "start", "n", "words"))
             out = []
@@ -412,11 +427,19 @@ def _verify(window: int, most: int | None):
                     out.append((None, o, start, n, None))
                     continue
                 if key != last:
-                    last, seen = key, set()
-                ends = np.cumsum([len(w) + 1 for w in raw.split(b" ")]).tolist()
-                begins, began = [0, *ends], None
-                for j in range(n):
-                    w = raw[begins[j] : ends[j + window - 1] - 1]
+                    last, seen, whole = key, set(), set()
+                if raw in whole:
+                    out.append((None, o, start, n, None))
+                    continue
+                if n > 1:
+                    if most is None or len(whole) < most:
+                        whole.add(raw)
+                    cuts = list(itertools.accumulate(map(len, raw.split(b" ")), lambda x, y: x + y + 1, initial=0))
+                    windows = [raw[x : y - 1] for x, y in zip(cuts, cuts[window:])]
+                else:
+                    windows = [raw]
+                began = None
+                for j, w in enumerate(windows):
                     if w in seen:
                         began = j if began is None else began
                         continue
