@@ -1,4 +1,4 @@
-"""What the two substring operators share: the order of documents, and the comparison of fragments.
+"""The order of documents and digests of spans, for both substring operators; fragments compared, for bytes.
 
 A fragment is a run of windows that share a key which their content alone
 decides.  Fragments with the same content are settled as wholes; only
