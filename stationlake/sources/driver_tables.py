@@ -103,9 +103,14 @@ def sensor_geography(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as typed readings with their sensor's country."""
+    """Events as typed readings with their sensor's country.
+
+    Neither side is ever broadcast: file sizes say little about rows in memory,
+    and the readings, by far the larger side, would go through the driver whole.
+    Each sensor has one row, so a task's hash table holds its share of them.
+    """
     ev = _read(spark, sf_dir, "events")
-    geo = sensor_geography(spark, sf_dir)
+    geo = sensor_geography(spark, sf_dir).hint("shuffle_hash")
     ts = F.col("ts").cast("timestamp")
     k = F.get_json_object(F.col("props"), "$.k").cast("bigint")
     pollutant = lookup(F.col("event_type"), EVENT_TYPE_POLLUTANT)
@@ -217,11 +222,17 @@ def day_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def station_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per station: the published activity range (see module docstring)."""
-    r = readings(spark, sf_dir).select("sensor_id", "reading_ts")
-    geo = sensor_geography(spark, sf_dir).select("sensor_id", "location_id")
-    seen = r.join(geo, "sensor_id").groupBy("location_id").agg(
-        F.min("reading_ts").alias("first_ts"), F.max("reading_ts").alias("last_ts")
+    """Per station: the published activity range (see module docstring).
+
+    The events of a sensor become its own range before they meet the station.
+    """
+    ts = F.col("ts").cast("timestamp")
+    ranges = _read(spark, sf_dir, "events").groupBy(F.col("user_id").alias("sensor_id")).agg(
+        F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts")
+    )
+    geo = sensor_geography(spark, sf_dir).select("sensor_id", "location_id").hint("shuffle_hash")
+    seen = ranges.join(geo, "sensor_id").groupBy("location_id").agg(
+        F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts")
     )
     st = stations(spark, sf_dir).select("location_id", "region_key")
     publishes = F.col("region_key") != NO_ACTIVITY_RANGE_REGION
