@@ -69,11 +69,12 @@ def roll_up(sensor_days: DataFrame, sensors: DataFrame, locations: DataFrame) ->
     A sensor has one row per group, so counting rows counts sensors, and the
     hours of a station are the bits of its sensors' masks together: no
     distinct aggregate, so no Expand of the facts.  The dimension tables are
-    joined first; the planner broadcasts the result by its size in bytes, and
-    beyond the threshold AQE splits a skewed sensor.
+    joined first.  No side of the join with the days is broadcast: by the size
+    of their files stored days would be, and go through the driver whole.  A
+    sensor has one row in the dimension, so a task's hash table holds its share.
     """
     days = sensor_days.where("reading_count > 0")
-    joined = days.join(sensor_dimension(sensors, locations), "sensor_id")
+    joined = days.join(sensor_dimension(sensors, locations).hint("shuffle_hash"), "sensor_id")
     agg = joined.groupBy(*DAILY_KEYS).agg(
         (F.sum("value_sum") / F.sum("reading_count")).alias("daily_avg"),
         F.min("value_min").alias("daily_min"),

@@ -2,6 +2,7 @@
 
 from conftest import SF_SMALL
 
+from stationlake.operators import daily as D
 from stationlake.sources import driver_tables as T
 
 
@@ -34,3 +35,13 @@ def test_activity_is_that_of_all_readings(spark):
     for a in T.station_activity(spark, SF_SMALL).where("first_ts IS NOT NULL").collect():
         first, last = seen[a["location_id"]]
         assert (a["first_ts"], a["last_ts"]) == (first + day, last - day)
+
+
+def test_stored_sensor_days_are_not_broadcast_in_the_roll_up(spark, tmp_dir):
+    days = "1L AS sensor_id, 'pm25' AS parameter, 'u' AS unit, DATE'2026-07-01' AS measurement_date, 2.0D AS value_sum, 2.0D AS value_min, 2.0D AS value_max, 1L AS reading_count, 3 AS hour_mask"
+    spark.range(1).selectExpr(*days.split(", ")).write.parquet(f"{tmp_dir}/days")
+    sensors = spark.range(10_000_000).where("id < 5").selectExpr("id AS sensor_id", "id % 2 AS location_id")  # large by the planner's guess
+    locations = spark.range(10_000_000).where("id < 2").selectExpr("id AS location_id", "'NO' AS country_code", "true AS is_reference_monitor")
+    out = D.roll_up(spark.read.parquet(f"{tmp_dir}/days"), sensors, locations)
+    assert not any("value_sum" in line for line in broadcast_parts(out))
+    assert [(r["location_id"], r["daily_avg"], r["hours_covered"]) for r in out.collect()] == [(1, 2.0, 2)]
