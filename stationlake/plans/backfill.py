@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationlake import constants as C
-from stationlake.functions.columns import chunk_label, object_name, ts_lit
+from stationlake.functions.columns import chunk_label, country_from_uri, object_name, ts_lit
 from stationlake.operators import quality as Q
 from stationlake.operators import runs as R
 from stationlake.session import scratch_path
@@ -72,8 +72,9 @@ def read_markers(spark: SparkSession, path: str) -> DataFrame:
 
 
 def open_fetches(fetch_log: DataFrame, todo: DataFrame, targets: DataFrame) -> DataFrame:
-    """The fetches of target sensors in open chunks."""
-    mine = fetch_log.join(targets.select("country_code", "sensor_id").distinct(), ["country_code", "sensor_id"], "left_semi")
+    """The fetches of target sensors in open chunks; neither the log nor the targets are broadcast."""
+    wanted = targets.select("country_code", "sensor_id").distinct().hint("shuffle_hash")
+    mine = fetch_log.join(wanted, ["country_code", "sensor_id"], "left_semi")
     return mine.join(todo.select(*CHUNK), CHUNK, "left_semi").select(*CHUNK, "sensor_id", "status", "measurements")
 
 
@@ -93,11 +94,14 @@ def landed_at(raw: DataFrame, marked: DataFrame) -> DataFrame:
     """``marked`` chunks with ``landed_records``: the measurement records of the batch under their stamp.
 
     Only the partitions of the stamps' days are read: one per run that left a
-    chunk open.
+    chunk open.  Of these only the pages of marked batches are parsed.
     """
     days = [r[0] for r in marked.select(F.to_date("stamp")).distinct().collect()]
-    batches = R.landed_by_batch(raw.where(F.col("ingest_date").isin(days) if days else F.lit(False)))
     keys = ["country_code", "chunk_label", "stamp"]
+    place = {"country_code": country_from_uri("source_uri"), "chunk_label": R.partition_segment_of("source_uri"), "stamp": F.col("ingested_at")}
+    pages = raw.where(F.col("ingest_date").isin(days) if days else F.lit(False)).withColumns(place)
+    pages = pages.join(F.broadcast(marked.select(*keys)), keys, "left_semi")  # a row per chunk
+    batches = R.landed_by_batch(pages)
     found = batches.withColumnsRenamed({"segment": "chunk_label", "ingested_at": "stamp", "records": "landed_records"})
     return marked.join(found.select(*keys, "landed_records"), keys, "left").na.fill(0, ["landed_records"])
 
@@ -170,6 +174,7 @@ def run(
     todo = _stored(R.windows_todo(chunks, R.read_manifest(spark, tables.manifest)), "backfill-todo")
     if skip is not None:
         targets = R.skip_known_bad(targets, skip)
+    targets = _stored(targets.select("country_code", "sensor_id"), "backfill-targets")  # looked up by three steps
     guard = Q.nonempty_guard(todo, targets, "country_code", "targets")
     R.enforce(guard, "status = 'pass'", "a country with open chunks has no target sensor").write.format("noop").mode("overwrite").save()
     fetched = _stored(open_fetches(fetch_log, todo, targets), "backfill-fetches")  # one view of the log for all steps
