@@ -8,9 +8,10 @@ equal words the earliest goes on.
 Spark rounds then name what the zones are made of: the words, and level by
 level the runs of one symbol and the pairs of neighbours (a pair is joined when
 a bit of the level puts its left symbol on one side and its right symbol on the
-other).  Tasks propose hashes as names; each round gathers the proposals of all
-zones in one dictionary, stored by name, and where a name stands for different
-contents all but one of these get a new name before the next level is built.
+other).  Tasks propose hashes as names; a round gathers the proposals of all
+zones, level by level, in stored dictionaries, and where a name stands for
+different contents all but one of these get a new name and the levels above are
+proposed again from the names settled so far.
 So a name stands for one sequence of words everywhere, and equal substrings
 have equal symbols except near their ends.
 
@@ -309,29 +310,33 @@ def _named_blocks(batches, window: int, bits: int):
             yield block, words, names.words(words), own, inside, at, names
 
 
-def _made(words, sym, own, at, window, names, level) -> list[tuple[np.ndarray, list[bytes]]]:
-    """(names, contents) of what is named at ``level`` (0: the words)."""
-    if level == 0:
+def _made(words, sym, own, at, window, names, since=0):
+    """(level, names, contents) of what is named at each level from ``since`` on (0: the words)."""
+    if since == 0:
         different = list(dict.fromkeys(words))
-        return [(names.words(different), [bytes([WORD]) + w for w in different])]
-    here = next(itertools.islice(levels(sym, own, at, window, names), level - 1, None), None)
-    if here is None:
-        return []
-    out = [(np.zeros(1, np.uint64), [b""])]  # some window goes on, whether or not anything is named
-    for kind, a, b in here.made:
-        order = np.lexsort((b, a))
-        a, b = a[order], b[order]
-        new = np.ones(len(a), bool)
-        new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-        out.append((names.joined(kind, level, a[new], b[new]), contents(kind, a[new], b[new])))
-    return out
-
-
-def _proposals(window: int, level: int, bits: int):
+        yield 0, names.words(different), [bytes([WORD]) + w for w in different]
+    for level, here in enumerate(levels(sym, own, at, window, names), 1):
+        if level < since:
+            continue
+        yield level, np.zeros(1, np.uint64), [b""]  # some window goes on, whether or not anything is named
+        for kind, a, b in here.made:
+            order = np.lexsort((b, a))
+            a, b = a[order], b[order]
+            new = np.ones(len(a), bool)
+            new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+            yield level, names.joined(kind, level, a[new], b[new]), contents(kind, a[new], b[new])
+
+
+def _proposals(window: int, level: int, bits: int, above: bool = False):
+    """What is named at ``level``; with ``above`` also at every later level, as if no name of this round were contested."""
+
     def run(batches):
         for block, words, sym, own, _, at, names in _named_blocks(batches, window, bits):
-            for name, content in _made(words, sym, own, at, window, names, level):
-                yield pa.RecordBatch.from_arrays([pa.array(name.view(np.int64)), pa.array(content, pa.binary())], ["name", "content"])
+            for here, name, content in _made(words, sym, own, at, window, names, level):
+                if here > level and not above:
+                    break
+                cols = [pa.array(np.full(len(content), here, np.int32)), pa.array(name.view(np.int64)), pa.array(content, pa.binary())]
+                yield pa.RecordBatch.from_arrays(cols, ["level", "name", "content"])
 
     return run
 
@@ -343,7 +348,8 @@ def _users(window: int, level: int, bits: int):
         for b in batches:
             for one in (b.slice(i, 1) for i in range(b.num_rows)):
                 for block, words, sym, own, _, at, names in _named_blocks([one], window, bits):
-                    made = sorted({c for _, content in _made(words, sym, own, at, window, names, level) for c in content})
+                    named = itertools.takewhile(lambda x: x[0] == level, _made(words, sym, own, at, window, names, level))
+                    made = sorted({c for _, _, content in named for c in content})
                     o, s = (pa.array([block[0][i]] * len(made), pa.int64()) for i in (0, 1))
                     yield pa.RecordBatch.from_arrays([o, s, pa.array(made, pa.binary())], ["ord", "start", "content"])
 
@@ -351,32 +357,38 @@ def _users(window: int, level: int, bits: int):
 
 
 def name_zones(zones: DataFrame, window: int = WINDOW_WORDS, bits: int = NAME_BITS) -> tuple[DataFrame, list[DataFrame]]:
-    """(``zones`` with ``renames``, the dictionary of each level): one Spark round a level.
+    """(``zones`` with ``renames``, the dictionary of each level).
 
     A dictionary has ``name, content, rank``; contents of rank 2 and above
     share a proposed name and get one of their own, which is carried to the
-    zones that they occur in.
+    zones that they occur in.  A Spark round gathers the proposals of all levels
+    not settled yet.  It settles the levels up to the first that has a contested
+    name, and what it gathered above is proposed again in the next round, from
+    the names that are settled then.
     """
     zones = zones.withColumn("renames", F.lit(None).cast(RENAMES))
     dictionaries = []
-    for level in itertools.count():
-        made = zones.mapInArrow(_proposals(window, level, bits), "name LONG, content BINARY")
-        made = made.repartition("name").dropDuplicates(["name", "content"])
-        rank = F.row_number().over(Window.partitionBy("name").orderBy("content"))
-        dictionary = store(made.withColumn("rank", rank), f"names-{level}")
-        if level and dictionary.isEmpty():
+    while True:
+        since = len(dictionaries)
+        made = zones.mapInArrow(_proposals(window, since, bits, above=True), "level INT, name LONG, content BINARY")
+        made = made.repartition("name").dropDuplicates(["level", "name", "content"])
+        rank = F.row_number().over(Window.partitionBy("name", "level").orderBy("content"))
+        gathered = store(made.withColumn("rank", rank), f"names-{since}")
+        contested_at, top = gathered.agg(F.min(F.when(F.col("rank") > 1, F.col("level"))), F.max("level")).first()
+        if top is None:
             return zones, dictionaries
-        dictionaries.append(dictionary)
-        contested = dictionary.where("rank > 1")
-        if contested.isEmpty():
-            continue
-        fresh = F.monotonically_increasing_id() + F.lit(level << 55)
-        fresh = store(contested.orderBy("name", "content").select("content", fresh.alias("name")), f"renames-{level}")
-        users = zones.mapInArrow(_users(window, level, bits), "ord LONG, start LONG, content BINARY")
+        settled = top if contested_at is None else contested_at
+        dictionaries += [gathered.where(F.col("level") == x).drop("level") for x in range(since, settled + 1)]
+        if contested_at is None:
+            return zones, dictionaries
+        fresh = F.monotonically_increasing_id() + F.lit(settled << 55)
+        contested = dictionaries[settled].where("rank > 1").orderBy("name", "content")
+        fresh = store(contested.select("content", fresh.alias("name")), f"renames-{settled}")
+        users = zones.mapInArrow(_users(window, settled, bits), "ord LONG, start LONG, content BINARY")
         more = users.join(fresh, "content").groupBy("ord", "start").agg(F.collect_list(F.struct("content", "name")).alias("more"))
         zones = zones.join(more, ["ord", "start"], "left")
         renames = F.coalesce(F.concat("renames", "more"), "renames", "more")
-        zones = store(zones.withColumn("renames", renames).drop("more"), f"zones-{level}")
+        zones = store(zones.withColumn("renames", renames).drop("more"), f"zones-{settled}")
 
 
 def _anchored(window: int, bits: int):

@@ -151,6 +151,22 @@ def test_names_of_all_levels_stand_for_one_content(spark):
         assert len(dictionaries) > 3 and all(d.where("name != 0").count() for d in dictionaries[:4])
 
 
+def test_levels_without_contested_names_take_one_round(spark, monkeypatch):
+    """A round gathers every level; it is repeated only above a level with contested names, until all are settled."""
+    texts = [" ".join(words(seed, 90)) + " " + " ".join(words(1, 70)) for seed in (2, 3)]
+    ordered = spark.createDataFrame([(i, i, t.encode()) for i, t in enumerate(texts)], "ord LONG, doc_id LONG, text BINARY")
+    zones, stored, found = R.repeated_zones(ordered).where("words IS NOT NULL"), R.store, {}
+    for bits in (4, R.NAME_BITS):
+        names = []
+        monkeypatch.setattr(R, "store", lambda df, name: names.append(name) or stored(df, name))
+        _, dictionaries = R.name_zones(zones, bits=bits)
+        found[bits] = [sum(n.startswith("names-") for n in names), len(dictionaries)]
+        contested = [d.where("rank > 1").count() > 0 for d in dictionaries]
+        assert sum(contested) == sum(n.startswith("renames-") for n in names)
+    assert found[R.NAME_BITS][0] == 1 and found[4][0] > 1
+    assert found[4][1] > 3 and found[R.NAME_BITS][1] > 3
+
+
 def test_long_repeats_are_revealed_by_high_levels():
     """Two texts share 70 words: every shared window has the same anchor in both, most at level 3 or above."""
     texts = [" ".join(words(seed, 90) + words(1, 70)).encode() for seed in (2, 3)]
